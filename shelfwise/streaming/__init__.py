@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference processes finite files only: no watermark, event-time window,
+stateful operator or late-data rule exists, so no Structured Streaming query
+is part of this library (see README).
+"""
