@@ -15,7 +15,7 @@ def parse_date(text: Column | str, formats: tuple[str, ...] = DATE_FORMATS) -> C
     """First format that parses wins; unparseable text becomes NULL."""
     col = F.col(text) if isinstance(text, str) else text
     col = F.trim(col)
-    return F.coalesce(*[F.try_to_date(col, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(col, fmt) for fmt in formats])
 
 
 def day_of_week(d: Column) -> Column:
