@@ -154,7 +154,7 @@ CRITICAL = ("product_id", "category", UNITS)
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column_name, n_missing) for the critical columns, one aggregate pass."""
     cols = [c for c in CRITICAL if c in df.columns]
-    cols.append(DATE_TEXT if DATE_TEXT in df.columns else DATE)
+    cols += [c for c in (DATE_TEXT, DATE) if c in df.columns][:1]
     one = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_missing")) for c in cols])
     return one.select(F.inline(rows))
@@ -247,11 +247,14 @@ def quality_report(raw: DataFrame) -> DataFrame:
     date_bad = (F.count_if(F.col(DATE_TEXT).isNotNull() & parse_date(DATE_TEXT).isNull())
                 if DATE_TEXT in typed else F.lit(0).cast("bigint"))
     date_missing = F.count_if(F.col(DATE_TEXT if DATE_TEXT in typed else DATE).isNull())
+    def missing(c):
+        return F.count_if(F.col(c).isNull()) if c in typed else F.lit(0).cast("bigint")
+
     inputs = raw.agg(
         F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(F.col("product_id").isNull()).alias("missing_product_id"),
-        F.count_if(F.col("category").isNull()).alias("missing_category"),
-        F.count_if(F.col(UNITS).isNull()).alias("missing_units_sold"),
+        missing("product_id").alias("missing_product_id"),
+        missing("category").alias("missing_category"),
+        missing(UNITS).alias("missing_units_sold"),
         date_missing.alias("missing_date"),
         date_bad.alias("bad_dates"),
         bad_number(UNITS).alias("units_sold_converted"),
@@ -271,11 +274,14 @@ def quality_report(raw: DataFrame) -> DataFrame:
 
     kept = impute(fix_category(typed_rows))
     groups = kept.groupBy(*kept.columns).agg(F.count(F.lit(1)).alias("_n"))
+    def negatives(c):
+        return F.count_if(F.col(c) < 0) if c in kept.columns else F.lit(0).cast("bigint")
+
     dup = groups.agg(
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates_removed"),
         F.count(F.lit(1)).alias("clean_rows"),
-        F.count_if(F.col(UNITS) < 0).alias("negative_units_fixed"),
-        F.count_if(F.col(PRICE) < 0).alias("negative_price_fixed"),
+        negatives(UNITS).alias("negative_units_fixed"),
+        negatives(PRICE).alias("negative_price_fixed"),
     ).select(F.expr(
         "stack(4, 'duplicates_removed', duplicates_removed, 'clean_rows', clean_rows, "
         "'negative_units_fixed', negative_units_fixed, 'negative_price_fixed', negative_price_fixed) "

@@ -1,3 +1,109 @@
-"""MLlib-backed queries (rows-only checks: no SQL equivalent)."""
+"""MLlib-backed queries: rows-only checks (no SQL equivalent exists).
 
-ML_QUERIES: dict = {}
+All read the same engineered features as the SQL queries (whole tables), split
+chronologically; preparation is fitted on the training rows only.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from shelfwise.config import CostConfig, TrainingConfig
+from shelfwise.operators import features as FE
+from shelfwise.operators import metrics as M
+from shelfwise.operators import models as ML
+from shelfwise.operators import splits as S
+from shelfwise.plans import pipeline as P
+from shelfwise.plans.queries import KEYS, _CACHE, features_split, finish, train_test
+from shelfwise.schema import QUANTITY, REVENUE
+
+
+def frames(spark, sf, target=QUANTITY):
+    frame, cols = FE.feature_frame(features_split(spark, sf), target)
+    train, test = S.train_test(frame)
+    return train, test, cols
+
+
+def trained(spark, sf, names, target=QUANTITY):
+    key = ("trained", sf, spark.sparkContext.applicationId, tuple(names), target)
+    if key not in _CACHE:
+        tr, te, cols = frames(spark, sf, target)
+        _CACHE[key] = (ML.train_models(tr, cols, names, TrainingConfig()), te, cols)
+    return _CACHE[key]
+
+
+def _forecast(name):
+    def q(spark, sf):
+        t, te, _ = trained(spark, sf, (name,))
+        return finish(ML.predict(t, name, te).select(*KEYS, "label", "prediction"))
+    q.__name__ = f"q_{name}_forecast"
+    return q
+
+
+def q_feature_importance(spark, sf):
+    t, _, cols = trained(spark, sf, ("random_forest",))
+    return finish(ML.feature_importance(t, "random_forest", cols, top=10))
+
+
+def q_time_series_cv(spark, sf):
+    frame, cols = FE.feature_frame(features_split(spark, sf).drop("is_train"), QUANTITY)
+    return finish(ML.validate(frame, cols, ("linear_regression",), "cv", TrainingConfig().n_splits))
+
+
+def q_walk_forward(spark, sf):
+    frame, cols = FE.feature_frame(features_split(spark, sf).drop("is_train"), QUANTITY)
+    return finish(ML.validate(frame, cols, ("linear_regression",), "walk_forward",
+                              TrainingConfig().n_splits, 0.2))
+
+
+def q_cv_summary(spark, sf):
+    frame, cols = FE.feature_frame(features_split(spark, sf).drop("is_train"), QUANTITY)
+    return finish(M.cv_summary(ML.validate(frame, cols, ("linear_regression",), "cv")))
+
+
+def q_leaderboard(spark, sf):
+    """O4 over baselines and every MLlib model, best marked."""
+    names = ("linear_regression", "random_forest", "gradient_boosting")
+    t, te, _ = trained(spark, sf, names)
+    tr_b, te_b = train_test(spark, sf)
+    parts = [P.score_all_baselines(tr_b, te_b).select("model", "model_order", "label", "prediction")]
+    for i, n in enumerate(names):
+        parts.append(ML.predict(t, n, te).select(F.lit(n).alias("model"), F.lit(3 + i).alias("model_order"),
+                                                 "label", "prediction"))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return finish(M.leaderboard(M.compare_models(long, CostConfig())), 2)
+
+
+def q_revenue_forecast(spark, sf):
+    """M8: revenue model (quantity excluded from the inputs, see README)."""
+    t, te, _ = trained(spark, sf, ("linear_regression_revenue",), REVENUE)
+    scored = ML.predict(t, "linear_regression_revenue", te)
+    return finish(M.revenue_metrics(scored), 2)
+
+
+def q_interpretation(spark, sf):
+    """Model facts — sample/feature counts, strongly correlated pairs,
+    forest parameter estimate (trees x 2^depth)."""
+    tr, _, cols = frames(spark, sf)
+    prof = M.data_profile(tr, cols)
+    pairs = M.correlated_pairs(tr, cols, 0.7).agg(F.count(F.lit(1)).alias("n_correlated_pairs"))
+    est = 100 * 2 ** 10
+    out = prof.withColumn("_k", F.lit(1)).join(pairs.withColumn("_k", F.lit(1)), "_k").drop("_k") \
+        .withColumn("forest_parameter_estimate", F.lit(est))
+    return finish(out)
+
+
+ML_QUERIES = {
+    "ridge_forecast": _forecast("linear_regression"),
+    "forest_forecast": _forecast("random_forest"),
+    "boosting_forecast": _forecast("gradient_boosting"),
+    "feature_importance": q_feature_importance,
+    "time_series_cv": q_time_series_cv,
+    "walk_forward": q_walk_forward,
+    "cv_summary": q_cv_summary,
+    "leaderboard": q_leaderboard,
+    "revenue_forecast": q_revenue_forecast,
+    "interpretation": q_interpretation,
+}

@@ -67,7 +67,7 @@ _CACHE: dict = {}
 def split_panel(spark, sf):
     """Panel labelled with ``is_train`` (the panel is persisted: the split makes
     bounded driver round trips over it)."""
-    key = ("split", sf, id(spark))
+    key = ("split", sf, spark.sparkContext.applicationId)
     if key not in _CACHE:
         _CACHE[key] = S.chrono_split(P.reuse(panel(spark, sf)), CFG.preprocessing.test_size)
     return _CACHE[key]
@@ -86,7 +86,7 @@ def scored(spark, sf, name="baseline_seasonal_naive", target=QUANTITY):
 
 def features_split(spark, sf):
     """Engineered features (no one-hot) with the chronological split."""
-    key = ("feat", sf, id(spark))
+    key = ("feat", sf, spark.sparkContext.applicationId)
     if key not in _CACHE:
         feats = FE.build_features(panel(spark, sf), one_hot_form="none")
         _CACHE[key] = S.chrono_split(P.reuse(feats), CFG.preprocessing.test_size)
