@@ -44,12 +44,13 @@ def prep_pipeline(numeric_cols: list[str], cat_cols=CATEGORICAL) -> Pipeline:
 def ridge(train: DataFrame, alpha: float = 1.0, use_ridge: bool = True) -> LinearRegression:
     """M2: L2 least squares with an unpenalised intercept.
 
-    MLlib scales the label by its standard deviation internally, so
-    regParam = alpha * std(y) / n reproduces ``||y - Xw||^2 + alpha ||w||^2``.
+    MLlib's normal-equation solver scales the label by its population standard
+    deviation, so regParam = alpha * std_pop(y) / n reproduces
+    ``||y - Xw||^2 + alpha ||w||^2``.
     """
     if not use_ridge:
         return LinearRegression(featuresCol=FEATURES, labelCol="label", regParam=0.0, solver="normal")
-    st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("label").alias("sd")).first()
+    st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("sd")).first()
     n, sd = int(st["n"]), float(st["sd"] or 0.0)
     reg = alpha * sd / n if n and sd > 0 else 0.0
     # The normal-equation solver is exact for pure L2 and makes one aggregation

@@ -22,13 +22,21 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators.quality import guard_test_size
 from shelfwise.schema import DATE, SERIES
 
 
 def order_keys(df: DataFrame) -> list[str]:
-    return [c for c in SERIES if c in df.columns]
+    """Within-date order: the series keys; a frame without them is ordered by
+    its remaining atomic columns (identical rows are interchangeable)."""
+    keys = [c for c in SERIES if c in df.columns]
+    if keys:
+        return keys
+    atomic = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.BooleanType)
+    return sorted(f.name for f in df.schema.fields
+                  if f.name != DATE and isinstance(f.dataType, atomic))
 
 
 def date_counts(df: DataFrame) -> DataFrame:
