@@ -7,6 +7,8 @@ per dimension.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -198,20 +200,25 @@ def scaler_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:
-    """|corr| > threshold over feature pairs (i < j), one aggregate pass.
+    """|Pearson corr| > threshold over feature pairs (i < j).
 
-    corr = covar_pop / (std_pop x std_pop) with ``try_divide``: a constant
-    column yields NULL instead of a divide-by-zero error under ANSI mode.
+    One distributed pass builds the d x d correlation matrix (MLlib
+    ``Correlation``: a tree-aggregated Gram matrix, d = number of features);
+    only that bounded matrix reaches the driver. Constant columns give NaN,
+    reported as NULL and never above the threshold.
     """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    aggs = [F.abs(F.try_divide(F.covar_pop(cols[i], cols[j]),
-                               F.stddev_pop(cols[i]) * F.stddev_pop(cols[j]))).alias(f"c{i}_{j}")
-            for i, j in pairs]
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("feature_a"),
-                              F.lit(cols[j]).alias("feature_b"), F.col(f"c{i}_{j}").alias("abs_corr"))
-                     for i, j in pairs])
-    return one.select(F.inline(rows)).where(F.col("abs_corr") > threshold)
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="keep").transform(df).select("_v")
+    mat = Correlation.corr(vec, "_v").first()[0].toArray()
+    rows = []
+    for i in range(len(cols)):
+        for j in range(i + 1, len(cols)):
+            v = float(abs(mat[i][j]))
+            rows.append((i, j, cols[i], cols[j], None if math.isnan(v) else v))
+    out = df.sparkSession.createDataFrame(
+        rows, "i int, j int, feature_a string, feature_b string, abs_corr double")
+    return out.where(F.col("abs_corr") > threshold)
 
 
 def top_correlated(pairs: DataFrame, k: int = 5) -> DataFrame:

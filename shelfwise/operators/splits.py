@@ -53,31 +53,38 @@ def total_rows(dc: DataFrame) -> int:
     return int(dc.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
 
 
-def locate(df: DataFrame, dc: DataFrame, positions: list[int]) -> list[tuple]:
-    """For each 0-based position, (date, key tuple) of the row there (None past the end)."""
-    keys = order_keys(df)
+def _covering(positions: list[int]) -> Column:
+    """Date-table rows whose position range [before, before + n) holds any position."""
+    return any_of([(F.col("before") <= F.lit(p)) & (F.lit(p) < F.col("before") + F.col("n"))
+                   for p in positions])
+
+
+def locate(df: DataFrame, dc: DataFrame, positions: list[int]) -> list[tuple | None]:
+    """For each 0-based position, (date, key tuple) of the row there (None past the end).
+
+    One job over the (small) date table returns only the covering dates; one
+    job ranks the rows of those dates and returns only the wanted ranks.
+    """
     pos = sorted(set(p for p in positions if p >= 0))
-    if not pos:
-        return []
-    want = dc.sparkSession.createDataFrame([(p,) for p in pos], "pos long")
-    hits = (want.join(F.broadcast(dc), (F.col("pos") >= F.col("before"))
-                      & (F.col("pos") < F.col("before") + F.col("n")))
-            .select("pos", DATE, (F.col("pos") - F.col("before") + 1).alias("rank"))
-            .collect())
-    found = {r["pos"]: (r[DATE], r["rank"]) for r in hits}
+    found: dict[int, tuple] = {}
+    if pos:
+        for row in dc.where(_covering(pos)).collect():
+            for p in pos:
+                if row["before"] <= p < row["before"] + row["n"]:
+                    found[p] = (row[DATE], p - row["before"] + 1)
     result: dict[int, tuple | None] = {p: None for p in pos}
     if found:
-        dates = sorted({d for d, _ in found.values()})
+        keys = order_keys(df)
         w = Window.partitionBy(DATE).orderBy(*keys)
-        ranked = (df.where(F.col(DATE).isin(dates))
-                  .select(DATE, *keys, F.row_number().over(w).alias("rank")))
-        targets = df.sparkSession.createDataFrame(
-            [(d, r) for d, r in set(found.values())], f"{DATE} date, rank int")
-        rows = ranked.join(F.broadcast(targets), [DATE, "rank"]).collect()
-        by = {(r[DATE], r["rank"]): tuple(r[k] for k in keys) for r in rows}
+        dates = sorted({d for d, _ in found.values()})
+        want = any_of([(F.col(DATE) == F.lit(d)) & (F.col("_rank") == F.lit(r)) for d, r in set(found.values())])
+        rows = (df.where(F.col(DATE).isin(dates))
+                .select(DATE, *keys, F.row_number().over(w).alias("_rank"))
+                .where(want).collect())
+        by = {(r[DATE], r["_rank"]): tuple(r[k] for k in keys) for r in rows}
         for p, (d, r) in found.items():
             result[p] = (d, by[(d, r)])
-    return [result[p] for p in positions]
+    return [result.get(p) for p in positions]
 
 
 def at_or_after(df: DataFrame, boundary: tuple | None) -> Column:
@@ -111,15 +118,7 @@ def chrono_split(df: DataFrame, test_size: float = 0.2, boundary: str = "rows")
     (date, keys) order are train. ``boundary="date"`` (strict) moves the whole
     boundary date to test so no day is split."""
     guard_test_size(test_size)
-    dc = date_counts(df).cache()
-    n = total_rows(dc)
-    cut = split_position(n, test_size)
-    if cut <= 0 or cut >= n:
-        dc.unpersist()
-        raise ValueError("Train/test split produced an empty dataset. "
-                         "Check test_size and filtering thresholds.")
-    [b] = locate(df, dc, [cut])
-    dc.unpersist()
+    b = boundary_row(df, test_size)
     if boundary == "date":
         test = F.col(DATE) >= F.lit(b[0])
     else:
@@ -127,6 +126,30 @@ def chrono_split(df: DataFrame, test_size: float = 0.2, boundary: str = "rows")
     return df.withColumn("is_train", ~test)
 
 
+def boundary_row(df: DataFrame, test_size: float) -> tuple:
+    """(date, keys) of the first test row, found with one job on the date table
+    (cut = floor(n * (1 - test_size)) evaluated in Spark, same double
+    arithmetic as ``int``) plus one ranking job inside that date."""
+    dc = date_counts(df)
+    total = F.sum("n").over(Window.partitionBy())
+    cut = F.floor(total.cast("double") * F.lit(1 - test_size)).cast("long")
+    rows = (dc.withColumns({"_cut": cut, "_total": total})
+            .where(((F.col("before") <= F.col("_cut")) & (F.col("_cut") < F.col("before") + F.col("n")))
+                   | (F.col("_cut") <= 0))
+            .limit(1).collect())
+    if not rows or rows[0]["_cut"] <= 0:
+        raise ValueError("Train/test split produced an empty dataset. "
+                         "Check test_size and filtering thresholds.")
+    r = rows[0]
+    k = r["_cut"] - r["before"] + 1
+    keys = order_keys(df)
+    w = Window.partitionBy(DATE).orderBy(*keys)
+    hit = (df.where(F.col(DATE) == F.lit(r[DATE]))
+           .select(*keys, F.row_number().over(w).alias("_rank"))
+           .where(F.col("_rank") == F.lit(k)).collect())
+    return (r[DATE], tuple(hit[0][c] for c in keys))
+
+
 def train_test(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (labelled.where(F.col("is_train")).drop("is_train"),
             labelled.where(~F.col("is_train")).drop("is_train"))
@@ -176,17 +199,18 @@ def fold_table(df: DataFrame, kind: str = "cv", n_splits: int = 5,
     dc = date_counts(df).cache()
     n = total_rows(dc)
     ranges = cv_ranges(n, n_splits) if kind == "cv" else walk_forward_ranges(n, n_splits, test_size)
-    spark = df.sparkSession
-    rng = spark.createDataFrame(
-        [(r["fold"], r["train_start"], r["train_end"], r["val_start"], r["val_end"]) for r in ranges],
-        "fold int, train_start long, train_end long, val_start long, val_end long")
-    first = (rng.join(F.broadcast(dc), (F.col("val_start") >= F.col("before"))
-                      & (F.col("val_start") < F.col("before") + F.col("n")))
-             .select("fold", F.col(DATE).alias("val_first_date")))
-    last = (rng.join(F.broadcast(dc), (F.col("val_end") - 1 >= F.col("before"))
-                     & (F.col("val_end") - 1 < F.col("before") + F.col("n")))
-            .select("fold", F.col(DATE).alias("val_last_date")))
-    return rng.join(first, "fold").join(last, "fold")
+    points = sorted({r["val_start"] for r in ranges} | {r["val_end"] - 1 for r in ranges})
+    dates = {}
+    for row in dc.where(_covering(points)).collect():
+        for p in points:
+            if row["before"] <= p < row["before"] + row["n"]:
+                dates[p] = row[DATE]
+    dc.unpersist()
+    rows = [(r["fold"], r["train_start"], r["train_end"], r["val_start"], r["val_end"],
+             dates[r["val_start"]], dates[r["val_end"] - 1]) for r in ranges]
+    return df.sparkSession.createDataFrame(
+        rows, "fold int, train_start long, train_end long, val_start long, val_end long, "
+              "val_first_date date, val_last_date date")
 
 
 def assign_folds(df: DataFrame, kind: str = "cv", n_splits: int = 5,

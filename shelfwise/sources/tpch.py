@@ -31,25 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fact_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
-    """Scan a fact table with enough parallelism.
-
-    A large input arrives as many file splits and is used as is. A file with a
-    single row group is one split, which would leave the scan, joins and
-    partial aggregates on one core: only then is it spread round-robin over
-    the default parallelism (sorted first, so a retried task sees the same rows).
-    """
-    df = table(spark, sf_dir, name).select(*columns)
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
-
-
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = fact_table(spark, sf_dir, "lineitem", [
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate"])
+        "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -142,7 +127,7 @@ def stock_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense second binding: one sale per event, product = event type."""
-    ev = fact_table(spark, sf_dir, "events", ["ts", "event_type", "value"])
+    ev = table(spark, sf_dir, "events").select("ts", "event_type", "value")
     d = F.to_date("ts")
     return ev.select(
         d.alias("date"),
