@@ -86,8 +86,7 @@ def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_fi
                               include_current=include_current)
     stock = ST.resolve_stock(panel, raw, stock_file, days_of_coverage=pp.days_of_coverage,
                              method=pp.coverage_method)
-    feats = ST.with_stock(feats.withColumn(PRODUCT_KEY, ST.with_product_key(feats)[PRODUCT_KEY]),
-                          stock)
+    feats = ST.with_stock(ST.with_product_key(feats), stock)
     feats = reuse(feats, checkpoint)
     labelled = S.chrono_split(feats, pp.test_size)
     return labelled, stock
@@ -96,3 +95,93 @@ def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_fi
 def baseline_report(labelled: DataFrame, cfg: ProjectConfig = ProjectConfig()) -> DataFrame:
     train, test = S.train_test(labelled)
     return M.compare_models(score_all_baselines(train, test), cfg.costs)
+
+
+# ---------------------------------------------------------------- L3 / L4
+
+SCORED_COLS = ["date", "store_id", "product_id", "category", "region", "weather_condition",
+               "seasonality", "label", "prediction"]
+
+
+def evaluate(trained, name: str, test: DataFrame, stock: DataFrame | None,
+             cfg: ProjectConfig = ProjectConfig()) -> dict[str, DataFrame]:
+    """L3: predict once -> NaN guard -> clip -> metrics and recommendations."""
+    from shelfwise.operators import models as ML
+    from shelfwise.operators.quality import guard_no_nan
+    scored = ML.predict(trained, name, test)
+    guard_no_nan(scored)
+    scored = M.clip_predictions(scored)
+    return {"scored": scored, "metrics": M.accuracy(scored),
+            "recommendations": R.recommend_orders(scored, stock, cfg.recommendation, validate=False)}
+
+
+def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: DataFrame | None = None,
+        models=("linear_regression", "random_forest", "gradient_boosting"), cv_models=(),
+        out_dir: str | None = None, checkpoint: bool = False) -> dict[str, DataFrame]:
+    """L4: demand then revenue, end to end.
+
+    preprocess -> train baselines + MLlib models -> compare (MAE, RMSE, cost)
+    -> best model by RMSE (baselines included) -> recommendations, final
+    report, summaries and breakdowns; then the revenue models and reports.
+    Every prediction set is scored once and persisted; the reports are
+    aggregates over it. With ``out_dir`` each report is written as CSV.
+    """
+    from shelfwise.operators import models as ML
+    labelled, stock = preprocess(raw, cfg, stock_file=stock_file, checkpoint=checkpoint)
+    frame, cols = FE.feature_frame(labelled, QUANTITY)
+    train, test = S.train_test(frame)
+    parts = [score_all_baselines(train, test).select("model", "model_order", *SCORED_COLS)]
+    trained = ML.train_models(train, cols, models, cfg.training) if models else None
+    for i, name in enumerate(models):
+        parts.append(ML.predict(trained, name, test).select(
+            F.lit(name).alias("model"), F.lit(10 + i).alias("model_order"), *SCORED_COLS))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    long = reuse(M.clip_predictions(long), checkpoint)
+    cmp = reuse(M.compare_models(long, cfg.costs))
+    best_name = M.best_model(cmp).first()["model"]
+    best = long.where(F.col("model") == best_name)
+    rec = reuse(R.recommend_orders(best, stock, cfg.recommendation))
+    out = {
+        "model_comparison": cmp,
+        "recommendations": R.sort_recommendations(rec),
+        "final_report": R.final_report(R.sort_recommendations(rec)),
+        "urgency_summary": R.urgency_summary(rec),
+        "executive_summary": R.executive_summary(rec, M.best_model(cmp), cmp),
+        "per_product": M.performance_tier(M.per_product(best)),
+        "temporal_errors": M.temporal_errors(best),
+        "dimension_impact": M.dimension_impact(best),
+        "leaderboard": M.leaderboard(cmp),
+    }
+    if cv_models:
+        folds = ML.validate(frame.drop("is_train"), cols, cv_models, "cv", cfg.training.n_splits)
+        out["cv_folds"] = folds
+        out["cv_summary"] = M.cv_summary(folds)
+    if cfg.forecast_revenue:
+        rframe, rcols = FE.feature_frame(labelled, "revenue")
+        rtrain, rtest = S.train_test(rframe)
+        rnames = tuple(f"{m}_revenue" for m in models)
+        rparts = []
+        if rnames:
+            rtrained = ML.train_models(rtrain, rcols, rnames, cfg.training)
+            for name in rnames:
+                rparts.append(ML.predict(rtrained, name, rtest).select(
+                    F.lit(name).alias("model"), *SCORED_COLS))
+        else:
+            rparts.append(score_baseline(rtrain, rtest, "baseline_seasonal_naive", "revenue").select(
+                F.lit("baseline_seasonal_naive").alias("model"), *SCORED_COLS))
+        rlong = rparts[0]
+        for p in rparts[1:]:
+            rlong = rlong.unionByName(p)
+        rlong = reuse(M.clip_predictions(rlong), checkpoint)
+        rcmp = M.compare_models(rlong, None)
+        rbest = M.best_model(rcmp).first()["model"]
+        rsel = rlong.where(F.col("model") == rbest)
+        out.update({"revenue_comparison": rcmp, "revenue_metrics": M.revenue_metrics(rsel),
+                    "revenue_report": M.revenue_report(rsel), "revenue_impact": M.dimension_impact(rsel)})
+    if out_dir:
+        from shelfwise.sources.sinks import write_report
+        for name, df in out.items():
+            write_report(df, f"{out_dir}/{name}")
+    return out
