@@ -6,6 +6,7 @@ chronologically; preparation is fitted on the training rows only.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from shelfwise.config import CostConfig, TrainingConfig
@@ -25,11 +26,19 @@ def frames(spark, sf, target=QUANTITY):
 
 
 def trained(spark, sf, names, target=QUANTITY):
-    key = ("trained", sf, spark.sparkContext.applicationId, tuple(names), target)
+    """Preparation fitted once per target (train rows only); each estimator is
+    fitted once on the cached prepared frame and reused by later queries."""
+    key = ("prepared", sf, spark.sparkContext.applicationId, target)
     if key not in _CACHE:
         tr, te, cols = frames(spark, sf, target)
-        _CACHE[key] = (ML.train_models(tr, cols, names, TrainingConfig()), te, cols)
-    return _CACHE[key]
+        prep = ML.fit_prep(tr, cols)
+        prepared = prep.transform(tr).select(ML.FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)
+        _CACHE[key] = (ML.Trained(prep, {}), prepared, te, cols)
+    t, prepared, te, cols = _CACHE[key]
+    for name in names:
+        if name not in t.models:
+            t.models[name] = ML.make_estimator(name, prepared, TrainingConfig()).fit(prepared)
+    return t, te, cols
 
 
 def _forecast(name):
