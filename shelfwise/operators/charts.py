@@ -56,10 +56,10 @@ def residual_qq(scored: DataFrame, points: int = 99, exact: bool = True,
                                             theo.alias("theoretical_quantile"))))
 
 
-def residual_bins(scored: DataFrame, bins: int = 50) -> DataFrame:
-    """Residual vs predicted scatter reduced to bins of the prediction."""
+def residual_bins(scored: DataFrame, width: float = 50.0) -> DataFrame:
+    """Residual vs predicted scatter reduced to fixed-width prediction bins."""
     pred = clip_prediction(F.col("prediction"))
-    width = F.lit(float(bins))
+    width = F.lit(float(width))
     return (scored.withColumn("_p", pred)
             .groupBy(F.floor(F.col("_p") / width).alias("bin"))
             .agg(F.avg("_p").alias("mean_predicted"), F.avg(F.col("label") - F.col("_p")).alias("mean_residual"),

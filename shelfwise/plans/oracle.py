@@ -233,7 +233,7 @@ def feature_split_ctes() -> list[str]:
 
 
 STOCK_FILE = """sfile AS (SELECT p_brand || '_' || p_type AS product_key,
-  greatest(coalesce(CAST((sum(p_size) % 600) - 60 AS DOUBLE), 0.0), 0.0) AS current_stock
+  greatest(coalesce(CAST((sum(p_size) % 20) * 25 - 25 AS DOUBLE), 0.0), 0.0) AS current_stock
   FROM part GROUP BY p_brand, p_type)"""
 
 REC = [STOCK_FILE,
@@ -527,6 +527,18 @@ evp AS (SELECT {K}, CAST(count(*) AS DOUBLE) AS quantity FROM evraw WHERE date I
   {r(f'lag(quantity, 7) OVER ({w})')} AS lag_7,
   {r(f'CASE WHEN count(quantity) OVER ({w} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) = 7 THEN avg(quantity) OVER ({w} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) END')} AS ma_7
   FROM evp""")
+    o["stock_per_product"] = q(PANEL + [STOCK_FILE], f"""SELECT p.product_id || '_' || p.category AS product_key,
+  {r('min(coalesce(s.current_stock, 0.0))')} AS current_stock FROM panel p
+  LEFT JOIN sfile s ON p.product_id || '_' || p.category = s.product_key GROUP BY 1""")
+    o["prediction_range"] = q(scored_ctes(), f"""SELECT {r(f'least(min(label), min({p}))')} AS min_value,
+  {r(f'greatest(max(label), max({p}))')} AS max_value FROM scored""")
+    o["residual_bins"] = q(scored_ctes(), f"""SELECT CAST(floor({p} / 50.0) AS BIGINT) AS bin, {r(f'avg({p})')} AS mean_predicted,
+  {r(f'avg(label - {p})')} AS mean_residual, count(*) AS n FROM scored GROUP BY 1""")
+    o["top_correlated"] = q(feature_split_ctes() + ["cc AS (" + " UNION ALL ".join(corr_rows) + ")"],
+                            f"SELECT i, j, feature_a, feature_b, {r('c')} AS abs_corr FROM cc WHERE c > 0.7 "
+                            f"ORDER BY i, j LIMIT 5")
+    o["error_columns"] = q(scored_ctes(), f"""SELECT {K}, {r(f'label - {p}')} AS error, {r(f'abs(label - {p})')} AS abs_error,
+  {r(f'abs(label - {p}) / (label + 1e-10) * 100.0')} AS pct_error FROM scored""")
     return o
 
 

@@ -428,6 +428,28 @@ def q_order_chart(spark, sf):
     return finish(C.order_chart(recommendations(spark, sf)))
 
 
+def q_stock_per_product(spark, sf):
+    return finish(ST.stock_per_product(ST.with_stock(panel(spark, sf), stock_tbl(spark, sf))))
+
+
+def q_prediction_range(spark, sf):
+    return finish(C.prediction_range(scored(spark, sf)))
+
+
+def q_residual_bins(spark, sf):
+    return finish(C.residual_bins(scored(spark, sf)))
+
+
+def q_top_correlated(spark, sf):
+    tr, _ = S.train_test(features_split(spark, sf))
+    return finish(M.top_correlated(M.correlated_pairs(tr, SCALED_FEATURES, 0.7), 5))
+
+
+def q_error_columns(spark, sf):
+    s = M.with_errors(M.clip_predictions(scored(spark, sf)))
+    return finish(s.select(*KEYS, "error", "abs_error", "pct_error"))
+
+
 def q_events_lags(spark, sf):
     """Second (dense) binding: one series per event type, daily counts."""
     pnl = daily_panel(tpch.events_raw(spark, sf))
@@ -496,4 +518,9 @@ SQL_QUERIES = {
     "revenue_series": q_revenue_series,
     "order_chart": q_order_chart,
     "events_lags": q_events_lags,
+    "stock_per_product": q_stock_per_product,
+    "prediction_range": q_prediction_range,
+    "residual_bins": q_residual_bins,
+    "top_correlated": q_top_correlated,
+    "error_columns": q_error_columns,
 }

@@ -134,11 +134,12 @@ def retail_raw_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stock_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stock table in the (Product ID, Category, current_stock) layout, derived
-    from ``part``: ``sum(p_size) % 600 - 60`` per brand and type (negatives are
-    clamped by the stock reader)."""
+    from ``part``: ``(sum(p_size) % 20) * 25 - 25`` per brand and type, which
+    spreads days of cover over all four urgency levels (negatives are clamped
+    by the stock reader)."""
     part = table(spark, sf_dir, "part")
     return (part.groupBy(F.col("p_brand").alias("product_id"), F.col("p_type").alias("category"))
-            .agg(((F.sum("p_size") % 600) - 60).cast("double").alias("current_stock")))
+            .agg(((F.sum("p_size") % 20) * 25 - 25).cast("double").alias("current_stock")))
 
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
