@@ -62,31 +62,54 @@ def _covering(positions: list[int]) -> Column:
 def locate(df: DataFrame, dc: DataFrame, positions: list[int]) -> list[tuple | None]:
     """For each 0-based position, (date, key tuple) of the row there (None past the end).
 
-    One job over the (small) date table returns only the covering dates; one
-    job ranks the rows of those dates and returns only the wanted ranks.
+    One job over the (small) date table returns only the covering dates; the
+    row inside each such date is found by ``kth_in_date``.
     """
     pos = sorted(set(p for p in positions if p >= 0))
-    found: dict[int, tuple] = {}
+    result: dict[int, tuple | None] = {p: None for p in pos}
     if pos:
         for row in dc.where(_covering(pos)).collect():
             for p in pos:
                 if row["before"] <= p < row["before"] + row["n"]:
-                    found[p] = (row[DATE], p - row["before"] + 1)
-    result: dict[int, tuple | None] = {p: None for p in pos}
-    if found:
-        keys = order_keys(df)
-        w = Window.partitionBy(DATE).orderBy(*keys)
-        dates = sorted({d for d, _ in found.values()})
-        want = any_of([(F.col(DATE) == F.lit(d)) & (F.col("_rank") == F.lit(r)) for d, r in set(found.values())])
-        rows = (df.where(F.col(DATE).isin(dates))
-                .select(DATE, *keys, F.row_number().over(w).alias("_rank"))
-                .where(want).collect())
-        by = {(r[DATE], r["_rank"]): tuple(r[k] for k in keys) for r in rows}
-        for p, (d, r) in found.items():
-            result[p] = (d, by[(d, r)])
+                    k = p - row["before"] + 1
+                    result[p] = (row[DATE], kth_in_date(df, row[DATE], k, row["n"]))
     return [result.get(p) for p in positions]
 
 
+# Above this many rows in one date, the k-th row of the date is found by a
+# prefix descent (one partial count per key) instead of a single window
+# partition, so a hot date is never sorted inside one task.
+MAX_ROWS_ONE_TASK = 2_000_000
+
+
+def kth_in_date(df: DataFrame, d, k: int, n_in_date: int, max_rows: int | None = None) -> tuple:
+    """Key tuple of the k-th (1-based) row of date ``d`` in key order.
+
+    Small dates: one ranking window over that date. Large dates: for each key
+    in turn, count rows per value under the prefix fixed so far (a
+    partial aggregate: the table is as large as that key's cardinality, never
+    the rows), walk the running counts and fix the value holding rank k.
+    """
+    keys = order_keys(df)
+    day = df.where(F.col(DATE) == F.lit(d))
+    if n_in_date <= (MAX_ROWS_ONE_TASK if max_rows is None else max_rows):
+        w = Window.partitionBy(DATE).orderBy(*keys)
+        hit = (day.select(DATE, *keys, F.row_number().over(w).alias("_rank"))
+               .where(F.col("_rank") == F.lit(k)).collect())
+        return tuple(hit[0][c] for c in keys)
+    found, remaining, sub = [], k, day
+    for key in keys:
+        counts = sub.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+        row = (counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+               .where((F.col("before") < remaining) & (F.col("before") + F.col("n") >= remaining))
+               .first())
+        found.append(row[key])
+        remaining -= row["before"]
+        sub = sub.where(F.col(key) == F.lit(row[key]))
+    return tuple(found)
+
+
 def at_or_after(df: DataFrame, boundary: tuple | None) -> Column:
     """Predicate: (date, keys) >= boundary in the total order."""
     if boundary is None:
@@ -142,12 +165,7 @@ def boundary_row(df: DataFrame, test_size: float) -> tuple:
                          "Check test_size and filtering thresholds.")
     r = rows[0]
     k = r["_cut"] - r["before"] + 1
-    keys = order_keys(df)
-    w = Window.partitionBy(DATE).orderBy(*keys)
-    hit = (df.where(F.col(DATE) == F.lit(r[DATE]))
-           .select(*keys, F.row_number().over(w).alias("_rank"))
-           .where(F.col("_rank") == F.lit(k)).collect())
-    return (r[DATE], tuple(hit[0][c] for c in keys))
+    return (r[DATE], kth_in_date(df, r[DATE], k, r["n"]))
 
 
 def train_test(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -75,3 +75,25 @@ def test_fold_table_dates(spark):
     ft = S.fold_table(frame(spark, 100), "cv", 5).orderBy("fold").collect()
     assert ft[0]["val_first_date"] == dt.date(2020, 1, 21)
     assert ft[-1]["val_last_date"] == dt.date(2020, 4, 9)
+
+
+def test_hot_date_prefix_descent_matches_window(spark):
+    """A date holding most rows: the prefix descent finds the same row as the
+    single-partition window."""
+    rows = []
+    for s in range(6):
+        for p in range(5):
+            for c in ("A", "B"):
+                rows.append((dt.date(2020, 1, 2), f"S{s}", f"P{p}", c, "R", 1.0))
+    rows += [(dt.date(2020, 1, 1), "S0", "P0", "A", "R", 1.0), (dt.date(2020, 1, 3), "S0", "P0", "A", "R", 1.0)]
+    df = spark.createDataFrame(rows, "date date, store_id string, product_id string, category string, region string, quantity double")
+    for k in (1, 7, 33, 60):
+        a = S.kth_in_date(df, dt.date(2020, 1, 2), k, 60)
+        b = S.kth_in_date(df, dt.date(2020, 1, 2), k, 60, max_rows=10)
+        assert a == b
+    S.MAX_ROWS_ONE_TASK, old = 10, S.MAX_ROWS_ONE_TASK
+    try:
+        lab = S.chrono_split(df, 0.5).collect()
+    finally:
+        S.MAX_ROWS_ONE_TASK = old
+    assert sum(r["is_train"] for r in lab) == int(62 * 0.5)
