@@ -9,7 +9,7 @@ calendar span, whatever the raw skew.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,6 +213,3 @@ def feature_frame(df: DataFrame, target: str = QUANTITY, leaky: bool = False):
     label = clip(fill_zero(finite_or_null(F.col(target).cast("double"))), 0.0, CLIP_BOUND)
     return out.withColumn("label", label), feats
 
-
-def as_column(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

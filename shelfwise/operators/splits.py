@@ -168,6 +168,12 @@ def boundary_row(df: DataFrame, test_size: float) -> tuple:
     return (r[DATE], kth_in_date(df, r[DATE], k, r["n"]))
 
 
+def chronological(df: DataFrame) -> DataFrame:
+    """O1: total chronological order for sinks (range-partitioned sort; the
+    sampled bounds split a hot date because the keys make rows distinct)."""
+    return df.orderBy(DATE, *order_keys(df))
+
+
 def train_test(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (labelled.where(F.col("is_train")).drop("is_train"),
             labelled.where(~F.col("is_train")).drop("is_train"))

@@ -20,7 +20,7 @@ from shelfwise.operators import splits as S
 from shelfwise.operators import stock as ST
 from shelfwise.operators.panel import daily_panel, filter_history
 from shelfwise.operators.quality import clean_sales, guard_not_empty
-from shelfwise.schema import PRODUCT_KEY, QUANTITY
+from shelfwise.schema import QUANTITY
 from shelfwise.session import cut_lineage
 
 

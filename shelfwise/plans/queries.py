@@ -7,7 +7,7 @@ DataFrame whose doubles pass through ``stable_round`` so the DuckDB oracle
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from shelfwise.operators import splits as S
 from shelfwise.operators import stock as ST
 from shelfwise.operators.panel import daily_panel, filter_history
 from shelfwise.plans import pipeline as P
-from shelfwise.schema import CALENDAR, DATE, DIMS, NUMERIC_FEATURES, PRODUCT_KEY, QUANTITY, REVENUE
+from shelfwise.schema import CALENDAR, DATE, DIMS, NUMERIC_FEATURES, QUANTITY, REVENUE
 from shelfwise.sources import tpch
 from shelfwise.sources.files import stock_from_frame
 
@@ -205,9 +205,8 @@ def q_clean_clip(spark, sf):
     return finish(feats)
 
 
-def _history(spark, sf, **kw):
-    pnl = panel(spark, sf).select(*KEYS, QUANTITY)
-    return pnl
+def _history(spark, sf):
+    return panel(spark, sf).select(*KEYS, QUANTITY)
 
 
 def q_lag_rows(spark, sf):

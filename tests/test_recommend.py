@@ -50,3 +50,22 @@ def test_format_report_text(spark):
     r = R.format_report(rec).first()
     assert r["current_stock_text"] == "1,234 units" and r["days_text"] == "Sufficient"
     assert r["demand_money_text"] == "$1,234.50"
+
+
+def test_order_and_urgency_match_plain_formulas(spark):
+    """Randomised invariant: the column expressions equal a plain restatement."""
+    import random
+    rng = random.Random(3)
+    rows = [(rng.choice([0.0, rng.uniform(0, 500)]), rng.choice([0.0, -1.0, rng.uniform(0.01, 60)]))
+            for _ in range(300)]
+    df = spark.createDataFrame(rows, "current_stock double, predicted_demand double")
+    out = R.with_urgency(R.order_quantity(df)).collect()
+    for r in out:
+        s, d = r["current_stock"], r["predicted_demand"]
+        days = s / d if d > 0 else 999.0
+        lvl = ("POOR" if d <= 0 else "URGENT" if days <= 3 else "NORMAL" if days <= 7
+               else "LOW" if days <= 14 else "POOR")
+        assert r["reorder_urgency"] == lvl
+        assert r["days_until_stockout"] == pytest.approx(days)
+        assert r["recommended_order"] == pytest.approx(max(0.0, d * 14.0 - s))
+        assert r["recommended_order"] >= 0
