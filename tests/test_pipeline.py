@@ -38,3 +38,12 @@ def test_run_end_to_end(spark):
     assert summ["n_products"] == len(rec)
     assert out["cv_summary"].count() == 1
     assert out["revenue_metrics"].first()["total_revenue_true"] > 0
+
+
+def test_checkpoint_reuse_point(spark):
+    from shelfwise.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark)
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    cut = P.reuse(df, checkpoint=True)
+    assert cut.agg(F.sum("x")).first()[0] == 9900
+    assert "LogicalRDD" in cut._jdf.queryExecution().logical().toString()
