@@ -127,13 +127,15 @@ def inconsistent_products(df: DataFrame) -> DataFrame:
 def modal_category(df: DataFrame) -> DataFrame:
     """Most frequent category of each inconsistent product; ties -> smallest.
 
-    ``mode`` is a partial aggregate (value -> count map per product), so a hot
-    product is combined map-side before the shuffle.
+    Rows are first counted per (product, category) — a fixed-width hash
+    aggregate, combined map-side, so a hot product collapses before the
+    shuffle — and the choice is made on that product x category table.
     """
-    return (df.where(F.col("product_id").isNotNull() & F.col("category").isNotNull())
-            .groupBy("product_id")
-            .agg(F.mode("category", True).alias("_modal"),
-                 F.count_distinct("category").alias("_n"))
+    pairs = (df.where(F.col("product_id").isNotNull() & F.col("category").isNotNull())
+             .groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("_c")))
+    best = F.min_by("category", F.struct((-F.col("_c")).alias("neg"), F.col("category").alias("cat")))
+    return (pairs.groupBy("product_id")
+            .agg(best.alias("_modal"), F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 1)
             .select("product_id", "_modal"))
 
