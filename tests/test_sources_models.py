@@ -118,3 +118,15 @@ def test_tuning_picks_best_setting(spark):
     df = spark.createDataFrame(rows, "date date, x1 double, x2 double, label double")
     best, res = ML.tune(df, ["x1", "x2"], "random_forest", n_iter=2, n_splits=2, parallel=2, cat_cols=())
     assert res.count() == 2 and set(best) == set(ML.FOREST_GRID)
+
+
+def test_evaluate_predicts_once_and_recommends(spark):
+    from shelfwise.plans.pipeline import evaluate
+    df, *_ = _signal(spark, 120)
+    tr, te = df.limit(100), df.subtract(df.limit(100))
+    trained = ML.train_models(tr, ["x1", "x2"], ("linear_regression",), cat_cols=())
+    out = evaluate(trained, "linear_regression", te, None)
+    assert out["metrics"].first()["rmse"] < 2.0
+    rec = out["recommendations"].first()
+    assert rec["product_line"] == "All Products" and rec["recommended_order"] >= 0
+    assert out["scored"].where(F.col("prediction") < 0).count() == 0
