@@ -83,3 +83,10 @@ def test_daily_panel_mode_and_sums(spark):
     r = daily_panel(df).first()
     assert r["quantity"] == 6.0 and r["price"] == 20.0
     assert r["weather_condition"] == "Rainy" and r["seasonality"] == "Summer"  # ties -> smallest
+
+
+def test_history_distinct_days_strict(spark):
+    rows = [(dt.date(2020, 1, 1 + i % 10), "P1", "A", f"S{i % 3}", 1) for i in range(30)]  # 30 rows, 10 days
+    df = spark.createDataFrame(rows, "date date, product_id string, category string, store_id string, quantity int")
+    assert filter_history(df, 25).count() == 30  # reference: rows
+    assert filter_history(df, 25, count="distinct_days").count() == 0  # strict: days

@@ -97,3 +97,13 @@ def test_hot_date_prefix_descent_matches_window(spark):
     finally:
         S.MAX_ROWS_ONE_TASK = old
     assert sum(r["is_train"] for r in lab) == int(62 * 0.5)
+
+
+def test_strict_date_boundary_keeps_days_whole(spark):
+    df = frame(spark, 30, per_day=3)
+    lab = S.chrono_split(df, 0.25, boundary="date").collect()  # row cut falls inside day 8
+    by_day = {}
+    for r in lab:
+        by_day.setdefault(r["date"], set()).add(r["is_train"])
+    assert all(len(v) == 1 for v in by_day.values())
+    assert sum(r["is_train"] for r in lab) == 21
