@@ -172,7 +172,12 @@ def clip_columns(df: DataFrame, lo: float = -CLIP_BOUND, hi: float = CLIP_BOUND,
 def build_features(panel: DataFrame, lags=(1, 7, 30), windows=(7, 30), *,
                    mode: str = "rows", include_current: bool = True,
                    one_hot_form: str = "wide", vocab=None) -> DataFrame:
-    """L1: calendar -> numerics -> revenue -> lags -> MAs -> one-hot -> fill -> clip."""
+    """L1: calendar -> numerics -> revenue -> lags -> MAs -> one-hot -> fill -> clip.
+
+    ``one_hot_form``: "wide" (reference layout, bounded vocabularies only),
+    "vector" (categoricals kept as text; the sparse encoding is fitted by the
+    model preparation on training rows), or "none".
+    """
     from shelfwise.operators.quality import require_key_features
     df = calendar_features(panel)
     df = numeric_features(df)
@@ -185,6 +190,10 @@ def build_features(panel: DataFrame, lags=(1, 7, 30), windows=(7, 30), *,
     df = clip_columns(df)
     if one_hot_form == "wide":
         require_key_features(df)
+    elif one_hot_form == "vector":
+        missing = [c for c in ("weather_condition", "seasonality", "region") if c not in df.columns]
+        if missing:
+            raise ValueError(f"key categorical features missing: {missing}")
     return df
 
 

@@ -74,16 +74,20 @@ def flagship(raw: DataFrame, stock: DataFrame | None = None,
 
 
 def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: DataFrame | None = None,
-               mode: str = "rows", include_current: bool = True, checkpoint: bool = False):
+               mode: str = "rows", include_current: bool = True, one_hot_form: str = "vector",
+               checkpoint: bool = False):
     """L2: clean -> panel -> history filter -> features -> stock -> split.
 
+    The default keeps categoricals as text for the sparse MLlib encoding
+    (vocabulary fitted on training rows); ``one_hot_form="wide"`` reproduces
+    the reference's wide columns for bounded vocabularies.
     Returns (labelled features with ``is_train``, stock table)."""
     pp = cfg.preprocessing
     panel = clean_panel(raw, pp.min_history_days)
     panel = reuse(panel, checkpoint)
     guard_not_empty(panel, "No data left after filtering for minimum history; the panel")
     feats = FE.build_features(panel, pp.lags, pp.moving_average_windows, mode=mode,
-                              include_current=include_current)
+                              include_current=include_current, one_hot_form=one_hot_form)
     stock = ST.resolve_stock(panel, raw, stock_file, days_of_coverage=pp.days_of_coverage,
                              method=pp.coverage_method)
     feats = ST.with_stock(ST.with_product_key(feats), stock)
@@ -117,7 +121,8 @@ def evaluate(trained, name: str, test: DataFrame, stock: DataFrame | None,
 
 def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: DataFrame | None = None,
         models=("linear_regression", "random_forest", "gradient_boosting"), cv_models=(),
-        out_dir: str | None = None, checkpoint: bool = False) -> dict[str, DataFrame]:
+        one_hot_form: str = "vector", out_dir: str | None = None,
+        checkpoint: bool = False) -> dict[str, DataFrame]:
     """L4: demand then revenue, end to end.
 
     preprocess -> train baselines + MLlib models -> compare (MAE, RMSE, cost)
@@ -127,11 +132,15 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
     aggregates over it. With ``out_dir`` each report is written as CSV.
     """
     from shelfwise.operators import models as ML
-    labelled, stock = preprocess(raw, cfg, stock_file=stock_file, checkpoint=checkpoint)
+    from shelfwise.schema import CATEGORICAL
+    labelled, stock = preprocess(raw, cfg, stock_file=stock_file, one_hot_form=one_hot_form,
+                                 checkpoint=checkpoint)
+    # wide columns are already numeric inputs; otherwise the models encode the text
+    cats = CATEGORICAL if one_hot_form == "vector" else ()
     frame, cols = FE.feature_frame(labelled, QUANTITY)
     train, test = S.train_test(frame)
     parts = [score_all_baselines(train, test).select("model", "model_order", *SCORED_COLS)]
-    trained = ML.train_models(train, cols, models, cfg.training) if models else None
+    trained = ML.train_models(train, cols, models, cfg.training, cat_cols=cats) if models else None
     for i, name in enumerate(models):
         parts.append(ML.predict(trained, name, test).select(
             F.lit(name).alias("model"), F.lit(10 + i).alias("model_order"), *SCORED_COLS))
@@ -155,7 +164,8 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         "leaderboard": M.leaderboard(cmp),
     }
     if cv_models:
-        folds = ML.validate(frame.drop("is_train"), cols, cv_models, "cv", cfg.training.n_splits)
+        folds = ML.validate(frame.drop("is_train"), cols, cv_models, "cv", cfg.training.n_splits,
+                            cat_cols=cats)
         out["cv_folds"] = folds
         out["cv_summary"] = M.cv_summary(folds)
     if cfg.forecast_revenue:
@@ -164,7 +174,7 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         rnames = tuple(f"{m}_revenue" for m in models)
         rparts = []
         if rnames:
-            rtrained = ML.train_models(rtrain, rcols, rnames, cfg.training)
+            rtrained = ML.train_models(rtrain, rcols, rnames, cfg.training, cat_cols=cats)
             for name in rnames:
                 rparts.append(ML.predict(rtrained, name, rtest).select(
                     F.lit(name).alias("model"), *SCORED_COLS))

@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 
 def test_preprocess_and_write(spark):
     cfg = ProjectConfig(preprocessing=PreprocessingConfig(min_history_days=5))
-    labelled, stock = P.preprocess(retail_raw(spark, SF_SMALL), cfg)
+    labelled, stock = P.preprocess(retail_raw(spark, SF_SMALL), cfg, one_hot_form="wide")
     n = labelled.count()
     tr = labelled.where("is_train").count()
     assert tr == int(n * 0.8)
@@ -27,6 +27,8 @@ def test_preprocess_and_write(spark):
 def test_run_end_to_end(spark):
     cfg = ProjectConfig(preprocessing=PreprocessingConfig(min_history_days=5))
     raw = retail_raw(spark, SF_SMALL)
+    default, _ = P.preprocess(raw, cfg)
+    assert not any(c.startswith("weather_condition_") for c in default.columns)
     out = P.run(raw, cfg, stock_file=stock_from_frame(stock_file(spark, SF_SMALL)),
                 models=("linear_regression",), cv_models=("linear_regression",),
                 out_dir=tempfile.mkdtemp(prefix="shelfwise-run-"))
