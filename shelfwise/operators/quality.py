@@ -116,25 +116,26 @@ def audit_leakage(panel: DataFrame, check_inventory: bool = True,
 # ---------------------------------------------------------------- V3 / V4
 
 
+def category_pairs(df: DataFrame) -> DataFrame:
+    """Rows per (product, category), NULLs excluded: a fixed-width hash
+    aggregate combined map-side (a hot product collapses before the shuffle).
+    Shared by V3 and V4, so one exchange serves both in a single plan."""
+    return (df.where(F.col("product_id").isNotNull() & F.col("category").isNotNull())
+            .groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("_c")))
+
+
 def inconsistent_products(df: DataFrame) -> DataFrame:
     """Products seen under more than one category (NULL products ignored)."""
-    return (df.where(F.col("product_id").isNotNull())
-            .groupBy("product_id")
-            .agg(F.count_distinct("category").alias("n_categories"))
+    return (category_pairs(df).groupBy("product_id")
+            .agg(F.count(F.lit(1)).alias("n_categories"))
             .where(F.col("n_categories") > 1))
 
 
 def modal_category(df: DataFrame) -> DataFrame:
-    """Most frequent category of each inconsistent product; ties -> smallest.
-
-    Rows are first counted per (product, category) — a fixed-width hash
-    aggregate, combined map-side, so a hot product collapses before the
-    shuffle — and the choice is made on that product x category table.
-    """
-    pairs = (df.where(F.col("product_id").isNotNull() & F.col("category").isNotNull())
-             .groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("_c")))
+    """Most frequent category of each inconsistent product; ties -> smallest,
+    chosen on the product x category table."""
     best = F.min_by("category", F.struct((-F.col("_c")).alias("neg"), F.col("category").alias("cat")))
-    return (pairs.groupBy("product_id")
+    return (category_pairs(df).groupBy("product_id")
             .agg(best.alias("_modal"), F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 1)
             .select("product_id", "_modal"))
