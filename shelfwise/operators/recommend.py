@@ -122,18 +122,22 @@ def urgency_summary(rec: DataFrame, urgency: str = "reorder_urgency",
 
 def executive_summary(rec: DataFrame, best: DataFrame, cmp: DataFrame) -> DataFrame:
     """One row: products, urgent products, total order, best model, its RMSE
-    and cost. Every input is a single-row aggregate; they are zipped on a
-    constant key (no cross join)."""
-    r = rec.agg(F.count(F.lit(1)).alias("n_products"),
-                F.count_if(F.col("reorder_urgency") == "URGENT").alias("urgent_products"),
-                F.coalesce(F.sum("recommended_order"), F.lit(0.0)).alias("total_order_quantity")) \
-        .withColumn("_k", F.lit(1))
-    b = best.select(F.col("model").alias("best_model"), F.col("rmse").alias("best_rmse")) \
-        .withColumn("_k", F.lit(1))
-    cost_col = "total_cost" if "total_cost" in cmp.columns else None
-    c = cmp.select(F.col("model").alias("best_model"),
-                   (F.col(cost_col) if cost_col else F.lit(None).cast("double")).alias("total_cost"))
-    return r.join(b, "_k").join(c, "best_model", "left").drop("_k")
+    and cost. The best model's three figures are scalars (one-row inputs)
+    attached as literals to the one-row recommendation aggregate."""
+    b = best.first()
+    cost = None
+    if "total_cost" in cmp.columns and b is not None:
+        row = cmp.where(F.col("model") == b["model"]).select("total_cost").first()
+        cost = None if row is None else row["total_cost"]
+    return rec.agg(
+        F.count(F.lit(1)).alias("n_products"),
+        F.count_if(F.col("reorder_urgency") == "URGENT").alias("urgent_products"),
+        F.coalesce(F.sum("recommended_order"), F.lit(0.0)).alias("total_order_quantity"),
+    ).withColumns({
+        "best_model": F.lit(None if b is None else b["model"]).cast("string"),
+        "best_rmse": F.lit(None if b is None else b["rmse"]).cast("double"),
+        "total_cost": F.lit(cost).cast("double"),
+    })
 
 
 def format_report(rec: DataFrame) -> DataFrame:

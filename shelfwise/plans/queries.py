@@ -152,15 +152,15 @@ def q_clamp_negative(spark, sf):
 
 
 def q_coerce_types(spark, sf):
-    d = dirty(spark, sf)
-    typed = Q.coerce_types(d)
+    """Text defects and coerced totals in one aggregate pass (coercion is a
+    projection of the same rows)."""
+    d = dirty(spark, sf).select(F.col("units_sold").alias("units_text"), F.col("price").alias("price_text"))
+    both = Q.coerce_types(d.withColumns({"units_sold": F.col("units_text"), "price": F.col("price_text")}))
     bad = lambda c: F.count_if(F.col(c).isNotNull() & F.expr(f"try_cast({c} as double)").isNull())
-    text = d.agg(F.count(F.lit(1)).alias("n_rows"), bad("units_sold").alias("units_bad_text"),
-                 bad("price").alias("price_bad_text"))
-    nums = typed.agg(F.sum("units_sold").alias("sum_units"), F.count("units_sold").alias("n_units"),
-                     F.sum("price").alias("sum_price"))
-    return finish(text.withColumn("_k", F.lit(1)).join(nums.withColumn("_k", F.lit(1)), "_k").drop("_k"),
-                  overrides={"sum_price": 2})
+    out = both.agg(F.count(F.lit(1)).alias("n_rows"), bad("units_text").alias("units_bad_text"),
+                   bad("price_text").alias("price_bad_text"), F.sum("units_sold").alias("sum_units"),
+                   F.count("units_sold").alias("n_units"), F.sum("price").alias("sum_price"))
+    return finish(out, overrides={"sum_price": 2})
 
 
 def q_quality_report(spark, sf):
