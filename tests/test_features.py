@@ -90,3 +90,21 @@ def test_history_distinct_days_strict(spark):
     df = spark.createDataFrame(rows, "date date, product_id string, category string, store_id string, quantity int")
     assert filter_history(df, 25).count() == 30  # reference: rows
     assert filter_history(df, 25, count="distinct_days").count() == 0  # strict: days
+
+
+def test_strict_and_calendar_variants_differ_only_as_documented(spark):
+    import random
+    rng = random.Random(11)
+    rows = []
+    for store in ("S1", "S2"):
+        for i in range(45):
+            rows.append((dt.date(2021, 3, 1) + dt.timedelta(days=i), store, "P", "C", "R", float(rng.randint(0, 20))))
+    df = spark.createDataFrame(rows, "date date, store_id string, product_id string, category string, region string, quantity double")
+    par = FE.moving_averages(df, (7,), True).withColumnRenamed("ma_7", "par")
+    strict = FE.moving_averages(par, (7,), False).withColumnRenamed("ma_7", "strict")
+    out = FE.lag_features(strict.withColumn("quantity_bak", strict["quantity"]).withColumn("quantity", strict["par"]), (1,))
+    for r in out.collect():
+        assert (r["strict"] is None and r["lag_1"] is None) or r["strict"] == pytest.approx(r["lag_1"])
+    rows_lag = FE.lag_features(df, (1, 7), "rows").collect()
+    cal_lag = {(r["date"], r["store_id"]): (r["lag_1"], r["lag_7"]) for r in FE.lag_features(df, (1, 7), "calendar").collect()}
+    assert all(cal_lag[(r["date"], r["store_id"])] == (r["lag_1"], r["lag_7"]) for r in rows_lag)  # no gaps -> equal
