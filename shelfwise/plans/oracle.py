@@ -539,6 +539,14 @@ evp AS (SELECT {K}, CAST(count(*) AS DOUBLE) AS quantity FROM evraw WHERE date I
                             f"ORDER BY i, j LIMIT 5")
     o["error_columns"] = q(scored_ctes(), f"""SELECT {K}, {r(f'label - {p}')} AS error, {r(f'abs(label - {p})')} AS abs_error,
   {r(f'abs(label - {p}) / (label + 1e-10) * 100.0')} AS pct_error FROM scored""")
+    o["filter_history_days"] = q([raw_cte("CAST(l.l_partkey AS VARCHAR)")] + panel_ctes() + [
+        "keep AS (SELECT product_id, category FROM panel GROUP BY ALL HAVING count(DISTINCT date) >= 30)"],
+        f"SELECT {K}, {r('quantity')} AS quantity FROM panel SEMI JOIN keep USING (product_id, category)")
+    o["chrono_split_date"] = q(PANEL + SPLIT[:2] + [
+        "bd AS (SELECT min(date) AS d FROM split WHERE NOT is_train)"],
+        f"SELECT {K}, date < (SELECT d FROM bd) AS is_train FROM split")
+    o["stock_mean_train"] = q(PANEL + SPLIT, f"""SELECT pk AS product_key,
+  {r('greatest(1.0, round_even(avg(quantity) * 10.0, 0))')} AS current_stock FROM tr GROUP BY pk""")
     return o
 
 

@@ -449,6 +449,25 @@ def q_error_columns(spark, sf):
     return finish(s.select(*KEYS, "error", "abs_error", "pct_error"))
 
 
+def q_filter_history_days(spark, sf):
+    """D6 strict: history counted in distinct days."""
+    pnl = P.clean_panel(tpch.retail_raw(spark, sf, product="part"))
+    kept = filter_history(pnl, CFG.preprocessing.min_history_days, count="distinct_days")
+    return finish(kept.select(*KEYS, QUANTITY))
+
+
+def q_chrono_split_date(spark, sf):
+    """D11 strict: the boundary date goes wholly to test."""
+    return finish(S.chrono_split(P.reuse(panel(spark, sf)), CFG.preprocessing.test_size, boundary="date")
+                  .select(*KEYS, "is_train"))
+
+
+def q_stock_mean_train(spark, sf):
+    """D12 strict: stock estimated from training rows only."""
+    tr, _ = train_test(spark, sf)
+    return finish(ST.estimate_stock(tr, CFG.preprocessing.days_of_coverage, "mean"))
+
+
 def q_events_lags(spark, sf):
     """Second (dense) binding: one series per event type, daily counts."""
     pnl = daily_panel(tpch.events_raw(spark, sf))
@@ -522,4 +541,7 @@ SQL_QUERIES = {
     "residual_bins": q_residual_bins,
     "top_correlated": q_top_correlated,
     "error_columns": q_error_columns,
+    "filter_history_days": q_filter_history_days,
+    "chrono_split_date": q_chrono_split_date,
+    "stock_mean_train": q_stock_mean_train,
 }
