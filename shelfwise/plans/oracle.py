@@ -26,7 +26,7 @@ def r(x: str, d: int = 4) -> str:
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH " + ",\n".join(ctes) + "\n" if ctes else ""
 
 
 SEASON = ("CASE quarter(l.l_shipdate) WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' "
@@ -547,6 +547,10 @@ evp AS (SELECT {K}, CAST(count(*) AS DOUBLE) AS quantity FROM evraw WHERE date I
         f"SELECT {K}, date < (SELECT d FROM bd) AS is_train FROM split")
     o["stock_mean_train"] = q(PANEL + SPLIT, f"""SELECT pk AS product_key,
   {r('greatest(1.0, round_even(avg(quantity) * 10.0, 0))')} AS current_stock FROM tr GROUP BY pk""")
+    o["events_panel"] = q([], f"""SELECT CAST(ts AS DATE) AS date, 'web' AS store_id, event_type AS product_id,
+  'events' AS category, 'global' AS region, CAST(count(*) AS DOUBLE) AS quantity, {r('avg(value)')} AS price,
+  CASE quarter(CAST(ts AS DATE)) WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END
+  AS seasonality FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL GROUP BY ALL""")
     return o
 
 

@@ -468,6 +468,12 @@ def q_stock_mean_train(spark, sf):
     return finish(ST.estimate_stock(tr, CFG.preprocessing.days_of_coverage, "mean"))
 
 
+def q_events_panel(spark, sf):
+    """A1 on the dense second binding: daily events per type, mean value."""
+    pnl = daily_panel(tpch.events_raw(spark, sf))
+    return finish(pnl.select(*KEYS, QUANTITY, "price", "seasonality"))
+
+
 def q_events_lags(spark, sf):
     """Second (dense) binding: one series per event type, daily counts."""
     pnl = daily_panel(tpch.events_raw(spark, sf))
@@ -536,6 +542,7 @@ SQL_QUERIES = {
     "revenue_series": q_revenue_series,
     "order_chart": q_order_chart,
     "events_lags": q_events_lags,
+    "events_panel": q_events_panel,
     "stock_per_product": q_stock_per_product,
     "prediction_range": q_prediction_range,
     "residual_bins": q_residual_bins,
