@@ -39,7 +39,8 @@ def duck():
 
 @pytest.mark.parametrize("name", ["daily_panel", "quality_report", "lag_rows", "ma_calendar", "chrono_split",
                                   "baseline_seasonal", "compare_models", "recommend_orders", "temporal_errors",
-                                  "walk_forward_ranges", "stock_p75", "one_hot_wide"])
+                                  "walk_forward_ranges", "stock_p75", "one_hot_wide", "chrono_split_date",
+                                  "filter_history_days", "stock_mean_train", "events_panel"])
 def test_oracle_agreement_small(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rel = duck.sql(E.oracle_sql()[name])
