@@ -130,3 +130,26 @@ def test_evaluate_predicts_once_and_recommends(spark):
     rec = out["recommendations"].first()
     assert rec["product_line"] == "All Products" and rec["recommended_order"] >= 0
     assert out["scored"].where(F.col("prediction") < 0).count() == 0
+
+
+def test_csv_to_quality_report_and_panel(spark):
+    from shelfwise.operators.panel import daily_panel
+    from shelfwise.operators.quality import clean_sales, quality_report
+    d = tempfile.mkdtemp(prefix="shelfwise-csv-")
+    p = os.path.join(d, "sales.csv")
+    with open(p, "w") as fh:
+        fh.write(HEADER)
+        fh.write("2022-01-01,S1,P1,Food,North,10,5.5,Sunny,Winter\n")
+        fh.write("2022-01-01,S1,P1,Food,North,10,5.5,Sunny,Winter\n")      # duplicate
+        fh.write("01/02/2022,S1,P1,Toys,North,-3,5.5,Rainy,Winter\n")      # US date, negative, other category
+        fh.write("bad,S1,P1,Food,North,n/a,x,Sunny,Winter\n")               # bad date, bad numbers
+        fh.write("2022-01-03,S1,,Food,North,4,5.5,Sunny,Winter\n")         # missing product
+    raw = files.read_sales(spark, p)
+    rep = {r["metric"]: r["value"] for r in quality_report(raw).collect()}
+    assert rep["input_rows"] == 5 and rep["duplicates_removed"] == 1 and rep["bad_dates"] == 1
+    assert rep["units_sold_converted"] == 1 and rep["price_converted"] == 1
+    assert rep["missing_product_id"] == 1 and rep["inconsistent_products"] == 1
+    assert rep["negative_units_fixed"] == 1
+    panel = daily_panel(clean_sales(raw)).orderBy("date").collect()
+    assert [(str(r["date"]), r["category"], r["quantity"]) for r in panel] == [
+        ("2022-01-01", "Food", 10.0), ("2022-01-02", "Food", 0.0)]
