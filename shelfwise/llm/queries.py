@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
 
 QUERIES = {
+    "op9_pii": op9.op9_pii,
     "op10_chat_formatting": op10.op10_chat_formatting,
 }
 
