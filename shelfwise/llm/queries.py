@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from shelfwise.llm import op08_decontamination as op8
 from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
 
 QUERIES = {
+    "op8_decontamination": op8.op8_decontamination,
     "op9_pii": op9.op9_pii,
     "op10_chat_formatting": op10.op10_chat_formatting,
 }
 
 ORACLE_SQL = {
+    "op8_decontamination": op8.SQL,
     "op10_chat_formatting": op10.SQL,
 }
