@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from shelfwise.llm import op05_sentencepiece as op5
 from shelfwise.llm import op06_vantage_point as op6
+from shelfwise.llm import op07_language_id as op7
 from shelfwise.llm import op08_decontamination as op8
 from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
 
 QUERIES = {
+    "op7_language_id": op7.op7_language_id,
     "op5_sentencepiece": op5.op5_sentencepiece,
     "op6_vantage_point": op6.op6_vantage_point,
     "op8_decontamination": op8.op8_decontamination,
