@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +54,21 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 def batch_rows(spark: SparkSession, rows: int) -> None:
     """Rows of an Arrow batch: long texts must not meet thousands at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+WORD_PIECE = 1 << 22
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_lists(text: str | None) -> Iterator[list[bytes]]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a text with A-Z in lower case, as UTF-8, a
+    list per piece of some megabytes (pieces are cut at blanks)."""
+    data = (text or "").encode("utf-8", "replace").lower()
+    a = 0
+    while a < len(data):
+        b = a + WORD_PIECE
+        if b < len(data):
+            found = _SPACE.search(data, b)
+            b = found.start() if found else len(data)
+        yield data[a:b].split()
+        a = b

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfwise.llm import op02_quality_mil as op2
+from shelfwise.llm import op04_lm_scoring as op4
 from shelfwise.llm import op05_sentencepiece as op5
 from shelfwise.llm import op06_vantage_point as op6
 from shelfwise.llm import op07_language_id as op7
@@ -11,6 +12,7 @@ from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
 
 QUERIES = {
+    "op4_lm_scoring": op4.op4_lm_scoring,
     "op2_quality_mil": op2.op2_quality_mil,
     "op7_language_id": op7.op7_language_id,
     "op5_sentencepiece": op5.op5_sentencepiece,
