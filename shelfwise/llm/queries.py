@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfwise.llm import op02_quality_mil as op2
+from shelfwise.llm import op03_ngram_jaccard as op3
 from shelfwise.llm import op04_lm_scoring as op4
 from shelfwise.llm import op05_sentencepiece as op5
 from shelfwise.llm import op06_vantage_point as op6
@@ -12,6 +13,7 @@ from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
 
 QUERIES = {
+    "op3_ngram_jaccard": op3.op3_ngram_jaccard,
     "op4_lm_scoring": op4.op4_lm_scoring,
     "op2_quality_mil": op2.op2_quality_mil,
     "op7_language_id": op7.op7_language_id,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_ngram_jaccard": op3.SQL,
     "op6_vantage_point": op6.SQL,
     "op8_decontamination": op8.SQL,
     "op10_chat_formatting": op10.SQL,
