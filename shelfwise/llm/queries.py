@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from shelfwise.llm import op01_token_counts as op1
 from shelfwise.llm import op02_quality_mil as op2
 from shelfwise.llm import op03_ngram_jaccard as op3
 from shelfwise.llm import op04_lm_scoring as op4
@@ -13,12 +14,13 @@ from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
 
 QUERIES = {
+    "op1_token_counts": op1.op1_token_counts,
+    "op2_quality_mil": op2.op2_quality_mil,
     "op3_ngram_jaccard": op3.op3_ngram_jaccard,
     "op4_lm_scoring": op4.op4_lm_scoring,
-    "op2_quality_mil": op2.op2_quality_mil,
-    "op7_language_id": op7.op7_language_id,
     "op5_sentencepiece": op5.op5_sentencepiece,
     "op6_vantage_point": op6.op6_vantage_point,
+    "op7_language_id": op7.op7_language_id,
     "op8_decontamination": op8.op8_decontamination,
     "op9_pii": op9.op9_pii,
     "op10_chat_formatting": op10.op10_chat_formatting,
