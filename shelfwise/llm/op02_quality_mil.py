@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import batch_rows, held_out, table
+from shelfwise.llm.common import batch_rows, fresh, held_out, table
 
 PASSAGE_CHARS = 512
 MAX_BAG = 64
@@ -188,27 +188,28 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionMIL:
     return model
 
 
-def classify(docs: DataFrame, model: AttentionMIL, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``__score`` (0 to 1)."""
+def classify(docs: DataFrame, model: AttentionMIL, score: str, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` and ``score`` (0 to 1)."""
     batch_rows(docs.sparkSession, 1000)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
     at = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = pa.array(sent.value.score(batch.column(at).to_pylist()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "__score"])
+            found = pa.array(sent.value.score(batch.column(at).to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, score])
     return docs.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents the classifier does not reject; all columns."""
-    return classify(docs, train(docs, labels)).where(F.col("__score") >= 0.5).drop("__score")
+    score = fresh(docs, "score")
+    return classify(docs, train(docs, labels), score).where(F.col(score) >= 0.5).drop(score)
 
 
 def op2_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = classify(docs, train(docs, table(spark, sf_dir, "labels")))
-    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), F.col("__score").alias("score"),
-                         (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+    scored = classify(docs, train(docs, table(spark, sf_dir, "labels")), "score")
+    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import batch_rows, materialize, table, word_lists
+from shelfwise.llm.common import batch_rows, fresh, materialize, table, word_lists
 
 FREQUENT = 1 << 18
 MIN_FREQUENT = 64
@@ -366,10 +366,11 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     found = Join(docs, k, percent).rows()
     best = found.where(F.col("component").isNotNull()).groupBy("component").agg(F.min(F.struct("doc_id", "th")).alias("k"))
     keep = best.select("k.*").unionByName(found.where(F.col("component").isNull()).select("doc_id", "th").distinct())
-    keep = materialize(keep.select(F.col("doc_id").alias("__kept_id"), F.col("th").alias("__kept_text")), "jaccard-kept")
-    rows = docs.withColumn("__text_hash", text_hash(F.col("text")))
-    rows = rows.join(keep, rows["doc_id"].eqNullSafe(keep["__kept_id"]) & (rows["__text_hash"] == keep["__kept_text"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
+    keep = materialize(keep.select(F.col("doc_id").alias("kept_id"), F.col("th").alias("kept_text")), "jaccard-kept")
+    name = fresh(docs, "text_hash")
+    rows = docs.withColumn(name, text_hash(F.col("text")))
+    rows = rows.join(keep, rows["doc_id"].eqNullSafe(keep["kept_id"]) & (rows[name] == keep["kept_text"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", name]).drop(name)
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ punctuation stays. A card's last digit is recomputed, so it stays Luhn-valid.
 
 Defined cases: a null text stays null, an empty one empty; matches that fail
 their validation stay as they are; repeated rows give repeated results; all
-columns of the input come back, ``text`` replaced; helper names start with
-``__pii``. Every row is handled alone, whatever its length.
+columns of the input come back, ``text`` replaced; helper columns take names
+the input doesn't have. Every row is handled alone, whatever its length.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import table
+from shelfwise.llm.common import fresh, table
 
 ROUNDS = 10
 DAYS = (27, 5411)  # 27 * 5411 days = 400 calendar years
@@ -207,22 +207,21 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
 
 def pseudonymize(docs: DataFrame, text: str = "text", key: str = KEY, counts: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; ``counts`` adds n_<kind> and n_pii."""
-    found = F.transform(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)),
-                        lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
-    hit = F.col(text).rlike(PATTERN)
+    found, new = fresh(docs, "pii_found"), fresh(docs, "pii_new")
+    matched = F.transform(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)),
+                          lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
     empty = F.array().cast("array<struct<v:string,k:string>>")
-    out = docs.withColumn("__pii_found", F.when(hit, found).otherwise(empty))
-    values = F.transform("__pii_found", lambda m: pseudonym(m["v"], m["k"], key))
-    out = out.withColumn("__pii_new", F.when(F.size("__pii_found") > 0, values))
+    out = docs.withColumn(found, F.when(F.col(text).rlike(PATTERN), matched).otherwise(empty))
+    out = out.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m["v"], m["k"], key))))
     rest = F.split(F.col(text), PATTERN, -1)
-    joined = F.array_join(F.zip_with(rest, F.col("__pii_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = out.withColumn(text, F.when(F.col("__pii_new").isNotNull(), joined).otherwise(F.col(text)))
+    joined = F.array_join(F.zip_with(rest, F.col(new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    out = out.withColumn(text, F.when(F.col(new).isNotNull(), joined).otherwise(F.col(text)))
     if counts:
-        of = lambda kind: F.size(F.filter("__pii_found", lambda m: m["k"] == kind)).cast("long")
+        of = lambda kind: F.size(F.filter(found, lambda m: m["k"] == kind)).cast("long")
         each = {f"n_{k}": of(k) for k in KINDS}
         out = out.withColumns(each)
         out = out.withColumn("n_pii", reduce(lambda a, b: a + b, (F.col(c) for c in each)))
-    return out.drop("__pii_found", "__pii_new")
+    return out.drop(found, new)
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
