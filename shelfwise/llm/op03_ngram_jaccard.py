@@ -108,7 +108,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
             if not same.any():
                 break
             a, b = c[:-gap][same], c[gap:][same]
-            out.append(mix((a * _ODD[0] + b * _ODD[1]) ^ (np.uint64(band) * _ODD[2])))
+            out.append(mix((a * _ODD[0] + b * _ODD[1]) ^ (np.array([band], np.uint64) * _ODD[2])))
     return np.unique(np.concatenate(out))
 
 
@@ -129,10 +129,13 @@ class _Tally:
             return
         k, c = np.unique(np.concatenate(self.wait), return_counts=True)
         k, c = np.concatenate([self.keys, k]), np.concatenate([self.counts, c])
+        self.wait, self.size = [], 0
+        if not len(k):
+            return
         order = np.argsort(k, kind="stable")
         k, c = k[order], c[order]
         first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        self.keys, self.counts, self.wait, self.size = k[first], np.add.reduceat(c, first), [], 0
+        self.keys, self.counts = k[first], np.add.reduceat(c, first)
         low = 1
         while len(self.keys) > HELD:
             keep = self.counts > low
@@ -238,6 +241,8 @@ class Join:
             sig, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
             center, at = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open signature's last row
             for batch in batches:
+                if not batch.num_rows:
+                    continue
                 s, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 s, v = np.concatenate([sig, s]), np.concatenate([node, v])
                 new = np.concatenate([[True], s[1:] != s[:-1]])
@@ -280,7 +285,7 @@ class Join:
                     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                     common = int((y[at] == x).sum())
                     ok.append(100 * common >= percent * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
         return materialize(both.mapInArrow(run, "a long, b long"), "jaccard-links")
 
     def _pairs_across(self, members: DataFrame, component: DataFrame, nodes: DataFrame) -> DataFrame:
