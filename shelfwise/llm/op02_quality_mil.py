@@ -40,7 +40,7 @@ PASSAGE_CHARS = 512
 MAX_BAG = 64
 TRAIN_DOCS = 6000
 HIDDEN, ATTENTION = 32, 16
-EPOCHS, BATCH, RATE, DECAY = 14, 128, 3e-3, 1e-5
+STEPS, BATCH, RATE, DECAY = 660, 128, 3e-3, 1e-5
 CLASSES = 14
 
 
@@ -134,8 +134,8 @@ class AttentionMIL:
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v = {k: np.zeros_like(x) for k, x in self.w.items()}
         rng, t = np.random.default_rng(11), 0
-        for epoch in range(EPOCHS):
-            rate = RATE * (1 - epoch / EPOCHS) + 1e-5
+        while t < STEPS:
+            rate = RATE * (1 - t / STEPS) + 1e-5
             order = rng.permutation(len(bags))
             for i in range(0, len(order), BATCH):
                 part = [bags[j] for j in order[i: i + BATCH]]
