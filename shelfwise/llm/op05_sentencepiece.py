@@ -35,10 +35,11 @@ from pyspark.sql import types as T
 
 from shelfwise.llm.common import batch_rows, table
 
-MARK = "▁"
-TABLE_CHUNKS = 300_000
+MARK = "▁"  # a space and the library's own marker are one to it
+TABLE_CHUNKS = 400_000
 PIECE_CHARS = 1 << 20
-CHUNK = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
+CHUNK = re.compile(f"[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+|\n")
+BORDER = re.compile(f"[^ {MARK}][ {MARK}]")
 OUTPUTS = {"ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType(), "ids_sha256": T.StringType(),
            "decoded": T.StringType(), "decoded_sha256": T.StringType()}
 
@@ -49,57 +50,52 @@ class ChunkTable:
     def __init__(self, proto: bytes):
         import sentencepiece
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
-        n = self.sp.get_piece_size()
-        pieces = [self.sp.id_to_piece(i) for i in range(n)]
+        pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         if any("\n" in p or re.search(f"[^{MARK}]{MARK}", p) for p in pieces):
             raise ValueError("pieces of this model cross whitespace markers or line breaks")
-        self.mark = self.sp.piece_to_id(MARK)
-        self.lead = self.sp.encode("\n")  # what stands before the chunk in "\n" + chunk
+        self.fence = self.sp.encode("\n")[-1]
         self.begin, self.end = (np.array([x], "<u4").tobytes() for x in (self.sp.bos_id(), self.sp.eos_id()))
-        self.ids: dict[str, bytes] = {}
-        self.text: dict[str, bytes] = {}
-
-    def add(self, chunks: set[str]) -> None:
-        if len(self.ids) + len(chunks) > TABLE_CHUNKS:
-            self.ids.clear()
-            self.text.clear()
-        marked = [c for c in chunks if c[0] == MARK and c not in self.ids]
-        plain = [c for c in chunks if c[0] != MARK and c not in self.ids]
-        # the library puts a marker before any text: leave a chunk's own out, or fence it off by a line break
-        found = self.sp.encode([c[1:] if len(c) > 1 else " " for c in marked], num_threads=1) if marked else []
-        found = [ids if len(c) > 1 else [self.mark] for c, ids in zip(marked, found, strict=True)]
-        found += [ids[len(self.lead):] for ids in self.sp.encode(["\n" + c for c in plain], num_threads=1)] if plain else []
-        for c, ids in zip(marked + plain, found, strict=True):
-            self.ids[c] = np.array(ids, "<u4").tobytes()
-            # a decoded text loses its first marker: give it one to lose
-            self.text[c] = self.sp.decode([self.mark, *ids]).encode()
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[str, bytes] = {"\n": np.array([self.fence], "<u4").tobytes()}
+        self.text: dict[str, bytes] = {"\n": b"\n"}
+
+    def add(self, new: list[str]) -> None:
+        """Segment chunks, none of which holds a line break, fenced off from each other by line breaks."""
+        ids = self.sp.encode("\n" + "\n".join(new), num_threads=1)
+        found = np.array(ids, "<u4")
+        at = np.flatnonzero(found == self.fence)
+        raw, starts, ends = found.tobytes(), ((at + 1) * 4).tolist(), (np.append(at[1:], len(found)) * 4).tolist()
+        self.ids.update(zip(new, (raw[a:b] for a, b in zip(starts, ends, strict=True)), strict=True))
+        self.text.update(zip(new, self.sp.decode(ids).encode().split(b"\n")[1:], strict=True))
 
     def encode(self, text: str) -> tuple[bytes, bytes]:
         """Ids of a text as little-endian 32-bit integers, and the decoded text."""
         if not text:
             return self.begin + self.end, b""
-        marked = MARK + text.replace(" ", MARK)
+        marked = " " + text  # the library puts a marker before any text, and takes one off again
         ids, out = [self.begin], []
         for a, b in cuts(marked):
             chunks = CHUNK.findall(marked, a, b)
-            if new := set(chunks).difference(self.ids):
-                self.add(set(chunks) if len(self.ids) + len(new) > TABLE_CHUNKS else new)
+            distinct = set(chunks)
+            new = distinct.difference(self.ids)
+            if len(self.ids) + len(new) > TABLE_CHUNKS:
+                self.clear()
+                new = distinct.difference(self.ids)
+            if new:
+                self.add(list(new))
             ids += map(self.ids.__getitem__, chunks)
             out += map(self.text.__getitem__, chunks)
         return b"".join([*ids, self.end]), b"".join(out)[1:]
 
 
 def cuts(marked: str) -> Iterator[tuple[int, int]]:
-    """Pieces of about PIECE_CHARS that begin at a chunk's border."""
+    """Pieces of about PIECE_CHARS that begin at a chunk's border: a marker after another character."""
     a = 0
     while a < len(marked):
-        b = a + PIECE_CHARS
-        while b < len(marked):
-            b = marked.find(MARK, b)
-            if b < 0 or marked[b - 1] != MARK:
-                break
-            b += 1
-        b = len(marked) if b < 0 or b > len(marked) else b
+        border = BORDER.search(marked, a + PIECE_CHARS)
+        b = border.start() + 1 if border else len(marked)
         yield a, b
         a = b
 
