@@ -18,8 +18,16 @@ common tokens, or some rare token is common.) Groups are sized by the bands
 Sets are collapsed to distinct ones first. Members of a signature are paired
 with its smallest member; exact Jaccard is checked on whole sets; links become
 components; then members of a signature that are still in different components
-are paired with each other and checked. So every pair that shares a signature
-is either checked or already connected, without all pairs of a copy group.
+are paired with each other. So every pair that shares a signature is either
+checked or already connected, without all pairs of a copy group. Of the second
+kind of pairs all common signatures are known: with sizes n and m, partners
+share at least t (n + m) / (1 + t) tokens, so a prefix of p rare tokens must
+share p - n + that many of its own, which rules most of them out unseen.
+
+To check pairs, sets go to the partition of one of the two (the hub), dealt
+over SALTS parts so that a hub with many partners is spread, and are read there
+as a sorted stream. Texts are found for them by a join on the document, whose
+small side is broadcast only if counted to be at most BROADCAST_DOCS rows.
 
 Which tokens are frequent steers the cost alone, never the result: tasks count
 tokens lossily in bounded tables, and at most FREQUENT of those that reach
@@ -46,6 +54,8 @@ from shelfwise.llm.common import batch_rows, fresh, materialize, table, word_lis
 FREQUENT = 1 << 18
 MIN_FREQUENT = 64
 LOCAL = 3  # counts a task reports
+SALTS = 32
+BROADCAST_DOCS = 400_000
 HELD = 2_000_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -78,11 +88,11 @@ def node_of(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a set; ``frequent``: sorted hashes of the frequent tokens."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Signatures of a set, and their number if all are rare tokens, else 0; ``frequent``: sorted hashes."""
     n = len(tokens)
     if n < 2:
-        return np.zeros(0, np.uint64)  # a partner of one token would be equal
+        return np.zeros(0, np.uint64), 0  # a partner of one token would be equal
     need = n - (percent * n + 99) // 100 + 1
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
@@ -91,7 +101,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
         often = np.zeros(n, bool)
     rare = tokens[~often][:need]
     if len(rare) == need:
-        return rare
+        return rare, need
     common, out = tokens[often], [rare]
     for band in {n.bit_length(), (100 * n // percent).bit_length()}:
         groups = np.uint64(max(1, (1 << (band - 1)) // 4))
@@ -109,7 +119,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> np.nda
                 break
             a, b = c[:-gap][same], c[gap:][same]
             out.append(mix((a * _ODD[0] + b * _ODD[1]) ^ (np.array([band], np.uint64) * _ODD[2])))
-    return np.unique(np.concatenate(out))
+    return np.unique(np.concatenate(out)), 0
 
 
 class _Tally:
@@ -154,174 +164,198 @@ class Join:
 
     # -- passes over the texts ------------------------------------------------
     def _names(self) -> DataFrame:
-        """doc_id, th, n, node, again: every row's set by name."""
+        """Two kinds of rows. Documents: doc_id, th, n, node, again (every row's set by name).
+        Tokens: no th, a task's lossy count n of token ``node``."""
         k, salt = self.k, self.salt
+        names = ["doc_id", "th", "n", "node", "again"]
+        kind = self.docs.schema["doc_id"].dataType
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            tally, seen, ids = _Tally(), set(), None
             for batch in batches:
-                n, names = [], []
+                n, named = [], []
                 for value in batch.column(2):
                     s = token_set(value.as_py(), k, salt)
                     n.append(len(s))
-                    names.append(node_of(s))
-                a, b = zip(*names, strict=True) if names else ((), ())
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()),
-                                                  pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                                                 names=["doc_id", "th", "n", "node", "again"])
-        kind = self.docs.schema["doc_id"].dataType.simpleString()
-        return self.docs.select("doc_id", "th", "text").mapInArrow(
-            run, f"doc_id {kind}, th long, n long, node long, again long")
-
-    def _frequent(self) -> np.ndarray:
-        k, salt = self.k, self.salt
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tally, seen = _Tally(), set()
-            for batch in batches:
-                for value in batch.column(0):
-                    s = token_set(value.as_py(), k, salt)
-                    name = node_of(s)[0]
-                    if name not in seen:
-                        seen.add(name)
+                    named.append(node_of(s))
+                    if named[-1][0] not in seen:
+                        seen.add(named[-1][0])
                         tally.add(s)
                 if len(seen) > HELD:
                     seen.clear()
+                ids = batch.column(0).type
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *(
+                    pa.array([x[i] for x in named], pa.int64()) for i in (0, 1))], names=names)
             tally.merge()
             keep = tally.counts >= LOCAL
-            for a in range(0, keep.sum(), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(tally.keys[keep][a: a + 100_000].view(np.int64)),
-                                                  pa.array(tally.counts[keep][a: a + 100_000])], names=["token", "n"])
+            tokens, counts = tally.keys[keep].view(np.int64), tally.counts[keep]
+            for a in range(0, len(tokens), 100_000):
+                t, c = tokens[a: a + 100_000], counts[a: a + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(t), ids), pa.nulls(len(t), pa.int64()), pa.array(c),
+                                                  pa.array(t), pa.nulls(len(t), pa.int64())], names=names)
         # as many tallies as a few rounds of the cluster's cores: each sees a fair part of the corpus
-        part = self.docs.select("text").coalesce(4 * self.spark.sparkContext.defaultParallelism)
-        found = materialize(part.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-                            .where(F.col("n") >= MIN_FREQUENT), "jaccard-frequent")
-        top = found.orderBy(F.desc("n"), "token").limit(FREQUENT).select("token").toArrow()
-        return np.sort(top["token"].to_numpy().view(np.uint64))
+        part = self.docs.select("doc_id", "th", "text").coalesce(4 * self.spark.sparkContext.defaultParallelism)
+        return part.mapInArrow(run, f"doc_id {kind.simpleString()}, th long, n long, node long, again long")
+
+    def _frequent(self, named: DataFrame) -> np.ndarray:
+        found = (named.where(F.col("th").isNull()).groupBy("node").agg(F.sum("n").alias("n"))
+                 .where(F.col("n") >= MIN_FREQUENT))
+        top = found.orderBy(F.desc("n"), "node").limit(FREQUENT).select("node").toArrow()
+        return np.sort(top["node"].to_numpy().view(np.uint64))
 
     def _index(self, frequent) -> DataFrame:
-        """sig, node of every distinct set (a task leaves out sets it has met)."""
+        """sig, node, pure of every distinct set (a task leaves out sets it has met)."""
         k, salt, percent = self.k, self.salt, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = set()
             for batch in batches:
-                sigs, nodes = [], []
+                sigs, nodes, pure = [], [], []
                 for value in batch.column(0):
                     s = token_set(value.as_py(), k, salt)
                     name = node_of(s)[0]
                     if name not in seen:
                         seen.add(name)
-                        found = signatures(s, frequent.value, percent)
+                        found, rare = signatures(s, frequent.value, percent)
                         sigs.append(found)
                         nodes.append(np.full(len(found), name, np.int64))
+                        pure.append(np.full(len(found), rare > 0))
                 if len(seen) > HELD:
                     seen.clear()
                 if sigs:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)),
-                                                      pa.array(np.concatenate(nodes))], names=["sig", "node"])
-        return self.docs.select("text").mapInArrow(run, "sig long, node long")
-
-    def _sets(self, wanted: DataFrame) -> DataFrame:
-        """node, tokens of the documents ``wanted`` (doc_id, th)."""
-        k, salt = self.k, self.salt
-        w = wanted.withColumnRenamed("doc_id", "_d").withColumnRenamed("th", "_t")
-        rows = self.docs.join(w, self.docs["doc_id"].eqNullSafe(w["_d"]) & (self.docs["th"] == w["_t"])).select("text")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                sets = [token_set(v.as_py(), k, salt) for v in batch.column(0)]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s)[0] for s in sets], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "tokens"])
-        return rows.mapInArrow(run, "node long, tokens binary").groupBy("node").agg(F.first("tokens").alias("tokens"))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(
+                        np.concatenate(nodes)), pa.array(np.concatenate(pure))], names=["sig", "node", "pure"])
+        return self.docs.select("text").mapInArrow(run, "sig long, node long, pure boolean")
 
     # -- candidates, verification, components -----------------------------------
     def _stars(self, index: DataFrame) -> DataFrame:
-        """sig, node, center, at of signatures with several members: sorted by signature, read as a stream."""
+        """sig, node, pure, center, center_pure, at of signatures with several members, in one pass over
+        rows sorted by signature, which holds one batch whatever a signature's size."""
+        names = ["sig", "node", "pure", "center", "center_pure", "at"]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sig, node = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            center, at = np.zeros(0, np.int64), np.zeros(0, np.int64)  # of the open signature's last row
+            last = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64),
+                    np.zeros(0, bool), np.zeros(0, np.int64)]  # of the open signature
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                s, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                s, v = np.concatenate([sig, s]), np.concatenate([node, v])
+                s, v, p = (np.concatenate([old, c.to_numpy(zero_copy_only=False)])
+                           for old, c in zip(last, batch.columns, strict=False))
                 new = np.concatenate([[True], s[1:] != s[:-1]])
                 start = np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
                 fresh = new | np.concatenate([[True], v[1:] != v[:-1]])
-                c, place = v[start], np.cumsum(fresh) - np.cumsum(fresh)[start]
-                if len(center):
-                    open_rows = start == 0
-                    c = np.where(open_rows, center[0], c)
-                    place = np.where(open_rows, place + at[0], place)
+                c, cp, place = v[start], p[start], np.cumsum(fresh) - np.cumsum(fresh)[start]
                 use = fresh & (place > 0)
-                if len(center):
+                if len(last[0]):
+                    going = start == 0
+                    c, cp = np.where(going, last[3][0], c), np.where(going, last[4][0], cp)
+                    place = np.where(going, place + last[5][0], place)
+                    use = fresh & (place > 0)
                     use[0] = False  # given out before
-                yield pa.RecordBatch.from_arrays([pa.array(x[use]) for x in (s, v, c, place)],
-                                                 names=["sig", "node", "center", "at"])
-                sig, node, center, at = s[-1:], v[-1:], c[-1:], place[-1:]
+                yield pa.RecordBatch.from_arrays([pa.array(x[use]) for x in (s, v, p, c, cp, place)], names=names)
+                last = [x[-1:] for x in (s, v, p, c, cp, place)]
         parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
         return (index.repartition(parts, "sig").sortWithinPartitions("sig", "node")
-                .mapInArrow(run, "sig long, node long, center long, at long"))
+                .mapInArrow(run, "sig long, node long, pure boolean, center long, center_pure boolean, at long"))
 
     def _links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar enough."""
-        percent = self.percent
-        size = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("doc_id").alias(f"d{s}"),
-                                      F.col("th").alias(f"t{s}"))
-        pairs = (pairs.distinct().join(size("a"), "a").join(size("b"), "b")
-                 .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+        """The pairs (a, b) whose sets are similar enough; ``pairs``: (hub, leaf), each once."""
+        k, salt, percent = self.k, self.salt, self.percent
+        of = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
+                                    F.struct("doc_id", "th").alias(f"d_{s}"))
+        pairs = (pairs.join(of("hub"), "hub").join(of("leaf"), "leaf")
+                 .where(100 * F.least("n_hub", "n_leaf") >= percent * F.greatest("n_hub", "n_leaf"))
+                 .withColumn("salt", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int")))
         pairs = materialize(pairs, "jaccard-pairs")
-        wanted = pairs.select(F.inline(F.array(*(F.struct(F.col(f"d{s}").alias("doc_id"), F.col(f"t{s}").alias("th"))
-                                                 for s in "ab")))).distinct()
-        sets = materialize(self._sets(wanted), "jaccard-sets")
-        side = lambda s: sets.select(F.col("node").alias(s), F.col("tokens").alias(f"s{s}"))
-        both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a").select("a", "b", "sa", "sb")
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        goal = lambda role: F.struct("hub", "salt", F.lit(role).alias("role"))
+        wanted = (pairs.select("d_hub.*", goal(0).alias("goal")).distinct()
+                  .unionByName(pairs.select("d_leaf.*", goal(1).alias("goal")))
+                  .groupBy(F.col("doc_id").alias("to_id"), F.col("th").alias("to_text"))
+                  .agg(F.collect_list("goal").alias("goals")))
+        wanted = materialize(wanted, "jaccard-wanted")
+        small = wanted.count() <= BROADCAST_DOCS
+        w = F.broadcast(wanted) if small else wanted
+        rows = self.docs.join(w, self.docs["doc_id"].eqNullSafe(w["to_id"]) & (self.docs["th"] == w["to_text"]))
+
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ok = []
-                for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                    x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                    common = int((y[at] == x).sum())
-                    ok.append(100 * common >= percent * (len(x) + len(y) - common))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-        return materialize(both.mapInArrow(run, "a long, b long"), "jaccard-links")
+                for value, goals in zip(batch.column(0), batch.column(1), strict=True):
+                    s = token_set(value.as_py(), k, salt)
+                    node, blob, goals = node_of(s)[0], s.tobytes(), goals.as_py()
+                    step = max(1, (1 << 24) // max(1, len(blob)))
+                    for a in range(0, len(goals), step):
+                        part = goals[a: a + step]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([g["hub"] for g in part], pa.int64()), pa.array([g["salt"] for g in part], pa.int32()),
+                            pa.array([g["role"] for g in part], pa.int32()), pa.array([node] * len(part), pa.int64()),
+                            pa.array([blob] * len(part), pa.binary())], names=["hub", "salt", "role", "node", "tokens"])
+
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            key, y = None, None
+            for batch in batches:
+                a, b = [], []
+                for i, (hub, part, role, node) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True)):
+                    x = np.frombuffer(batch.column(4)[i].as_buffer(), np.uint64)
+                    if role == 0:
+                        key, y = (hub, part), x.copy()
+                    elif key == (hub, part):
+                        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                        common = int((y[at] == x).sum())
+                        if 100 * common >= percent * (len(x) + len(y) - common):
+                            a.append(hub)
+                            b.append(node)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        met = (rows.select("text", "goals").mapInArrow(sets, "hub long, salt int, role int, node long, tokens binary")
+               .repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "role"))
+        return materialize(met.mapInArrow(check, "a long, b long"), "jaccard-links")
 
     def _pairs_across(self, members: DataFrame, component: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Members of one signature in different components, but for pairs within its largest component's share."""
-        own = component.select("node", "component")
+        """Members of one signature in different components that share enough signatures, as (hub, leaf)."""
+        percent, own = self.percent, component.select("node", "component")
         m = (members.join(own, "node", "left").join(nodes.select("node", "n"), "node")
-             .select("sig", "node", "n", F.coalesce("component", "node").alias("component")))
+             .select("sig", "node", "n", "pure", F.coalesce("component", "node").alias("component")))
         shares = m.groupBy("sig", "component").agg(F.count("*").alias("c"))
         mixed = (shares.groupBy("sig").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("k"))
                  .where(F.col("k") > 1).select("sig", F.col("top.component").alias("top")))
         m = materialize(m.join(mixed, "sig"), "jaccard-mixed")
-        x = m.where(F.col("component") != F.col("top")).select("sig", F.col("node").alias("x"), F.col("n").alias("nx"),
-                                                               F.col("component").alias("cx"))
-        y = m.select("sig", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"), "top")
-        met = x.join(y, (x["sig"] == y["sig"]) & (x["cx"] != y["cy"]) & ((y["cy"] == y["top"]) | (x["x"] < y["y"]))
-                     & (100 * F.least("nx", "ny") >= self.percent * F.greatest("nx", "ny")))
-        return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pure", "component")]
+        x = m.where(F.col("component") != F.col("top")).select(F.col("sig").alias("sig_x"), *side("x"))
+        y = m.select("sig", "top", *side("y"))
+        met = x.join(y, (F.col("sig_x") == F.col("sig")) & (F.col("component_x") != F.col("component_y"))
+                     & ((F.col("component_y") == F.col("top")) | (F.col("node_x") < F.col("node_y")))
+                     & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+        first = F.col("node_x") < F.col("node_y")
+        pick = lambda c, is_x: F.when(is_x, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y"))
+        met = met.select(*(pick(c, cond).alias(f"{c}_{s}") for s, cond in (("hub", first), ("leaf", ~first))
+                           for c in ("node", "n", "pure")))
+        met = met.groupBy(*met.columns).agg(F.count("*").alias("common"))
+        both = F.ceil(percent * (F.col("n_hub") + F.col("n_leaf")) / F.lit(100 + percent))  # least common tokens
+        # p - n + both for the prefix length p = n - ceil(t n) + 1 of a pure side; an integer either way
+        need = lambda s: F.when(F.col(f"pure_{s}"), both + 1 - F.floor((percent * F.col(f"n_{s}") + 99) / 100))
+        enough = F.coalesce(F.least(need("hub"), need("leaf")), F.lit(1))
+        return met.where(F.col("common") >= enough).select(F.col("node_hub").alias("hub"), F.col("node_leaf").alias("leaf"))
 
     def rows(self) -> DataFrame:
         """doc_id, th, n_shingles, component_id, component (the set's or component's name) of every row."""
         while True:
             named = materialize(self._names(), "jaccard-rows")
-            nodes = materialize(named.where(F.col("n") > 0).groupBy("node").agg(
+            found = named.where(F.col("th").isNotNull())
+            nodes = materialize(found.where(F.col("n") > 0).groupBy("node").agg(
                 F.min("n").alias("n"), F.min("again").alias("lo"), F.max("again").alias("hi"),
                 F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("smallest")), "jaccard-nodes")
             if nodes.where(F.col("lo") != F.col("hi")).isEmpty():
                 break
             self.salt += 1  # two sets share a name: name all anew
         nodes = nodes.select("node", "n", "rep.doc_id", "rep.th", "smallest")
-        frequent = self.spark.sparkContext.broadcast(self._frequent())  # at most FREQUENT hashes
+        frequent = self.spark.sparkContext.broadcast(self._frequent(named))  # at most FREQUENT hashes
         stars = materialize(self._stars(self._index(frequent)), "jaccard-stars")
-        links = self._links(stars.select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")), nodes)
+        links = self._links(stars.select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct(), nodes)
         component = components(links)
         larger = stars.where(F.col("at") > 1).select("sig").distinct()
         of = stars.join(larger, "sig")
-        members = of.select("sig", "node").unionByName(of.select("sig", F.col("center").alias("node")).distinct())
+        members = of.select("sig", "node", "pure").unionByName(
+            of.where(F.col("at") == 1).select("sig", F.col("center").alias("node"), F.col("center_pure").alias("pure")))
         across = self._links(self._pairs_across(members, component, nodes), nodes)
         if not across.isEmpty():
             component = components(links.unionByName(across))
@@ -329,7 +363,7 @@ class Join:
             "node", F.coalesce("component", "node").alias("component"), "smallest")
         least = whole.groupBy("component").agg(F.min("smallest").alias("component_id"))
         whole = whole.join(least, "component").select("node", "component", "component_id")
-        return named.join(whole, "node", "left").select(
+        return found.join(whole, "node", "left").select(
             "doc_id", "th", F.col("n").alias("n_shingles"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
             F.when(F.col("n") > 0, F.col("component")).alias("component"))
