@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,9 +61,37 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(id_bucket(doc_id, modulus) == F.lit(remainder), F.lit(True))
 
 
-def batch_rows(spark: SparkSession, rows: int) -> None:
-    """Rows of an Arrow batch: long texts must not meet thousands at a time."""
+_SHIPPED: set[str] = set()
+
+
+def python_tasks(spark: SparkSession, rows: int = 1000) -> None:
+    """Before Python work: make this package importable in the workers, and bound the rows of an
+    Arrow batch, as long texts must not meet by thousands."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        out = Path(tempfile.mkdtemp(prefix="shelfwise-py-")) / "shelfwise_tasks.zip"
+        with zipfile.ZipFile(out, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(out))
+        _SHIPPED.add(sc.applicationId)
+
+
+def most_frequent(df: DataFrame, count: str, bound: int) -> DataFrame:
+    """The rows of the greatest counts, at most ``bound``: those from the smallest cutoff that fits.
+    The cutoff comes from a histogram of bounded size (exact below 4096, then 64 steps an octave)."""
+    c = F.col(count)
+    group = F.when(c < 4096, c).otherwise(4096 + F.floor(F.log2(c.cast("double")) * 64)).cast("long")
+    held, cutoff = 0, None
+    for r in sorted(df.groupBy(group.alias("g")).agg(F.count("*").alias("n"), F.min(c).alias("least")).collect(),
+                    key=lambda r: -r["least"]):
+        held += r["n"]
+        if held > bound:
+            break
+        cutoff = r["least"]
+    return df.limit(0) if cutoff is None else df.where(c >= cutoff)
 
 
 WORD_PIECE = 1 << 22

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import batch_rows, new_path, table
+from shelfwise.llm.common import new_path, python_tasks, table
 
 GROUP = ["source", "lang", "tokenizer"]
 _ENCODINGS: dict = {}
@@ -55,7 +55,7 @@ def _encoding(ranks: bytes, pattern: str):
 def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """All columns but ``text``, and n_tokens (byte-level BPE of the whole text)."""
     spark = docs.sparkSession
-    batch_rows(spark, 500)
+    python_tasks(spark, 500)
     with open(ranks_path, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())  # a vocabulary file, of fixed size
     keep = [c for c in docs.columns if c != text]

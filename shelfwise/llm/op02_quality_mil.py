@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import batch_rows, fresh, held_out, table
+from shelfwise.llm.common import fresh, held_out, python_tasks, table
 
 PASSAGE_CHARS = 512
 MAX_BAG = 64
@@ -160,7 +160,7 @@ class AttentionMIL:
 
 def training_bags(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
     """Passage features and labels of at most TRAIN_DOCS labelled documents of the training folds."""
-    batch_rows(docs.sparkSession, 1000)
+    python_tasks(docs.sparkSession, 1000)
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 3, 1))
              .groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("y")))
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit("bags")), "doc_id").limit(TRAIN_DOCS)
@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionMIL:
 
 def classify(docs: DataFrame, model: AttentionMIL, score: str, text: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``score`` (0 to 1)."""
-    batch_rows(docs.sparkSession, 1000)
+    python_tasks(docs.sparkSession, 1000)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # fixed size
     at = docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])

@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.llm.common import batch_rows, table
+from shelfwise.llm.common import python_tasks, table
 
 MARK = "▁"  # a space and the library's own marker are one to it
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 250_000
 PIECE_CHARS = 1 << 20
 CHUNK = re.compile(f"[ {MARK}]*[^ {MARK}\n]+|[ {MARK}]+|\n")
 BORDER = re.compile(f"[^ {MARK}][ {MARK}]")
@@ -104,7 +104,7 @@ def encode(docs: DataFrame, model: str, outputs: tuple[str, ...] = ("ids", "n_to
            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and the chosen OUTPUTS of every row. ``model``: path of a model file on the driver."""
     spark = docs.sparkSession
-    batch_rows(spark, 1000)
+    python_tasks(spark, 1000)
     with open(model, "rb") as f:
         proto = spark.sparkContext.broadcast(f.read())  # a model file, of fixed size
     fields = [docs.schema[k] for k in keep] + [T.StructField(o, OUTPUTS[o]) for o in outputs]
@@ -129,7 +129,7 @@ def encode(docs: DataFrame, model: str, outputs: tuple[str, ...] = ("ids", "n_to
 def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``decoded``, from a column ``ids``; null ids decode to an empty text."""
     spark = encoded.sparkSession
-    batch_rows(spark, 1000)
+    python_tasks(spark, 1000)
     with open(model, "rb") as f:
         proto = spark.sparkContext.broadcast(f.read())
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import materialize, table
+from shelfwise.llm.common import materialize, python_tasks, table
 
 SHARD_ROWS = 4096
 QUERY_BLOCK = 1024
@@ -112,6 +112,7 @@ def usable(embeddings: DataFrame) -> DataFrame:
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.0) -> DataFrame:
     """query_id, rank, vec_id, score for (vec_id, v) frames of candidates and queries."""
+    python_tasks(vectors.sparkSession)
     n, nq = vectors.count(), queries.count()
     shards, blocks = max(1, math.ceil(n / SHARD_ROWS)), max(1, math.ceil(nq / QUERY_BLOCK))
     deal = lambda c, m: F.pmod(F.xxhash64(c), F.lit(m)).cast("int")
