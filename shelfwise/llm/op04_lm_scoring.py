@@ -38,16 +38,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import batch_rows, held_out, materialize, table, word_lists
+from shelfwise.llm.common import held_out, materialize, most_frequent, python_tasks, table, word_lists
 
 CLASS_WORDS, HEAD_CLASSES, TAIL = 32, 32, 16
 HEAD, CLASSES = CLASS_WORDS * HEAD_CLASSES, HEAD_CLASSES + TAIL
 SYMBOLS = HEAD + TAIL + 1  # the last stands before a text
 PAIRS, INNER = 1 << 13, 1 << 14
-ROWS = 3 * SYMBOLS + PAIRS
+ROWS = 2 * SYMBOLS + PAIRS
 LEXICON = 1 << 18
 ROUNDS, RATE, SMOOTH = 4, 0.5, 2.0
-TOKENS = 1 << 16
+TOKENS, PART = 1 << 16, 1 << 13
 BLOCK = 512
 END = b""  # no word is empty
 
@@ -70,7 +70,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                 if len(held) > 400_000:
                     yield out()
         yield out()
-    batch_rows(docs.sparkSession, 200)
+    python_tasks(docs.sparkSession, 200)
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
@@ -97,8 +97,9 @@ class Lexicon:
         self.word_bias = head.reshape(HEAD_CLASSES, CLASS_WORDS)
         self.tail_log = np.log10(tail_n + tail_v + 1)
         mass = np.concatenate([np.where(np.isfinite(self.word_bias), np.exp(self.word_bias), 0).sum(1), tail_n + tail_v + 1])
-        self.class_bias = np.where(mass > 0, np.log(np.maximum(mass, 1)), -1e4).astype(np.float32)
-        self.word_bias = np.maximum(self.word_bias, -1e4).astype(np.float32)
+        self.class_bias = np.where(mass > 0, np.log(np.maximum(mass, 1) / mass.sum()), -1e4).astype(np.float32)
+        of_class = np.log(np.maximum(mass[:HEAD_CLASSES, None], 1))
+        self.word_bias = np.maximum(self.word_bias - of_class, -1e4).astype(np.float32)
         self.index: dict[bytes, int] = {}
 
     def open(self) -> Lexicon:
@@ -130,11 +131,11 @@ class Model:
 
 
 def history(symbols: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Target and the three symbols before it, texts strung together."""
-    first = np.full(3, SYMBOLS - 1, np.int32)
+    """Target and the two symbols before it, texts strung together."""
+    first = np.full(2, SYMBOLS - 1, np.int32)
     parts = [np.concatenate([first, s]) for s in symbols]
-    cut = lambda k: np.concatenate([p[3 - k: len(p) - k] for p in parts]).astype(np.int64)
-    return cut(0), cut(1), cut(2), cut(3)
+    cut = lambda k: np.concatenate([p[2 - k: len(p) - k] for p in parts]).astype(np.int64)
+    return cut(0), cut(1), cut(2)
 
 
 def _hash(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -143,36 +144,37 @@ def _hash(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return (h >> np.uint64(40)).astype(np.int64) % size
 
 
-def class_features(u, v, x) -> list[np.ndarray]:
-    return [u, SYMBOLS + v, 2 * SYMBOLS + x, 3 * SYMBOLS + _hash(u, v, PAIRS)]
+def class_features(u: np.ndarray, v: np.ndarray) -> list[np.ndarray]:
+    return [u, SYMBOLS + v, 2 * SYMBOLS + _hash(u, v, PAIRS)]
 
 
-def word_features(u, v, c) -> list[np.ndarray]:
+def word_features(u: np.ndarray, v: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
     return [_hash(u * 2, c, INNER), _hash(v * 2 + 1, c, INNER)]
 
 
-def softmax(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Logits less their maximum, and the log of their sum of exponentials."""
+def logits(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Biases are log probabilities and weights small, so exponentials need no shift."""
     z = weights[rows[0]]
     for r in rows[1:]:
         z += weights[r]
     z += bias
-    z -= z.max(1, keepdims=True)
-    return z, np.exp(z)
+    return z
 
 
-def log_probs(m: Model, lex: Lexicon, t, u, v, x) -> np.ndarray:
+def log_probs(m: Model, lex: Lexicon, t: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Log10 probability of each token but for the count of a tail word."""
     head = t < HEAD
     c = np.where(head, t // CLASS_WORDS, t - HEAD + HEAD_CLASSES)
-    z, e = softmax(lex.class_bias, m.w1, class_features(u, v, x))
-    at = np.arange(len(t))
-    out = (z[at, c] - np.log(e.sum(1))).astype(np.float64) / np.log(10)
-    out[~head] -= lex.tail_log[t[~head] - HEAD]
+    z = logits(lex.class_bias, m.w1, class_features(u, v))
+    picked = z[np.arange(len(t)), c].astype(np.float64)
+    out = picked - np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))
     if head.any():
         ch = c[head]
-        z, e = softmax(lex.word_bias[ch], m.w2, word_features(u[head], v[head], ch))
-        out[head] += (z[np.arange(len(ch)), t[head] % CLASS_WORDS] - np.log(e.sum(1))).astype(np.float64) / np.log(10)
+        z = logits(lex.word_bias[ch], m.w2, word_features(u[head], v[head], ch))
+        picked = z[np.arange(len(ch)), t[head] % CLASS_WORDS].astype(np.float64)
+        out[head] += picked - np.log(np.exp(z, out=z) @ np.ones(CLASS_WORDS, np.float32))
+    out /= np.log(10)
+    out[~head] -= lex.tail_log[t[~head] - HEAD]
     return out
 
 
@@ -184,32 +186,40 @@ class Sums:
                       (np.zeros((INNER, CLASS_WORDS), np.float32), np.zeros((INNER, CLASS_WORDS), np.float32))]
 
     @staticmethod
-    def _put(part, rows: list[np.ndarray], target: np.ndarray, e: np.ndarray) -> None:
-        seen, expected = part
-        e /= e.sum(1, keepdims=True)
-        width = seen.shape[1]
+    def _expect(expected: np.ndarray, rows: list[np.ndarray], z: np.ndarray) -> None:
+        e = np.exp(z, out=z)
+        e /= (e @ np.ones(e.shape[1], np.float32))[:, None]
         for r in rows:
-            seen += np.bincount(r * width + target, minlength=seen.size).reshape(seen.shape).astype(np.float32)
-            order = np.argsort(r, kind="stable")
+            order = np.argsort(r.astype(np.uint16), kind="stable")  # a radix sort; rows are fewer than 2^16
             s = r[order]
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
             expected[s[first]] += np.add.reduceat(e[order], first, axis=0)
 
-    def add(self, m: Model, lex: Lexicon, t, u, v, x) -> None:
+    @staticmethod
+    def _see(seen: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> None:
+        flat = np.concatenate([r * seen.shape[1] + target for r in rows])
+        seen += np.bincount(flat, minlength=seen.size).reshape(seen.shape)
+
+    def add(self, m: Model, lex: Lexicon, t: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
         head = t < HEAD
         c = np.where(head, t // CLASS_WORDS, t - HEAD + HEAD_CLASSES)
-        rows = class_features(u, v, x)
-        self._put(self.parts[0], rows, c, softmax(lex.class_bias, m.w1, rows)[1])
-        if head.any():
-            ch = c[head]
-            rows = word_features(u[head], v[head], ch)
-            self._put(self.parts[1], rows, t[head] % CLASS_WORDS, softmax(lex.word_bias[ch], m.w2, rows)[1])
-
-
-def chunks(symbols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+        rows = class_features(u, v)
+        self._see(self.parts[0][0], rows, c)
+        for a in range(0, len(t), PART):
+            part = [r[a: a + PART] for r in rows]
+            self._expect(self.parts[0][1], part, logits(lex.class_bias, m.w1, part))
+        ch, th = c[head], t[head] % CLASS_WORDS
+        rows = word_features(u[head], v[head], ch)
+        self._see(self.parts[1][0], rows, th)
+        for a in range(0, len(ch), PART):
+            part = [r[a: a + PART] for r in rows]
+            self._expect(self.parts[1][1], part, logits(lex.word_bias[ch[a: a + PART]], m.w2, part))
+
+
+def chunks(symbols: list[np.ndarray], size: int) -> Iterator[tuple[np.ndarray, ...]]:
     h = history(symbols)
-    for a in range(0, len(h[0]), TOKENS):
-        yield tuple(y[a: a + TOKENS] for y in h)
+    for a in range(0, len(h[0]), size):
+        yield tuple(y[a: a + size] for y in h)
 
 
 def step(docs: DataFrame, model: Model, lex) -> None:
@@ -222,7 +232,7 @@ def step(docs: DataFrame, model: Model, lex) -> None:
         lexicon, sums, wait, size = lex.value.open(), Sums(), [], 0
 
         def flush() -> None:
-            for part in chunks(wait):
+            for part in chunks(wait, TOKENS):
                 sums.add(sent.value, lexicon, *part)
             wait.clear()
         for batch in batches:
@@ -255,7 +265,7 @@ def step(docs: DataFrame, model: Model, lex) -> None:
 def lexicon(vocab: DataFrame) -> Lexicon:
     """The LEXICON most frequent words and the totals of the tail classes, from the full count table."""
     total, distinct = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = vocab.orderBy(F.desc("c"), "word").limit(LEXICON).toArrow()
+    top = most_frequent(vocab, "c", LEXICON).toArrow()
     words, counts = top["word"].to_pylist(), top["c"].to_pylist()
     rank = sorted(zip(words, counts, strict=True), key=lambda x: (x[0] != END, -x[1], x[0]))[:HEAD]
     tail_n, tail_v = np.zeros(TAIL), np.zeros(TAIL)
@@ -296,7 +306,7 @@ def score(docs: DataFrame, vocab: DataFrame, lex, model: Model) -> DataFrame:
             def flush() -> None:
                 sums = np.zeros(len(wait))
                 owner, a = np.repeat(np.arange(len(wait)), [len(s) for s in wait]), 0
-                for part in chunks(wait):
+                for part in chunks(wait, PART):
                     b = a + len(part[0])
                     sums += np.bincount(owner[a:b], log_probs(sent.value, lexicon, *part), len(wait))
                     a = b
@@ -320,7 +330,7 @@ def score(docs: DataFrame, vocab: DataFrame, lex, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(known, pa.int64()),
                                               pa.array(base, pa.float64()), pa.array(lm, pa.float64()),
                                               pa.array(rest, rest_type)], names=names)
-    batch_rows(spark, 200)
+    python_tasks(spark, 200)
     rows = docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_tokens long, n_known long, base double, lm double, rest array<struct<word:binary,n:long>>")
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "lm-rows")
