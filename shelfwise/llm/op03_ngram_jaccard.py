@@ -22,12 +22,19 @@ are paired with each other. So every pair that shares a signature is either
 checked or already connected, without all pairs of a copy group. Of the second
 kind of pairs all common signatures are known: with sizes n and m, partners
 share at least t (n + m) / (1 + t) tokens, so a prefix of p rare tokens must
-share p - n + that many of its own, which rules most of them out unseen.
-
-To check pairs, sets go to the partition of one of the two (the hub), dealt
+share p - n + that many of its own, which rules most of them out unseen. One in
+FIRST of the rest (by hash) is checked before the others, as its links connect
+most of a loose group's members, whose other pairs then need no check. Each
+set also has a bitmap of BITS bits, one set per token hash: two bitmaps differ in
+at most as many bits as their sets differ in tokens, so pairs whose bitmaps
+differ in more than partners may are left out, in the join's own condition.
+
+To check pairs, first the tokens whose hash is divisible by SAMPLE, then, of
+the pairs left, whole sets go to the partition of one of the two (the hub), dealt
 over SALTS parts so that a hub with many partners is spread, and are read there
 as a sorted stream. Texts are found for them by a join on the document, whose
-small side is broadcast only if counted to be at most BROADCAST_DOCS rows.
+small side is broadcast only if its goals are counted to be at most BROADCAST_GOALS. A pair
+whose sampled tokens alone differ in more places than partners may is left out.
 
 Which tokens are frequent steers the cost alone, never the result: tasks count
 tokens lossily in bounded tables, and at most FREQUENT of those that reach
@@ -49,14 +56,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import batch_rows, fresh, materialize, table, word_lists
+from shelfwise.llm.common import fresh, materialize, most_frequent, python_tasks, table, word_lists
 
 FREQUENT = 1 << 18
-MIN_FREQUENT = 64
+MIN_FREQUENT = 512
 LOCAL = 3  # counts a task reports
 SALTS = 32
-BROADCAST_DOCS = 400_000
-HELD = 2_000_000
+SAMPLE = 8
+FIRST = 8
+WORDS64 = 16
+BITS = 64 * WORDS64
+BROADCAST_GOALS = 1_000_000
+HELD, SEEN = 1_000_000, 300_000  # tokens counted and set names remembered in a task
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -88,6 +99,22 @@ def node_of(tokens: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def bitmap(tokens: np.ndarray) -> list[int]:
+    """BITS bits as 64-bit words; a token sets the bit its upper hash bits name."""
+    on = np.zeros(BITS, bool)
+    on[(tokens >> np.uint64(40)) % np.uint64(BITS)] = True
+    return np.packbits(on).view(np.int64).tolist()
+
+
+def may_link(percent: int, x: str, y: str) -> Column:
+    """Sizes n_<x>, n_<y> and bitmaps b_<x>, b_<y> (a column per word) leave room for a link."""
+    n = F.col(f"n_{x}") + F.col(f"n_{y}")
+    least = F.ceil(percent * n / F.lit(100 + percent))
+    apart = [F.bit_count(F.col(f"b{i}_{x}").bitwiseXOR(F.col(f"b{i}_{y}"))) for i in range(WORDS64)]
+    return ((100 * F.least(f"n_{x}", f"n_{y}") >= percent * F.greatest(f"n_{x}", f"n_{y}"))
+            & (sum(apart[1:], apart[0]) <= n - 2 * least))
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """Signatures of a set, and their number if all are rare tokens, else 0; ``frequent``: sorted hashes."""
     n = len(tokens)
@@ -160,47 +187,49 @@ class Join:
             raise ValueError("the group sizes are proven for similarities from 0.7")
         self.spark, self.k, self.percent, self.salt = docs.sparkSession, k, percent, 0
         self.docs = docs.select("doc_id", F.col(text).alias("text"), text_hash(F.col(text)).alias("th"))
-        batch_rows(self.spark, 1000)
+        python_tasks(self.spark, 1000)
 
     # -- passes over the texts ------------------------------------------------
     def _names(self) -> DataFrame:
-        """Two kinds of rows. Documents: doc_id, th, n, node, again (every row's set by name).
+        """Two kinds of rows. Documents: doc_id, th, n, node, again, bits (every row's set by name).
         Tokens: no th, a task's lossy count n of token ``node``."""
         k, salt = self.k, self.salt
-        names = ["doc_id", "th", "n", "node", "again"]
+        names, bits_type = ["doc_id", "th", "n", "node", "again", "bits"], pa.list_(pa.int64())
         kind = self.docs.schema["doc_id"].dataType
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tally, seen, ids = _Tally(), set(), None
             for batch in batches:
-                n, named = [], []
+                n, named, bits = [], [], []
                 for value in batch.column(2):
                     s = token_set(value.as_py(), k, salt)
                     n.append(len(s))
                     named.append(node_of(s))
+                    bits.append(bitmap(s))
                     if named[-1][0] not in seen:
                         seen.add(named[-1][0])
                         tally.add(s)
-                if len(seen) > HELD:
+                if len(seen) > SEEN:
                     seen.clear()
                 ids = batch.column(0).type
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *(
-                    pa.array([x[i] for x in named], pa.int64()) for i in (0, 1))], names=names)
+                    pa.array([x[i] for x in named], pa.int64()) for i in (0, 1)), pa.array(bits, bits_type)], names=names)
             tally.merge()
             keep = tally.counts >= LOCAL
             tokens, counts = tally.keys[keep].view(np.int64), tally.counts[keep]
             for a in range(0, len(tokens), 100_000):
                 t, c = tokens[a: a + 100_000], counts[a: a + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(t), ids), pa.nulls(len(t), pa.int64()), pa.array(c),
-                                                  pa.array(t), pa.nulls(len(t), pa.int64())], names=names)
+                                                  pa.array(t), pa.nulls(len(t), pa.int64()),
+                                                  pa.nulls(len(t), bits_type)], names=names)
         # as many tallies as a few rounds of the cluster's cores: each sees a fair part of the corpus
         part = self.docs.select("doc_id", "th", "text").coalesce(4 * self.spark.sparkContext.defaultParallelism)
-        return part.mapInArrow(run, f"doc_id {kind.simpleString()}, th long, n long, node long, again long")
+        return part.mapInArrow(run, f"doc_id {kind.simpleString()}, th long, n long, node long, again long, bits array<long>")
 
     def _frequent(self, named: DataFrame) -> np.ndarray:
         found = (named.where(F.col("th").isNull()).groupBy("node").agg(F.sum("n").alias("n"))
                  .where(F.col("n") >= MIN_FREQUENT))
-        top = found.orderBy(F.desc("n"), "node").limit(FREQUENT).select("node").toArrow()
+        top = most_frequent(materialize(found, "jaccard-frequent"), "n", FREQUENT).select("node").toArrow()
         return np.sort(top["node"].to_numpy().view(np.uint64))
 
     def _index(self, frequent) -> DataFrame:
@@ -220,7 +249,7 @@ class Join:
                         sigs.append(found)
                         nodes.append(np.full(len(found), name, np.int64))
                         pure.append(np.full(len(found), rare > 0))
-                if len(seen) > HELD:
+                if len(seen) > SEEN:
                     seen.clear()
                 if sigs:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(
@@ -258,73 +287,83 @@ class Join:
         return (index.repartition(parts, "sig").sortWithinPartitions("sig", "node")
                 .mapInArrow(run, "sig long, node long, pure boolean, center long, center_pure boolean, at long"))
 
-    def _links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar enough; ``pairs``: (hub, leaf), each once."""
-        k, salt, percent = self.k, self.salt, self.percent
-        of = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"n_{s}"),
-                                    F.struct("doc_id", "th").alias(f"d_{s}"))
-        pairs = (pairs.join(of("hub"), "hub").join(of("leaf"), "leaf")
-                 .where(100 * F.least("n_hub", "n_leaf") >= percent * F.greatest("n_hub", "n_leaf"))
-                 .withColumn("salt", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int")))
+    def _links(self, pairs: DataFrame, nodes: DataFrame, samples: tuple[int, ...] = (1,)) -> DataFrame:
+        """The pairs (a, b) whose sets are similar enough; ``pairs``: (hub, leaf), each once.
+        ``samples``: checked one after the other, the last is 1 (whole sets)."""
+        percent = self.percent
+        of = lambda s: nodes.select(F.col("node").alias(f"at_{s}"), F.col("n").alias(f"n_{s}"),
+                                    F.struct("doc_id", "th").alias(f"d_{s}"), *_bits(s))
+        met = (F.col("leaf") == F.col("at_leaf")) & may_link(percent, "hub", "leaf")
+        pairs = (pairs.join(of("hub"), F.col("hub") == F.col("at_hub")).join(of("leaf"), met)
+                 .select("hub", "leaf", "d_hub", "d_leaf", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int").alias("salt")))
         pairs = materialize(pairs, "jaccard-pairs")
+        links = self._meet(pairs, samples[0])
+        for sample in samples[1:]:
+            links = self._meet(pairs.join(links, ["hub", "leaf"], "left_semi"), sample)
+        return links.select(F.col("hub").alias("a"), F.col("leaf").alias("b"))
+
+    def _meet(self, pairs: DataFrame, sample: int) -> DataFrame:
+        """The (hub, leaf) of ``pairs`` whose tokens of every ``sample``-th hash differ in no more places than a link's."""
+        k, salt, percent = self.k, self.salt, self.percent
         goal = lambda role: F.struct("hub", "salt", F.lit(role).alias("role"))
         wanted = (pairs.select("d_hub.*", goal(0).alias("goal")).distinct()
                   .unionByName(pairs.select("d_leaf.*", goal(1).alias("goal")))
                   .groupBy(F.col("doc_id").alias("to_id"), F.col("th").alias("to_text"))
                   .agg(F.collect_list("goal").alias("goals")))
         wanted = materialize(wanted, "jaccard-wanted")
-        small = wanted.count() <= BROADCAST_DOCS
+        small = wanted.agg(F.coalesce(F.sum(F.size("goals")), F.lit(0))).first()[0] <= BROADCAST_GOALS
         w = F.broadcast(wanted) if small else wanted
         rows = self.docs.join(w, self.docs["doc_id"].eqNullSafe(w["to_id"]) & (self.docs["th"] == w["to_text"]))
+        names = ["hub", "salt", "role", "node", "n", "tokens"]
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for value, goals in zip(batch.column(0), batch.column(1), strict=True):
                     s = token_set(value.as_py(), k, salt)
-                    node, blob, goals = node_of(s)[0], s.tobytes(), goals.as_py()
+                    node, n, blob, goals = node_of(s)[0], len(s), s[s % np.uint64(sample) == 0].tobytes(), goals.as_py()
                     step = max(1, (1 << 24) // max(1, len(blob)))
                     for a in range(0, len(goals), step):
                         part = goals[a: a + step]
                         yield pa.RecordBatch.from_arrays([
                             pa.array([g["hub"] for g in part], pa.int64()), pa.array([g["salt"] for g in part], pa.int32()),
                             pa.array([g["role"] for g in part], pa.int32()), pa.array([node] * len(part), pa.int64()),
-                            pa.array([blob] * len(part), pa.binary())], names=["hub", "salt", "role", "node", "tokens"])
+                            pa.array([n] * len(part), pa.int64()), pa.array([blob] * len(part), pa.binary())], names=names)
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            key, y = None, None
+            key, y, m = None, None, 0
             for batch in batches:
                 a, b = [], []
-                for i, (hub, part, role, node) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True)):
-                    x = np.frombuffer(batch.column(4)[i].as_buffer(), np.uint64)
+                for i, (hub, part, role, node, n) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:5]), strict=True)):
+                    x = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint64)
                     if role == 0:
-                        key, y = (hub, part), x.copy()
+                        key, y, m = (hub, part), x.copy(), n
                     elif key == (hub, part):
-                        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                        common = int((y[at] == x).sum())
-                        if 100 * common >= percent * (len(x) + len(y) - common):
+                        common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(y) else 0
+                        # partners of n and m tokens share at least ceil(t (n + m) / (1 + t))
+                        if len(x) + len(y) - 2 * common <= n + m - 2 * -(-percent * (n + m) // (100 + percent)):
                             a.append(hub)
                             b.append(node)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["hub", "leaf"])
         parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
-        met = (rows.select("text", "goals").mapInArrow(sets, "hub long, salt int, role int, node long, tokens binary")
+        met = (rows.select("text", "goals").mapInArrow(sets, "hub long, salt int, role int, node long, n long, tokens binary")
                .repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "role"))
-        return materialize(met.mapInArrow(check, "a long, b long"), "jaccard-links")
+        return materialize(met.mapInArrow(check, "hub long, leaf long"), "jaccard-links")
 
     def _pairs_across(self, members: DataFrame, component: DataFrame, nodes: DataFrame) -> DataFrame:
         """Members of one signature in different components that share enough signatures, as (hub, leaf)."""
         percent, own = self.percent, component.select("node", "component")
-        m = (members.join(own, "node", "left").join(nodes.select("node", "n"), "node")
-             .select("sig", "node", "n", "pure", F.coalesce("component", "node").alias("component")))
+        m = members.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
         shares = m.groupBy("sig", "component").agg(F.count("*").alias("c"))
         mixed = (shares.groupBy("sig").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("k"))
                  .where(F.col("k") > 1).select("sig", F.col("top.component").alias("top")))
         m = materialize(m.join(mixed, "sig"), "jaccard-mixed")
-        side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pure", "component")]
+        m = m.join(nodes.select("node", "n", *[f"b{i}" for i in range(WORDS64)]), "node")
+        side = lambda s: [*(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pure", "component")), *_bits(s)]
         x = m.where(F.col("component") != F.col("top")).select(F.col("sig").alias("sig_x"), *side("x"))
         y = m.select("sig", "top", *side("y"))
         met = x.join(y, (F.col("sig_x") == F.col("sig")) & (F.col("component_x") != F.col("component_y"))
                      & ((F.col("component_y") == F.col("top")) | (F.col("node_x") < F.col("node_y")))
-                     & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")))
+                     & may_link(percent, "x", "y"))
         first = F.col("node_x") < F.col("node_y")
         pick = lambda c, is_x: F.when(is_x, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y"))
         met = met.select(*(pick(c, cond).alias(f"{c}_{s}") for s, cond in (("hub", first), ("leaf", ~first))
@@ -343,22 +382,32 @@ class Join:
             found = named.where(F.col("th").isNotNull())
             nodes = materialize(found.where(F.col("n") > 0).groupBy("node").agg(
                 F.min("n").alias("n"), F.min("again").alias("lo"), F.max("again").alias("hi"),
-                F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("smallest")), "jaccard-nodes")
+                F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("smallest"),
+                F.first("bits").alias("bits")), "jaccard-nodes")
             if nodes.where(F.col("lo") != F.col("hi")).isEmpty():
                 break
             self.salt += 1  # two sets share a name: name all anew
-        nodes = nodes.select("node", "n", "rep.doc_id", "rep.th", "smallest")
+        nodes = nodes.select("node", "n", "rep.doc_id", "rep.th", "smallest",
+                             *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(WORDS64)])
         frequent = self.spark.sparkContext.broadcast(self._frequent(named))  # at most FREQUENT hashes
         stars = materialize(self._stars(self._index(frequent)), "jaccard-stars")
-        links = self._links(stars.select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct(), nodes)
+        links = self._links(stars.select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct(), nodes,
+                            (SAMPLE, 1))
         component = components(links)
         larger = stars.where(F.col("at") > 1).select("sig").distinct()
         of = stars.join(larger, "sig")
         members = of.select("sig", "node", "pure").unionByName(
             of.where(F.col("at") == 1).select("sig", F.col("center").alias("node"), F.col("center_pure").alias("pure")))
-        across = self._links(self._pairs_across(members, component, nodes), nodes)
-        if not across.isEmpty():
-            component = components(links.unionByName(across))
+        across = materialize(self._pairs_across(members, component, nodes), "jaccard-across")
+        early = F.pmod(F.xxhash64("hub", "leaf"), F.lit(FIRST)) == 0
+        for part in (across.where(early), across.where(~early)):
+            root = lambda s, c=component: c.select(F.col("node").alias(s), F.col("component").alias(f"root_{s}"))
+            apart = (part.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left")
+                     .where(F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"))
+            more = self._links(apart, nodes)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                component = components(links)
         whole = nodes.join(component, "node", "left").select(
             "node", F.coalesce("component", "node").alias("component"), "smallest")
         least = whole.groupBy("component").agg(F.min("smallest").alias("component_id"))
@@ -369,6 +418,10 @@ class Join:
             F.when(F.col("n") > 0, F.col("component")).alias("component"))
 
 
+def _bits(side: str) -> list[Column]:
+    return [F.col(f"b{i}").alias(f"b{i}_{side}") for i in range(WORDS64)]
+
+
 def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
