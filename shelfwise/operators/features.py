@@ -54,6 +54,8 @@ def with_revenue(df: DataFrame) -> DataFrame:
 
 
 def series_window(df: DataFrame) -> Window:
+    """History window: per series, by day. A frame without series keys is one
+    series, which holds a row per calendar day."""
     keys = [c for c in SERIES if c in df.columns]
     w = Window.partitionBy(*keys) if keys else Window.partitionBy()
     return w.orderBy(D.day_number(F.col(DATE)))
@@ -99,28 +101,24 @@ def moving_averages(df: DataFrame, windows=(7, 30), include_current: bool = True
 # ------------------------------------------------------------------ one-hot
 
 
-def vocabularies(df: DataFrame, cols, max_levels: int = 1000) -> dict[str, list[str]]:
-    """Sorted distinct values per column, two bounded driver round trips.
+def vocabularies(df: DataFrame, cols) -> dict[str, list[str]]:
+    """Sorted distinct values per column: one distinct over (column, value) pairs.
 
-    The wide form is only for bounded vocabularies; beyond ``max_levels`` use
-    ``one_hot_vector`` (sparse, fitted by MLlib) instead.
+    The values become columns, so they come to the driver; a caller with large
+    vocabularies takes ``one_hot_vector`` (sparse, fitted by MLlib).
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return {}
-    sizes = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first().asDict()
-    big = {c: n for c, n in sizes.items() if n > max_levels}
-    if big:
-        raise ValueError(f"vocabulary too large for wide one-hot {big}; use one_hot_vector")
-    row = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(c) for c in cols]).first()
-    return {c: list(row[c]) for c in cols}
+    pair = lambda c: F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+    pairs = df.select(F.inline(F.array(*[pair(c) for c in cols]))).where(F.col("v").isNotNull()).distinct().collect()
+    return {c: sorted(r["v"] for r in pairs if r["c"] == c) for c in cols}
 
 
-def one_hot(df: DataFrame, cols=CATEGORICAL, vocab: dict[str, list[str]] | None = None,
-            max_levels: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, cols=CATEGORICAL, vocab: dict[str, list[str]] | None = None) -> DataFrame:
     """Wide one-hot: ``{col}_{value}`` int columns, alphabetical; NULL -> all 0."""
     cols = [c for c in cols if c in df.columns]
-    vocab = vocab if vocab is not None else vocabularies(df, cols, max_levels)
+    vocab = vocab if vocab is not None else vocabularies(df, cols)
     new = {}
     for c in cols:
         for v in vocab.get(c, []):
@@ -174,9 +172,9 @@ def build_features(panel: DataFrame, lags=(1, 7, 30), windows=(7, 30), *,
                    one_hot_form: str = "wide", vocab=None) -> DataFrame:
     """L1: calendar -> numerics -> revenue -> lags -> MAs -> one-hot -> fill -> clip.
 
-    ``one_hot_form``: "wide" (reference layout, bounded vocabularies only),
+    ``one_hot_form``: "wide" (reference layout, a column per value),
     "vector" (categoricals kept as text; the sparse encoding is fitted by the
-    model preparation on training rows), or "none".
+    model preparation on training rows), or "none". The caller chooses; sizes do not.
     """
     from shelfwise.operators.quality import require_key_features
     df = calendar_features(panel)
@@ -216,7 +214,7 @@ def feature_frame(df: DataFrame, target: str = QUANTITY, leaky: bool = False):
     Returns (frame, feature column names); keys and dates stay on the frame.
     """
     if target not in df.columns:
-        raise ValueError(f"Target column '{target}' not found in DataFrame.")
+        raise ValueError(f"no target column {target!r} among the features")
     feats = feature_columns(df, target, leaky)
     out = df.withColumns({c: clip(fill_zero(F.col(c).cast("double"))) for c in feats})
     label = clip(fill_zero(finite_or_null(F.col(target).cast("double"))), 0.0, CLIP_BOUND)

@@ -1,7 +1,8 @@
 """Validation and cleaning.
 
 Pipeline order (coerce before clamping, see README): parse_date -> coerce_types
--> fix_category -> impute -> dedup -> clamp_negative.
+-> fix_category (together ``typed_sales``) -> impute -> dedup -> clamp_negative
+(together ``tidy_sales``).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from shelfwise.functions.dates import parse_date
 from shelfwise.schema import (DATE, DATE_TEXT, PRICE, QUANTITY, REQUIRED_RAW_COLUMNS,
                               SERIES, UNITS, normalise_name)
+from shelfwise.session import cut_lineage
 
 # ---------------------------------------------------------------- V1 / V11 / V12
 
@@ -20,39 +22,36 @@ from shelfwise.schema import (DATE, DATE_TEXT, PRICE, QUANTITY, REQUIRED_RAW_COL
 def require_columns(df: DataFrame | None, cols=REQUIRED_RAW_COLUMNS) -> None:
     """Error on a missing/empty frame or missing columns (raw or snake names)."""
     if df is None or not df.columns or df.isEmpty():
-        raise ValueError("Dataset is None or empty. Cannot validate columns.")
+        raise ValueError("sales rows: None or empty, nothing to check")
     have = {normalise_name(c) for c in df.columns}
     missing = sorted(c for c in cols if normalise_name(c) not in have)
     if missing:
-        raise ValueError(f"Dataset missing required columns: {missing}. "
-                         f"Available columns: {sorted(df.columns)}")
+        raise ValueError(f"sales rows: missing required columns {missing}; found {sorted(df.columns)}")
 
 
 def guard_not_empty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
-        raise ValueError(f"{what} is empty.")
+        raise ValueError(f"{what}: no rows")
     return df
 
 
 def guard_test_size(test_size: float) -> None:
     if not 0 < test_size < 1:
-        raise ValueError("test_size must be between 0 and 1")
+        raise ValueError(f"test_size {test_size} lies outside (0, 1)")
 
 
 def guard_no_nan(df: DataFrame, col: str = "prediction") -> None:
     """NaN/NULL predictions are an error (one aggregate pass)."""
     bad = df.select(F.count_if(F.col(col).isNull() | F.isnan(col)).alias("n")).first()["n"]
     if bad:
-        raise ValueError(f"Predictions contain NaN values ({bad}); cannot continue.")
+        raise ValueError(f"{bad} predictions are NaN or NULL")
 
 
 def require_key_features(df: DataFrame) -> None:
     """Engineered weather/seasonality/region features must exist (exact names)."""
-    for prefix, label in (("weather_condition", "Weather Condition"),
-                          ("seasonality", "Seasonality"), ("region", "Region")):
-        ok = any(c.startswith(prefix + "_") for c in df.columns)
-        if not ok:
-            raise ValueError(f"{label} features not found after encoding. Check data.")
+    for prefix in ("weather_condition", "seasonality", "region"):
+        if not any(c.startswith(prefix + "_") for c in df.columns):
+            raise ValueError(f"no encoded {prefix} columns; is the raw column empty?")
 
 
 # ---------------------------------------------------------------- V2 leakage audit
@@ -131,21 +130,33 @@ def inconsistent_products(df: DataFrame) -> DataFrame:
             .where(F.col("n_categories") > 1))
 
 
-def modal_category(df: DataFrame) -> DataFrame:
+def modal_category(pairs: DataFrame) -> DataFrame:
     """Most frequent category of each inconsistent product; ties -> smallest,
     chosen on the product x category table."""
     best = F.min_by("category", F.struct((-F.col("_c")).alias("neg"), F.col("category").alias("cat")))
-    return (category_pairs(df).groupBy("product_id")
+    return (pairs.groupBy("product_id")
             .agg(best.alias("_modal"), F.count(F.lit(1)).alias("_n"))
             .where(F.col("_n") > 1)
             .select("product_id", "_modal"))
 
 
-def fix_category(df: DataFrame) -> DataFrame:
+MODAL_BROADCAST_ROWS = 1_000_000
+
+
+def fix_category(df: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """Rewrite every row of an inconsistent product to its modal category
-    (including rows whose category was missing)."""
-    modal = modal_category(df)
-    out = df.join(modal, "product_id", "left")
+    (including rows whose category was missing).
+
+    The modal table (one row per inconsistent product) is computed first, by
+    its own job, so that the rows' plan holds their source once and no exchange
+    on the product; it is broadcast if counted to be at most
+    MODAL_BROADCAST_ROWS, otherwise Spark joins (and splits skewed products).
+    """
+    modal = cut_lineage(modal_category(category_pairs(df) if pairs is None else pairs))
+    n = modal.count()
+    if not n:
+        return df
+    out = df.join(F.broadcast(modal) if n <= MODAL_BROADCAST_ROWS else modal, "product_id", "left")
     return out.withColumn("category", F.coalesce("_modal", "category")).select(*df.columns)
 
 
@@ -204,90 +215,94 @@ def coerce_types(df: DataFrame) -> DataFrame:
     return df.withColumns(changes)
 
 
+def with_dates(df: DataFrame) -> DataFrame:
+    """``date_text`` -> ``date``; text that is no date becomes NULL."""
+    if DATE_TEXT in df.columns:
+        return df.withColumn(DATE, parse_date(DATE_TEXT)).drop(DATE_TEXT)
+    if DATE in df.columns:
+        return df
+    raise ValueError("Date column not found: sales rows need 'Date'")
+
+
+def guard_dates(df: DataFrame) -> None:
+    """Error if there are rows but none has a date (a bounded check)."""
+    if not df.isEmpty() and df.where(F.col(DATE).isNotNull()).isEmpty():
+        raise ValueError("Failed to parse any Date; the formats of functions.dates are accepted")
+
+
 def parse_dates(df: DataFrame) -> DataFrame:
-    """``date_text`` -> ``date``; error only if no row parses (bounded check)."""
-    if DATE_TEXT not in df.columns:
-        if DATE in df.columns:
-            return df
-        raise ValueError("Date column not found in DataFrame. Required column 'Date' is missing.")
-    out = df.withColumn(DATE, parse_date(DATE_TEXT)).drop(DATE_TEXT)
-    if out.where(F.col(DATE).isNotNull()).isEmpty():
-        raise ValueError("Failed to parse Date column. Please ensure dates are in a "
-                         "recognizable format (YYYY-MM-DD, MM/DD/YYYY, etc.).")
+    """``with_dates``, and an error if no row's date parses."""
+    out = with_dates(df)
+    if DATE_TEXT in df.columns:
+        guard_dates(out)
     return out
 
 
+def typed_sales(df: DataFrame) -> DataFrame:
+    """Raw rows with dates, types and repaired categories: what the panel, the
+    stock column and the quality report all start from."""
+    return fix_category(coerce_types(with_dates(df)))
+
+
+def tidy_sales(df: DataFrame) -> DataFrame:
+    """Typed rows imputed, deduplicated and clamped; rows without a date survive
+    here and are dropped by the daily panel's key filter (as in the reference)."""
+    return clamp_negative(dedup(impute(df)))
+
+
 def clean_sales(df: DataFrame, check_dates: bool = True) -> DataFrame:
-    """Full cleaning chain; rows with unparseable dates survive here and are
-    dropped by the daily panel's key filter (as in the reference)."""
-    if check_dates:
-        df = parse_dates(df)
-    elif DATE_TEXT in df.columns:
-        df = df.withColumn(DATE, parse_date(DATE_TEXT)).drop(DATE_TEXT)
-    df = coerce_types(df)
-    df = fix_category(df)
-    df = impute(df)
-    df = dedup(df)
-    return clamp_negative(df)
+    """The full cleaning chain."""
+    return tidy_sales(typed_sales(parse_dates(df) if check_dates else df))
 
 
 # ---------------------------------------------------------------- V10
 
 
 def quality_report(raw: DataFrame) -> DataFrame:
-    """Long-form (metric, value) quality report over raw (text) rows.
+    """Long-form (metric, value) quality report over raw (text) rows, in two passes.
 
-    Three aggregate branches: input defects in one pass; inconsistent products;
-    duplicates and negatives over the distinct cleaned rows.
+    One aggregate per (product, category) holds the input defects, from which
+    their totals, the inconsistent products and the modal categories follow;
+    the second pass groups the repaired rows to count duplicates and negatives.
     """
     typed = {f.name: f.dataType for f in raw.schema.fields}
+    none = F.lit(0).cast("bigint")
 
     def bad_number(c):
-        if c in typed and isinstance(typed[c], T.StringType):
-            return F.count_if(F.col(c).isNotNull() & F.expr(f"try_cast(`{c}` as double)").isNull())
-        return F.lit(0).cast("bigint")
+        text = c in typed and isinstance(typed[c], T.StringType)
+        return F.count_if(F.col(c).isNotNull() & F.expr(f"try_cast(`{c}` as double)").isNull()) if text else none
 
-    date_bad = (F.count_if(F.col(DATE_TEXT).isNotNull() & parse_date(DATE_TEXT).isNull())
-                if DATE_TEXT in typed else F.lit(0).cast("bigint"))
-    date_missing = F.count_if(F.col(DATE_TEXT if DATE_TEXT in typed else DATE).isNull())
     def missing(c):
-        return F.count_if(F.col(c).isNull()) if c in typed else F.lit(0).cast("bigint")
-
-    inputs = raw.agg(
-        F.count(F.lit(1)).alias("input_rows"),
-        missing("product_id").alias("missing_product_id"),
-        missing("category").alias("missing_category"),
-        missing(UNITS).alias("missing_units_sold"),
-        date_missing.alias("missing_date"),
-        date_bad.alias("bad_dates"),
-        bad_number(UNITS).alias("units_sold_converted"),
-        bad_number(PRICE).alias("price_converted"),
-    )
-    inputs_long = inputs.select(F.expr(
-        "stack(8, 'input_rows', input_rows, 'missing_product_id', missing_product_id, "
-        "'missing_category', missing_category, 'missing_units_sold', missing_units_sold, "
-        "'missing_date', missing_date, 'bad_dates', bad_dates, "
-        "'units_sold_converted', units_sold_converted, 'price_converted', price_converted) "
-        "as (metric, value)"))
-
-    typed_rows = coerce_types(raw.withColumn(DATE, parse_date(DATE_TEXT)).drop(DATE_TEXT)
-                              if DATE_TEXT in typed else raw)
-    incons = inconsistent_products(typed_rows).agg(F.count(F.lit(1)).alias("value")) \
-        .select(F.lit("inconsistent_products").alias("metric"), "value")
-
-    kept = impute(fix_category(typed_rows))
+        return F.count_if(F.col(c).isNull()) if c in typed else none
+    defects = {
+        "input_rows": F.count(F.lit(1)),
+        "missing_product_id": missing("product_id"),
+        "missing_category": missing("category"),
+        "missing_units_sold": missing(UNITS),
+        "missing_date": F.count_if(F.col(DATE_TEXT if DATE_TEXT in typed else DATE).isNull()),
+        "bad_dates": (F.count_if(F.col(DATE_TEXT).isNotNull() & parse_date(DATE_TEXT).isNull())
+                      if DATE_TEXT in typed else none),
+        "units_sold_converted": bad_number(UNITS),
+        "price_converted": bad_number(PRICE),
+    }
+    ids = [F.col(c).cast("string").alias(c) for c in ("product_id", "category")]
+    table = cut_lineage(raw.groupBy(*ids).agg(*[v.alias(k) for k, v in defects.items()]))
+    pairs = (table.where(F.col("product_id").isNotNull() & F.col("category").isNotNull())
+             .withColumnRenamed("input_rows", "_c").select("product_id", "category", "_c"))
+    totals = table.agg(*[F.coalesce(F.sum(k), none).alias(k) for k in defects])
+    incons = (pairs.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+              .agg(F.count(F.lit(1)).alias("inconsistent_products")))
+
+    kept = impute(fix_category(coerce_types(with_dates(raw)), pairs))
     groups = kept.groupBy(*kept.columns).agg(F.count(F.lit(1)).alias("_n"))
+
     def negatives(c):
-        return F.count_if(F.col(c) < 0) if c in kept.columns else F.lit(0).cast("bigint")
-
-    dup = groups.agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates_removed"),
-        F.count(F.lit(1)).alias("clean_rows"),
-        negatives(UNITS).alias("negative_units_fixed"),
-        negatives(PRICE).alias("negative_price_fixed"),
-    ).select(F.expr(
-        "stack(4, 'duplicates_removed', duplicates_removed, 'clean_rows', clean_rows, "
-        "'negative_units_fixed', negative_units_fixed, 'negative_price_fixed', negative_price_fixed) "
-        "as (metric, value)"))
-    cast = lambda d: d.select("metric", F.col("value").cast("bigint").alias("value"))
-    return cast(inputs_long).unionByName(cast(incons)).unionByName(cast(dup))
+        return F.count_if(F.col(c) < 0) if c in kept.columns else none
+    rows = groups.agg(
+        F.coalesce(F.sum(F.col("_n") - 1), none).alias("duplicates_removed"), F.count(F.lit(1)).alias("clean_rows"),
+        negatives(UNITS).alias("negative_units_fixed"), negatives(PRICE).alias("negative_price_fixed"))
+
+    def long(one: DataFrame) -> DataFrame:
+        return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value"))
+                                             for c in one.columns])))
+    return long(totals).unionByName(long(incons)).unionByName(long(rows))

@@ -1,25 +1,31 @@
 """Chronological position without a global sort (W4, T1, T2/T3 ranges).
 
 Row position is defined by the total order (date, store, product, category,
-region). Instead of numbering every row (a global sort through one partition),
-we:
+region, then the other columns). Instead of numbering every row (a global sort
+through one partition), we:
 
 1. count rows per date (partial aggregate; the result is bounded by the
    calendar span) and take a running sum over that small table;
-2. for each boundary position, find its date and, inside that date only, the
-   key tuple of the row at that position (one ranked pass over the rows of at
-   most ``len(boundaries)`` dates; a panel date holds one row per series);
+2. for each boundary position, find the key tuple of the row there: the
+   date's rows are counted per tuple, the tuples are range-partitioned, and only
+   the one range that holds the position is ranked;
 3. label every row with a pure predicate: ``(date, keys) >= boundary``.
 
+Rows that agree in every column are interchangeable: if a boundary falls inside
+such a group, its copies are counted and dealt out by number. NULLs are values
+of the order (first), in dates and keys alike.
+
 Only the boundary tuples reach the driver. The labelled frame is a narrow
 projection of the input: no shuffle of the data itself.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import add, or_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,16 +33,27 @@ from pyspark.sql import types as T
 from shelfwise.operators.quality import guard_test_size
 from shelfwise.schema import DATE, SERIES
 
+ATOMIC = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
+
+
+@dataclass(frozen=True)
+class Boundary:
+    """The row at a position: its values in ``cols``, and its number (from 1) among the equal rows."""
+    cols: tuple[str, ...]
+    values: tuple
+    number: int = 1
+
 
 def order_keys(df: DataFrame) -> list[str]:
-    """Within-date order: the series keys; a frame without them is ordered by
-    its remaining atomic columns (identical rows are interchangeable)."""
+    """Within-date order by the series keys; a frame without them is ordered by its other columns."""
+    return [c for c in SERIES if c in df.columns] or all_keys(df)
+
+
+def all_keys(df: DataFrame) -> list[str]:
+    """The series keys, then every other atomic column by name."""
     keys = [c for c in SERIES if c in df.columns]
-    if keys:
-        return keys
-    atomic = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.BooleanType)
-    return sorted(f.name for f in df.schema.fields
-                  if f.name != DATE and isinstance(f.dataType, atomic))
+    return keys + sorted(f.name for f in df.schema.fields
+                         if f.name != DATE and f.name not in keys and isinstance(f.dataType, ATOMIC))
 
 
 def date_counts(df: DataFrame) -> DataFrame:
@@ -59,76 +76,97 @@ def _covering(positions: list[int]) -> Column:
                    for p in positions])
 
 
-def locate(df: DataFrame, dc: DataFrame, positions: list[int]) -> list[tuple | None]:
-    """For each 0-based position, (date, key tuple) of the row there (None past the end).
+def locate(df: DataFrame, dc: DataFrame, positions: list[int]) -> list[Boundary | None]:
+    """For each 0-based position, the boundary of the row there (None past the end).
 
     One job over the (small) date table returns only the covering dates; the
     row inside each such date is found by ``kth_in_date``.
     """
     pos = sorted(set(p for p in positions if p >= 0))
-    result: dict[int, tuple | None] = {p: None for p in pos}
+    result: dict[int, Boundary | None] = {p: None for p in pos}
     if pos:
         for row in dc.where(_covering(pos)).collect():
             for p in pos:
                 if row["before"] <= p < row["before"] + row["n"]:
-                    k = p - row["before"] + 1
-                    result[p] = (row[DATE], kth_in_date(df, row[DATE], k, row["n"]))
+                    result[p] = kth_in_date(df, row[DATE], p - row["before"] + 1)
     return [result.get(p) for p in positions]
 
 
-# Above this many rows in one date, the k-th row of the date is found by a
-# prefix descent (one partial count per key) instead of a single window
-# partition, so a hot date is never sorted inside one task.
-MAX_ROWS_ONE_TASK = 2_000_000
+def kth_in_date(df: DataFrame, d, k: int) -> Boundary:
+    """The k-th (1-based) row of date ``d`` in key order, by the series keys and,
+    where several rows share those, by all columns."""
+    day = df.where(F.col(DATE).eqNullSafe(F.lit(d).cast(df.schema[DATE].dataType)))
+    keys = order_keys(df)
+    values, number, copies = _kth_tuple(day, keys, k)
+    if copies > 1 and len(all_keys(df)) > len(keys):
+        keys = all_keys(df)
+        values, number, copies = _kth_tuple(day, keys, k)
+    return Boundary((DATE, *keys), (d, *values), number if copies > 1 else 1)
 
 
-def kth_in_date(df: DataFrame, d, k: int, n_in_date: int, max_rows: int | None = None) -> tuple:
-    """Key tuple of the k-th (1-based) row of date ``d`` in key order.
+def _kth_tuple(day: DataFrame, keys: list[str], k: int) -> tuple[tuple, int, int]:
+    """Key tuple that holds rank ``k``, the rank inside its rows, and their count.
 
-    Small dates: one ranking window over that date. Large dates: for each key
-    in turn, count rows per value under the prefix fixed so far (a
-    partial aggregate: the table is as large as that key's cardinality, never
-    the rows), walk the running counts and fix the value holding rank k.
+    Rows are counted per tuple (partial aggregate), the tuples dealt out by
+    ranges, and the ranges' counts added up; only the range that holds the rank
+    is walked, so no task sees more than one range.
     """
-    keys = order_keys(df)
-    day = df.where(F.col(DATE) == F.lit(d))
-    if n_in_date <= (MAX_ROWS_ONE_TASK if max_rows is None else max_rows):
-        w = Window.partitionBy(DATE).orderBy(*keys)
-        hit = (day.select(DATE, *keys, F.row_number().over(w).alias("_rank"))
-               .where(F.col("_rank") == F.lit(k)).collect())
-        return tuple(hit[0][c] for c in keys)
-    found, remaining, sub = [], k, day
-    for key in keys:
-        counts = sub.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-        row = (counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
-               .where((F.col("before") < remaining) & (F.col("before") + F.col("n") >= remaining))
-               .first())
-        found.append(row[key])
-        remaining -= row["before"]
-        sub = sub.where(F.col(key) == F.lit(row[key]))
-    return tuple(found)
-
-
-def at_or_after(df: DataFrame, boundary: tuple | None) -> Column:
-    """Predicate: (date, keys) >= boundary in the total order."""
+    if not keys:
+        return (), k, day.count()
+    counts = day.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    parts = int(day.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # persisted, so that both passes see the same ranges
+    ranged = (counts.repartitionByRange(parts, *keys).withColumn("_range", F.spark_partition_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    before = 0
+    for r in sorted(ranged.groupBy("_range").agg(F.sum("_n").alias("n")).collect(), key=lambda r: r["_range"]):
+        if before + r["n"] >= k:
+            break
+        before += r["n"]
+    w = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    row = (ranged.where(F.col("_range") == r["_range"]).withColumn("_upto", F.sum("_n").over(w))
+           .where((F.col("_upto") >= k - before) & (F.col("_upto") - F.col("_n") < k - before)).first())
+    ranged.unpersist()
+    return tuple(row[c] for c in keys), k - before - (row["_upto"] - row["_n"]), row["_n"]
+
+
+def _tuples(df: DataFrame, b: Boundary) -> tuple[Column, Column]:
+    """A row's values and the boundary's as structs: these compare NULLs as values."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return (F.struct(*[F.col(c).alias(c) for c in b.cols]),
+            F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(b.cols, b.values, strict=True)]))
+
+
+def at_or_after(df: DataFrame, boundary: Boundary | None) -> Column:
+    """Predicate: the row's tuple is past the boundary's, or equal where the boundary is its first copy."""
     if boundary is None:
         return F.lit(False)
-    d, key_values = boundary
-    keys = order_keys(df)
-    same_day = F.col(DATE) == F.lit(d)
-    if not keys:
-        return F.col(DATE) >= F.lit(d)
-    tup = F.struct(*[F.col(k) for k in keys]) >= F.struct(*[F.lit(v) for v in key_values])
-    return (F.col(DATE) > F.lit(d)) | (same_day & tup)
+    row, edge = _tuples(df, boundary)
+    return row >= edge if boundary.number == 1 else row > edge
 
 
-def bucket(df: DataFrame, boundaries: list[tuple | None], name: str = "fold") -> DataFrame:
+def bucket(df: DataFrame, boundaries: list[Boundary | None], name: str = "fold") -> DataFrame:
     """Number of boundaries each row is at or past (0 .. len(boundaries))."""
     if not boundaries:
         return df.withColumn(name, F.lit(0))
-    parts = [at_or_after(df, b).cast("int") for b in boundaries]
-    return df.withColumn(name, reduce(add, parts))
+    passed = reduce(add, [at_or_after(df, b).cast("int") for b in boundaries])
+    inside: dict[tuple, list[int]] = {}
+    for b in boundaries:
+        if b is not None and b.number > 1:
+            inside.setdefault((b.cols, b.values), []).append(b.number)
+    if not inside:
+        return df.withColumn(name, passed)
+    # groups of equal rows with a boundary inside: count the copies, deal them out again by number
+    equal = {key: (lambda row, edge: row == edge)(*_tuples(df, Boundary(*key))) for key in inside}
+    out = df.where(~any_of(list(equal.values()))).withColumn(name, passed)
+    for key, numbers in inside.items():
+        extra = reduce(add, [(F.col("_copy") >= F.lit(n)).cast("int") for n in numbers])
+        copies = (df.where(equal[key]).withColumn(name, passed).groupBy(*df.columns, name)
+                  .agg(F.count(F.lit(1)).alias("_n"))
+                  .withColumn("_end", F.sum("_n").over(Window.partitionBy(*key[0]).orderBy(F.xxhash64(*df.columns))))
+                  .select(*df.columns, name, F.explode(F.sequence(F.col("_end") - F.col("_n") + 1, F.col("_end"))).alias("_copy")))
+        out = out.unionByName(copies.withColumn(name, F.col(name) + extra).drop("_copy"))
+    return out
 
 
 def split_position(n: int, test_size: float) -> int:
@@ -143,16 +181,14 @@ def chrono_split(df: DataFrame, test_size: float = 0.2, boundary: str = "rows")
     guard_test_size(test_size)
     b = boundary_row(df, test_size)
     if boundary == "date":
-        test = F.col(DATE) >= F.lit(b[0])
-    else:
-        test = at_or_after(df, b)
-    return df.withColumn("is_train", ~test)
+        return df.withColumn("is_train", ~at_or_after(df, Boundary(b.cols[:1], b.values[:1])))
+    return bucket(df, [b], "is_train").withColumn("is_train", F.col("is_train") == 0)
 
 
-def boundary_row(df: DataFrame, test_size: float) -> tuple:
-    """(date, keys) of the first test row, found with one job on the date table
-    (cut = floor(n * (1 - test_size)) evaluated in Spark, same double
-    arithmetic as ``int``) plus one ranking job inside that date."""
+def boundary_row(df: DataFrame, test_size: float) -> Boundary:
+    """The first test row, found with one job on the date table (cut = floor(n *
+    (1 - test_size)) evaluated in Spark, same double arithmetic as ``int``)
+    plus the search inside that date."""
     dc = date_counts(df)
     total = F.sum("n").over(Window.partitionBy())
     cut = F.floor(total.cast("double") * F.lit(1 - test_size)).cast("long")
@@ -161,11 +197,9 @@ def boundary_row(df: DataFrame, test_size: float) -> tuple:
                    | (F.col("_cut") <= 0))
             .limit(1).collect())
     if not rows or rows[0]["_cut"] <= 0:
-        raise ValueError("Train/test split produced an empty dataset. "
-                         "Check test_size and filtering thresholds.")
+        raise ValueError("Train/test split produced an empty dataset: too few rows for this test_size.")
     r = rows[0]
-    k = r["_cut"] - r["before"] + 1
-    return (r[DATE], kth_in_date(df, r[DATE], k, r["n"]))
+    return kth_in_date(df, r[DATE], r["_cut"] - r["before"] + 1)
 
 
 def chronological(df: DataFrame) -> DataFrame:
@@ -186,9 +220,9 @@ def cv_ranges(n: int, n_splits: int = 5) -> list[dict]:
     """Expanding time-series CV: fold = n // (k+1); fold i validates
     [n - (k-i)*fold, +fold) and trains on everything before."""
     if n_splits < 2:
-        raise ValueError("n_splits must be at least 2 for cross-validation.")
+        raise ValueError(f"n_splits is {n_splits}; cross-validation needs at least 2 folds")
     if n <= n_splits:
-        raise ValueError(f"Not enough samples ({n}) for {n_splits} TimeSeriesSplit folds.")
+        raise ValueError(f"Not enough samples: {n} rows cannot fill {n_splits} expanding folds")
     fold = n // (n_splits + 1)
     out = []
     for i in range(n_splits):
@@ -202,10 +236,10 @@ def walk_forward_ranges(n: int, n_splits: int = 5, test_size: float = 0.2) -> li
     """Walk-forward: m = int(n*(1-test_size)), fold = m // (k+1), train
     [0, fold*(i+1)), test the next fold; the remainder is unused."""
     if n_splits < 2:
-        raise ValueError("n_splits must be at least 2 for walk-forward validation.")
+        raise ValueError(f"n_splits is {n_splits}; walk-forward validation needs at least 2 folds")
     m = split_position(n, test_size)
     if m <= n_splits:
-        raise ValueError(f"Not enough samples ({m}) for {n_splits} walk-forward folds.")
+        raise ValueError(f"Not enough samples: {m} rows before the test part, {n_splits} folds asked")
     fold = m // (n_splits + 1)
     out = []
     for i in range(n_splits):

@@ -44,11 +44,12 @@ def estimate_stock(panel: DataFrame, days_of_coverage: float = 10.0,
 
 
 def latest_stock(raw: DataFrame, column: str) -> DataFrame:
-    """Latest raw stock value per product (latest date; ties by store, region,
-    value), missing -> 0, floor 0. ``max_by`` is a partial aggregate."""
+    """Latest stock value per product of typed rows (latest date; ties by store,
+    region, value), missing or unreadable -> 0, floor 0. ``max_by`` is a partial
+    aggregate."""
     df = with_product_key(raw)
-    order = F.struct(F.col(DATE), F.col("store_id"), F.col("region"), F.col(column))
-    latest = F.max_by(F.col(column).cast("double"), order)
+    value = F.expr(f"try_cast(`{column}` as double)")
+    latest = F.max_by(value, F.struct(F.col(DATE), F.col("store_id"), F.col("region"), value))
     return (df.where(F.col(PRODUCT_KEY).isNotNull())
             .groupBy(PRODUCT_KEY)
             .agg(F.greatest(F.coalesce(latest, F.lit(0.0)), F.lit(0.0)).alias(STOCK)))
@@ -81,7 +82,8 @@ def resolve_stock(panel: DataFrame, raw: DataFrame | None = None,
 
     The choice is made at plan time from schemas (plus one bounded existence
     test for the file); the result is (product_key, current_stock, stock_source)
-    covering every product of the panel.
+    covering every product of the panel. ``raw``: the rows of ``typed_sales``, so
+    that dates, numbers and repaired categories agree with the panel's.
     """
     products = with_product_key(panel).select(PRODUCT_KEY).distinct()
 

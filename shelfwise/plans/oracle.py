@@ -290,13 +290,11 @@ def build() -> dict[str, str]:
   {r('competitor_pricing')} AS competitor_pricing FROM panel""")
     o["revenue"] = q(PANEL, f"SELECT {K}, {r('quantity')} AS quantity, {r('price')} AS price, "
                             f"{r('price * quantity')} AS revenue FROM panel")
-    pivots = []
-    for i, c in enumerate(["weather_condition", "seasonality", "region", "store_id", "product_id", "category"]):
-        pivots.append(f"""(PIVOT (SELECT {K}, '{c}_' || {c} AS name FROM panel) ON name USING count(*)
-  GROUP BY {K}) oh{i}""")
-    joins = " ".join(f"JOIN {pv} USING ({K})" for pv in pivots[1:])
-    o["one_hot_wide"] = q(PANEL, f"SELECT {K}, COLUMNS('^(weather_condition|seasonality|region|store_id|product_id|category)_.+')"
-                                 f"::INTEGER FROM {pivots[0]} {joins}")
+    cats = ["weather_condition", "seasonality", "region", "store_id", "product_id", "category"]
+    n_cols = " + ".join(f"(SELECT count(DISTINCT {c}) FROM panel)" for c in cats)
+    o["one_hot_wide"] = q(PANEL, " UNION ALL ".join(
+        f"SELECT {K}, '{c}_' || {c} AS feature, CAST(1 AS INTEGER) AS value, CAST({n_cols} AS INTEGER) AS n_columns "
+        f"FROM panel WHERE {c} IS NOT NULL" for c in cats))
     feat_dbl = ["quantity", "price", "inventory_level", "units_ordered", "discount", "competitor_pricing",
                 "revenue", "lag_1", "lag_7", "lag_30", "ma_7", "ma_30"]
     o["clean_clip"] = q(PANEL + features_ctes(), "SELECT * REPLACE (" + ", ".join(
@@ -355,6 +353,23 @@ SELECT rng.*, p1.date AS val_first_date, p2.date AS val_last_date FROM rng
                            f"""SELECT d.product_key, {r('coalesce(s.current_stock, 0.0)')} AS current_stock,
   'stock file' AS stock_source FROM (SELECT DISTINCT product_id || '_' || category AS product_key FROM panel) d
   LEFT JOIN sfile s USING (product_key)""")
+    dirty_panel = panel_ctes(TYPED_COLS, flags=())
+    o["resolve_stock_column"] = q([DIRTY, TYPED] + fix_ctes("typed", TYPED_COLS) + dirty_panel[len(fix_ctes("raw", TYPED_COLS)):] + [
+        """ls AS (SELECT product_id || '_' || category AS product_key,
+  first(inventory_level ORDER BY date DESC NULLS LAST, store_id DESC, region DESC, inventory_level DESC) AS v
+  FROM fixed WHERE product_id IS NOT NULL AND category IS NOT NULL GROUP BY 1)"""],
+        f"""SELECT d.product_key, {r('greatest(coalesce(ls.v, 0.0), 0.0)')} AS current_stock,
+  'dataset column: inventory_level' AS stock_source
+  FROM (SELECT DISTINCT product_id || '_' || category AS product_key FROM panel) d LEFT JOIN ls USING (product_key)""")
+    o["stock_duplicates"] = f"""SELECT p_brand || '_' || p_type AS product_key,
+  {r("arg_max(CASE WHEN p_partkey % 7 = 0 THEN 0.0 ELSE greatest(p_size - 10, 0) END, p_partkey)")} AS current_stock
+  FROM part GROUP BY 1"""
+    by_day = ("op AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS region, "
+              "row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_orderpriority) - 1 AS pos, count(*) OVER () AS n FROM orders)")
+    o["split_ties"] = q([by_day], f"""SELECT date, region,
+  pos < floor(n * (CAST(1 AS DOUBLE) - CAST({TEST_SIZE} AS DOUBLE))) AS is_train, count(*) AS n_rows FROM op GROUP BY ALL""")
+    o["fold_ties"] = q([by_day], """SELECT date, region, CAST(list_sum(list_transform(range(6),
+    lambda i: CAST(pos >= n - (5 - i) * (n // 6) AS INTEGER))) AS INTEGER) AS fold, count(*) AS n_rows FROM op GROUP BY ALL""")
     o["with_stock"] = q(PANEL + [STOCK_FILE], f"""SELECT {K}, {r('coalesce(s.current_stock, 0.0)')} AS current_stock
   FROM panel p LEFT JOIN sfile s ON p.product_id || '_' || p.category = s.product_key""")
     o["scaler_stats"] = q(feature_split_ctes(), " UNION ALL ".join(

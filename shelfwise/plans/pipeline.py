@@ -19,14 +19,19 @@ from shelfwise.operators import recommend as R
 from shelfwise.operators import splits as S
 from shelfwise.operators import stock as ST
 from shelfwise.operators.panel import daily_panel, filter_history
-from shelfwise.operators.quality import clean_sales, guard_not_empty
+from shelfwise.operators.quality import guard_dates, guard_not_empty, tidy_sales, typed_sales
 from shelfwise.schema import QUANTITY
 from shelfwise.session import cut_lineage
 
 
-def clean_panel(raw: DataFrame, min_days: int | None = None, check_dates: bool = False) -> DataFrame:
+def clean_panel(raw: DataFrame, min_days: int | None = None) -> DataFrame:
     """Raw rows -> cleaning chain -> daily panel (-> history filter)."""
-    panel = daily_panel(clean_sales(raw, check_dates=check_dates))
+    return panel_of(typed_sales(raw), min_days)
+
+
+def panel_of(typed: DataFrame, min_days: int | None = None) -> DataFrame:
+    """Rows of ``typed_sales`` -> daily panel (-> history filter)."""
+    panel = daily_panel(tidy_sales(typed))
     if min_days is not None:
         panel = filter_history(panel, min_days)
     return panel
@@ -83,12 +88,14 @@ def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_fi
     the reference's wide columns for bounded vocabularies.
     Returns (labelled features with ``is_train``, stock table)."""
     pp = cfg.preprocessing
-    panel = clean_panel(raw, pp.min_history_days)
-    panel = reuse(panel, checkpoint)
-    guard_not_empty(panel, "No data left after filtering for minimum history; the panel")
+    typed = typed_sales(raw)
+    panel = reuse(panel_of(typed, pp.min_history_days), checkpoint)
+    if panel.isEmpty():
+        guard_dates(typed)
+        guard_not_empty(panel, f"the panel of products with {pp.min_history_days} days of history or more")
     feats = FE.build_features(panel, pp.lags, pp.moving_average_windows, mode=mode,
                               include_current=include_current, one_hot_form=one_hot_form)
-    stock = ST.resolve_stock(panel, raw, stock_file, days_of_coverage=pp.days_of_coverage,
+    stock = ST.resolve_stock(panel, typed, stock_file, days_of_coverage=pp.days_of_coverage,
                              method=pp.coverage_method)
     feats = ST.with_stock(ST.with_product_key(feats), stock)
     feats = reuse(feats, checkpoint)

@@ -194,10 +194,13 @@ def q_revenue(spark, sf):
 
 
 def q_one_hot_wide(spark, sf):
+    """The wide columns, listed as those set in each row, with the number of columns there are."""
     pnl = panel(spark, sf)
     out = FE.one_hot(pnl)
     onehot = [c for c in out.columns if c not in pnl.columns]
-    return finish(out.select(*KEYS, *onehot))
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in onehot])
+    rows = out.select(*KEYS, F.inline(F.filter(cells, lambda x: x["value"] != 0)))
+    return finish(rows.withColumn("n_columns", F.lit(len(onehot))))
 
 
 def q_clean_clip(spark, sf):
@@ -266,6 +269,39 @@ def q_resolve_stock(spark, sf):
     return finish(ST.resolve_stock(pnl, r, stock_tbl(spark, sf)))
 
 
+def q_resolve_stock_column(spark, sf):
+    """A6 on raw text rows that carry a stock column: parsed, coerced and repaired once."""
+    typed = Q.typed_sales(dirty(spark, sf))
+    return finish(ST.resolve_stock(P.panel_of(typed), typed, stock_tbl(spark, sf)))
+
+
+def q_stock_duplicates(spark, sf):
+    """S3 with repeated keys and bad text: one stock row per part, the last part key counts."""
+    p = tpch.table(spark, sf, "part")
+    text = F.when(F.col("p_partkey") % 7 == 0, F.lit("n/a")).otherwise((F.col("p_size") - 10).cast("string"))
+    rows = p.select(F.col("p_brand").alias("product_id"), F.col("p_type").alias("category"),
+                    text.alias("current_stock"), F.col("p_partkey"))
+    return finish(stock_from_frame(rows, F.col("p_partkey")))
+
+
+def _orders_by_day(spark, sf):
+    """Rows with many equal keys: orders by date and priority."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.select(F.to_date("o_orderdate").alias(DATE), F.col("o_orderpriority").alias("region"))
+
+
+def q_split_ties(spark, sf):
+    """T1 where keys repeat: how many of each key's rows are train and test."""
+    got = S.chrono_split(_orders_by_day(spark, sf), CFG.preprocessing.test_size)
+    return finish(got.groupBy(DATE, "region", "is_train").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def q_fold_ties(spark, sf):
+    """T2 where keys repeat: how many of each key's rows fall into each fold."""
+    got, _ = S.assign_folds(_orders_by_day(spark, sf), "cv", CFG.training.n_splits)
+    return finish(got.groupBy(DATE, "region", "fold").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def q_with_stock(spark, sf):
     out = ST.with_stock(panel(spark, sf), stock_tbl(spark, sf))
     return finish(out.select(*KEYS, "current_stock"))
@@ -513,6 +549,10 @@ SQL_QUERIES = {
     "stock_p90": _stock_q("p90"),
     "latest_stock": q_latest_stock,
     "resolve_stock": q_resolve_stock,
+    "resolve_stock_column": q_resolve_stock_column,
+    "stock_duplicates": q_stock_duplicates,
+    "split_ties": q_split_ties,
+    "fold_ties": q_fold_ties,
     "with_stock": q_with_stock,
     "scaler_stats": q_scaler_stats,
     "baseline_last": _baseline_q("baseline_last_value"),

@@ -6,8 +6,6 @@ snake_case (``normalise_name``) so every operator works on one vocabulary.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # The raw headers the reference requires.
 REQUIRED_RAW_COLUMNS = frozenset({
     "Date", "Category", "Units Sold", "Store ID", "Product ID", "Region",
@@ -54,17 +52,3 @@ def normalise_name(header: str) -> str:
     name = header.strip().lower().replace(" ", "_")
     return DATE_TEXT if name == "date" else name
 
-
-# Typed raw layout after normalisation (CSV is read as text and coerced by
-# ``quality.coerce_types``; Parquet sources may already carry these types).
-RAW_SCHEMA = T.StructType([
-    T.StructField(DATE_TEXT, T.StringType()),
-    T.StructField("store_id", T.StringType()),
-    T.StructField("product_id", T.StringType()),
-    T.StructField("category", T.StringType()),
-    T.StructField("region", T.StringType()),
-    T.StructField(UNITS, T.DoubleType()),
-    T.StructField(PRICE, T.DoubleType()),
-    T.StructField("weather_condition", T.StringType()),
-    T.StructField("seasonality", T.StringType()),
-])

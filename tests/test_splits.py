@@ -77,26 +77,50 @@ def test_fold_table_dates(spark):
     assert ft[-1]["val_last_date"] == dt.date(2020, 4, 9)
 
 
-def test_hot_date_prefix_descent_matches_window(spark):
-    """A date holding most rows: the prefix descent finds the same row as the
-    single-partition window."""
+def test_kth_row_of_a_date_equals_a_full_sort(spark):
+    """Every rank of a date, whatever the ranges its tuples fall into."""
     rows = []
     for s in range(6):
         for p in range(5):
-            for c in ("A", "B"):
+            for c in ("A", "B", None):
                 rows.append((dt.date(2020, 1, 2), f"S{s}", f"P{p}", c, "R", 1.0))
     rows += [(dt.date(2020, 1, 1), "S0", "P0", "A", "R", 1.0), (dt.date(2020, 1, 3), "S0", "P0", "A", "R", 1.0)]
     df = spark.createDataFrame(rows, "date date, store_id string, product_id string, category string, region string, quantity double")
-    for k in (1, 7, 33, 60):
-        a = S.kth_in_date(df, dt.date(2020, 1, 2), k, 60)
-        b = S.kth_in_date(df, dt.date(2020, 1, 2), k, 60, max_rows=10)
-        assert a == b
-    S.MAX_ROWS_ONE_TASK, old = 10, S.MAX_ROWS_ONE_TASK
-    try:
-        lab = S.chrono_split(df, 0.5).collect()
-    finally:
-        S.MAX_ROWS_ONE_TASK = old
-    assert sum(r["is_train"] for r in lab) == int(62 * 0.5)
+    day = sorted((r[1:5] for r in rows if r[0] == dt.date(2020, 1, 2)), key=lambda t: tuple((v is not None, v or "") for v in t))
+    for k in (1, 7, 33, 90):
+        assert S.kth_in_date(df, dt.date(2020, 1, 2), k).values == (dt.date(2020, 1, 2), *day[k - 1])
+    assert sum(r["is_train"] for r in S.chrono_split(df, 0.5).collect()) == int(92 * 0.5)
+
+
+SERIES_SCHEMA = "date date, store_id string, product_id string, category string, region string, quantity double"
+ONE = (dt.date(2020, 1, 1), "S", "P", "C", "R", 1.0)
+NULLS = (dt.date(2020, 1, 1), None, "P", "C", "R", 1.0)
+
+
+@pytest.mark.parametrize("rows,train", [
+    ([ONE] * 10, 8),
+    ([NULLS] * 6 + [ONE] * 4, 8),
+    ([(None, *ONE[1:])] * 3 + [ONE] * 7, 8),
+    ([(*ONE[:5], float(i)) for i in range(10)], 8),
+    ([ONE] * 3 + [(*ONE[:5], 2.0)] * 7, 8),
+])
+def test_split_of_tied_and_null_keys(spark, rows, train):
+    got = S.chrono_split(spark.createDataFrame(rows, SERIES_SCHEMA).repartition(3), 0.2).collect()
+    assert len(got) == len(rows) and sum(r["is_train"] for r in got) == train
+    order = lambda r: tuple((v is not None, v or 0) for v in (r["date"], r["store_id"], r["quantity"]))
+    assert max(order(r) for r in got if r["is_train"]) <= min(order(r) for r in got if not r["is_train"])
+    assert sorted(map(str, (tuple(r)[:6] for r in got))) == sorted(map(str, rows))
+
+
+def test_split_without_keys(spark):
+    got = S.chrono_split(spark.createDataFrame([(dt.date(2020, 1, 1),)] * 5, "date date"), 0.4).collect()
+    assert sum(r["is_train"] for r in got) == 3
+
+
+def test_folds_of_tied_rows(spark):
+    lab, ranges = S.assign_folds(spark.createDataFrame([ONE] * 12, SERIES_SCHEMA), "cv", 5)
+    counts = [tuple(x.count() for x in S.fold_filter(lab, i)) for i in range(5)]
+    assert counts == [(2, 2), (4, 2), (6, 2), (8, 2), (10, 2)] and lab.count() == 12
 
 
 def test_strict_date_boundary_keeps_days_whole(spark):
