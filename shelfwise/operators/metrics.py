@@ -7,8 +7,6 @@ per dimension.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -202,23 +200,22 @@ def scaler_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:
     """|Pearson corr| > threshold over feature pairs (i < j).
 
-    One distributed pass builds the d x d correlation matrix (MLlib
-    ``Correlation``: a tree-aggregated Gram matrix, d = number of features);
-    only that bounded matrix reaches the driver. Constant columns give NaN,
-    reported as NULL and never above the threshold.
+    One aggregate pass (population covariances and deviations, merged from
+    partial ones), unpivoted: nothing reaches the driver. A constant column has
+    no correlation and is never above the threshold.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="keep").transform(df).select("_v")
-    mat = Correlation.corr(vec, "_v").first()[0].toArray()
-    rows = []
-    for i in range(len(cols)):
-        for j in range(i + 1, len(cols)):
-            v = float(abs(mat[i][j]))
-            rows.append((i, j, cols[i], cols[j], None if math.isnan(v) else v))
-    out = df.sparkSession.createDataFrame(
-        rows, "i int, j int, feature_a string, feature_b string, abs_corr double")
-    return out.where(F.col("abs_corr") > threshold)
+    d = len(cols)
+    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
+    if not pairs:
+        return df.sparkSession.createDataFrame(
+            [], "i int, j int, feature_a string, feature_b string, abs_corr double")
+    at = [F.col(c).cast("double") for c in cols]
+    one = df.agg(*[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(at)],
+                 *[F.covar_pop(at[i], at[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    corr = lambda i, j: F.abs(F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")))
+    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("feature_a"),
+                              F.lit(cols[j]).alias("feature_b"), corr(i, j).alias("abs_corr")) for i, j in pairs])
+    return one.select(F.inline(rows)).where(F.col("abs_corr") > threshold)
 
 
 def top_correlated(pairs: DataFrame, k: int = 5) -> DataFrame:
@@ -239,3 +236,50 @@ def extremes(df: DataFrame, metric: str = "rmse", k: int = 5, label: str = "valu
     best = df.orderBy(F.col(metric).asc(), F.col(label).asc()).limit(k).withColumn("rank_side", F.lit("best"))
     worst = df.orderBy(F.col(metric).desc(), F.col(label).asc()).limit(k).withColumn("rank_side", F.lit("worst"))
     return best.unionByName(worst)
+
+
+def diagnostics(scored: DataFrame, k: int = 5) -> DataFrame:
+    """Overall errors, k best and worst products, best and worst weekday and
+    condition, weekend split, stacked as (section, label, rmse, mae).
+
+    The scored rows are read once, by one GROUPING SETS aggregate; the extremes
+    are ranked within its small result.
+    """
+    df = scored.withColumns({PRODUCT_KEY: product_key(scored), PRODUCT_LINE: product_label(scored),
+                             "_clipped": clip_prediction(_C.pred)})
+    dims = {"product": F.col(PRODUCT_KEY), "day": D.day_name(F.col(DATE)), "weekend": D.weekend_label(F.col(DATE)),
+            "Weather Condition": F.col("weather_condition"), "Seasonality": F.col("seasonality"),
+            "Region": F.col("region")}
+    err = _C.act - F.col("_clipped")
+    # products are judged on unclipped predictions, as the reference does
+    out = _breakdown(df, dims, [F.min(PRODUCT_LINE).alias("_line"), mae().alias("_mae"), rmse().alias("_rmse"),
+                                mae(err).alias("mae"), rmse(err).alias("rmse")])
+    product = F.col("dimension") == "product"
+    out = out.select("dimension", F.when(product, F.col("_line")).otherwise(F.col("value")).alias("label"),
+                     F.when(product, F.col("_rmse")).otherwise(F.col("rmse")).alias("rmse"),
+                     F.when(product, F.col("_mae")).otherwise(F.col("mae")).alias("mae"))
+    plain = out.where(F.col("dimension").isin("Overall", "weekend")).withColumn("section", F.lower("dimension"))
+    parts = [plain]
+    most = F.when(F.col("dimension") == "product", k).otherwise(1)
+    for side, order in (("best", F.col("rmse").asc()), ("worst", F.col("rmse").desc())):
+        rank = F.row_number().over(Window.partitionBy("dimension").orderBy(order, F.col("label").asc()))
+        parts.append(out.where(~F.col("dimension").isin("Overall", "weekend")).withColumn("_rank", rank)
+                     .where((F.col("_rank") <= k) & (F.col("_rank") <= most))
+                     .withColumn("section", F.concat("dimension", F.lit(f"_{side}"))).drop("_rank"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("section", "label", "rmse", "mae")
+
+
+def interpretation(df: DataFrame, cols: list[str], trees: int = 100, depth: int = 10,
+                   threshold: float = 0.7) -> DataFrame:
+    """Rows, features, strongly correlated pairs, and the forest's parameter estimate trees * 2^depth."""
+    n_pairs = correlated_pairs(df, cols, threshold).agg(F.count(F.lit(1)).alias("n_correlated_pairs"))
+    return one_row(data_profile(df, cols).withColumn("forest_parameter_estimate", F.lit(trees * 2 ** depth)), n_pairs)
+
+
+def one_row(*parts: DataFrame) -> DataFrame:
+    """One-row tables side by side (stacked with NULLs, then the greatest of each column)."""
+    names = [c for p in parts for c in p.columns]
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in names])

@@ -1,7 +1,7 @@
 """MLlib models (M1-M5, M7, M8, M10) and time-ordered validation.
 
 The preparation stages (sparse one-hot of the categoricals, assembler,
-standard scaler) are fitted once on the training rows and shared by every
+scaling) are fitted once on the training rows and shared by every
 estimator; each trained model is saved as one ``PipelineModel``
 (preparation + estimator). CrossValidator is not used: its folds are random,
 ours are chronological.
@@ -10,13 +10,15 @@ ours are chronological.
 from __future__ import annotations
 
 import json
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,36 +29,58 @@ from shelfwise.operators import splits as S
 from shelfwise.operators.features import one_hot_vector
 from shelfwise.schema import CATEGORICAL
 
-RAW_VEC, FEATURES = "features_raw", "features"
+FEATURES = "features"
+STEPS = ("numeric_raw", "numeric_scaled", "onehot_raw", "onehot_scaled", "joined")  # between inputs and FEATURES
 
+#: The normal-equation solver's own limit on the number of features.
+NORMAL_FEATURES = 4096
 
-def prep_pipeline(numeric_cols: list[str], cat_cols=CATEGORICAL) -> Pipeline:
-    """M1: categoricals -> sparse one-hot (vocabulary fitted on train), all
-    inputs assembled, standardised (mean and std from train only)."""
-    cats = [c for c in cat_cols]
+
+def fit_prep(train: DataFrame, numeric_cols: list[str], cat_cols=CATEGORICAL) -> PipelineModel:
+    """M1: categoricals -> sparse one-hot (vocabulary fitted on train), numerics
+    centred, everything divided by its population deviation on train.
+
+    One-hot slots are scaled but not centred, so rows stay as sparse as their
+    values are few; the intercept takes up what centring would have moved.
+    MLlib's scaler uses the sample deviation; one factor makes it the population's.
+    """
+    cats, numeric = list(cat_cols), list(numeric_cols)
     stages = one_hot_vector(cats) if cats else []
-    inputs = list(numeric_cols) + [f"{c}_vec" for c in cats]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=RAW_VEC, handleInvalid="keep"))
-    stages.append(StandardScaler(inputCol=RAW_VEC, outputCol=FEATURES, withMean=True, withStd=True))
-    return Pipeline(stages=stages)
+    parts = []
+    for cols, name, centre in ((numeric, "numeric", True), ([f"{c}_vec" for c in cats], "onehot", False)):
+        if cols:
+            stages += [VectorAssembler(inputCols=cols, outputCol=f"{name}_raw", handleInvalid="keep"),
+                       StandardScaler(inputCol=f"{name}_raw", outputCol=f"{name}_scaled", withMean=centre, withStd=True)]
+            parts.append(f"{name}_scaled")
+    stages.append(VectorAssembler(inputCols=parts, outputCol="joined"))
+    fitted = Pipeline(stages=stages).fit(train)
+    n = train.count()
+    width = sum(s.std.size for s in fitted.stages if hasattr(s, "std"))
+    factor = math.sqrt(n / (n - 1)) if n > 1 else 1.0
+    to_population = ElementwiseProduct(scalingVec=Vectors.dense([factor] * width), inputCol="joined", outputCol=FEATURES)
+    return PipelineModel(stages=[*fitted.stages, to_population])
 
 
 def ridge(train: DataFrame, alpha: float = 1.0, use_ridge: bool = True) -> LinearRegression:
-    """M2: L2 least squares with an unpenalised intercept.
+    """M2: L2 least squares with an unpenalised intercept, ``||y - Xw||^2 + alpha ||w||^2``.
 
-    MLlib's normal-equation solver scales the label by its population standard
-    deviation, so regParam = alpha * std_pop(y) / n reproduces
-    ``||y - Xw||^2 + alpha ||w||^2``.
+    Up to NORMAL_FEATURES inputs one pass builds the Gram matrix; wider ones,
+    which that solver refuses, are minimised by l-bfgs on the sparse rows. Both
+    reach the same (unique) minimum. MLlib divides the label by its deviation
+    (the population's in the first solver, the sample's in the second), so
+    regParam = alpha * deviation / n.
     """
+    width = len(train.select(FEATURES).first()[0])
+    wide = width > NORMAL_FEATURES
+    how = {"solver": "l-bfgs", "tol": 1e-10, "maxIter": 500} if wide else {"solver": "normal"}
     if not use_ridge:
-        return LinearRegression(featuresCol=FEATURES, labelCol="label", regParam=0.0, solver="normal")
-    st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("sd")).first()
+        return LinearRegression(featuresCol=FEATURES, labelCol="label", regParam=0.0, **how)
+    sd = F.stddev_samp("label") if wide else F.stddev_pop("label")
+    st = train.agg(F.count(F.lit(1)).alias("n"), sd.alias("sd")).first()
     n, sd = int(st["n"]), float(st["sd"] or 0.0)
     reg = alpha * sd / n if n and sd > 0 else 0.0
-    # The normal-equation solver is exact for pure L2 and makes one aggregation
-    # pass (a d x d Gram matrix per partition, d = number of features).
     return LinearRegression(featuresCol=FEATURES, labelCol="label", regParam=reg, elasticNetParam=0.0,
-                            standardization=False, solver="normal")
+                            standardization=False, **how)
 
 
 def random_forest(n_estimators: int = 100, max_depth: int = 10, seed: int = 42, **kw) -> RandomForestRegressor:
@@ -77,13 +101,19 @@ def gradient_boosting(n_estimators: int = 100, learning_rate: float = 0.1, max_d
     return GBTRegressor(featuresCol=FEATURES, labelCol="label", **params)
 
 
-def make_estimator(name: str, train: DataFrame, cfg: TrainingConfig = TrainingConfig()):
-    if name.startswith("linear_regression"):
+def family(name: str) -> str:
+    """"random_forest_revenue" -> "random_forest"."""
+    return name.removesuffix("_revenue")
+
+
+def make_estimator(name: str, train: DataFrame, cfg: TrainingConfig = TrainingConfig(), params: dict | None = None):
+    kind = family(name)
+    if kind == "linear_regression":
         return ridge(train)
-    if name.startswith("random_forest"):
-        return random_forest(seed=cfg.random_state)
-    if name.startswith("gradient_boosting"):
-        return gradient_boosting(seed=cfg.random_state)
+    if kind == "random_forest":
+        return random_forest(seed=cfg.random_state, **(params or {}))
+    if kind == "gradient_boosting":
+        return gradient_boosting(seed=cfg.random_state, **(params or {}))
     raise ValueError(f"unknown model {name}")
 
 
@@ -91,26 +121,31 @@ def make_estimator(name: str, train: DataFrame, cfg: TrainingConfig = TrainingCo
 class Trained:
     prep: PipelineModel
     models: dict  # name -> fitted estimator model
+    params: dict = field(default_factory=dict)  # name -> settings chosen by tuning
 
     def pipeline(self, name: str) -> PipelineModel:
         """One persistable PipelineModel per model (prep + estimator)."""
         return PipelineModel(stages=list(self.prep.stages) + [self.models[name]])
 
 
-def fit_prep(train: DataFrame, numeric_cols: list[str], cat_cols=CATEGORICAL) -> PipelineModel:
-    return prep_pipeline(numeric_cols, cat_cols).fit(train)
-
-
 def train_models(train: DataFrame, numeric_cols: list[str], names=("linear_regression", "random_forest",
                  "gradient_boosting"), cfg: TrainingConfig = TrainingConfig(), cat_cols=CATEGORICAL,
                  parallel: int = 1) -> Trained:
     """M7 / M8: fit the preparation once, then each estimator on the cached
-    prepared frame (optionally several fits in parallel jobs)."""
+    prepared frame (optionally several fits in parallel jobs). With
+    ``cfg.use_hyperparameter_tuning`` the tree models take the settings that
+    ``search`` finds on the training rows."""
+    found = {}
+    if cfg.use_hyperparameter_tuning:
+        for name in names:
+            if family(name) in GRIDS:
+                found[name] = search(train, numeric_cols, family(name), cfg.tuning_n_iter, cfg.tuning_cv_splits,
+                                     cfg.random_state, cat_cols=cat_cols)[0]
     prep = fit_prep(train, numeric_cols, cat_cols)
     prepared = prep.transform(train).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)
 
     def fit(name):
-        return name, make_estimator(name, prepared, cfg).fit(prepared)
+        return name, make_estimator(name, prepared, cfg, found.get(name)).fit(prepared)
 
     if parallel > 1:
         with ThreadPoolExecutor(parallel) as pool:
@@ -118,13 +153,13 @@ def train_models(train: DataFrame, numeric_cols: list[str], names=("linear_regre
     else:
         models = dict(fit(n) for n in names)
     prepared.unpersist()
-    return Trained(prep, models)
+    return Trained(prep, models, found)
 
 
 def predict(trained: Trained, name: str, df: DataFrame, keep=None) -> DataFrame:
     """Score once; every input column is kept (no positional alignment needed)."""
     out = trained.models[name].transform(trained.prep.transform(df))
-    drop = [c for c in out.columns if c.endswith("_idx") or c.endswith("_vec") or c in (RAW_VEC, FEATURES)]
+    drop = [c for c in out.columns if c.endswith("_idx") or c.endswith("_vec") or c in (*STEPS, FEATURES)]
     return out.drop(*drop)
 
 
@@ -197,22 +232,32 @@ BOOSTING_GRID = {"maxIter": [100, 200, 300, 500], "stepSize": [0.01, 0.05, 0.1,
                  "subsamplingRate": [0.8, 0.9, 1.0]}
 
 
-def sample_params(grid: dict, n_iter: int, seed: int = 42) -> list[dict]:
-    rng = random.Random(seed)
-    keys = sorted(grid)
-    return [{k: rng.choice(grid[k]) for k in keys} for _ in range(n_iter)]
+GRIDS = {"random_forest": FOREST_GRID, "gradient_boosting": BOOSTING_GRID}
 
 
-def tune(frame: DataFrame, numeric_cols: list[str], family: str = "random_forest", n_iter: int = 30,
-         n_splits: int = 3, seed: int = 42, parallel: int = 4, cat_cols=CATEGORICAL):
-    """M5: sampled settings scored by mean MAE over chronological folds, best
-    refit on all rows. Folds are prepared and cached once; settings are fitted
-    as parallel Spark jobs from a thread pool.
+def sample_params(grid: dict, n_iter: int, seed: int = 42) -> list[dict]:
+    """``n_iter`` different settings of the grid (all of them if it has fewer)."""
+    keys = sorted(grid)
+    total = math.prod(len(grid[k]) for k in keys)
+    out = []
+    for code in random.Random(seed).sample(range(total), min(n_iter, total)):
+        setting = {}
+        for k in keys:
+            code, at = divmod(code, len(grid[k]))
+            setting[k] = grid[k][at]
+        out.append(setting)
+    return out
+
+
+def search(frame: DataFrame, numeric_cols: list[str], kind: str = "random_forest", n_iter: int = 30,
+           n_splits: int = 3, seed: int = 42, parallel: int = 4, cat_cols=CATEGORICAL):
+    """M5: sampled settings scored by mean MAE over chronological folds. Folds
+    are prepared and cached once; settings are fitted as parallel Spark jobs
+    from a thread pool.
 
     Returns (best params, results DataFrame(setting, params, mae)).
     """
-    grid = FOREST_GRID if family == "random_forest" else BOOSTING_GRID
-    settings = sample_params(grid, n_iter, seed)
+    settings = sample_params(GRIDS[kind], n_iter, seed)
     labelled, ranges = S.assign_folds(frame, "cv", n_splits)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     folds = []
@@ -221,13 +266,11 @@ def tune(frame: DataFrame, numeric_cols: list[str], family: str = "random_forest
         prep = fit_prep(tr, numeric_cols, cat_cols)
         folds.append((prep.transform(tr).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK),
                       prep.transform(va).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)))
-
-    def build(p):
-        return random_forest(seed=seed, **p) if family == "random_forest" else gradient_boosting(seed=seed, **p)
+    cfg = TrainingConfig(random_state=seed)
 
     def score(item):
         k, p = item
-        maes = [_fold_metrics("", 0, build(p).fit(tr).transform(va))[2] for tr, va in folds]
+        maes = [_fold_metrics("", 0, make_estimator(kind, tr, cfg, p).fit(tr).transform(va))[2] for tr, va in folds]
         return k, p, sum(maes) / len(maes)
 
     with ThreadPoolExecutor(parallel) as pool:
@@ -239,3 +282,16 @@ def tune(frame: DataFrame, numeric_cols: list[str], family: str = "random_forest
     res = frame.sparkSession.createDataFrame([(k, json.dumps(p, sort_keys=True), m) for k, p, m in results],
                                              "setting int, params string, mae double")
     return best[1], res
+
+
+def tune(frame: DataFrame, numeric_cols: list[str], kind: str = "random_forest", n_iter: int = 30,
+         n_splits: int = 3, seed: int = 42, parallel: int = 4, cat_cols=CATEGORICAL):
+    """M5 with refit: ``search``, then the best setting fitted on all rows.
+
+    Returns (Trained with the model and its settings under ``kind``, results).
+    """
+    best, res = search(frame, numeric_cols, kind, n_iter, n_splits, seed, parallel, cat_cols)
+    prep = fit_prep(frame, numeric_cols, cat_cols)
+    prepared = prep.transform(frame).select(FEATURES, "label")
+    model = make_estimator(kind, prepared, TrainingConfig(random_state=seed), best).fit(prepared)
+    return Trained(prep, {kind: model}, {kind: best}), res

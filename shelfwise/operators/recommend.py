@@ -9,7 +9,7 @@ from shelfwise.config import RecommendationConfig
 from shelfwise.functions import formatting as fmt
 from shelfwise.functions.keys import product_key, product_label
 from shelfwise.functions.numeric import clip_prediction, half_even
-from shelfwise.operators.quality import guard_no_nan
+from shelfwise.operators.metrics import one_row
 from shelfwise.schema import PRODUCT_KEY, PRODUCT_LINE, STOCK
 
 # Urgency levels in priority order and their day limits
@@ -60,14 +60,19 @@ def recommend_orders(scored: DataFrame, stock: DataFrame | None,
 
     One partial aggregate by product key; the stock table (one row per product)
     is joined left with missing stock -> 0. Sorted only at the sink
-    (``sort_recommendations``).
+    (``sort_recommendations``). NaN or NULL predictions are counted in the same
+    aggregate and fail the query that reads the result.
     """
-    if validate:
-        guard_no_nan(scored, "prediction")
     df = scored.withColumns({PRODUCT_KEY: product_key(scored), PRODUCT_LINE: product_label(scored)})
     demand = df.groupBy(PRODUCT_KEY).agg(
         F.min(PRODUCT_LINE).alias(PRODUCT_LINE),
-        F.avg(clip_prediction(F.col("prediction"))).alias("predicted_demand"))
+        F.avg(clip_prediction(F.col("prediction"))).alias("predicted_demand"),
+        F.count_if(F.col("prediction").isNull() | F.isnan("prediction")).alias("_bad"))
+    if validate:
+        bad = F.raise_error(F.concat(F.col("_bad").cast("string"), F.lit(" predictions are NaN or NULL: "), F.col(PRODUCT_KEY)))
+        demand = demand.withColumn("predicted_demand", F.when(F.col("_bad") > 0, bad.cast("double"))
+                                   .otherwise(F.col("predicted_demand")))
+    demand = demand.drop("_bad")
     if stock is not None:
         demand = demand.join(stock.select(PRODUCT_KEY, STOCK), PRODUCT_KEY, "left")
         demand = demand.withColumn(STOCK, F.coalesce(F.col(STOCK), F.lit(0.0)))
@@ -122,22 +127,17 @@ def urgency_summary(rec: DataFrame, urgency: str = "reorder_urgency",
 
 def executive_summary(rec: DataFrame, best: DataFrame, cmp: DataFrame) -> DataFrame:
     """One row: products, urgent products, total order, best model, its RMSE
-    and cost. The best model's three figures are scalars (one-row inputs)
-    attached as literals to the one-row recommendation aggregate."""
-    b = best.first()
-    cost = None
-    if "total_cost" in cmp.columns and b is not None:
-        row = cmp.where(F.col("model") == b["model"]).select("total_cost").first()
-        cost = None if row is None else row["total_cost"]
-    return rec.agg(
+    and cost; nothing is computed before the result is read."""
+    b = best.select(F.col("model").alias("best_model"), F.col("rmse").alias("best_rmse"))
+    if "total_cost" in cmp.columns:
+        costs = cmp.select(F.col("model").alias("best_model"), "total_cost")
+        b = b.join(F.broadcast(costs), "best_model", "left")  # a row per model
+    else:
+        b = b.withColumn("total_cost", F.lit(None).cast("double"))
+    return one_row(rec.agg(
         F.count(F.lit(1)).alias("n_products"),
         F.count_if(F.col("reorder_urgency") == "URGENT").alias("urgent_products"),
-        F.coalesce(F.sum("recommended_order"), F.lit(0.0)).alias("total_order_quantity"),
-    ).withColumns({
-        "best_model": F.lit(None if b is None else b["model"]).cast("string"),
-        "best_rmse": F.lit(None if b is None else b["rmse"]).cast("double"),
-        "total_cost": F.lit(cost).cast("double"),
-    })
+        F.coalesce(F.sum("recommended_order"), F.lit(0.0)).alias("total_order_quantity")), b)
 
 
 def format_report(rec: DataFrame) -> DataFrame:

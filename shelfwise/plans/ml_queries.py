@@ -96,11 +96,7 @@ def q_interpretation(spark, sf):
     """Model facts — sample/feature counts, strongly correlated pairs,
     forest parameter estimate (trees x 2^depth)."""
     tr, _, cols = frames(spark, sf)
-    n_pairs = M.correlated_pairs(tr, cols, 0.7).count()  # bounded: feature pairs
-    out = M.data_profile(tr, cols).withColumns({
-        "n_correlated_pairs": F.lit(n_pairs).cast("long"),
-        "forest_parameter_estimate": F.lit(100 * 2 ** 10)})
-    return finish(out)
+    return finish(M.interpretation(tr, cols))
 
 
 ML_QUERIES = {

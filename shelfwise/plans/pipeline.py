@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.config import ProjectConfig
 from shelfwise.operators import baselines as B
+from shelfwise.operators import charts as C
 from shelfwise.operators import features as FE
 from shelfwise.operators import metrics as M
 from shelfwise.operators import recommend as R
@@ -22,6 +23,7 @@ from shelfwise.operators.panel import daily_panel, filter_history
 from shelfwise.operators.quality import guard_dates, guard_not_empty, tidy_sales, typed_sales
 from shelfwise.schema import QUANTITY
 from shelfwise.session import cut_lineage
+from shelfwise.sources.sinks import save_model, write_params, write_report
 
 
 def clean_panel(raw: DataFrame, min_days: int | None = None) -> DataFrame:
@@ -80,16 +82,18 @@ def flagship(raw: DataFrame, stock: DataFrame | None = None,
 
 def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: DataFrame | None = None,
                mode: str = "rows", include_current: bool = True, one_hot_form: str = "vector",
-               checkpoint: bool = False):
+               checkpoint: bool = False, hold=None):
     """L2: clean -> panel -> history filter -> features -> stock -> split.
 
     The default keeps categoricals as text for the sparse MLlib encoding
     (vocabulary fitted on training rows); ``one_hot_form="wide"`` reproduces
     the reference's wide columns for bounded vocabularies.
+    ``hold`` keeps a reuse point (default: ``reuse``).
     Returns (labelled features with ``is_train``, stock table)."""
     pp = cfg.preprocessing
+    hold = hold or (lambda df: reuse(df, checkpoint))
     typed = typed_sales(raw)
-    panel = reuse(panel_of(typed, pp.min_history_days), checkpoint)
+    panel = hold(panel_of(typed, pp.min_history_days))
     if panel.isEmpty():
         guard_dates(typed)
         guard_not_empty(panel, f"the panel of products with {pp.min_history_days} days of history or more")
@@ -98,7 +102,7 @@ def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_fi
     stock = ST.resolve_stock(panel, typed, stock_file, days_of_coverage=pp.days_of_coverage,
                              method=pp.coverage_method)
     feats = ST.with_stock(ST.with_product_key(feats), stock)
-    feats = reuse(feats, checkpoint)
+    feats = hold(feats)
     labelled = S.chrono_split(feats, pp.test_size)
     return labelled, stock
 
@@ -135,13 +139,21 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
     preprocess -> train baselines + MLlib models -> compare (MAE, RMSE, cost)
     -> best model by RMSE (baselines included) -> recommendations, final
     report, summaries and breakdowns; then the revenue models and reports.
-    Every prediction set is scored once and persisted; the reports are
-    aggregates over it. With ``out_dir`` each report is written as CSV.
+    Every prediction set is scored once and persisted; the reports and chart
+    tables are aggregates over it. ``cfg.training.use_hyperparameter_tuning``
+    searches the tree models' settings. With ``out_dir`` each report is written
+    as CSV, the models under ``models/`` and tuned settings under ``params/``,
+    what was persisted is given back, and the returned frames read the reports.
     """
     from shelfwise.operators import models as ML
     from shelfwise.schema import CATEGORICAL
-    labelled, stock = preprocess(raw, cfg, stock_file=stock_file, one_hot_form=one_hot_form,
-                                 checkpoint=checkpoint)
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(reuse(df, checkpoint))
+        return held[-1]
+    fitted: dict = {}
+    labelled, stock = preprocess(raw, cfg, stock_file=stock_file, one_hot_form=one_hot_form, hold=hold)
     # wide columns are already numeric inputs; otherwise the models encode the text
     cats = CATEGORICAL if one_hot_form == "vector" else ()
     frame, cols = FE.feature_frame(labelled, QUANTITY)
@@ -154,11 +166,11 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    long = reuse(M.clip_predictions(long), checkpoint)
-    cmp = reuse(M.compare_models(long, cfg.costs))
+    long = hold(M.clip_predictions(long))
+    cmp = hold(M.compare_models(long, cfg.costs))
     best_name = M.best_model(cmp).first()["model"]
     best = long.where(F.col("model") == best_name)
-    rec = reuse(R.recommend_orders(best, stock, cfg.recommendation))
+    rec = hold(R.recommend_orders(best, stock, cfg.recommendation))
     out = {
         "model_comparison": cmp,
         "recommendations": R.sort_recommendations(rec),
@@ -169,7 +181,16 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         "temporal_errors": M.temporal_errors(best),
         "dimension_impact": M.dimension_impact(best),
         "leaderboard": M.leaderboard(cmp),
+        "diagnostics": M.diagnostics(best),
+        "interpretation": M.interpretation(train, cols),
+        "sales_trend": C.sales_trend(train),
+        "prediction_series": C.prediction_series(best),
+        "prediction_range": C.prediction_range(best),
+        "residual_qq": C.residual_qq(best, exact=False),
+        "residual_bins": C.residual_bins(best),
+        "order_chart": C.order_chart(rec),
     }
+    fitted.update({name: trained for name in models} if trained else {})
     if cv_models:
         folds = ML.validate(frame.drop("is_train"), cols, cv_models, "cv", cfg.training.n_splits,
                             cat_cols=cats)
@@ -182,6 +203,7 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         rparts = []
         if rnames:
             rtrained = ML.train_models(rtrain, rcols, rnames, cfg.training, cat_cols=cats)
+            fitted.update({name: rtrained for name in rnames})
             for name in rnames:
                 rparts.append(ML.predict(rtrained, name, rtest).select(
                     F.lit(name).alias("model"), *SCORED_COLS))
@@ -191,14 +213,23 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         rlong = rparts[0]
         for p in rparts[1:]:
             rlong = rlong.unionByName(p)
-        rlong = reuse(M.clip_predictions(rlong), checkpoint)
+        rlong = hold(M.clip_predictions(rlong))
         rcmp = M.compare_models(rlong, None)
         rbest = M.best_model(rcmp).first()["model"]
         rsel = rlong.where(F.col("model") == rbest)
         out.update({"revenue_comparison": rcmp, "revenue_metrics": M.revenue_metrics(rsel),
-                    "revenue_report": M.revenue_report(rsel), "revenue_impact": M.dimension_impact(rsel)})
+                    "revenue_report": M.revenue_report(rsel), "revenue_impact": M.dimension_impact(rsel),
+                    "revenue_series": C.revenue_series(rsel)})
     if out_dir:
-        from shelfwise.sources.sinks import write_report
+        spark = raw.sparkSession
         for name, df in out.items():
             write_report(df, f"{out_dir}/{name}")
+            out[name] = spark.read.schema(df.schema).option("header", True).csv(f"{out_dir}/{name}")
+        for name, t in fitted.items():
+            save_model(t.pipeline(name), f"{out_dir}/models/{name}")
+        params = {name: t.params[name] for name, t in fitted.items() if name in t.params}
+        if params:
+            write_params(spark, params, f"{out_dir}/params")
+        for df in held:
+            df.unpersist()
     return out

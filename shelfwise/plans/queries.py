@@ -1,8 +1,10 @@
 """Named queries over the driver's tables (one per operator of the inventory).
 
-Each query takes (spark, sf_dir), reads the whole binding and returns a lazy
+Each query takes (spark, sf_dir), reads the whole binding and returns a
 DataFrame whose doubles pass through ``stable_round`` so the DuckDB oracle
-(``plans/oracle.py``) hashes to the same values.
+(``plans/oracle.py``) hashes to the same values. Jobs that run while a plan is
+built: the size-checked small tables (modal categories, baseline lookups) and
+the search for split boundaries.
 """
 
 from __future__ import annotations
@@ -413,30 +415,7 @@ def q_format_report(spark, sf):
 
 
 def q_diagnostics(spark, sf):
-    """Overall, 5 best/worst products, best/worst weekday, weekend split,
-    best/worst condition per dimension, stacked long."""
-    s = scored(spark, sf)
-    overall = M.accuracy(M.clip_predictions(s)).select(
-        F.lit("overall").alias("section"), F.lit("All").alias("label"), "rmse", "mae")
-    pp = M.per_product(s).select(F.col("product_line").alias("label"), "rmse", "mae")
-    prod = M.extremes(pp, "rmse", 5, "label").select(
-        F.concat(F.lit("product_"), F.col("rank_side")).alias("section"), "label", "rmse", "mae")
-    te = M.temporal_errors(s)
-    days = te.where(F.col("dimension") == "Day_of_Week").select(F.col("value").alias("label"), "rmse", "mae")
-    day_ext = M.extremes(days, "rmse", 1, "label").select(
-        F.concat(F.lit("day_"), F.col("rank_side")).alias("section"), "label", "rmse", "mae")
-    wk = te.where(F.col("dimension") == "Weekend_Status").select(
-        F.lit("weekend").alias("section"), F.col("value").alias("label"), "rmse", "mae")
-    di = M.dimension_impact(s)
-    conds = []
-    for dim in ("Weather Condition", "Seasonality", "Region"):
-        part = di.where(F.col("dimension") == dim).select(F.col("value").alias("label"), "rmse", "mae")
-        conds.append(M.extremes(part, "rmse", 1, "label").select(
-            F.concat(F.lit(dim + "_"), F.col("rank_side")).alias("section"), "label", "rmse", "mae"))
-    out = overall
-    for p in [prod, day_ext, wk] + conds:
-        out = out.unionByName(p)
-    return finish(out)
+    return finish(M.diagnostics(scored(spark, sf)))
 
 
 # ------------------------------------------------------------------ chart data

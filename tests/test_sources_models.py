@@ -1,12 +1,15 @@
 import io
+import json
 import os
 import tempfile
 import zipfile
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
+from shelfwise.config import TrainingConfig
 from shelfwise.operators import models as ML
 from shelfwise.operators import metrics as M
 from shelfwise.sources import files
@@ -69,7 +72,7 @@ def test_scaler_fitted_on_train_only(spark):  # F21
     tr = np.array([r[ML.FEATURES].toArray() for r in prep.transform(train).collect()])
     assert np.allclose(tr.mean(axis=0), 0.0)
     te = np.array([r[ML.FEATURES].toArray() for r in prep.transform(test).collect()])
-    assert te[0][0] == pytest.approx((6 - 3) / np.std([1, 2, 3, 4, 5], ddof=1))  # reused, train statistics
+    assert te[0][0] == pytest.approx((6 - 3) / np.std([1, 2, 3, 4, 5]))  # population std, train statistics
 
 
 def _signal(spark, n=400, seed=7):
@@ -86,7 +89,7 @@ def test_ridge_matches_closed_form(spark):
     p = prep.transform(df)
     model = ML.ridge(p, alpha=1.0).fit(p)
     X = np.column_stack([x1, x2])
-    Xs = (X - X.mean(0)) / X.std(0, ddof=1)
+    Xs = (X - X.mean(0)) / X.std(0)
     Xc, yc = Xs - Xs.mean(0), y - y.mean()
     w = np.linalg.solve(Xc.T @ Xc + 1.0 * np.eye(2), Xc.T @ yc)
     assert np.allclose(model.coefficients.toArray(), w, rtol=1e-6)
@@ -116,8 +119,46 @@ def test_tuning_picks_best_setting(spark):
     rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), float(a), float(b), float(c))
             for i, (a, b, c) in enumerate(zip(x1, x2, y))]
     df = spark.createDataFrame(rows, "date date, x1 double, x2 double, label double")
-    best, res = ML.tune(df, ["x1", "x2"], "random_forest", n_iter=2, n_splits=2, parallel=2, cat_cols=())
-    assert res.count() == 2 and set(best) == set(ML.FOREST_GRID)
+    trained, res = ML.tune(df, ["x1", "x2"], "random_forest", n_iter=2, n_splits=2, parallel=2, cat_cols=())
+    best = min(res.collect(), key=lambda r: (r["mae"], r["setting"]))
+    assert res.count() == 2 and json.loads(best["params"]) == trained.params["random_forest"]
+    path = os.path.join(tempfile.mkdtemp(prefix="shelfwise-tuned-"), "rf")
+    save_model(trained.pipeline("random_forest"), path)
+    a, b = (m.collect() for m in (ML.predict(trained, "random_forest", df).select("prediction"),
+                                  load_model(path).transform(df).select("prediction")))
+    assert sorted(r[0] for r in a) == pytest.approx(sorted(r[0] for r in b))
+    cfg = TrainingConfig(use_hyperparameter_tuning=True, tuning_n_iter=1, tuning_cv_splits=2)
+    got = ML.train_models(df, ["x1", "x2"], ("linear_regression", "random_forest"), cfg, cat_cols=())
+    assert set(got.params) == {"random_forest"}
+    assert got.models["random_forest"].getNumTrees == got.params["random_forest"]["numTrees"]
+
+
+def test_settings_are_sampled_without_repeats():
+    grid = {"a": [1, 2, 3], "b": [True, False]}
+    got = ML.sample_params(grid, 30)
+    assert len(got) == 6 == len({tuple(sorted(p.items())) for p in got})
+
+
+def test_one_hot_stays_sparse_and_wide_ridge_fits(spark):
+    """More one-hot levels than the normal-equation solver takes; both solvers reach one minimum."""
+    rows = [(f"p{i % 4500}", float(i % 7), float((i % 4500) % 10 + i % 7)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "product_id string, x double, label double")
+    p = ML.fit_prep(df, ["x"], cat_cols=("product_id",)).transform(df)
+    v = p.first()[ML.FEATURES]
+    assert isinstance(v, SparseVector) and len(v) > 4500 and v.numNonzeros() <= 2
+    model = ML.ridge(p).fit(p)
+    assert model.transform(p).agg(F.avg(F.abs(F.col("label") - F.col("prediction")))).first()[0] < 0.6
+
+
+def test_ridge_solvers_agree(spark, monkeypatch):
+    df, *_ = _signal(spark)
+    p = ML.fit_prep(df, ["x1", "x2"], cat_cols=()).transform(df)
+    normal = ML.ridge(p, 3.0).fit(p)
+    monkeypatch.setattr(ML, "NORMAL_FEATURES", 1)
+    other = ML.ridge(p, 3.0).fit(p)
+    assert other.getSolver() == "l-bfgs"
+    assert np.allclose(normal.coefficients.toArray(), other.coefficients.toArray(), rtol=1e-6)
+    assert normal.intercept == pytest.approx(other.intercept, rel=1e-6)
 
 
 def test_evaluate_predicts_once_and_recommends(spark):
