@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from shelfwise.config import TrainingConfig
 from shelfwise.operators import metrics as M
 from shelfwise.operators import splits as S
+from shelfwise.operators.baselines import BASELINES
 from shelfwise.operators.features import one_hot_vector
 from shelfwise.schema import CATEGORICAL
 
@@ -202,18 +203,25 @@ def validate(frame: DataFrame, numeric_cols: list[str], names=("linear_regressio
 
     Rows are labelled with their fold once (pure predicate, no sort); each fold
     refits the preparation (scaler per fold) and the estimator on ``fold <= i``
-    and scores ``fold == i + 1`` with unclipped predictions.
+    and scores ``fold == i + 1`` with unclipped predictions. Names of baselines
+    are validated alike, without a preparation.
     Returns (model, fold, mae, rmse).
     """
     labelled, ranges = S.assign_folds(frame, kind, n_splits, test_size)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = [n for n in names if n not in BASELINES]
     rows = []
     for i in range(len(ranges)):
         tr, va = S.fold_filter(labelled, i)
+        for name in names:
+            if name in BASELINES:
+                rows.append(_fold_metrics(name, i, BASELINES[name](tr, va, "label")))
+        if not fitted:
+            continue
         prep = fit_prep(tr, numeric_cols, cat_cols)
         ptr = prep.transform(tr).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)
         pva = prep.transform(va).select(FEATURES, "label")
-        for name in names:
+        for name in fitted:
             model = make_estimator(name, ptr, cfg).fit(ptr)
             rows.append(_fold_metrics(name, i, model.transform(pva)))
         ptr.unpersist()

@@ -1,4 +1,5 @@
-"""MLlib-backed queries: rows-only checks (no SQL equivalent exists).
+"""MLlib-backed queries (rows-only checks, as no SQL equivalent exists), and their
+SQL-checked counterparts: the same validation of a baseline, and model facts.
 
 All read the same engineered features as the SQL queries (whole tables), split
 chronologically; preparation is fitted on the training rows only.
@@ -70,6 +71,23 @@ def q_cv_summary(spark, sf):
     return finish(M.cv_summary(ML.validate(frame, cols, ("linear_regression",), "cv")))
 
 
+def _baseline_folds(spark, sf, kind):
+    frame, cols = FE.feature_frame(features_split(spark, sf).drop("is_train"), QUANTITY)
+    return ML.validate(frame, cols, ("baseline_mean",), kind, TrainingConfig().n_splits, 0.2)
+
+
+def q_cv_baseline(spark, sf):
+    return finish(_baseline_folds(spark, sf, "cv"))
+
+
+def q_walk_forward_baseline(spark, sf):
+    return finish(_baseline_folds(spark, sf, "walk_forward"))
+
+
+def q_cv_summary_baseline(spark, sf):
+    return finish(M.cv_summary(_baseline_folds(spark, sf, "cv")))
+
+
 def q_leaderboard(spark, sf):
     """O4 over baselines and every MLlib model, best marked."""
     names = ("linear_regression", "random_forest", "gradient_boosting")
@@ -107,6 +125,9 @@ ML_QUERIES = {
     "time_series_cv": q_time_series_cv,
     "walk_forward": q_walk_forward,
     "cv_summary": q_cv_summary,
+    "cv_baseline": q_cv_baseline,
+    "walk_forward_baseline": q_walk_forward_baseline,
+    "cv_summary_baseline": q_cv_summary_baseline,
     "leaderboard": q_leaderboard,
     "revenue_forecast": q_revenue_forecast,
     "interpretation": q_interpretation,

@@ -7,8 +7,7 @@ UNION ALL. Doubles use the same tie-free rounding as ``finish``.
 
 from __future__ import annotations
 
-from shelfwise.operators.charts import probability_grid
-from shelfwise.operators.quality import RISK_ADVICE
+from statistics import NormalDist
 
 K = "date, store_id, product_id, category, region"
 KP = "store_id, product_id, category, region"
@@ -20,6 +19,17 @@ FEATS = ["price", "inventory_level", "units_ordered", "discount", "competitor_pr
          "day_of_month", "is_weekend", "lag_1", "lag_7", "lag_30", "ma_7", "ma_30"]
 
 
+# The advice each triggered risk carries.
+AT_PREDICTION_TIME = "Review feature temporal semantics: ensure all features are available at prediction time."
+ADVICE = {
+    "inventory_negative_values": AT_PREDICTION_TIME,
+    "inventory_temporal_correlation": "Consider excluding 'Inventory Level' if it represents end-of-day values, "
+                                      "or transform to start-of-day values.",
+    "units_ordered_negative_values": AT_PREDICTION_TIME,
+    "units_ordered_future_pattern": "Consider excluding 'Units Ordered' if it represents future orders to be placed.",
+}
+
+
 def r(x: str, d: int = 4) -> str:
     """Tie-free rounding, mirrored from ``functions.numeric.stable_round``."""
     return f"CAST(floor(({x}) * {10 ** d}.0 + 0.501) / {10 ** d}.0 AS DOUBLE)"
@@ -386,6 +396,32 @@ SELECT rng.*, p1.date AS val_first_date, p2.date AS val_last_date FROM rng
     o["data_profile"] = q(feature_split_ctes(), f"""SELECT count(*) AS n_samples, CAST({len(FEATS)} AS INTEGER) AS n_features,
   {r(f'count(*) / {float(len(FEATS))}')} AS samples_per_feature FROM ftr""")
 
+    o["interpretation"] = q(feature_split_ctes() + ["cc AS (" + " UNION ALL ".join(corr_rows) + ")"],
+                            f"""SELECT count(*) AS n_samples, CAST({len(FEATS)} AS INTEGER) AS n_features,
+  {r(f'count(*) / {float(len(FEATS))}')} AS samples_per_feature, CAST(102400 AS INTEGER) AS forest_parameter_estimate,
+  (SELECT count(*) FROM cc WHERE c > 0.7) AS n_correlated_pairs FROM ftr""")
+    fpos = feature_split_ctes()[:-1] + ["fl AS (SELECT pos, n, product_id || '_' || category AS pk, "
+                                        "least(greatest(coalesce(quantity, 0.0), 0.0), 1000000.0) AS y FROM fpos)"]
+
+    def folds(bounds) -> list[str]:
+        """Errors of the mean per product, per fold: train before the first bound, validate up to the second."""
+        parts = []
+        for i in range(5):
+            lo, hi = bounds(i)
+            parts.append(f"""SELECT CAST({i} AS INTEGER) AS fold, avg(abs(e)) AS mae, sqrt(avg(e * e)) AS rmse FROM (
+  SELECT v.y - coalesce(t.m, (SELECT avg(y) FROM fl WHERE pos < {lo})) AS e
+  FROM (SELECT * FROM fl WHERE pos >= {lo} AND pos < {hi}) v
+  LEFT JOIN (SELECT pk, avg(y) AS m FROM fl WHERE pos < {lo} GROUP BY pk) t USING (pk))""")
+        return ["folds AS (" + " UNION ALL ".join(parts) + ")"]
+    cv = folds(lambda i: (f"n - {5 - i} * (n // 6)", f"n - {5 - i} * (n // 6) + n // 6"))
+    last = f"CAST(floor(n * (CAST(1 AS DOUBLE) - CAST({TEST_SIZE} AS DOUBLE))) AS BIGINT)"
+    wf = folds(lambda i: (f"({last} // 6) * {i + 1}", f"least(({last} // 6) * {i + 2}, {last})"))
+    per_fold = f"SELECT 'baseline_mean' AS model, fold, {r('mae')} AS mae, {r('rmse')} AS rmse FROM folds"
+    o["cv_baseline"] = q(fpos + cv, per_fold)
+    o["walk_forward_baseline"] = q(fpos + wf, per_fold)
+    o["cv_summary_baseline"] = q(fpos + cv, f"""SELECT 'baseline_mean' AS model, {r('avg(mae)')} AS mae_mean,
+  {r('stddev_pop(mae)')} AS mae_std, {r('avg(rmse)')} AS rmse_mean, {r('stddev_pop(rmse)')} AS rmse_std FROM folds""")
+
     for kind, key in (("last", "baseline_last"), ("mean", "baseline_mean"), ("seasonal", "baseline_seasonal")):
         o[key] = q(scored_ctes(kind), f"SELECT {K}, {r('label')} AS label, {r('prediction')} AS prediction FROM scored")
     o["accuracy"] = q(scored_ctes(), f"SELECT {r(mae)} AS mae, {r(rmse)} AS rmse FROM scored")
@@ -473,7 +509,7 @@ SELECT rng.*, p1.date AS val_first_date, p2.date AS val_last_date FROM rng
   {r('sum(quantity)')} AS quantity FROM tr GROUP BY 1, 2""")
     o["prediction_series"] = q(scored_ctes(), f"SELECT date, {r('sum(label)')} AS actual, {r(f'sum({p})')} AS predicted "
                                               f"FROM scored GROUP BY date")
-    grid = probability_grid(99)
+    grid = [(i / 100, NormalDist().inv_cdf(i / 100)) for i in range(1, 100)]
     plist = "[" + ", ".join(f"'{x!r}'::DOUBLE" for x, _ in grid) + "]"
     zlist = "[" + ", ".join(f"'{z!r}'::DOUBLE" for _, z in grid) + "]"
     o["residual_qq"] = q(scored_ctes() + [f"qq AS (SELECT quantile_cont(label - {p}, {plist}) AS qs FROM scored)"],
@@ -494,7 +530,7 @@ SELECT rng.*, p1.date AS val_first_date, p2.date AS val_last_date FROM rng
 UNION ALL SELECT 'inventory_temporal_correlation', CAST(coalesce(corr > 0.7, false) AS INTEGER), {r('corr')} FROM la
 UNION ALL SELECT 'units_ordered_negative_values', CAST(coalesce(uo_min < 0, false) AS INTEGER), {r('uo_min')} FROM la
 UNION ALL SELECT 'units_ordered_future_pattern', CAST(coalesce(every = 1, false) AS INTEGER), {r('CAST(every AS DOUBLE)')} FROM la""")
-    advice = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in RISK_ADVICE.items())
+    advice = " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in ADVICE.items())
     o["leakage_audit"] = (f"SELECT risk, triggered, measure, CASE WHEN triggered = 1 THEN CASE risk {advice} END END "
                           f"AS recommendation FROM ({o['leakage_audit']})")
     o["inconsistent_products"] = q([DIRTY, TYPED], """SELECT product_id, count(DISTINCT category) AS n_categories
