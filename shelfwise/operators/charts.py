@@ -38,13 +38,13 @@ def probability_grid(points: int = 99) -> list[tuple[float, float]]:
     return [(i / (points + 1), nd.inv_cdf(i / (points + 1))) for i in range(1, points + 1)]
 
 
-def residual_qq(scored: DataFrame, points: int = 99, exact: bool = True,
+def residual_qq(scored: DataFrame, points: int = 99, exact: bool = False,
                 accuracy: int = 100000) -> DataFrame:
     """Sample residual quantiles vs normal quantiles on a fixed grid.
 
-    exact: linear-interpolated percentile (its buffer is one count per distinct
-    residual, fine for integer-valued residuals); otherwise the bounded-memory
-    ``percentile_approx`` sketch for continuous predictions at scale.
+    By default the bounded-memory ``percentile_approx`` sketch. exact:
+    linear-interpolated percentile, whose buffer is one count per distinct
+    residual (for integer-valued residuals).
     """
     grid = probability_grid(points)
     resid = F.col("label") - clip_prediction(F.col("prediction"))

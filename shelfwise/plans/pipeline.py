@@ -186,7 +186,7 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         "sales_trend": C.sales_trend(train),
         "prediction_series": C.prediction_series(best),
         "prediction_range": C.prediction_range(best),
-        "residual_qq": C.residual_qq(best, exact=False),
+        "residual_qq": C.residual_qq(best),
         "residual_bins": C.residual_bins(best),
         "order_chart": C.order_chart(rec),
     }

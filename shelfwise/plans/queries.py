@@ -431,7 +431,7 @@ def q_prediction_series(spark, sf):
 
 
 def q_residual_qq(spark, sf):
-    return finish(C.residual_qq(scored(spark, sf)))
+    return finish(C.residual_qq(scored(spark, sf), exact=True))
 
 
 def q_revenue_series(spark, sf):
