@@ -19,13 +19,14 @@ class only, the prior is the score; repeated rows get equal scores; extra
 columns are ignored.
 
 Scale: the classifier is fitted on at most TRAIN_DOCS labelled documents (those
-with the smallest hash of their id), whose passage features (not texts) go to
-the driver; scoring is one pass without a shuffle.
+with the smallest hash of their id), whose passage features (not texts) meet in one
+task that returns the weights; scoring is one pass without a shuffle.
 """
 
 from __future__ import annotations
 
 import operator
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -127,8 +128,9 @@ class AttentionMIL:
                 "a": (f["tv"] * f["su"]).T @ de, "c": f["z"].T @ g, "d": np.array([g.sum()])}
 
     def fit(self, bags: list[np.ndarray], y: np.ndarray) -> AttentionMIL:
-        x = np.concatenate(bags)
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-2
+        n = sum(len(b) for b in bags)
+        self.mean = sum(b.sum(0, dtype=np.float64) for b in bags) / n
+        self.scale = np.sqrt(sum(((b - self.mean) ** 2).sum(0) for b in bags) / n) + 1e-2
         prior = np.clip(y.mean(), 0.01, 0.99)
         self.w["d"][:] = np.log(prior / (1 - prior))
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
@@ -158,28 +160,26 @@ class AttentionMIL:
         return out
 
 
-def training_bags(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """Passage features and labels of at most TRAIN_DOCS labelled documents of the training folds."""
+def training_bags(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id (as text), y, x: label and passage features (32-bit floats) of at most TRAIN_DOCS labelled
+    documents of the training folds."""
     python_tasks(docs.sparkSession, 1000)
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 3, 1))
              .groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("y")))
     chosen = known.orderBy(F.xxhash64("doc_id", F.lit("bags")), "doc_id").limit(TRAIN_DOCS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        F.col("doc_id").cast("string"), "y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [features(passages(t)).tobytes() for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())],
                                              names=["doc_id", "y", "x"])
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"doc_id {kind}, y double, x binary").limit(2 * TRAIN_DOCS).collect()
-    got.sort(key=lambda r: (r["doc_id"], bytes(r["x"])))
-    return [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES).astype(np.float64) for r in got], np.array(
-        [min(1.0, max(0.0, r["y"])) for r in got])
+    return rows.mapInArrow(run, "doc_id string, y double, x binary").limit(2 * TRAIN_DOCS)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> AttentionMIL:
-    bags, y = training_bags(docs, labels)
+def model_of(bags: list[np.ndarray], y: np.ndarray) -> AttentionMIL:
+    """The fitted model; the prior alone without two classes."""
     model = AttentionMIL()
     if len(y) and (y > 0.5).any() and (y <= 0.5).any():
         return model.fit(bags, y)
@@ -188,6 +188,20 @@ def train(docs: DataFrame, labels: DataFrame) -> AttentionMIL:
     return model
 
 
+def train(docs: DataFrame, labels: DataFrame) -> AttentionMIL:
+    """Fit in one task, on the bounded sample, so that the driver holds the weights alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for batch in batches:
+            rows += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
+        rows.sort()
+        bags = [np.frombuffer(x, np.float32).reshape(-1, FEATURES) for _, _, x in rows]
+        model = model_of(bags, np.array([min(1.0, max(0.0, y)) for _, y, _ in rows]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+    got = training_bags(docs, labels).repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else model_of([], np.zeros(0))
+
+
 def classify(docs: DataFrame, model: AttentionMIL, score: str, text: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``score`` (0 to 1)."""
     python_tasks(docs.sparkSession, 1000)
