@@ -9,8 +9,13 @@
    weighted shingles. Fingerprints are cut into RADIUS + 1 blocks; two within
    RADIUS bits agree in at least one block (pigeonhole), so an equi-join on
    (length, block number, block value) misses none of them.
-3. Candidates within RADIUS are verified by the exact weighted Jaccard
-   similarity of their shingle multisets; SIMILARITY or more is a match.
+3. Fingerprints of similar short texts can differ in more than RADIUS bits, so
+   window and item also meet if they share a shingle of both prefixes. A prefix
+   holds the heaviest shingles of a text, up to the first whose followers weigh
+   less than SIMILARITY of the text; two texts without a shingle in common there
+   share less than that, so no pair of SIMILARITY is missed.
+4. Candidates are verified by the exact weighted Jaccard similarity of their
+   shingle multisets; SIMILARITY or more is a match.
 
 A shingle weighs 1 + ln((1 + items) / (1 + items that hold it)).
 
@@ -30,7 +35,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import materialize, table
@@ -71,6 +76,15 @@ def _blocks(df: DataFrame) -> DataFrame:
         F.struct(F.lit(i).alias("i"), block(cuts[i], cuts[i + 1]).alias("v")) for i in range(n)))))
 
 
+def _prefix(bag: DataFrame, key: str) -> DataFrame:
+    """(key, h): the shingles of a text, heaviest first (u, then h: one order for all texts), that
+    come before the first whose followers weigh less than SIMILARITY of it, and that one."""
+    order = Window.partitionBy(key).orderBy(F.desc("u"), "h").rowsBetween(Window.unboundedPreceding, -1)
+    sums = bag.select(key, "h", F.coalesce(F.sum("w").over(order), F.lit(0.0)).alias("before"),
+                      F.sum("w").over(Window.partitionBy(key)).alias("total"))
+    return sums.where(F.col("before") <= (1 - SIMILARITY + 1e-6) * F.col("total")).select(key, "h")
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_SHINGLES else df
 
@@ -104,16 +118,21 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = found.groupBy("wkey").agg(F.first("len").alias("len"), F.first("sh").alias("sh"))
 
     def bags(df: DataFrame, key: str) -> DataFrame:
-        """(key, h, w): weight of a shingle times its count in the text."""
+        """(key, h, u, w): weight of a shingle, and that times its count in the text."""
         tf = df.select(key, F.explode("sh").alias("h")).groupBy(key, "h").agg(F.count("*").alias("tf"))
-        return tf.join(weights, "h", "left").select(key, "h", (F.col("tf") * F.coalesce("w", rare)).alias("w"))
+        u = F.coalesce("w", rare)
+        return tf.join(weights, "h", "left").select(key, "h", u.alias("u"), (F.col("tf") * u).alias("w"))
     wbag, ibag = materialize(bags(texts, "wkey"), "decon-wbag"), materialize(bags(items, "ikey"), "decon-ibag")
 
     wfp = _fingerprint(wbag, "wkey").join(texts.select("wkey", "len"), "wkey")
     ifp = _fingerprint(ibag, "ikey").join(items.select("ikey", "len"), "ikey")
     near = (_blocks(wfp).join(_blocks(ifp).withColumnRenamed("fp", "ifp"), ["len", "blk"])
-            .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select("wkey", "ikey").distinct())
+            .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select("wkey", "ikey"))
+    sharing = (_prefix(wbag, "wkey").join(texts.select("wkey", "len"), "wkey")
+               .join(_prefix(ibag, "ikey").join(items.select("ikey", "len"), "ikey"), ["len", "h"]).select("wkey", "ikey"))
+    near = near.union(sharing).distinct()
 
+    wbag, ibag = wbag.drop("u"), ibag.drop("u")
     both = (near.join(wbag, "wkey").join(ibag.withColumnRenamed("w", "iw"), ["ikey", "h"])
             .groupBy("wkey", "ikey").agg(F.sum(F.least("w", "iw")).alias("shared")))
     total = lambda bag, key, name: bag.groupBy(key).agg(F.sum("w").alias(name))

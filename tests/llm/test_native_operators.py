@@ -93,6 +93,25 @@ def test_blocks_meet_within_the_radius(spark):
     assert left.join(right, ["i", "blk"]).select("i").distinct().count() == len(rows)
 
 
+def test_near_copies_beyond_the_radius_are_found(spark):
+    """Copies at similarity 0.80 to 0.85, whose fingerprints often differ in more than RADIUS bits."""
+    rng = random.Random(8)
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    items = [text(rng.choice([14, 16])) for _ in range(120)]
+    docs = []
+    for i, w in enumerate(items):
+        copy = ["zz", *w[1:]] if i % 2 else [*w[:-1], "zz"]
+        docs.append((i, " ".join(copy if i % 3 else [*text(20), *copy, *text(20)])))
+    rows = [(i, " ".join(w)) for i, w in enumerate(items)]
+    found = dec.matches(spark.createDataFrame(docs, "doc_id long, text string"),
+                        spark.createDataFrame(rows, "item_id long, text string"))
+    assert no_python(found)
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found.collect()}
+    expect = brute_matches(docs, rows)
+    assert len(expect) >= 120 and all(0.8 <= v <= 0.85 for v in expect.values())
+    assert got.keys() == expect.keys() and all(abs(got[k] - v) < 1e-9 for k, v in expect.items())
+
+
 def test_decontamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
