@@ -44,7 +44,7 @@ CLASS_WORDS, HEAD_CLASSES, TAIL = 32, 32, 16
 HEAD, CLASSES = CLASS_WORDS * HEAD_CLASSES, HEAD_CLASSES + TAIL
 SYMBOLS = HEAD + TAIL + 1  # the last stands before a text
 PAIRS, INNER = 1 << 13, 1 << 14
-ROWS = 2 * SYMBOLS + PAIRS
+ROWS = 3 * SYMBOLS + PAIRS
 LEXICON = 1 << 18
 ROUNDS, RATE, SMOOTH = 4, 0.5, 2.0
 TOKENS, PART = 1 << 16, 1 << 13
@@ -131,11 +131,11 @@ class Model:
 
 
 def history(symbols: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """Target and the two symbols before it, texts strung together."""
-    first = np.full(2, SYMBOLS - 1, np.int32)
+    """Target and the three symbols before it, texts strung together."""
+    first = np.full(3, SYMBOLS - 1, np.int32)
     parts = [np.concatenate([first, s]) for s in symbols]
-    cut = lambda k: np.concatenate([p[2 - k: len(p) - k] for p in parts]).astype(np.int64)
-    return cut(0), cut(1), cut(2)
+    cut = lambda k: np.concatenate([p[3 - k: len(p) - k] for p in parts]).astype(np.int64)
+    return cut(0), cut(1), cut(2), cut(3)
 
 
 def _hash(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -144,8 +144,8 @@ def _hash(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     return (h >> np.uint64(40)).astype(np.int64) % size
 
 
-def class_features(u: np.ndarray, v: np.ndarray) -> list[np.ndarray]:
-    return [u, SYMBOLS + v, 2 * SYMBOLS + _hash(u, v, PAIRS)]
+def class_features(u: np.ndarray, v: np.ndarray, x: np.ndarray) -> list[np.ndarray]:
+    return [u, SYMBOLS + v, 2 * SYMBOLS + x, 3 * SYMBOLS + _hash(u, v, PAIRS)]
 
 
 def word_features(u: np.ndarray, v: np.ndarray, c: np.ndarray) -> list[np.ndarray]:
@@ -161,11 +161,13 @@ def logits(bias: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.
     return z
 
 
-def log_probs(m: Model, lex: Lexicon, t: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Log10 probability of each token but for the count of a tail word."""
+def log_probs(m: Model, lex: Lexicon, t: np.ndarray, u: np.ndarray, v: np.ndarray,
+              x: np.ndarray | None = None) -> np.ndarray:
+    """Log10 probability of each token but for the count of a tail word; without ``x``, the text starts two before."""
+    x = np.full(len(t), SYMBOLS - 1) if x is None else x
     head = t < HEAD
     c = np.where(head, t // CLASS_WORDS, t - HEAD + HEAD_CLASSES)
-    z = logits(lex.class_bias, m.w1, class_features(u, v))
+    z = logits(lex.class_bias, m.w1, class_features(u, v, x))
     picked = z[np.arange(len(t)), c].astype(np.float64)
     out = picked - np.log(np.exp(z, out=z) @ np.ones(CLASSES, np.float32))
     if head.any():
@@ -200,10 +202,10 @@ class Sums:
         flat = np.concatenate([r * seen.shape[1] + target for r in rows])
         seen += np.bincount(flat, minlength=seen.size).reshape(seen.shape)
 
-    def add(self, m: Model, lex: Lexicon, t: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    def add(self, m: Model, lex: Lexicon, t: np.ndarray, u: np.ndarray, v: np.ndarray, x: np.ndarray) -> None:
         head = t < HEAD
         c = np.where(head, t // CLASS_WORDS, t - HEAD + HEAD_CLASSES)
-        rows = class_features(u, v)
+        rows = class_features(u, v, x)
         self._see(self.parts[0][0], rows, c)
         for a in range(0, len(t), PART):
             part = [r[a: a + PART] for r in rows]

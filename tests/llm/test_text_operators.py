@@ -165,6 +165,23 @@ def test_lm_is_a_distribution():
     assert mass == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_learns_from_the_third_word_before():
+    """The token after (a, c, d) is told by the word three before alone."""
+    words = [b"", *(f"w{i:03d}".encode() for i in range(999))]
+    lex = lm.Lexicon(words, [1000 - i for i in range(1000)], np.zeros(lm.TAIL), np.zeros(lm.TAIL), 500_500, 1000).open()
+    a, b, c, d, p, q = 40, 80, 120, 160, 200, 300  # p and q lie in other classes
+    model = lm.Model()
+    t, u, v, x = lm.history([np.array([a, c, d, p] * 200 + [b, c, d, q] * 200, np.int32)])
+    assert list(x[:5]) == [lm.SYMBOLS - 1] * 3 + [a, c]
+    sums = lm.Sums()
+    sums.add(model, lex, t, u, v, x)
+    seen, expected = sums.parts[0]
+    model.w1 += lm.RATE * (seen - expected) / (np.maximum(seen, expected) + lm.SMOOTH)
+    one = lambda k: np.array([k])
+    told, other = (lm.log_probs(model, lex, one(p), one(d), one(c), one(k))[0] for k in (a, b))
+    assert told > other + 0.1
+
+
 def test_lm_of_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     parts = lm.train(df)
