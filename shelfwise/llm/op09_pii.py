@@ -12,6 +12,11 @@ Symbols: a digit moves among digits, a letter among letters of its case, an
 IPv4 octet among 0-255, a date among the days of its 400-year calendar cycle;
 punctuation stays. A card's last digit is recomputed, so it stays Luhn-valid.
 
+A run of digit groups that is no card as a whole may hold one beside other
+numbers: every part of 13 to 19 digits at group borders is tried. Parts grouped
+as cards are printed go before others; valid parts that overlap all the same are
+replaced as one.
+
 Defined cases: a null text stays null, an empty one empty; matches that fail
 their validation stay as they are; repeated rows give repeated results; all
 columns of the input come back, ``text`` replaced; helper columns take names
@@ -34,16 +39,20 @@ KEY = "shelfwise-demo-key"  # a deployment passes its own
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 SECRET = (r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
           r"|(?i:(?<![a-z])(?:password|passwd|secret|token|api_?key)) ?[=:] ?[\"']?"
-          r"(?=[A-Za-z_+/-]{0,255}[0-9])[0-9A-Za-z_+/-]{8,256}+[\"']?")
+          r"(?=[A-Za-z_+/-]*+[0-9])[0-9A-Za-z_+/-]{8,}+[\"']?")
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
 DATE = (r"(?<![0-9A-Za-z.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z])"
         r"|(?<![0-9A-Za-z./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z])")
 IP = rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 PHONE = (r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])"
          r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9A-Za-z])"
          r"|(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9A-Za-z-])")
+# a whole run of digit groups, up to where another kind of value begins
+CARD = (r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])"
+        rf"(?:(?:-| (?!{DATE}|{IP}|{SSN}|{PHONE}))[0-9]++(?![A-Za-z]))*+")
+PRINTED = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+REACH = 18  # groups that a card can have after its first
 PATTERN = "|".join((SECRET, EMAIL, DATE, IP, SSN, CARD, PHONE))
 KINDS = ("secret", "email", "date", "ip", "ssn", "card", "phone")
 
@@ -73,6 +82,51 @@ def _split(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+def is_card(digits: Column) -> Column:
+    return F.length(digits).between(13, 19) & (luhn_total(digits, 0) % 10 == 0) & ~digits.rlike("^0*$")
+
+
+def parts_of(value: Column) -> Column:
+    """(v, k) pieces of a run of digit groups: the cards in it, and what lies between them."""
+    def before(ends: Column, i: Column | int, first: Column) -> Column:
+        """Greatest end of what starts from ``first`` to ``i``."""
+        a = F.greatest(F.lit(0), first)
+        return F.coalesce(F.array_max(F.slice(ends, a + 1, F.greatest(F.lit(0), i - a + 1))), F.lit(-1))
+
+    def tried(g: Column) -> Column:
+        def at(_: Column, i: Column) -> Column:
+            text = lambda e: F.regexp_replace(F.array_join(F.slice(g, i + 1, e - i + 1), ""), "[ -]$", "")
+            upto = F.sequence(i, F.least(i + REACH, F.size(g) - 1))
+            valid = F.filter(F.transform(upto, lambda e: F.struct(e.alias("e"), text(e).alias("s"))),
+                             lambda c: is_card(F.regexp_replace(c["s"], "[^0-9]", "")))
+            return F.transform(valid, lambda c: F.struct(c["e"].alias("e"), c["s"].rlike(PRINTED).alias("p")))
+        return let(F.struct(g.alias("g"), F.transform(g, at).alias("c")), printed)
+
+    def printed(x: Column) -> Column:
+        last = lambda c: F.coalesce(F.array_max(F.transform(F.filter(c, lambda y: y["p"]), lambda y: y["e"])), F.lit(-1))
+        return let(F.struct(x["g"].alias("g"), x["c"].alias("c"), F.transform(x["c"], last).alias("u")), others)
+
+    def others(x: Column) -> Column:
+        def end(c: Column, i: Column) -> Column:
+            free = F.filter(c, lambda y: before(x["u"], y["e"], i - REACH) < i)
+            return F.when(F.get(x["u"], i) >= 0, F.get(x["u"], i)).otherwise(
+                F.coalesce(F.array_max(F.transform(free, lambda y: y["e"])), F.lit(-1)))
+        return let(F.struct(x["g"].alias("g"), F.transform(x["c"], end).alias("e")), cut)
+
+    def cut(x: Column) -> Column:
+        g, e = x["g"], x["e"]
+        taken = lambda i: before(e, i, i - REACH) >= i
+        joined = lambda i: (before(e, i - 1, i - REACH) >= i) | (~taken(i) & ~taken(i - 1))
+        starts = F.filter(F.sequence(F.lit(0), F.size(g) - 1), lambda i: (i == 0) | ~joined(i))
+
+        def piece(s: Column, n: Column, all_: Column) -> Column:
+            size = F.coalesce(F.get(all_, n + 1), F.size(g)) - s
+            return F.struct(F.array_join(F.slice(g, s + 1, size), "").alias("v"),
+                            F.when(F.get(e, s) >= 0, "card").alias("k"))
+        return let(starts, lambda all_: F.transform(all_, lambda s, n: piece(s, n, all_)))
+    return let(F.regexp_extract_all(value, F.lit("[0-9]+[ -]?"), F.lit(0)), tried)
+
+
 def kind_of(value: Column) -> Column:
     """Kind of one match after validation; null if it fails."""
     digits = F.regexp_replace(value, "[^0-9]", "")
@@ -83,7 +137,7 @@ def kind_of(value: Column) -> Column:
             .when(value.rlike(_whole(IP)), "ip")
             .when(value.rlike(_whole(SSN)),
                   F.when(~value.rlike("^(?:000|666|9)") & ~value.rlike("-00-") & ~value.rlike("-0000$"), "ssn"))
-            .when(value.rlike(_whole(CARD)) & (luhn_total(digits, 0) % 10 == 0) & ~value.rlike("^[0 -]*$"), "card")
+            .when(value.rlike(_whole(CARD)) & is_card(digits), "card")
             .when(value.rlike(_whole(PHONE)) & F.length(digits).between(7, 15), "phone"))
 
 
@@ -109,8 +163,10 @@ def feistel(symbols: Column, radix: Column, tweak: Column, key: str) -> Column:
                 draw = F.conv(F.substring(F.sha2(F.concat(seed, i.cast("string")), 256), 1, 13), 16, 10).cast("long")
                 return F.pmod(s + draw, F.get(size, i + offset))
             return F.transform(part, one)
-        return let(F.concat_ws("|", lead, rnd.cast("string"),
-                               F.array_join(F.transform(other, lambda x: x.cast("string")), ","), F.lit("")), move)
+        seed = F.concat_ws("|", lead, rnd.cast("string"),
+                           F.array_join(F.transform(other, lambda x: x.cast("string")), ","), F.lit(""))
+        long = F.size(other) > 256  # hash a long half once, not for every symbol
+        return let(let(seed, lambda s: F.when(long, F.sha2(s, 256)).otherwise(s)), move)
 
     def run(v: Column) -> Column:
         half = F.floor(F.size(v["s"]) / 2).cast("int")
@@ -208,16 +264,18 @@ def pseudonym(value: Column, kind: Column, key: str) -> Column:
 def pseudonymize(docs: DataFrame, text: str = "text", key: str = KEY, counts: bool = False) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; ``counts`` adds n_<kind> and n_pii."""
     found, new = fresh(docs, "pii_found"), fresh(docs, "pii_new")
-    matched = F.transform(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)),
-                          lambda v: F.struct(v.alias("v"), kind_of(v).alias("k")))
-    empty = F.array().cast("array<struct<v:string,k:string>>")
+    one = lambda v: let(kind_of(v), lambda k: F.when(k.isNull() & v.rlike("^[0-9][0-9 -]*[ -][0-9]+$"), parts_of(v))
+                        .otherwise(F.array(F.struct(v.alias("v"), k.alias("k")))))
+    matched = F.transform(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)), one)
+    empty = F.array().cast("array<array<struct<v:string,k:string>>>")
     out = docs.withColumn(found, F.when(F.col(text).rlike(PATTERN), matched).otherwise(empty))
-    out = out.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda m: pseudonym(m["v"], m["k"], key))))
+    out = out.withColumn(new, F.when(F.size(found) > 0, F.transform(found, lambda ps: F.array_join(
+        F.transform(ps, lambda m: pseudonym(m["v"], m["k"], key)), ""))))
     rest = F.split(F.col(text), PATTERN, -1)
     joined = F.array_join(F.zip_with(rest, F.col(new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     out = out.withColumn(text, F.when(F.col(new).isNotNull(), joined).otherwise(F.col(text)))
     if counts:
-        of = lambda kind: F.size(F.filter(found, lambda m: m["k"] == kind)).cast("long")
+        of = lambda kind: F.size(F.filter(F.flatten(found), lambda m: m["k"] == kind)).cast("long")
         each = {f"n_{k}": of(k) for k in KINDS}
         out = out.withColumns(each)
         out = out.withColumn("n_pii", reduce(lambda a, b: a + b, (F.col(c) for c in each)))

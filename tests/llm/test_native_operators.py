@@ -157,6 +157,28 @@ def test_permutations_are_one_to_one(spark):
         assert all(luhn(g) for g in got) if values is cards else True
 
 
+def test_cards_beside_other_numbers_are_found(spark):
+    a, b, c = "4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111"
+    alone = {v: r["text"] for v, r in zip((a, b, c), apply(spark, [a, b, c]), strict=True)}
+    shape = [(f"{a} 123", a), (f"{b} 12 items", b), (f"qty 2 {c}", c), (f"{b} 12th", b), (f"123456 {a} 7891 11", a)]
+    ip, date = (r["text"] for r in apply(spark, ["10.0.0.1", "2025-01-02"]))
+    got = apply(spark, [t for t, _ in shape] + [f"{a} {b}", f"{b} 10.0.0.1", f"{b} 2025-01-02", "12 34 " * 20_000])
+    for (t, card), r in zip(shape, got, strict=False):
+        assert (r["text"], r["n_card"], r["n_pii"]) == (t.replace(card, alone[card]), 1, 1)
+    assert got[5]["text"] == f"{alone[a]} {alone[b]}" and got[5]["n_card"] == 2
+    assert got[6]["text"] == f"{alone[b]} {ip}" and got[7]["text"] == f"{alone[b]} {date}"
+    assert re.fullmatch(r"(\d\d \d\d ){20000}", got[8]["text"])
+
+
+def test_long_secrets_leave_nothing(spark):
+    late = "abcdefgh" * 40 + "7"
+    long = "Ab3dEf7h" * 50
+    got = apply(spark, [f'token="{long}" end', f"secret={late} end", "token=" + "a1B2" * 50_000])
+    for r, v in zip(got, (long, late, "a1B2" * 50_000), strict=True):
+        assert r["n_secret"] == 1 and v[-16:] not in r["text"] and v[256:272] not in r["text"][256:]
+    assert re.fullmatch(r'token="[A-Za-z0-9]{400}" end', got[0]["text"])
+
+
 def test_one_card_links_however_it_is_spaced(spark):
     a, b, c = (r["text"] for r in apply(spark, ["4041894974608795", "4041-8949-7460-8795", "4041 8949 7460 8795"]))
     assert b == "-".join(a[i:i + 4] for i in (0, 4, 8, 12)) and c == b.replace("-", " ")
