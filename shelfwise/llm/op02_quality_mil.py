@@ -9,8 +9,11 @@ learned from document labels alone; the document's score is a logistic
 function of the weighted representation sum(a h). Trained by Adam on
 mini-batches of bags.
 
-Passages are PASSAGE_CHARS long; a text longer than MAX_BAG of them is cut into
-MAX_BAG equal longer ones, so the whole text always counts and memory is bounded.
+Passages are PASSAGE_CHARS long. Scoring reads them all at that length, whatever
+the text's, and pools in blocks of BLOCK passages: the greatest attention logit
+so far and the sums of exp(e) and exp(e) h relative to it give the exact softmax
+in constant memory. Training alone bounds a bag: there a text longer than MAX_BAG
+passages is cut into MAX_BAG equal longer ones, so the whole text counts.
 
 Defined cases: a null text is an empty one; an empty text is a bag of one
 passage of zeros and gets a score too; several labels of one id are averaged,
@@ -38,7 +41,8 @@ from pyspark.sql import types as T
 from shelfwise.llm.common import fresh, held_out, python_tasks, table
 
 PASSAGE_CHARS = 512
-MAX_BAG = 64
+MAX_BAG = 64  # of a training text
+BLOCK, ROWS = 64, 512
 TRAIN_DOCS = 6000
 HIDDEN, ATTENTION = 32, 16
 STEPS, BATCH, RATE, DECAY = 660, 128, 3e-3, 1e-5
@@ -65,7 +69,16 @@ CLASS = _classes()
 FEATURES = CLASSES * CLASSES + CLASSES + 5
 
 
+def blocks(text: str | None) -> Iterator[list[str]]:
+    """All passages of a text, in lists of at most BLOCK."""
+    text = text or ""
+    for a in range(0, max(1, len(text)), BLOCK * PASSAGE_CHARS):
+        part = text[a: a + BLOCK * PASSAGE_CHARS]
+        yield [part[i: i + PASSAGE_CHARS] for i in range(0, len(part), PASSAGE_CHARS)] or [""]
+
+
 def passages(text: str | None) -> list[str]:
+    """The passages of a training text, at most MAX_BAG."""
     text = text or ""
     step = max(PASSAGE_CHARS, -(-len(text) // MAX_BAG))
     return [text[i: i + step] for i in range(0, len(text), step)] or [""]
@@ -102,14 +115,19 @@ class AttentionMIL:
                   "U": draw(HIDDEN, ATTENTION), "a": draw(ATTENTION), "c": draw(HIDDEN), "d": np.zeros(1)}
         self.mean, self.scale = np.zeros(FEATURES), np.ones(FEATURES)
 
-    def forward(self, x: np.ndarray, starts: np.ndarray) -> dict:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Scaled features, encoding, both gates and the attention logit of every passage."""
         w = self.w
         x = np.clip((x - self.mean) / self.scale, -6, 6)
-        sizes = np.diff(np.append(starts, len(x)))
-        bag = np.repeat(np.arange(len(starts)), sizes)
         h = np.tanh(x @ w["W"] + w["b"])
         tv, su = np.tanh(h @ w["V"]), _sigmoid(h @ w["U"])
-        e = (tv * su) @ w["a"]
+        return x, h, tv, su, (tv * su) @ w["a"]
+
+    def forward(self, x: np.ndarray, starts: np.ndarray) -> dict:
+        w = self.w
+        x, h, tv, su, e = self.encode(x)
+        sizes = np.diff(np.append(starts, len(x)))
+        bag = np.repeat(np.arange(len(starts)), sizes)
         e = np.exp(e - np.maximum.reduceat(e, starts)[bag])
         a = e / np.add.reduceat(e, starts)[bag]
         z = np.add.reduceat(a[:, None] * h, starts)
@@ -152,12 +170,32 @@ class AttentionMIL:
         return self
 
     def score(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for a in range(0, len(texts), 64):
-            bags = [features(passages(t)) for t in texts[a: a + 64]]
-            starts = np.concatenate([[0], np.cumsum([len(b) for b in bags])[:-1]])
-            out[a: a + 64] = self.forward(np.concatenate(bags), starts)["p"]
-        return out
+        top, mass, z = np.full(len(texts), -np.inf), np.zeros(len(texts)), np.zeros((len(texts), HIDDEN))
+        wait: list[tuple[int, np.ndarray]] = []
+
+        def flush() -> None:
+            _, h, _, _, e = self.encode(np.concatenate([x for _, x in wait]))
+            a = 0
+            for row, x in wait:
+                he, ee = h[a: a + len(x)], e[a: a + len(x)]
+                a += len(x)
+                most = max(top[row], ee.max())
+                keep, ee = np.exp(top[row] - most), np.exp(ee - most)
+                mass[row] = mass[row] * keep + ee.sum()
+                z[row] = z[row] * keep + ee @ he
+                top[row] = most
+            wait.clear()
+        held = 0
+        for row, text in enumerate(texts):
+            for block in blocks(text):
+                wait.append((row, features(block)))
+                held += len(block)
+                if held >= ROWS:
+                    flush()
+                    held = 0
+        if wait:
+            flush()
+        return _sigmoid((z / mass[:, None]) @ self.w["c"] + self.w["d"])
 
 
 def training_bags(docs: DataFrame, labels: DataFrame) -> DataFrame:

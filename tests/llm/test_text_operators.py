@@ -222,6 +222,25 @@ def test_attention_weights_the_odd_passage():
     assert f["p"][0] > 0.8 and f["a"].argmax() == bags[1][:, :5].sum(1).argmax()
 
 
+def test_long_texts_are_scored_by_all_their_short_passages(monkeypatch):
+    """Block pooling equals the softmax over all passages, and a repeated text scores as one of it."""
+    rng = random.Random(4)
+    model = mil.AttentionMIL()
+    clean = " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(400))[:1024]
+    bad = "|".join("$9#" for _ in range(128))[:512]
+    x = mil.features([clean[:512], clean[512:], bad])
+    model.mean, model.scale = x.mean(0), x.std(0) + 1e-2
+    model.w["a"] *= 20
+    texts = [clean * 200, clean, "", clean * 60 + bad + clean * 60, None, bad]
+    bags = [[(t or "")[i: i + 512] for i in range(0, len(t or ""), 512)] or [""] for t in texts]
+    expect = [model.forward(mil.features(b), np.array([0]))["p"][0] for b in bags]
+    got = model.score(texts)
+    assert got == pytest.approx(expect, abs=1e-9) and got[0] == pytest.approx(got[1], abs=1e-9)
+    monkeypatch.setattr(mil, "BLOCK", 3)
+    assert model.score(texts) == pytest.approx(expect, abs=1e-9)
+    assert model.score([]).shape == (0,)
+
+
 def test_quality_on_held_out_and_odd_rows(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
