@@ -12,8 +12,9 @@ through one partition), we:
 3. label every row with a pure predicate: ``(date, keys) >= boundary``.
 
 Rows that agree in every column are interchangeable: if a boundary falls inside
-such a group, its copies are counted and dealt out by number. NULLs are values
-of the order (first), in dates and keys alike.
+such a group, its copies are counted and dealt out by number, in blocks of
+COPIES that are spread over tasks. NULLs are values of the order (first), in
+dates and keys alike.
 
 Only the boundary tuples reach the driver. The labelled frame is a narrow
 projection of the input: no shuffle of the data itself.
@@ -34,6 +35,7 @@ from shelfwise.operators.quality import guard_test_size
 from shelfwise.schema import DATE, SERIES
 
 ATOMIC = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
+COPIES = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -145,6 +147,17 @@ def at_or_after(df: DataFrame, boundary: Boundary | None) -> Column:
     return row >= edge if boundary.number == 1 else row > edge
 
 
+def _numbered(groups: DataFrame, cols: list[str]) -> DataFrame:
+    """``cols`` and ``_copy``: one row per number from ``_first`` to ``_end``, made in blocks of COPIES."""
+    tasks = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = lambda c: F.floor(F.col(c) / COPIES)
+    spread = (groups.withColumn("_block", F.explode(F.sequence(block("_first"), block("_end"))))
+              .repartition(tasks, "_block"))  # a given number, so that AQE doesn't join the blocks again
+    start = F.col("_block") * COPIES
+    return spread.select(*cols, F.explode(F.sequence(
+        F.greatest("_first", start), F.least(F.col("_end"), start + (COPIES - 1)))).alias("_copy"))
+
+
 def bucket(df: DataFrame, boundaries: list[Boundary | None], name: str = "fold") -> DataFrame:
     """Number of boundaries each row is at or past (0 .. len(boundaries))."""
     if not boundaries:
@@ -164,7 +177,8 @@ def bucket(df: DataFrame, boundaries: list[Boundary | None], name: str = "fold")
         copies = (df.where(equal[key]).withColumn(name, passed).groupBy(*df.columns, name)
                   .agg(F.count(F.lit(1)).alias("_n"))
                   .withColumn("_end", F.sum("_n").over(Window.partitionBy(*key[0]).orderBy(F.xxhash64(*df.columns))))
-                  .select(*df.columns, name, F.explode(F.sequence(F.col("_end") - F.col("_n") + 1, F.col("_end"))).alias("_copy")))
+                  .withColumn("_first", F.col("_end") - F.col("_n") + 1))
+        copies = _numbered(copies, [*df.columns, name])
         out = out.unionByName(copies.withColumn(name, F.col(name) + extra).drop("_copy"))
     return out
 

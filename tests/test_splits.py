@@ -131,3 +131,14 @@ def test_strict_date_boundary_keeps_days_whole(spark):
         by_day.setdefault(r["date"], set()).add(r["is_train"])
     assert all(len(v) == 1 for v in by_day.values())
     assert sum(r["is_train"] for r in lab) == 21
+
+
+@pytest.mark.parametrize("block", [7, 64])
+def test_copies_of_a_large_tie_are_made_in_many_tasks(spark, monkeypatch, block):
+    monkeypatch.setattr(S, "COPIES", block, raising=False)
+    df = spark.range(1000).select(F.lit("a").alias("k"), F.lit(1).alias("v"))
+    edges = [S.Boundary(("k", "v"), ("a", 1), n) for n in (301, 640)]
+    got = (S.bucket(df, edges).withColumn("task", F.spark_partition_id()).groupBy("fold")
+           .agg(F.count("*").alias("n"), F.collect_set("task").alias("tasks")).collect())
+    assert {r["fold"]: r["n"] for r in got} == {0: 300, 1: 339, 2: 361}
+    assert len({t for r in got for t in r["tasks"]}) > 1
