@@ -12,6 +12,9 @@ from shelfwise.llm import op07_language_id as op7
 from shelfwise.llm import op08_decontamination as op8
 from shelfwise.llm import op09_pii as op9
 from shelfwise.llm import op10_chat_formatting as op10
+from shelfwise.llm import op11_merkle_manifest as op11
+from shelfwise.llm import op12_url_filter as op12
+from shelfwise.llm import op13_periodic_runs as op13
 
 QUERIES = {
     "op1_token_counts": op1.op1_token_counts,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_decontamination": op8.op8_decontamination,
     "op9_pii": op9.op9_pii,
     "op10_chat_formatting": op10.op10_chat_formatting,
+    "op11_merkle_manifest": op11.op11_merkle_manifest,
+    "op12_url_filter": op12.op12_url_filter,
+    "op13_periodic_runs": op13.op13_periodic_runs,
 }
 
 ORACLE_SQL = {
@@ -31,4 +37,7 @@ ORACLE_SQL = {
     "op6_vantage_point": op6.SQL,
     "op8_decontamination": op8.SQL,
     "op10_chat_formatting": op10.SQL,
+    "op11_merkle_manifest": op11.SQL,
+    "op12_url_filter": op12.SQL,
+    "op13_periodic_runs": op13.SQL,
 }
