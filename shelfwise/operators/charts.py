@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import product_label
 from shelfwise.functions.numeric import clip_prediction
+from shelfwise.operators.quantiles import grouped_quantiles
 from shelfwise.schema import DATE, PRODUCT_LINE, QUANTITY
 
 
@@ -38,22 +39,23 @@ def probability_grid(points: int = 99) -> list[tuple[float, float]]:
     return [(i / (points + 1), nd.inv_cdf(i / (points + 1))) for i in range(1, points + 1)]
 
 
-def residual_qq(scored: DataFrame, points: int = 99, exact: bool = False,
+def residual_qq(scored: DataFrame, points: int = 99, exact: bool = True,
                 accuracy: int = 100000) -> DataFrame:
     """Sample residual quantiles vs normal quantiles on a fixed grid.
 
-    By default the bounded-memory ``percentile_approx`` sketch. exact:
-    linear-interpolated percentile, whose buffer is one count per distinct
-    residual (for integer-valued residuals).
+    Exact by bucket refinement; ``exact=False`` takes the one-pass sketch of ``accuracy``.
     """
     grid = probability_grid(points)
-    resid = F.col("label") - clip_prediction(F.col("prediction"))
-    probs = F.array(*[F.lit(p) for p, _ in grid])
-    q = F.percentile(resid, probs) if exact else F.percentile_approx(resid, probs, accuracy)
-    theo = F.array(*[F.lit(z) for _, z in grid])
-    one = scored.agg(q.alias("q"))
-    return one.select(F.inline(F.arrays_zip(probs.alias("p"), F.col("q").alias("sample_quantile"),
-                                            theo.alias("theoretical_quantile"))))
+    resid = scored.select((F.col("label") - clip_prediction(F.col("prediction"))).alias("residual"))
+    if exact:
+        one = grouped_quantiles(resid, (), "residual", [p for p, _ in grid])
+    else:
+        probs = F.array(*[F.lit(p) for p, _ in grid])
+        one = resid.agg(F.percentile_approx("residual", probs, accuracy).alias("quantiles"))
+    pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(z).alias("theoretical_quantile")) for p, z in grid])
+    rows = F.zip_with(pairs, "quantiles", lambda g, v: F.struct(
+        g["p"].alias("p"), v.alias("sample_quantile"), g["theoretical_quantile"].alias("theoretical_quantile")))
+    return one.select(F.inline(rows))
 
 
 def residual_bins(scored: DataFrame, width: float = 50.0) -> DataFrame:

@@ -7,6 +7,9 @@ per dimension.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from shelfwise.config import CostConfig
 from shelfwise.functions import dates as D
 from shelfwise.functions.keys import product_key, product_label
 from shelfwise.functions.numeric import clip_prediction
+from shelfwise.operators.gram import correlated_slots
+from shelfwise.operators.quantiles import grouped_quantiles
 from shelfwise.schema import DATE, PRODUCT_KEY, PRODUCT_LINE
 
 
@@ -112,13 +117,14 @@ def per_product(scored: DataFrame, clip: bool = False) -> DataFrame:
 def performance_tier(pp: DataFrame) -> DataFrame:
     """Green below the 33rd RMSE percentile, orange below the 67th, else red.
 
-    The two thresholds are one global aggregate (bounded, two numbers)."""
-    q = pp.agg(F.percentile("rmse", F.array(F.lit(0.33), F.lit(0.67))).alias("q")).first()["q"]
-    if q is None:
-        return pp.withColumn("tier", F.lit(None).cast("string"))
-    q33, q67 = float(q[0]), float(q[1])
-    return pp.withColumn("tier", F.when(F.col("rmse") < q33, "green")
-                         .when(F.col("rmse") < q67, "orange").otherwise("red"))
+    The thresholds are exact quantiles, a row of two numbers that the plan joins to
+    every product; no job runs while it is built. Products without an RMSE are red.
+    """
+    q = grouped_quantiles(pp, (), "rmse", [0.33, 0.67])
+    q = q.select(F.lit(1).alias("_one"), F.col("quantiles")[0].alias("_q33"), F.col("quantiles")[1].alias("_q67"))
+    out = pp.withColumn("_one", F.lit(1)).join(F.broadcast(q), "_one", "left")  # one row
+    return out.withColumn("tier", F.when(F.col("rmse") < F.col("_q33"), "green")
+                          .when(F.col("rmse") < F.col("_q67"), "orange").otherwise("red")).drop("_one", "_q33", "_q67")
 
 
 def _breakdown(df: DataFrame, dims: dict[str, Column], aggs: list[Column],
@@ -198,24 +204,12 @@ def scaler_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def correlated_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:
-    """|Pearson corr| > threshold over feature pairs (i < j).
+    """|Pearson corr| > threshold over numeric feature pairs (i < j).
 
-    One aggregate pass (population covariances and deviations, merged from
-    partial ones), unpivoted: nothing reaches the driver. A constant column has
-    no correlation and is never above the threshold.
+    Sums of products merged from one pass (``gram``), however many columns there
+    are. A constant column has no correlation and is never above the threshold.
     """
-    d = len(cols)
-    pairs = [(i, j) for i in range(d) for j in range(i + 1, d)]
-    if not pairs:
-        return df.sparkSession.createDataFrame(
-            [], "i int, j int, feature_a string, feature_b string, abs_corr double")
-    at = [F.col(c).cast("double") for c in cols]
-    one = df.agg(*[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(at)],
-                 *[F.covar_pop(at[i], at[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    corr = lambda i, j: F.abs(F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")))
-    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(cols[i]).alias("feature_a"),
-                              F.lit(cols[j]).alias("feature_b"), corr(i, j).alias("abs_corr")) for i, j in pairs])
-    return one.select(F.inline(rows)).where(F.col("abs_corr") > threshold)
+    return correlated_slots(df, cols, (), threshold)
 
 
 def top_correlated(pairs: DataFrame, k: int = 5) -> DataFrame:
@@ -270,10 +264,16 @@ def diagnostics(scored: DataFrame, k: int = 5) -> DataFrame:
 
 
 def interpretation(df: DataFrame, cols: list[str], trees: int = 100, depth: int = 10,
-                   threshold: float = 0.7) -> DataFrame:
-    """Rows, features, strongly correlated pairs, and the forest's parameter estimate trees * 2^depth."""
-    n_pairs = correlated_pairs(df, cols, threshold).agg(F.count(F.lit(1)).alias("n_correlated_pairs"))
-    return one_row(data_profile(df, cols).withColumn("forest_parameter_estimate", F.lit(trees * 2 ** depth)), n_pairs)
+                   threshold: float = 0.7, cats=()) -> DataFrame:
+    """Rows, features, strongly correlated pairs, and the forest's parameter estimate trees * 2^depth.
+    The values of ``cats`` count as features (one-hot slots)."""
+    n_pairs = correlated_slots(df, cols, cats, threshold).agg(F.count(F.lit(1)).alias("n_correlated_pairs"))
+    n = F.count(F.lit(1))
+    slots = [F.count_distinct(c) for c in cats]
+    n_features = reduce(add, slots, F.lit(len(cols))).cast("int")
+    profile = df.agg(n.alias("n_samples"), n_features.alias("n_features"),
+                     (n / F.greatest(n_features, F.lit(1)).cast("double")).alias("samples_per_feature"))
+    return one_row(profile.withColumn("forest_parameter_estimate", F.lit(trees * 2 ** depth)), n_pairs)
 
 
 def one_row(*parts: DataFrame) -> DataFrame:

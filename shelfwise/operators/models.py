@@ -27,7 +27,8 @@ from shelfwise.config import TrainingConfig
 from shelfwise.operators import metrics as M
 from shelfwise.operators import splits as S
 from shelfwise.operators.baselines import BASELINES
-from shelfwise.operators.features import one_hot_vector
+from shelfwise.operators.ranking import CategoryCodes
+from shelfwise.operators.gram import GRAM_INPUTS, GramRidge, fit_ridge, prepare, validate_ridge
 from shelfwise.schema import CATEGORICAL
 
 FEATURES = "features"
@@ -38,7 +39,7 @@ NORMAL_FEATURES = 4096
 
 
 def fit_prep(train: DataFrame, numeric_cols: list[str], cat_cols=CATEGORICAL) -> PipelineModel:
-    """M1: categoricals -> sparse one-hot (vocabulary fitted on train), numerics
+    """M1: categoricals -> sparse one-hot (a distributed dictionary of train), numerics
     centred, everything divided by its population deviation on train.
 
     One-hot slots are scaled but not centred, so rows stay as sparse as their
@@ -46,7 +47,8 @@ def fit_prep(train: DataFrame, numeric_cols: list[str], cat_cols=CATEGORICAL) ->
     MLlib's scaler uses the sample deviation; one factor makes it the population's.
     """
     cats, numeric = list(cat_cols), list(numeric_cols)
-    stages = one_hot_vector(cats) if cats else []
+    codes = CategoryCodes.fitted(train, cats) if cats else None
+    stages = [codes, codes.encoder()] if cats else []
     parts = []
     for cols, name, centre in ((numeric, "numeric", True), ([f"{c}_vec" for c in cats], "onehot", False)):
         if cols:
@@ -120,13 +122,20 @@ def make_estimator(name: str, train: DataFrame, cfg: TrainingConfig = TrainingCo
 
 @dataclass
 class Trained:
-    prep: PipelineModel
+    prep: PipelineModel | None  # None where only ridge models were fitted: these read the inputs themselves
     models: dict  # name -> fitted estimator model
     params: dict = field(default_factory=dict)  # name -> settings chosen by tuning
 
     def pipeline(self, name: str) -> PipelineModel:
-        """One persistable PipelineModel per model (prep + estimator)."""
-        return PipelineModel(stages=list(self.prep.stages) + [self.models[name]])
+        """One persistable PipelineModel per model (prep + estimator; a ridge alone)."""
+        model = self.models[name]
+        return PipelineModel(stages=([] if isinstance(model, GramRidge) else list(self.prep.stages)) + [model])
+
+
+def linear_model(train: DataFrame, numeric_cols: list[str], cat_cols=CATEGORICAL, alpha: float = 1.0) -> GramRidge | None:
+    """M2 solved from one pass of sums, for up to GRAM_INPUTS inputs; None beyond (``ridge`` on prepared rows)."""
+    at = prepare(train, numeric_cols, cat_cols)
+    return fit_ridge(train, numeric_cols, cat_cols, alpha, prepared=at) if at[2].width <= GRAM_INPUTS else None
 
 
 def train_models(train: DataFrame, numeric_cols: list[str], names=("linear_regression", "random_forest",
@@ -142,6 +151,11 @@ def train_models(train: DataFrame, numeric_cols: list[str], names=("linear_regre
             if family(name) in GRIDS:
                 found[name] = search(train, numeric_cols, family(name), cfg.tuning_n_iter, cfg.tuning_cv_splits,
                                      cfg.random_state, cat_cols=cat_cols)[0]
+    linear = {n: linear_model(train, numeric_cols, cat_cols) for n in names if family(n) == "linear_regression"}
+    models = {n: m for n, m in linear.items() if m is not None}
+    rest = [n for n in names if n not in models]
+    if not rest:
+        return Trained(None, models, found)
     prep = fit_prep(train, numeric_cols, cat_cols)
     prepared = prep.transform(train).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -150,34 +164,35 @@ def train_models(train: DataFrame, numeric_cols: list[str], names=("linear_regre
 
     if parallel > 1:
         with ThreadPoolExecutor(parallel) as pool:
-            models = dict(pool.map(fit, names))
+            models.update(pool.map(fit, rest))
     else:
-        models = dict(fit(n) for n in names)
+        models.update(fit(n) for n in rest)
     prepared.unpersist()
     return Trained(prep, models, found)
 
 
 def predict(trained: Trained, name: str, df: DataFrame, keep=None) -> DataFrame:
     """Score once; every input column is kept (no positional alignment needed)."""
-    out = trained.models[name].transform(trained.prep.transform(df))
+    model = trained.models[name]
+    if isinstance(model, GramRidge):
+        return model.transform(df)
+    out = model.transform(trained.prep.transform(df))
     drop = [c for c in out.columns if c.endswith("_idx") or c.endswith("_vec") or c in (*STEPS, FEATURES)]
     return out.drop(*drop)
 
 
 def feature_names(trained: Trained, numeric_cols: list[str], cat_cols=CATEGORICAL) -> list[str]:
     """Names of the assembled vector slots (numeric, then one-hot levels)."""
-    names = list(numeric_cols)
-    idx_model = trained.prep.stages[0] if cat_cols else None
-    if idx_model is not None:
-        for c, labels in zip(cat_cols, idx_model.labelsArray):
-            names += [f"{c}_{v}" for v in labels]  # dropLast drops the "keep" slot
-    return names
+    return list(numeric_cols) + (trained.prep.stages[0].slot_names() if cat_cols else [])
 
 
 def feature_importance(trained: Trained, name: str, numeric_cols: list[str], cat_cols=CATEGORICAL,
                        top: int | None = 10) -> DataFrame:
     """Tree importances, or absolute coefficients for linear models."""
     model = trained.models[name]
+    if isinstance(model, GramRidge):
+        df = model.importance().select(F.lit(name).alias("model"), "feature", "importance")
+        return df if top is None else df.orderBy(F.desc("importance"), "feature").limit(top)
     vals = (model.featureImportances.toArray() if hasattr(model, "featureImportances")
             else [abs(x) for x in model.coefficients.toArray()])
     names = feature_names(trained, numeric_cols, cat_cols)
@@ -203,14 +218,22 @@ def validate(frame: DataFrame, numeric_cols: list[str], names=("linear_regressio
 
     Rows are labelled with their fold once (pure predicate, no sort); each fold
     refits the preparation (scaler per fold) and the estimator on ``fold <= i``
-    and scores ``fold == i + 1`` with unclipped predictions. Names of baselines
-    are validated alike, without a preparation.
+    and scores ``fold == i + 1`` with unclipped predictions. Ridge folds are
+    solved from one pass of mergeable sums and scored in a second one (up to
+    GRAM_INPUTS inputs). Names of baselines are validated alike, without a preparation.
     Returns (model, fold, mae, rmse).
     """
     labelled, ranges = S.assign_folds(frame, kind, n_splits, test_size)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     fitted = [n for n in names if n not in BASELINES]
     rows = []
+    if any(family(n) == "linear_regression" for n in fitted):
+        at = prepare(labelled, numeric_cols, cat_cols)
+        if at[2].width <= GRAM_INPUTS:
+            errors = validate_ridge(len(ranges), at).collect()
+            for n in [n for n in fitted if family(n) == "linear_regression"]:
+                rows += [(n, r["fold"], r["mae"], r["rmse"]) for r in errors]
+                fitted.remove(n)
     for i in range(len(ranges)):
         tr, va = S.fold_filter(labelled, i)
         for name in names:
@@ -257,15 +280,44 @@ def sample_params(grid: dict, n_iter: int, seed: int = 42) -> list[dict]:
     return out
 
 
+#: The setting that counts trees: a larger fit holds the smaller ones.
+STAGES = {"random_forest": "numTrees", "gradient_boosting": "maxIter"}
+
+
+def staged_mae(kind: str, base: dict, stages: list[int], train: DataFrame, held: DataFrame, seed: int) -> dict[int, float]:
+    """MAE on ``held`` at several numbers of trees, from one fit of the largest.
+
+    Boosting: trees are added one by one, so the error after each is read off one model. Forests: trees are
+    independent, so the largest is fitted in chunks whose means are averaged.
+    """
+    if kind == "gradient_boosting":
+        model = make_estimator(kind, train, TrainingConfig(random_state=seed), base | {"maxIter": max(stages)}).fit(train)
+        errors = model.evaluateEachIteration(held, "absolute")
+        return {s: float(errors[s - 1]) for s in stages}
+    step = math.gcd(*stages)
+    scored, told, out = held, F.lit(0.0), []
+    for c in range(max(stages) // step):
+        model = make_estimator(kind, train, TrainingConfig(random_state=seed + c), base | {"numTrees": step}).fit(train)
+        scored = model.transform(scored).withColumnRenamed("prediction", f"_p{c}")
+        told = told + F.col(f"_p{c}")
+        out.append(F.avg(F.abs(F.col("label") - told / (c + 1))).alias(str(step * (c + 1))))
+    row = scored.agg(*out).first()
+    return {s: float(row[str(s)]) for s in stages}
+
+
 def search(frame: DataFrame, numeric_cols: list[str], kind: str = "random_forest", n_iter: int = 30,
-           n_splits: int = 3, seed: int = 42, parallel: int = 4, cat_cols=CATEGORICAL):
+           n_splits: int = 3, seed: int = 42, parallel: int = 4, cat_cols=CATEGORICAL, grid: dict | None = None):
     """M5: sampled settings scored by mean MAE over chronological folds. Folds
-    are prepared and cached once; settings are fitted as parallel Spark jobs
-    from a thread pool.
+    are prepared and cached once; settings that differ in the number of trees only
+    are scored by one fit (``staged_mae``), the others by parallel Spark jobs from a
+    thread pool.
 
     Returns (best params, results DataFrame(setting, params, mae)).
     """
-    settings = sample_params(GRIDS[kind], n_iter, seed)
+    settings = sample_params(GRIDS[kind] if grid is None else grid, n_iter, seed)
+    groups: dict[str, list[int]] = {}
+    for k, p in enumerate(settings):
+        groups.setdefault(json.dumps({a: v for a, v in p.items() if a != STAGES[kind]}, sort_keys=True), []).append(k)
     labelled, ranges = S.assign_folds(frame, "cv", n_splits)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     folds = []
@@ -274,15 +326,15 @@ def search(frame: DataFrame, numeric_cols: list[str], kind: str = "random_forest
         prep = fit_prep(tr, numeric_cols, cat_cols)
         folds.append((prep.transform(tr).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK),
                       prep.transform(va).select(FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)))
-    cfg = TrainingConfig(random_state=seed)
 
     def score(item):
-        k, p = item
-        maes = [_fold_metrics("", 0, make_estimator(kind, tr, cfg, p).fit(tr).transform(va))[2] for tr, va in folds]
-        return k, p, sum(maes) / len(maes)
+        base, members = json.loads(item[0]), item[1]
+        stages = sorted({settings[k][STAGES[kind]] for k in members})
+        errors = [staged_mae(kind, base, stages, tr, va, seed) for tr, va in folds]
+        return [(k, settings[k], sum(e[settings[k][STAGES[kind]]] for e in errors) / len(errors)) for k in members]
 
     with ThreadPoolExecutor(parallel) as pool:
-        results = list(pool.map(score, enumerate(settings)))
+        results = sorted((r for part in pool.map(score, groups.items()) for r in part), key=lambda r: r[0])
     for tr, va in folds:
         tr.unpersist(), va.unpersist()
     labelled.unpersist()

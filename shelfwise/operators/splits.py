@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.operators.quality import guard_test_size
+from shelfwise.operators.ranking import number_rows
 from shelfwise.schema import DATE, SERIES
 
 ATOMIC = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType, T.BinaryType)
@@ -222,6 +223,12 @@ def chronological(df: DataFrame) -> DataFrame:
     return df.orderBy(DATE, *order_keys(df))
 
 
+def row_positions(df: DataFrame) -> DataFrame:
+    """O1 as numbers: ``position`` of every row, from 0, in (date, keys) order, NULLs first. Rows that agree in
+    the order stand next to each other in any order."""
+    return number_rows(df, [DATE, *order_keys(df)])
+
+
 def train_test(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (labelled.where(F.col("is_train")).drop("is_train"),
             labelled.where(~F.col("is_train")).drop("is_train"))

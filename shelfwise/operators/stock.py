@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.keys import product_key
+from shelfwise.operators.quantiles import grouped_quantiles
 from shelfwise.schema import DATE, PRODUCT_KEY, QUANTITY, STOCK, STOCK_KEYWORDS
 
 COVERAGE_QUANTILES = {"median": 0.5, "p75": 0.75, "p90": 0.9}
@@ -30,17 +31,20 @@ def estimate_stock(panel: DataFrame, days_of_coverage: float = 10.0,
     """(product_key, current_stock) = max(1, round_half_even(stat x days)).
 
     stat: mean | median | p75 | p90 (linear interpolation; unknown -> mean).
-    The exact percentile buffers a value -> count map per product, so memory
-    follows the number of distinct daily quantities, not rows. ``as_of`` limits
-    the history (strict mode: no test-period information).
+    Quantiles are exact (``grouped_quantiles``: no task holds a product's values);
+    quantities are never NULL in a panel. ``as_of`` limits the history
+    (strict mode: no test-period information).
     """
     df = with_product_key(panel)
     if as_of is not None:
         df = df.where(F.col(DATE) < F.lit(as_of))
-    q = F.col(QUANTITY)
-    stat = F.percentile(q, COVERAGE_QUANTILES[method]) if method in COVERAGE_QUANTILES else F.avg(q)
-    est = F.greatest(F.lit(1.0), F.bround(stat * F.lit(float(days_of_coverage)), 0))
-    return df.groupBy(PRODUCT_KEY).agg(est.alias(STOCK))
+    if method in COVERAGE_QUANTILES:
+        stats = grouped_quantiles(df, [PRODUCT_KEY], QUANTITY, [COVERAGE_QUANTILES[method]])
+        stats = stats.withColumn("stat", F.element_at("quantiles", 1))
+    else:
+        stats = df.groupBy(PRODUCT_KEY).agg(F.avg(QUANTITY).alias("stat"))
+    est = F.greatest(F.lit(1.0), F.bround(F.col("stat") * F.lit(float(days_of_coverage)), 0))
+    return stats.select(PRODUCT_KEY, est.alias(STOCK))
 
 
 def latest_stock(raw: DataFrame, column: str) -> DataFrame:

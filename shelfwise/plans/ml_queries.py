@@ -16,8 +16,11 @@ from shelfwise.operators import metrics as M
 from shelfwise.operators import models as ML
 from shelfwise.operators import splits as S
 from shelfwise.plans import pipeline as P
-from shelfwise.plans.queries import KEYS, _CACHE, features_split, finish, train_test
-from shelfwise.schema import QUANTITY, REVENUE
+from shelfwise.operators.gram import correlated_slots, fit_ridge
+from shelfwise.operators.ranking import one_hot_long
+from shelfwise.operators.split_search import input_name, split_gains
+from shelfwise.plans.queries import KEYS, SCALED_FEATURES, _CACHE, features_split, finish, panel, train_test
+from shelfwise.schema import CATEGORICAL, QUANTITY, REVENUE
 
 
 def frames(spark, sf, target=QUANTITY):
@@ -32,13 +35,16 @@ def trained(spark, sf, names, target=QUANTITY):
     key = ("prepared", sf, spark.sparkContext.applicationId, target)
     if key not in _CACHE:
         tr, te, cols = frames(spark, sf, target)
-        prep = ML.fit_prep(tr, cols)
-        prepared = prep.transform(tr).select(ML.FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)
-        _CACHE[key] = (ML.Trained(prep, {}), prepared, te, cols)
-    t, prepared, te, cols = _CACHE[key]
+        _CACHE[key] = (ML.Trained(None, {}), {}, tr, te, cols)
+    t, held, tr, te, cols = _CACHE[key]
     for name in names:
-        if name not in t.models:
-            t.models[name] = ML.make_estimator(name, prepared, TrainingConfig()).fit(prepared)
+        if name in t.models:
+            continue
+        linear = ML.linear_model(tr, cols) if ML.family(name) == "linear_regression" else None
+        if linear is None and t.prep is None:
+            t.prep = ML.fit_prep(tr, cols)
+            held["rows"] = t.prep.transform(tr).select(ML.FEATURES, "label").persist(StorageLevel.MEMORY_AND_DISK)
+        t.models[name] = linear or ML.make_estimator(name, held["rows"], TrainingConfig()).fit(held["rows"])
     return t, te, cols
 
 
@@ -88,6 +94,78 @@ def q_cv_summary_baseline(spark, sf):
     return finish(M.cv_summary(_baseline_folds(spark, sf, "cv")))
 
 
+#: Inputs of the ridge queries that SQL solves in closed form.
+THREE = ["price", "inventory_level", "discount"]
+
+
+def _three(spark, sf):
+    return FE.feature_frame(features_split(spark, sf), QUANTITY)[0]
+
+
+def q_ridge_coefficients(spark, sf):
+    """M2 on three inputs: coefficients, the standardised ones, and the intercept as a row."""
+    model = fit_ridge(S.train_test(_three(spark, sf))[0], THREE)
+    rows = model.table.select("feature", "coefficient", "standardised")
+    one = spark.range(1).select(F.lit("intercept").alias("feature"), F.lit(model.intercept).alias("coefficient"),
+                                F.lit(None).cast("double").alias("standardised"))
+    return finish(rows.unionByName(one))
+
+
+def _three_folds(spark, sf, kind):
+    frame = _three(spark, sf).drop("is_train")
+    return ML.validate(frame, THREE, ("linear_regression",), kind, TrainingConfig().n_splits, 0.2, cat_cols=())
+
+
+def q_ridge_cv(spark, sf):
+    """T2 of the ridge model on three inputs."""
+    return finish(_three_folds(spark, sf, "cv"))
+
+
+def q_ridge_walk_forward(spark, sf):
+    """T3 of the ridge model on three inputs."""
+    return finish(_three_folds(spark, sf, "walk_forward"))
+
+
+def q_ridge_cv_summary(spark, sf):
+    """A16 of the ridge model on three inputs."""
+    return finish(M.cv_summary(_three_folds(spark, sf, "cv")))
+
+
+def q_correlated_slots(spark, sf):
+    """A17 over all model inputs, one-hot slots included."""
+    tr, _ = S.train_test(features_split(spark, sf))
+    return finish(correlated_slots(tr, SCALED_FEATURES, CATEGORICAL, 0.7))
+
+
+def q_interpretation_slots(spark, sf):
+    """R5 over all model inputs, as ``run`` reports it."""
+    tr, _ = S.train_test(features_split(spark, sf))
+    return finish(M.interpretation(tr, SCALED_FEATURES, cats=CATEGORICAL))
+
+
+def q_one_hot_long(spark, sf):
+    """P6 by a distributed dictionary: a row per set slot, with the value's dense code."""
+    return finish(one_hot_long(panel(spark, sf), KEYS, CATEGORICAL))
+
+
+def q_split_gains(spark, sf):
+    """The best first split of every model input and its gain."""
+    train, _ = S.train_test(_three(spark, sf))
+    out = split_gains(train, SCALED_FEATURES, CATEGORICAL)
+    return finish(out.select(input_name().alias("feature"), "threshold", "gain", "n_left", "n"))
+
+
+#: A small search space (the shipped ones take hundreds of trees a setting).
+SMALL_GRID = {"maxIter": [3, 6, 12], "stepSize": [0.1, 0.2], "maxDepth": [3]}
+
+
+def q_tuning(spark, sf):
+    """M5: every setting of a small boosting grid scored on chronological folds; settings that differ in
+    the number of trees share a fit."""
+    frame, cols = FE.feature_frame(features_split(spark, sf).drop("is_train"), QUANTITY)
+    return finish(ML.search(frame, cols, "gradient_boosting", n_iter=6, n_splits=2, grid=SMALL_GRID)[1])
+
+
 def q_leaderboard(spark, sf):
     """O4 over baselines and every MLlib model, best marked."""
     names = ("linear_regression", "random_forest", "gradient_boosting")
@@ -131,4 +209,13 @@ ML_QUERIES = {
     "leaderboard": q_leaderboard,
     "revenue_forecast": q_revenue_forecast,
     "interpretation": q_interpretation,
+    "ridge_coefficients": q_ridge_coefficients,
+    "ridge_cv": q_ridge_cv,
+    "ridge_walk_forward": q_ridge_walk_forward,
+    "ridge_cv_summary": q_ridge_cv_summary,
+    "correlated_slots": q_correlated_slots,
+    "interpretation_slots": q_interpretation_slots,
+    "one_hot_long": q_one_hot_long,
+    "split_gains": q_split_gains,
+    "tuning": q_tuning,
 }

@@ -602,6 +602,11 @@ evp AS (SELECT {K}, CAST(count(*) AS DOUBLE) AS quantity FROM evraw WHERE date I
   'events' AS category, 'global' AS region, CAST(count(*) AS DOUBLE) AS quantity, {r('avg(value)')} AS price,
   CASE quarter(CAST(ts AS DATE)) WHEN 1 THEN 'Winter' WHEN 2 THEN 'Spring' WHEN 3 THEN 'Summer' ELSE 'Autumn' END
   AS seasonality FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL GROUP BY ALL""")
+    o["row_positions"] = q([], """SELECT date, region, min(pos) AS first_position, max(pos) AS last_position,
+  count(*) AS n_rows, count(DISTINCT pos) AS n_positions FROM (
+  SELECT date, region, row_number() OVER (ORDER BY date NULLS FIRST, region NULLS FIRST) - 1 AS pos FROM (
+    SELECT CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_orderdate AS DATE) END AS date, o_orderpriority AS region FROM orders))
+  GROUP BY date, region""")
     return o
 
 

@@ -182,7 +182,7 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         "dimension_impact": M.dimension_impact(best),
         "leaderboard": M.leaderboard(cmp),
         "diagnostics": M.diagnostics(best),
-        "interpretation": M.interpretation(train, cols),
+        "interpretation": M.interpretation(train, cols, cats=cats),
         "sales_trend": C.sales_trend(train),
         "prediction_series": C.prediction_series(best),
         "prediction_range": C.prediction_range(best),

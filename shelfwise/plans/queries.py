@@ -286,10 +286,10 @@ def q_stock_duplicates(spark, sf):
     return finish(stock_from_frame(rows, F.col("p_partkey")))
 
 
-def _orders_by_day(spark, sf):
+def _orders_by_day(spark, sf, day="o_orderdate"):
     """Rows with many equal keys: orders by date and priority."""
     o = spark.read.parquet(f"{sf}/orders.parquet")
-    return o.select(F.to_date("o_orderdate").alias(DATE), F.col("o_orderpriority").alias("region"))
+    return o.select(F.to_date(day).alias(DATE), F.col("o_orderpriority").alias("region"))
 
 
 def q_split_ties(spark, sf):
@@ -304,6 +304,15 @@ def q_fold_ties(spark, sf):
     return finish(got.groupBy(DATE, "region", "fold").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def q_row_positions(spark, sf):
+    """O1 where keys repeat and dates are missing: the positions that each key's rows take."""
+    rows = _orders_by_day(spark, sf, F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate")))
+    got = S.row_positions(rows)
+    return finish(got.groupBy(DATE, "region").agg(
+        F.min("position").alias("first_position"), F.max("position").alias("last_position"),
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("position").alias("n_positions")))
+
+
 def q_with_stock(spark, sf):
     out = ST.with_stock(panel(spark, sf), stock_tbl(spark, sf))
     return finish(out.select(*KEYS, "current_stock"))
@@ -431,7 +440,7 @@ def q_prediction_series(spark, sf):
 
 
 def q_residual_qq(spark, sf):
-    return finish(C.residual_qq(scored(spark, sf), exact=True))
+    return finish(C.residual_qq(scored(spark, sf)))
 
 
 def q_revenue_series(spark, sf):
@@ -532,6 +541,7 @@ SQL_QUERIES = {
     "stock_duplicates": q_stock_duplicates,
     "split_ties": q_split_ties,
     "fold_ties": q_fold_ties,
+    "row_positions": q_row_positions,
     "with_stock": q_with_stock,
     "scaler_stats": q_scaler_stats,
     "baseline_last": _baseline_q("baseline_last_value"),
