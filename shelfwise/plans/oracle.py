@@ -434,6 +434,11 @@ SELECT rng.*, p1.date AS val_first_date, p2.date AS val_last_date FROM rng
     o["compare_models"] = q(all_scored_ctes(), f"""SELECT model, {r('mae')} AS mae, {r('rmse')} AS rmse, model_order,
   {r('holding_cost + stockout_cost', 2)} AS total_cost, {r('holding_cost', 2)} AS holding_cost,
   {r('stockout_cost', 2)} AS stockout_cost FROM cmp""")
+    # the run keeps products of 30 rows of history or more
+    keep = "HAVING count(*) >= 30"
+    o["run_reports"] = o["compare_models"].replace("pos AS (SELECT *,", f"""kept AS (SELECT * FROM panel SEMI JOIN (
+  SELECT product_id, category FROM panel GROUP BY product_id, category {keep}) k USING (product_id, category)),
+pos AS (SELECT *,""").replace("AS n FROM panel)", "AS n FROM kept)")
     o["best_model"] = q(all_scored_ctes(), f"""SELECT first(model ORDER BY rmse, model_order, model) AS model,
   {r('min(rmse)')} AS rmse FROM cmp""")
     pp = f"""pp AS (SELECT pk AS product_key, min(product_id || ' (' || category || ')') AS product_line,

@@ -7,6 +7,9 @@ lineage into the session's shared checkpoint folder for long runs.
 
 from __future__ import annotations
 
+from dataclasses import asdict
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +27,7 @@ from shelfwise.operators.quality import guard_dates, guard_not_empty, tidy_sales
 from shelfwise.schema import QUANTITY
 from shelfwise.session import cut_lineage
 from shelfwise.sources.sinks import save_model, write_params, write_report
+from shelfwise.sources.store import RunStore
 
 
 def clean_panel(raw: DataFrame, min_days: int | None = None) -> DataFrame:
@@ -88,22 +92,31 @@ def preprocess(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_fi
     The default keeps categoricals as text for the sparse MLlib encoding
     (vocabulary fitted on training rows); ``one_hot_form="wide"`` reproduces
     the reference's wide columns for bounded vocabularies.
-    ``hold`` keeps a reuse point (default: ``reuse``).
+    ``hold(name, build)`` keeps a reuse point (default: ``reuse`` of what is built); where it already has
+    one, nothing of ``raw`` is read for it.
     Returns (labelled features with ``is_train``, stock table)."""
     pp = cfg.preprocessing
-    hold = hold or (lambda df: reuse(df, checkpoint))
-    typed = typed_sales(raw)
-    panel = hold(panel_of(typed, pp.min_history_days))
+    hold = hold or (lambda name, build: reuse(build(), checkpoint))
+    seen: list[DataFrame] = []
+
+    def typed() -> DataFrame:
+        if not seen:
+            seen.append(typed_sales(raw))
+        return seen[0]
+
+    panel = hold("panel", lambda: panel_of(typed(), pp.min_history_days))
     if panel.isEmpty():
-        guard_dates(typed)
+        guard_dates(typed())
         guard_not_empty(panel, f"the panel of products with {pp.min_history_days} days of history or more")
-    feats = FE.build_features(panel, pp.lags, pp.moving_average_windows, mode=mode,
-                              include_current=include_current, one_hot_form=one_hot_form)
-    stock = ST.resolve_stock(panel, typed, stock_file, days_of_coverage=pp.days_of_coverage,
-                             method=pp.coverage_method)
-    feats = ST.with_stock(ST.with_product_key(feats), stock)
-    feats = hold(feats)
-    labelled = S.chrono_split(feats, pp.test_size)
+
+    def features() -> DataFrame:
+        feats = FE.build_features(panel, pp.lags, pp.moving_average_windows, mode=mode,
+                                  include_current=include_current, one_hot_form=one_hot_form)
+        return ST.with_stock(ST.with_product_key(feats), stock)
+
+    stock = hold("stock", lambda: ST.resolve_stock(panel, typed(), stock_file, days_of_coverage=pp.days_of_coverage,
+                                                   method=pp.coverage_method))
+    labelled = S.chrono_split(hold("features", features), pp.test_size)
     return labelled, stock
 
 
@@ -133,7 +146,7 @@ def evaluate(trained, name: str, test: DataFrame, stock: DataFrame | None,
 def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: DataFrame | None = None,
         models=("linear_regression", "random_forest", "gradient_boosting"), cv_models=(),
         one_hot_form: str = "vector", out_dir: str | None = None,
-        checkpoint: bool = False) -> dict[str, DataFrame]:
+        checkpoint: bool = False, resume: bool = False) -> dict[str, DataFrame]:
     """L4: demand then revenue, end to end.
 
     preprocess -> train baselines + MLlib models -> compare (MAE, RMSE, cost)
@@ -142,35 +155,58 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
     Every prediction set is scored once and persisted; the reports and chart
     tables are aggregates over it. ``cfg.training.use_hyperparameter_tuning``
     searches the tree models' settings. With ``out_dir`` each report is written
-    as CSV, the models under ``models/`` and tuned settings under ``params/``,
-    what was persisted is given back, and the returned frames read the reports.
+    as CSV, the models under ``models/`` (as soon as they are trained) and tuned
+    settings under ``params/``, what was persisted is given back, and the returned
+    frames read the reports. With ``resume`` as well, the reuse points are tables
+    under ``stages/`` named by a hash of the input files and the settings: a run
+    repeated after a failure reads the stages that were whole and trains only the
+    models whose predictions are not among them.
     """
     from shelfwise.operators import models as ML
     from shelfwise.schema import CATEGORICAL
     held: list[DataFrame] = []
-
-    def hold(df: DataFrame) -> DataFrame:
-        held.append(reuse(df, checkpoint))
+    store = None
+    if resume:
+        if not out_dir:
+            raise ValueError("resume needs an out_dir to keep its stages in")
+        inputs = [raw] if stock_file is None else [raw, stock_file]
+        store = RunStore(raw.sparkSession, out_dir, inputs, {
+            "config": asdict(cfg), "models": models, "one_hot_form": one_hot_form, "cv_models": cv_models})
+
+    def hold(name: str, build) -> DataFrame:
+        if store:
+            return store.table(name, build)
+        held.append(reuse(build(), checkpoint))
         return held[-1]
-    fitted: dict = {}
+
+    def keep(trained, names, target: str) -> None:
+        if not out_dir:
+            return
+        for name in names:
+            save_model(trained.pipeline(name), f"{out_dir}/models/{name}")
+        if params := {name: trained.params[name] for name in names if name in trained.params}:
+            write_params(raw.sparkSession, params, f"{out_dir}/params/{target}")
     labelled, stock = preprocess(raw, cfg, stock_file=stock_file, one_hot_form=one_hot_form, hold=hold)
     # wide columns are already numeric inputs; otherwise the models encode the text
     cats = CATEGORICAL if one_hot_form == "vector" else ()
     frame, cols = FE.feature_frame(labelled, QUANTITY)
     train, test = S.train_test(frame)
-    parts = [score_all_baselines(train, test).select("model", "model_order", *SCORED_COLS)]
-    trained = ML.train_models(train, cols, models, cfg.training, cat_cols=cats) if models else None
-    for i, name in enumerate(models):
-        parts.append(ML.predict(trained, name, test).select(
-            F.lit(name).alias("model"), F.lit(10 + i).alias("model_order"), *SCORED_COLS))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    long = hold(M.clip_predictions(long))
-    cmp = hold(M.compare_models(long, cfg.costs))
+
+    def scored() -> DataFrame:
+        parts = [score_all_baselines(train, test).select("model", "model_order", *SCORED_COLS)]
+        if models:
+            trained = ML.train_models(train, cols, models, cfg.training, cat_cols=cats)
+            keep(trained, models, QUANTITY)
+        for i, name in enumerate(models):
+            parts.append(ML.predict(trained, name, test).select(
+                F.lit(name).alias("model"), F.lit(10 + i).alias("model_order"), *SCORED_COLS))
+        return M.clip_predictions(reduce(DataFrame.unionByName, parts))
+
+    long = hold("scored", scored)
+    cmp = hold("comparison", lambda: M.compare_models(long, cfg.costs))
     best_name = M.best_model(cmp).first()["model"]
     best = long.where(F.col("model") == best_name)
-    rec = hold(R.recommend_orders(best, stock, cfg.recommendation))
+    rec = hold("orders", lambda: R.recommend_orders(best, stock, cfg.recommendation))
     out = {
         "model_comparison": cmp,
         "recommendations": R.sort_recommendations(rec),
@@ -190,30 +226,30 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         "residual_bins": C.residual_bins(best),
         "order_chart": C.order_chart(rec),
     }
-    fitted.update({name: trained for name in models} if trained else {})
     if cv_models:
-        folds = ML.validate(frame.drop("is_train"), cols, cv_models, "cv", cfg.training.n_splits,
-                            cat_cols=cats)
+        folds = hold("folds", lambda: ML.validate(frame.drop("is_train"), cols, cv_models, "cv",
+                                                  cfg.training.n_splits, cat_cols=cats))
         out["cv_folds"] = folds
         out["cv_summary"] = M.cv_summary(folds)
     if cfg.forecast_revenue:
         rframe, rcols = FE.feature_frame(labelled, "revenue")
         rtrain, rtest = S.train_test(rframe)
         rnames = tuple(f"{m}_revenue" for m in models)
-        rparts = []
-        if rnames:
-            rtrained = ML.train_models(rtrain, rcols, rnames, cfg.training, cat_cols=cats)
-            fitted.update({name: rtrained for name in rnames})
-            for name in rnames:
-                rparts.append(ML.predict(rtrained, name, rtest).select(
-                    F.lit(name).alias("model"), *SCORED_COLS))
-        else:
-            rparts.append(score_baseline(rtrain, rtest, "baseline_seasonal_naive", "revenue").select(
-                F.lit("baseline_seasonal_naive").alias("model"), *SCORED_COLS))
-        rlong = rparts[0]
-        for p in rparts[1:]:
-            rlong = rlong.unionByName(p)
-        rlong = hold(M.clip_predictions(rlong))
+
+        def revenue() -> DataFrame:
+            parts = []
+            if rnames:
+                rtrained = ML.train_models(rtrain, rcols, rnames, cfg.training, cat_cols=cats)
+                keep(rtrained, rnames, "revenue")
+                for name in rnames:
+                    parts.append(ML.predict(rtrained, name, rtest).select(
+                        F.lit(name).alias("model"), *SCORED_COLS))
+            else:
+                parts.append(score_baseline(rtrain, rtest, "baseline_seasonal_naive", "revenue").select(
+                    F.lit("baseline_seasonal_naive").alias("model"), *SCORED_COLS))
+            return M.clip_predictions(reduce(DataFrame.unionByName, parts))
+
+        rlong = hold("revenue_scored", revenue)
         rcmp = M.compare_models(rlong, None)
         rbest = M.best_model(rcmp).first()["model"]
         rsel = rlong.where(F.col("model") == rbest)
@@ -225,11 +261,6 @@ def run(raw: DataFrame, cfg: ProjectConfig = ProjectConfig(), *, stock_file: Dat
         for name, df in out.items():
             write_report(df, f"{out_dir}/{name}")
             out[name] = spark.read.schema(df.schema).option("header", True).csv(f"{out_dir}/{name}")
-        for name, t in fitted.items():
-            save_model(t.pipeline(name), f"{out_dir}/models/{name}")
-        params = {name: t.params[name] for name, t in fitted.items() if name in t.params}
-        if params:
-            write_params(spark, params, f"{out_dir}/params")
         for df in held:
             df.unpersist()
     return out

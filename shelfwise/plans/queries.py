@@ -9,6 +9,9 @@ the search for split boundaries.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,7 @@ from shelfwise.operators import stock as ST
 from shelfwise.operators.panel import daily_panel, filter_history
 from shelfwise.plans import pipeline as P
 from shelfwise.schema import CALENDAR, DATE, DIMS, NUMERIC_FEATURES, QUANTITY, REVENUE
+from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources import tpch
 from shelfwise.sources.files import stock_from_frame
 
@@ -423,6 +427,13 @@ def q_format_report(spark, sf):
     return finish(R.format_report(rounded))
 
 
+def q_run_reports(spark, sf):
+    """L4 for demand, without trained models: the comparison table that ``run`` emits, read back as written."""
+    cfg = replace(CFG, forecast_revenue=False)
+    out = P.run(raw(spark, sf), cfg, models=(), out_dir=f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}", resume=True)
+    return finish(out["model_comparison"], overrides={"total_cost": 2, "holding_cost": 2, "stockout_cost": 2})
+
+
 def q_diagnostics(spark, sf):
     return finish(M.diagnostics(scored(spark, sf)))
 
@@ -564,6 +575,7 @@ SQL_QUERIES = {
     "final_report": q_final_report,
     "executive_summary": q_executive_summary,
     "format_report": q_format_report,
+    "run_reports": q_run_reports,
     "diagnostics": q_diagnostics,
     "sales_trend": q_sales_trend,
     "prediction_series": q_prediction_series,
