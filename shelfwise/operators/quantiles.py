@@ -38,12 +38,15 @@ def _holding(rows: DataFrame, part: list[str], order: str, rank: Column) -> Data
 
 
 def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Sequence[float],
-                      weight: str | None = None) -> DataFrame:
+                      weight: str | None = None, few_groups: bool = False) -> DataFrame:
     """(by..., n, quantiles): per group the count and the array of its quantiles, linearly interpolated.
 
     NULL and NaN values don't count; a group without values has no row; NULL is a group like any other.
-    ``weight``: a column of counts, for rows that stand for several.
+    ``weight``: a column of counts, for rows that stand for several. ``few_groups``: the caller bounds the
+    number of groups (columns of a plan, say), so the wanted ranks, two a quantile and group, are broadcast
+    and no group's values meet in one task; without ``by`` there is one group.
     """
+    few_groups = few_groups or not by
     keys = [f"_g{k}" for k in range(len(by))] or ["_g0"]
     named = [F.col(c).alias(k) for c, k in zip(by, keys)] or [F.lit(0).alias("_g0")]
     v = F.col(value).cast("double")
@@ -71,6 +74,7 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: S
         here = [*keys, bucket]
         other = [f"_o{c}" for c in here]
         right = found.select(*[F.col(c).alias(o) for c, o in zip(here, other)], "_k", "_rest", "_total")
+        right = F.broadcast(right) if few_groups else right
         return counts.join(right, _on(here, other)).drop(*other)
 
     second = (within(first, "_coarse").groupBy(*keys, "_k", "_fine")

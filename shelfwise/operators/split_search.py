@@ -56,8 +56,9 @@ def split_gains(df: DataFrame, numeric: Sequence[str], cats: Sequence[str] = (),
     if numeric:
         numbers = cells.where(F.col("slot").isNull()).drop("slot")
         few = numbers.groupBy(*here).agg(F.count(F.lit(1)).alias("values"))
-        cuts = grouped_quantiles(numbers, here, "value", [k / bins for k in range(1, bins)], weight="n")
-        told = few.join(cuts.select(*here, "quantiles"), here)
+        cuts = grouped_quantiles(numbers, here, "value", [k / bins for k in range(1, bins)], weight="n", few_groups=True)
+        # a row per open node and column, so a feature's cells stay dealt out by value
+        told = F.broadcast(few.join(cuts.select(*here, "quantiles"), here))
         edge = F.coalesce(F.array_min(F.filter("quantiles", lambda t: t >= F.col("value"))), F.lit(float("inf")))
         binned = (numbers.join(told, here).withColumn("bin", F.when(F.col("values") <= bins, F.col("value")).otherwise(edge))
                   .groupBy(*here, "bin").agg(*[F.sum(c).alias(c) for c in ("n", "sy", "syy")],
