@@ -14,8 +14,10 @@ empty table gives no rows; extra columns are ignored.
 Scale: all comparing runs on 128-bit hashes, the texts are shuffled once, for
 the kept conversations only. A very long conversation is scanned in slices of
 ``SLICE`` turn numbers (totals per slice, a running window over the slices,
-then offsets back), so no task holds it whole, and is rendered as one row per
-slice. Hot prefixes (a greeting that opens a third of all logs) collapse in a
+then offsets back), so no task holds it whole. Slices only spread the work:
+turns are counted by position, whatever their numbers (gaps, timestamps). A
+conversation is rendered as one row; one of more than ``segment_turns`` turns as
+a row per that many turns, by position. Hot prefixes (a greeting that opens a third of all logs) collapse in a
 partial aggregate before the shuffle.
 """
 
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import materialize, table
 
 SLICE = 1024
+SEGMENT_TURNS = 1 << 16
 START, END = "<|im_start|>", "<|im_end|>"
 
 
@@ -35,7 +38,7 @@ def _clean(conversations: DataFrame) -> DataFrame:
         F.col("conv_id").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
-    ).withColumn("slice", F.floor(F.coalesce("turn", F.lit(0)) / SLICE))
+    ).withColumn("slice", F.coalesce(F.expr(f"floor(turn / {SLICE}D)"), F.lit(-(1 << 62))))  # null turns come first
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
@@ -81,17 +84,28 @@ def _safe(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
-def render(conversations: DataFrame) -> DataFrame:
-    """conv_id, segment (slice of the conversation, from 0), n_turns, copies, text."""
+def _segments(turns: DataFrame, size: int) -> DataFrame:
+    """Distinct turns of conversations with ``segment``, their position (from 0) over ``size``."""
+    rows = turns.distinct().withColumn("pos", F.row_number().over(
+        Window.partitionBy("conv_id", "slice").orderBy("turn", "role", "text")))
+    before = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (turns.distinct().groupBy("conv_id", "slice").agg(F.count("*").alias("c"))
+              .select("conv_id", "slice", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("off")))
+    return (_same(rows, counts).withColumn("segment", F.floor((F.col("pos") + F.col("off") - 1) / size).cast("int"))
+            .drop("pos", "off"))
+
+
+def render(conversations: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
+    """conv_id, segment (from 0: the only one up to ``segment_turns`` turns), n_turns, copies, text."""
     kept = maximal(conversations).withColumnRenamed("conv_id", "_c")
     turns = _clean(conversations)
     turns = turns.join(kept, turns["conv_id"].eqNullSafe(kept["_c"])).drop("_c")
+    short = turns.where(F.col("n_turns") <= segment_turns).withColumn("segment", F.lit(0))
+    long = _segments(turns.where(F.col("n_turns") > segment_turns), segment_turns)
     line = lambda t: F.concat(F.lit(START), _safe(t["role"]), F.lit("\n"), _safe(t["text"]), F.lit(END + "\n"))
-    out = (turns.groupBy("conv_id", "slice", "n_turns", "copies")
-           .agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("t"))
-           .withColumn("text", F.array_join(F.transform("t", line), "")))
-    order = Window.partitionBy("conv_id").orderBy("slice")
-    return out.select("conv_id", (F.row_number().over(order) - 1).alias("segment"), "n_turns", "copies", "text")
+    return (short.unionByName(long).groupBy("conv_id", "segment", "n_turns", "copies")
+            .agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("t"))
+            .select("conv_id", "segment", "n_turns", "copies", F.array_join(F.transform("t", line), "").alias("text")))
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

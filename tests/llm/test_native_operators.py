@@ -238,5 +238,24 @@ def test_chats_equal_brute_force(spark, monkeypatch, width):
     assert got == brute_chats(rows)
 
 
+@pytest.mark.parametrize("size", [None, 7])
+def test_turn_numbers_do_not_matter(spark, size):
+    """Gaps, timestamps, negative and missing numbers, and long chats are one row, or rows cut by position."""
+    rows = [(1, 0, "user", "a"), (1, 5000, "assistant", "b"), (2, 1_700_000_000_123, "user", "c"), (2, 1_700_000_099_000, "user", "d"),
+            (3, None, "user", "first"), (3, -5000, "user", "second"), (3, 3, "user", "third"), (3, 3, "user", "third")]
+    rows += [(4, 977 * i, "user" if i % 2 else "assistant", f"t{i}") for i in range(5000)]
+    rows += [(5, i, "user" if i % 2 else "assistant", f"t{i}") for i in range(4990)]  # a snapshot of 4 in other numbers
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = (chat.render(df) if size is None else chat.render(df, size)).collect()
+    want = brute_chats(rows)
+    got = {}
+    for r in sorted(out, key=lambda r: r["segment"]):
+        n, copies, text = got.get(r["conv_id"], (None, None, ""))
+        got[r["conv_id"]] = (r["n_turns"], r["copies"], text + r["text"])
+    assert got == want and set(want) == {1, 2, 3, 4}
+    per = {c: sum(1 for r in out if r["conv_id"] == c) for c in want}
+    assert per == {c: 1 if size is None else -(-want[c][0] // size) for c in want}
+
+
 def test_no_chats(spark):
     assert chat.render(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
