@@ -53,12 +53,12 @@ def _encoding(ranks: bytes, pattern: str):
 
 
 def count_tokens(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
-    """All columns but ``text``, and n_tokens (byte-level BPE of the whole text)."""
+    """All columns but ``text``, and n_tokens (byte-level BPE of the whole text), in place of one of that name."""
     spark = docs.sparkSession
     python_tasks(spark, 500)
     with open(ranks_path, "rb") as f:
         ranks = spark.sparkContext.broadcast(f.read())  # a vocabulary file, of fixed size
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c != text and c.lower() != "n_tokens"]
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

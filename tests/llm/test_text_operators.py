@@ -93,11 +93,12 @@ def test_language_model_is_interpolated_kneser_ney(spark):
     texts = ["The cat sat on the mat", "a cat, a hat & the bat sat", "the rat ate that"]
     models = lid.train(spark.createDataFrame([("en", t) for t in texts] + [(None, "zzz"), ("", "qqq"), ("en", None)],
                                              "lang string, text string"))
+    assert list(models.langs) == ["", "en"]  # an empty name is a language, null is none
     p = brute_kn(texts)
     for probe in ["the cat", "hat that xylophone", "Ünïcödé the", "t"]:
         u = [32, 32, *lid.units(probe).tolist()]
         expect = -np.mean([math.log(p(tuple(u[i:i + 4]))) for i in range(len(u) - 3)])
-        assert models.entropies([probe])[0, 0] == pytest.approx(expect, abs=1e-5)
+        assert models.entropies([probe])[0, 1] == pytest.approx(expect, abs=1e-5)
 
 
 def test_language_id_held_out_and_odd_rows(spark):
@@ -275,8 +276,10 @@ def test_counts_equal_the_tokenizer(spark):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     enc = tiktoken.Encoding("t", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     texts = ["Hello world", "", None, "<|endoftext|> é " * 50, "word " * 20_000]
-    df = spark.createDataFrame([(i, t, 3) for i, t in enumerate(texts)], "doc_id long, text string, n long")
-    got = {r["doc_id"]: r["n_tokens"] for r in counts.count_tokens(df, path, pattern).collect()}
+    df = spark.createDataFrame([(i, t, 3) for i, t in enumerate(texts)], "doc_id long, text string, N_Tokens long")
+    out = counts.count_tokens(df, path, pattern)
+    assert out.columns == ["doc_id", "n_tokens"]
+    got = {r["doc_id"]: r["n_tokens"] for r in out.collect()}
     assert got == {i: len(enc.encode_ordinary(t)) if t else 0 for i, t in enumerate(texts)}
 
 
