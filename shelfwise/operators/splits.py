@@ -212,7 +212,7 @@ def boundary_row(df: DataFrame, test_size: float) -> Boundary:
                    | (F.col("_cut") <= 0))
             .limit(1).collect())
     if not rows or rows[0]["_cut"] <= 0:
-        raise ValueError("Train/test split produced an empty dataset: too few rows for this test_size.")
+        raise ValueError(f"with a test share of {test_size} no row is left to train on")
     r = rows[0]
     return kth_in_date(df, r[DATE], r["_cut"] - r["before"] + 1)
 
@@ -241,9 +241,9 @@ def cv_ranges(n: int, n_splits: int = 5) -> list[dict]:
     """Expanding time-series CV: fold = n // (k+1); fold i validates
     [n - (k-i)*fold, +fold) and trains on everything before."""
     if n_splits < 2:
-        raise ValueError(f"n_splits is {n_splits}; cross-validation needs at least 2 folds")
+        raise ValueError(f"n_splits must be 2 or more, got {n_splits}")
     if n <= n_splits:
-        raise ValueError(f"Not enough samples: {n} rows cannot fill {n_splits} expanding folds")
+        raise ValueError(f"{n} rows are too few for {n_splits} expanding folds")
     fold = n // (n_splits + 1)
     out = []
     for i in range(n_splits):
@@ -257,10 +257,10 @@ def walk_forward_ranges(n: int, n_splits: int = 5, test_size: float = 0.2) -> li
     """Walk-forward: m = int(n*(1-test_size)), fold = m // (k+1), train
     [0, fold*(i+1)), test the next fold; the remainder is unused."""
     if n_splits < 2:
-        raise ValueError(f"n_splits is {n_splits}; walk-forward validation needs at least 2 folds")
+        raise ValueError(f"n_splits must be 2 or more to walk forward, got {n_splits}")
     m = split_position(n, test_size)
     if m <= n_splits:
-        raise ValueError(f"Not enough samples: {m} rows before the test part, {n_splits} folds asked")
+        raise ValueError(f"{m} rows before the test part are too few for {n_splits} folds")
     fold = m // (n_splits + 1)
     out = []
     for i in range(n_splits):
