@@ -31,6 +31,7 @@ def main(argv=None) -> None:
     ap.add_argument("--cv", default="", help="models to cross-validate in time order (comma list)")
     ap.add_argument("--min-history-days", type=int, default=30)
     ap.add_argument("--checkpoint", action="store_true", help="cut lineage at reuse points")
+    ap.add_argument("--resume", action="store_true", help="keep stages in the output folder and go on from those that are whole")
     a = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("shelfwise").getOrCreate()
@@ -52,7 +53,7 @@ def main(argv=None) -> None:
     models = tuple(m for m in a.models.split(",") if m)
     cv = tuple(m for m in a.cv.split(",") if m)
     out = run(raw, cfg, stock_file=stock, models=models, cv_models=cv, out_dir=a.out,
-              checkpoint=a.checkpoint)
+              checkpoint=a.checkpoint, resume=a.resume)
     out["executive_summary"].show(truncate=False)
     out["urgency_summary"].show(truncate=False)
 

@@ -42,7 +42,8 @@ def duck():
                                   "walk_forward_ranges", "stock_p75", "one_hot_wide", "chrono_split_date",
                                   "filter_history_days", "stock_mean_train", "events_panel", "resolve_stock_column",
                                   "stock_duplicates", "split_ties", "fold_ties", "diagnostics", "correlated_pairs",
-                                  "executive_summary"])
+                                  "executive_summary", "ridge_coefficients", "ridge_cv", "correlated_slots",
+                                  "one_hot_long", "split_gains", "row_positions", "residual_qq", "performance_tier"])
 def test_oracle_agreement_small(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     duck.sql(f"CREATE OR REPLACE VIEW oracle AS {E.oracle_sql()[name]}")  # as the driver does

@@ -70,3 +70,12 @@ def test_order_and_urgency_match_plain_formulas(spark):
         assert r["days_until_stockout"] == pytest.approx(days)
         assert r["recommended_order"] == pytest.approx(max(0.0, d * 14.0 - s))
         assert r["recommended_order"] >= 0
+
+
+def test_report_rounds_halves_to_even(spark):  # P17, on values that doubles hold exactly
+    values = [0.125, 0.375, 2.625, -0.125, 1.0, 7.0 / 3]
+    rec = spark.createDataFrame([(str(k), v) for k, v in enumerate(values)], "product_line string, predicted_demand double")
+    report = R.final_report(rec)
+    name = dict(R.FINAL_COLUMNS)
+    got = {r[name["product_line"]]: r[name["predicted_demand"]] for r in report.collect()}
+    assert [got[str(k)] for k in range(len(values))] == [0.12, 0.38, 2.62, -0.12, 1.0, 2.33] == [round(v, 2) for v in values]
