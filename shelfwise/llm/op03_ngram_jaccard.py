@@ -16,18 +16,23 @@ common tokens, or some rare token is common.) Groups are sized by the bands
 [2^j, 2^(j+1)) of the larger partner, so pairs stay linear in set size.
 
 Sets are collapsed to distinct ones first. Members of a signature are paired
-with its smallest member; exact Jaccard is checked on whole sets; links become
-components; then members of a signature that are still in different components
-are paired with each other. So every pair that shares a signature is either
-checked or already connected, without all pairs of a copy group. Of the second
-kind of pairs all common signatures are known: with sizes n and m, partners
-share at least t (n + m) / (1 + t) tokens, so a prefix of p rare tokens must
-share p - n + that many of its own, which rules most of them out unseen. One in
-FIRST of the rest (by hash) is checked before the others, as its links connect
-most of a loose group's members, whose other pairs then need no check. Each
-set also has a bitmap of BITS bits, one set per token hash: two bitmaps differ in
-at most as many bits as their sets differ in tokens, so pairs whose bitmaps
-differ in more than partners may are left out, in the join's own condition.
+with its smallest member, the center; exact Jaccard is checked on whole sets;
+links become components. Where members of a signature are still in different
+components, sets are told apart by how they differ from the center C, as the
+passages they share with it say nothing: D is what one has and the other lacks.
+Sets S, S' of n, n' tokens link if |D| + |D'| - 2 |D & D'| <= a (n + n') with
+a = (1 - t) / (1 + t). With the excess e = |D| - a n this asks for
+(e + e') / 2 common tokens of D and D'. If that is none, both link to C and are
+connected. Else the first common one (rare in the group first) is at a place i
+with e' <= 2 (|D| - i) - e in either, its reach; so D's tokens are indexed with
+excess and reach, and tokens no partner's excess reaches are dropped by
+aggregates alone. What meets is first paired with one member of the token's
+largest component; pairs still apart after that are checked each. So every pair
+is checked, connected or too far apart, without all pairs of a copy group.
+
+Each set also has a bitmap of BITS bits, one set per token hash: two bitmaps
+differ in at most as many bits as their sets differ in tokens, so pairs whose
+bitmaps differ in more than partners may are left out unchecked.
 
 To check pairs, first the tokens whose hash is divisible by SAMPLE, then, of
 the pairs left, whole sets go to the partition of one of the two (the hub), dealt
@@ -38,7 +43,8 @@ whose sampled tokens alone differ in more places than partners may is left out.
 
 Which tokens are frequent steers the cost alone, never the result: tasks count
 tokens lossily in bounded tables, and at most FREQUENT of those that reach
-MIN_FREQUENT are sent to the tasks.
+MIN_FREQUENT are sent to the tasks. Likewise the order of a group's differences:
+those that one in LATE of a part of its members has come last.
 
 Defined cases: null or blank texts have no shingles, n_shingles 0 and are
 linked with nothing; texts under k words are one shingle; rows of one id and
@@ -49,7 +55,7 @@ component's id is the smallest non-null one; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +69,7 @@ MIN_FREQUENT = 512
 LOCAL = 3  # counts a task reports
 SALTS = 32
 SAMPLE = 8
+LATE = 4
 FIRST = 8
 WORDS64 = 16
 BITS = 64 * WORDS64
@@ -149,6 +156,24 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[
     return np.unique(np.concatenate(out)), 0
 
 
+def differences(center: np.ndarray, tokens: np.ndarray, late: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
+    """(token, excess, reach) of the differences between two sets at which a partner may be met;
+    ``late``: the tokens that come last, in their order."""
+    d, n = np.setxor1d(center, tokens, assume_unique=True), len(tokens)
+    excess = (100 + percent) * len(d) - (100 - percent) * n
+    held = center[np.minimum(np.searchsorted(center, d), len(center) - 1)] == d
+    place = np.zeros(len(d), np.int64)
+    if len(late):
+        order = np.argsort(late, kind="stable")
+        at = np.minimum(np.searchsorted(late, d, sorter=order), len(late) - 1)
+        place = np.where(late[order[at]] == d, 1 + order[at], 0)
+    d = d[np.lexsort((d, held, place))]
+    reach = 2 * (100 + percent) * (len(d) - np.arange(len(d))) - excess
+    # a partner has at most 100 n / percent tokens, its D as many as this one's but for what a link may differ in
+    use = reach >= max(1 - excess, excess - 2 * (100 - percent) * (100 * n // percent))
+    return list(zip(d[use].view(np.int64).tolist(), [excess] * int(use.sum()), reach[use].tolist(), strict=True))
+
+
 class _Tally:
     """Lossy counts: a table of at most HELD tokens that forgets those met once."""
 
@@ -287,24 +312,36 @@ class Join:
         return (index.repartition(parts, "sig").sortWithinPartitions("sig", "node")
                 .mapInArrow(run, "sig long, node long, pure boolean, center long, center_pure boolean, at long"))
 
+    def _sided(self, pairs: DataFrame, nodes: DataFrame, near: bool = True) -> DataFrame:
+        """``pairs`` (hub, leaf) with the document that holds each set and the part of the hub;
+        ``near``: without those whose sizes or bitmaps rule out a link."""
+        of = lambda s: nodes.select(F.col("node").alias(f"at_{s}"), F.col("n").alias(f"n_{s}"),
+                                    F.struct("doc_id", "th").alias(f"d_{s}"), *(_bits(s) if near else []))
+        met = F.col("leaf") == F.col("at_leaf")
+        pairs = (pairs.join(of("hub"), F.col("hub") == F.col("at_hub"))
+                 .join(of("leaf"), met & may_link(self.percent, "hub", "leaf") if near else met)
+                 .select("hub", "leaf", "d_hub", "d_leaf", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int").alias("salt")))
+        return materialize(pairs, "jaccard-pairs")
+
     def _links(self, pairs: DataFrame, nodes: DataFrame, samples: tuple[int, ...] = (1,)) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough; ``pairs``: (hub, leaf), each once.
         ``samples``: checked one after the other, the last is 1 (whole sets)."""
         percent = self.percent
-        of = lambda s: nodes.select(F.col("node").alias(f"at_{s}"), F.col("n").alias(f"n_{s}"),
-                                    F.struct("doc_id", "th").alias(f"d_{s}"), *_bits(s))
-        met = (F.col("leaf") == F.col("at_leaf")) & may_link(percent, "hub", "leaf")
-        pairs = (pairs.join(of("hub"), F.col("hub") == F.col("at_hub")).join(of("leaf"), met)
-                 .select("hub", "leaf", "d_hub", "d_leaf", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int").alias("salt")))
-        pairs = materialize(pairs, "jaccard-pairs")
-        links = self._meet(pairs, samples[0])
+
+        def enough(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(y) else 0
+            # partners of n and m tokens share at least ceil(t (n + m) / (1 + t))
+            return [()] if len(x) + len(y) - 2 * common <= n + m - 2 * -(-percent * (n + m) // (100 + percent)) else []
+        pairs = self._sided(pairs, nodes)
+        links = self._meet(pairs, samples[0], enough, [])
         for sample in samples[1:]:
-            links = self._meet(pairs.join(links, ["hub", "leaf"], "left_semi"), sample)
+            links = self._meet(pairs.join(links, ["hub", "leaf"], "left_semi"), sample, enough, [])
         return links.select(F.col("hub").alias("a"), F.col("leaf").alias("b"))
 
-    def _meet(self, pairs: DataFrame, sample: int) -> DataFrame:
-        """The (hub, leaf) of ``pairs`` whose tokens of every ``sample``-th hash differ in no more places than a link's."""
-        k, salt, percent = self.k, self.salt, self.percent
+    def _meet(self, pairs: DataFrame, sample: int, visit: Callable, more: list[str], late: DataFrame | None = None) -> DataFrame:
+        """The rows (hub, leaf, *``more``) that ``visit`` makes of the sets of each pair: their tokens of every
+        ``sample``-th hash, their sizes and the hub's array in ``late`` (hub, late)."""
+        k, salt = self.k, self.salt
         goal = lambda role: F.struct("hub", "salt", F.lit(role).alias("role"))
         wanted = (pairs.select("d_hub.*", goal(0).alias("goal")).distinct()
                   .unionByName(pairs.select("d_leaf.*", goal(1).alias("goal")))
@@ -330,50 +367,85 @@ class Join:
                             pa.array([n] * len(part), pa.int64()), pa.array([blob] * len(part), pa.binary())], names=names)
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            key, y, m = None, None, 0
+            key, y, m, held, last = None, None, 0, None, np.zeros(0, np.uint64)
             for batch in batches:
-                a, b = [], []
+                out = []
                 for i, (hub, part, role, node, n) in enumerate(zip(*(c.to_pylist() for c in batch.columns[:5]), strict=True)):
+                    if role < 0:
+                        held, last = (hub, part), np.array(batch.column(6)[i].as_py(), np.int64).view(np.uint64)
+                        continue
                     x = np.frombuffer(batch.column(5)[i].as_buffer(), np.uint64)
                     if role == 0:
                         key, y, m = (hub, part), x.copy(), n
+                        if held != key:
+                            last = np.zeros(0, np.uint64)
                     elif key == (hub, part):
-                        common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(y) else 0
-                        # partners of n and m tokens share at least ceil(t (n + m) / (1 + t))
-                        if len(x) + len(y) - 2 * common <= n + m - 2 * -(-percent * (n + m) // (100 + percent)):
-                            a.append(hub)
-                            b.append(node)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["hub", "leaf"])
+                        out += [(hub, node, *r) for r in visit(y, m, x, n, last)]
+                cols = list(zip(*out, strict=True)) or [()] * (2 + len(more))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["hub", "leaf", *more])
         parts = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
         met = (rows.select("text", "goals").mapInArrow(sets, "hub long, salt int, role int, node long, n long, tokens binary")
-               .repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "role"))
-        return materialize(met.mapInArrow(check, "hub long, leaf long"), "jaccard-links")
-
-    def _pairs_across(self, members: DataFrame, component: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Members of one signature in different components that share enough signatures, as (hub, leaf)."""
-        percent, own = self.percent, component.select("node", "component")
-        m = members.join(own, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        shares = m.groupBy("sig", "component").agg(F.count("*").alias("c"))
-        mixed = (shares.groupBy("sig").agg(F.max(F.struct("c", "component")).alias("top"), F.count("*").alias("k"))
-                 .where(F.col("k") > 1).select("sig", F.col("top.component").alias("top")))
-        m = materialize(m.join(mixed, "sig"), "jaccard-mixed")
-        m = m.join(nodes.select("node", "n", *[f"b{i}" for i in range(WORDS64)]), "node")
-        side = lambda s: [*(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "pure", "component")), *_bits(s)]
-        x = m.where(F.col("component") != F.col("top")).select(F.col("sig").alias("sig_x"), *side("x"))
-        y = m.select("sig", "top", *side("y"))
-        met = x.join(y, (F.col("sig_x") == F.col("sig")) & (F.col("component_x") != F.col("component_y"))
-                     & ((F.col("component_y") == F.col("top")) | (F.col("node_x") < F.col("node_y")))
-                     & may_link(percent, "x", "y"))
-        first = F.col("node_x") < F.col("node_y")
-        pick = lambda c, is_x: F.when(is_x, F.col(f"{c}_x")).otherwise(F.col(f"{c}_y"))
-        met = met.select(*(pick(c, cond).alias(f"{c}_{s}") for s, cond in (("hub", first), ("leaf", ~first))
-                           for c in ("node", "n", "pure")))
-        met = met.groupBy(*met.columns).agg(F.count("*").alias("common"))
-        both = F.ceil(percent * (F.col("n_hub") + F.col("n_leaf")) / F.lit(100 + percent))  # least common tokens
-        # p - n + both for the prefix length p = n - ceil(t n) + 1 of a pure side; an integer either way
-        need = lambda s: F.when(F.col(f"pure_{s}"), both + 1 - F.floor((percent * F.col(f"n_{s}") + 99) / 100))
-        enough = F.coalesce(F.least(need("hub"), need("leaf")), F.lit(1))
-        return met.where(F.col("common") >= enough).select(F.col("node_hub").alias("hub"), F.col("node_leaf").alias("leaf"))
+               .withColumn("late", F.lit(None).cast("array<long>")))
+        if late is not None:
+            met = met.unionByName(pairs.select("hub", "salt").distinct().join(late, "hub").select(
+                "hub", "salt", F.lit(-1).alias("role"), F.col("hub").alias("node"), F.lit(0).cast("long").alias("n"),
+                F.lit(None).cast("binary").alias("tokens"), "late"))
+        met = met.repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "role")
+        return materialize(met.mapInArrow(check, ", ".join(f"{c} long" for c in ("hub", "leaf", *more))), "jaccard-met")
+
+    def _differences(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """hub, token, leaf, excess, reach of the indexed differences between hub and leaf;
+        excess and reach times 100 + percent."""
+        percent = self.percent
+
+        def every(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
+            return [(t,) for t in np.setxor1d(x, y, assume_unique=True).view(np.int64).tolist()]
+
+        def indexed(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
+            return [(t, e, r) for t, e, r in differences(y, x, late, percent)]
+        pairs = self._sided(pairs, nodes, near=False)
+        part = pairs.where(F.col("salt") == 0)
+        seen = part.groupBy("hub").agg(F.count("*").alias("members"))
+        late = (self._meet(part, 1, every, ["token"]).groupBy("hub", "token").agg(F.count("*").alias("c")).join(seen, "hub")
+                .where((F.col("c") > 1) & (LATE * F.col("c") >= F.col("members")))
+                .groupBy("hub").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("late"))
+                .select("hub", F.col("late.token").alias("late")))
+        return self._meet(pairs, 1, indexed, ["token", "excess", "reach"], materialize(late, "jaccard-late"))
+
+    def _within_reach(self, index: DataFrame, component: DataFrame) -> DataFrame:
+        """The rows of ``index`` that may have a partner in another component, with their component, the
+        largest one of their token (top) and its member of least excess."""
+        own = component.select(F.col("node").alias("leaf"), "component")
+        rows = index.join(own, "leaf", "left").withColumn("component", F.coalesce("component", "leaf"))
+        keys = ["hub", "token"]
+        for _ in range(2):
+            shares = rows.groupBy(*keys, "component").agg(
+                F.count("*").alias("c"), F.min(F.struct("excess", "leaf", "reach")).alias("least"), F.max("reach").alias("far"))
+            tops = (shares.groupBy(*keys).agg(F.max(F.struct("c", "component", "least", "far")).alias("t"), F.count("*").alias("k"))
+                    .where(F.col("k") > 1))
+            rest = (shares.join(tops, keys).where(F.col("component") != F.col("t.component")).groupBy(*keys)
+                    .agg(F.min("least.excess").alias("low"), F.max("far").alias("far")))
+            tops = (tops.join(rest, keys).select(*keys, F.col("t.component").alias("top"), F.col("t.least").alias("head"),
+                                                 F.col("t.far").alias("top_far"), "low", "far"))
+            inside = F.col("component") == F.col("top")
+            low = F.when(inside, F.col("low")).otherwise(F.least("low", "head.excess"))
+            far = F.when(inside, F.col("far")).otherwise(F.greatest("far", "top_far"))
+            rows = rows.select(*keys, "leaf", "excess", "reach", "component").join(tops, keys).where(
+                (low <= F.col("reach")) & (F.col("excess") <= far)).drop("low", "far", "top_far")
+            rows = materialize(rows, "jaccard-reach")
+        return rows
+
+    def _apart(self, rows: DataFrame) -> DataFrame:
+        """Pairs (hub, leaf) in different components that reach each other by a token."""
+        side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("leaf", "excess", "reach", "component")]
+        x = rows.where(F.col("component") != F.col("top")).select(F.col("hub").alias("hub_x"), F.col("token").alias("token_x"), *side("x"))
+        y = rows.select("hub", "token", "top", *side("y"))
+        met = x.join(y, (F.col("hub_x") == F.col("hub")) & (F.col("token_x") == F.col("token"))
+                     & (F.col("component_x") != F.col("component_y"))
+                     & ((F.col("component_y") == F.col("top")) | (F.col("leaf_x") < F.col("leaf_y")))
+                     & (F.col("excess_y") <= F.col("reach_x")) & (F.col("excess_x") <= F.col("reach_y"))
+                     & (F.col("excess_x") + F.col("excess_y") > 0))
+        return met.select(F.least("leaf_x", "leaf_y").alias("hub"), F.greatest("leaf_x", "leaf_y").alias("leaf")).distinct()
 
     def rows(self) -> DataFrame:
         """doc_id, th, n_shingles, component_id, component (the set's or component's name) of every row."""
@@ -394,14 +466,25 @@ class Join:
         links = self._links(stars.select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct(), nodes,
                             (SAMPLE, 1))
         component = components(links)
-        larger = stars.where(F.col("at") > 1).select("sig").distinct()
-        of = stars.join(larger, "sig")
-        members = of.select("sig", "node", "pure").unionByName(
-            of.where(F.col("at") == 1).select("sig", F.col("center").alias("node"), F.col("center_pure").alias("pure")))
-        across = materialize(self._pairs_across(members, component, nodes), "jaccard-across")
+        root = lambda s: component.select(F.col("node").alias(s), F.col("component").alias(f"root_{s}"))
+        wide = stars.where(F.col("at") > 1).select("sig").distinct()
+        of = (stars.join(wide, "sig").join(root("node"), "node", "left").join(root("center"), "center", "left")
+              .withColumn("apart", F.coalesce("root_node", "node") != F.coalesce("root_center", "center")))
+        mixed = of.where("apart").select("sig").distinct()  # a signature's members are connected or one is apart from its center
+        groups = of.join(mixed, "sig").select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct()
+        index = self._differences(groups, nodes)
+        meeting = self._within_reach(index, component)
+        heads = (meeting.where((F.col("component") != F.col("top")) & (F.col("head.excess") <= F.col("reach"))
+                               & (F.col("excess") <= F.col("head.reach")) & (F.col("excess") + F.col("head.excess") > 0))
+                 .select(F.col("head.leaf").alias("hub"), "leaf").distinct())
+        more = self._links(heads, nodes)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            component = components(links)
+            meeting = self._within_reach(meeting.select("hub", "token", "leaf", "excess", "reach"), component)
+        across = materialize(self._apart(meeting), "jaccard-across")
         early = F.pmod(F.xxhash64("hub", "leaf"), F.lit(FIRST)) == 0
         for part in (across.where(early), across.where(~early)):
-            root = lambda s, c=component: c.select(F.col("node").alias(s), F.col("component").alias(f"root_{s}"))
             apart = (part.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left")
                      .where(F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"))
             more = self._links(apart, nodes)
