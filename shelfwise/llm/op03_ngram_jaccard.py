@@ -44,7 +44,7 @@ whose sampled tokens alone differ in more places than partners may is left out.
 Which tokens are frequent steers the cost alone, never the result: tasks count
 tokens lossily in bounded tables, and at most FREQUENT of those that reach
 MIN_FREQUENT are sent to the tasks. Likewise the order of a group's differences:
-those that one in LATE of a part of its members has come last.
+those that one in LATE of some PROBES of its members has come last.
 
 Defined cases: null or blank texts have no shingles, n_shingles 0 and are
 linked with nothing; texts under k words are one shingle; rows of one id and
@@ -55,6 +55,7 @@ component's id is the smallest non-null one; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -70,6 +71,8 @@ LOCAL = 3  # counts a task reports
 SALTS = 32
 SAMPLE = 8
 LATE = 4
+PROBES = 16
+FEW = 16
 FIRST = 8
 WORDS64 = 16
 BITS = 64 * WORDS64
@@ -393,21 +396,50 @@ class Join:
         met = met.repartition(parts, "hub", "salt").sortWithinPartitions("hub", "salt", "role")
         return materialize(met.mapInArrow(check, ", ".join(f"{c} long" for c in ("hub", "leaf", *more))), "jaccard-met")
 
+    def _mixed(self, stars: DataFrame, component: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Signatures whose members are in several components, dealt by pairs of neighbouring size bands, as
+        links ask for sizes within a factor: (sig, band, node) of those of more than FEW members, and the
+        pairs (hub, leaf) of members apart of the others."""
+        own = component.select("node", "component")
+        size = stars.groupBy("sig").agg(F.max("at").alias("size")).where(F.col("size") > 1)
+        of = stars.join(size, "sig")
+        every = of.select("sig", "node").unionByName(of.where(F.col("at") == 1).select("sig", F.col("center").alias("node")))
+        every = (every.join(nodes.select("node", "n"), "node").join(own, "node", "left")
+                 .withColumn("component", F.coalesce("component", "node")))
+        # one more than a factor of 100 / percent, so that rounding of the logarithm can't part two partners
+        band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(101 / self.percent)))
+        every = every.withColumn("band", F.explode(F.array(band, band + 1)))
+        mixed = (every.groupBy("sig", "band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("size"))
+                 .where(F.col("a") != F.col("b")).select("sig", "band", "size"))
+        every = materialize(every.join(mixed, ["sig", "band"]), "jaccard-mixed")
+        few = every.where(F.col("size") <= FEW).join(nodes.drop("n", "doc_id", "th", "smallest"), "node")
+        side = lambda s: [*(F.col(c).alias(f"{c}_{s}") for c in ("sig", "band", "node", "n", "component")), *_bits(s)]
+        met = few.select(*side("x")).join(few.select(*side("y")), (
+            F.col("sig_x") == F.col("sig_y")) & (F.col("band_x") == F.col("band_y")) & (F.col("node_x") < F.col("node_y"))
+            & (F.col("component_x") != F.col("component_y")) & may_link(self.percent, "x", "y"))
+        return (every.where(F.col("size") > FEW).select("sig", "band", "node"),
+                met.select(F.col("node_x").alias("hub"), F.col("node_y").alias("leaf")))
+
     def _differences(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """hub, token, leaf, excess, reach of the indexed differences between hub and leaf;
-        excess and reach times 100 + percent."""
+        excess and reach times 100 + percent. ``pairs``: (hub, leaf, members of the hub)."""
         percent = self.percent
 
-        def every(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
-            return [(t,) for t in np.setxor1d(x, y, assume_unique=True).view(np.int64).tolist()]
+        probed = [None, np.zeros(0, np.uint64)]  # a hub's tokens and the differences of its probes so far
+
+        def often(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
+            d = np.setxor1d(x, y, assume_unique=True)
+            probed[:] = [y, np.concatenate([probed[1], d]) if probed[0] is y else d]
+            t, c = np.unique(probed[1], return_counts=True)
+            return [(v,) for v in np.intersect1d(d, t[LATE * c >= PROBES]).view(np.int64).tolist()]
 
         def indexed(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
             return [(t, e, r) for t, e, r in differences(y, x, late, percent)]
+        some = F.pmod(F.xxhash64("leaf", "hub"), F.col("members")) < PROBES  # about PROBES of a hub's members
+        probes = pairs.where(some).select("hub", "leaf")
         pairs = self._sided(pairs, nodes, near=False)
-        part = pairs.where(F.col("salt") == 0)
-        seen = part.groupBy("hub").agg(F.count("*").alias("members"))
-        late = (self._meet(part, 1, every, ["token"]).groupBy("hub", "token").agg(F.count("*").alias("c")).join(seen, "hub")
-                .where((F.col("c") > 1) & (LATE * F.col("c") >= F.col("members")))
+        part = pairs.join(probes, ["hub", "leaf"], "left_semi").withColumn("salt", F.lit(0))  # one stream a hub
+        late = (self._meet(part, 1, often, ["token"]).groupBy("hub", "token").agg(F.count("*").alias("c"))
                 .groupBy("hub").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("late"))
                 .select("hub", F.col("late.token").alias("late")))
         return self._meet(pairs, 1, indexed, ["token", "excess", "reach"], materialize(late, "jaccard-late"))
@@ -418,6 +450,9 @@ class Join:
         own = component.select(F.col("node").alias("leaf"), "component")
         rows = index.join(own, "leaf", "left").withColumn("component", F.coalesce("component", "leaf"))
         keys = ["hub", "token"]
+        rows = rows.select(*keys, "leaf", "excess", "reach", "component").repartition(*keys)  # one exchange for both sides
+        several = rows.groupBy(*keys).agg(F.min("component").alias("a"), F.max("component").alias("b")).where(F.col("a") != F.col("b"))
+        rows = materialize(rows.join(several.drop("a", "b"), keys), "jaccard-several")
         for _ in range(2):
             shares = rows.groupBy(*keys, "component").agg(
                 F.count("*").alias("c"), F.min(F.struct("excess", "leaf", "reach")).alias("least"), F.max("reach").alias("far"))
@@ -467,30 +502,38 @@ class Join:
                             (SAMPLE, 1))
         component = components(links)
         root = lambda s: component.select(F.col("node").alias(s), F.col("component").alias(f"root_{s}"))
-        wide = stars.where(F.col("at") > 1).select("sig").distinct()
-        of = (stars.join(wide, "sig").join(root("node"), "node", "left").join(root("center"), "center", "left")
-              .withColumn("apart", F.coalesce("root_node", "node") != F.coalesce("root_center", "center")))
-        mixed = of.where("apart").select("sig").distinct()  # a signature's members are connected or one is apart from its center
-        groups = of.join(mixed, "sig").select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct()
-        index = self._differences(groups, nodes)
+        members, narrow = self._mixed(stars, component, nodes)
+        centers = members.groupBy("sig", "band").agg(F.min("node").alias("hub"))
+        pairs = members.join(centers, ["sig", "band"]).where(F.col("node") != F.col("hub")).select("hub", F.col("node").alias("leaf"))
+        groups = materialize(pairs.distinct(), "jaccard-groups")
+
+        def connect(pairs: DataFrame) -> bool:
+            """Check the pairs that are not connected yet; True if any links."""
+            nonlocal links, component
+            more = self._links(pairs.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left").where(
+                F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"), nodes)
+            if more.isEmpty():
+                return False
+            links = links.unionByName(more)
+            component = components(links)
+            return True
+        connect(groups)
+        apart = F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")
+        open_ = (groups.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left").where(apart)
+                 .groupBy("hub").agg(F.count("*").alias("outside")))
+        size = groups.groupBy("hub").agg(F.count("*").alias("members"))
+        open_ = open_.join(size, "hub").where(F.col("members") > 1).select("hub", "members")
+        index = self._differences(groups.join(open_, "hub"), nodes)
         meeting = self._within_reach(index, component)
         heads = (meeting.where((F.col("component") != F.col("top")) & (F.col("head.excess") <= F.col("reach"))
                                & (F.col("excess") <= F.col("head.reach")) & (F.col("excess") + F.col("head.excess") > 0))
                  .select(F.col("head.leaf").alias("hub"), "leaf").distinct())
-        more = self._links(heads, nodes)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            component = components(links)
+        if connect(heads):
             meeting = self._within_reach(meeting.select("hub", "token", "leaf", "excess", "reach"), component)
-        across = materialize(self._apart(meeting), "jaccard-across")
+        across = materialize(narrow.unionByName(self._apart(meeting)).distinct(), "jaccard-across")
         early = F.pmod(F.xxhash64("hub", "leaf"), F.lit(FIRST)) == 0
-        for part in (across.where(early), across.where(~early)):
-            apart = (part.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left")
-                     .where(F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"))
-            more = self._links(apart, nodes)
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                component = components(links)
+        connect(across.where(early))
+        connect(across.where(~early))
         whole = nodes.join(component, "node", "left").select(
             "node", F.coalesce("component", "node").alias("component"), "smallest")
         least = whole.groupBy("component").agg(F.min("smallest").alias("component_id"))
