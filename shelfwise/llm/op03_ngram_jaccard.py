@@ -72,7 +72,7 @@ SALTS = 32
 SAMPLE = 8
 LATE = 4
 PROBES = 16
-FEW = 16
+FEW = 64
 FIRST = 8
 WORDS64 = 16
 BITS = 64 * WORDS64
@@ -336,6 +336,8 @@ class Join:
             # partners of n and m tokens share at least ceil(t (n + m) / (1 + t))
             return [()] if len(x) + len(y) - 2 * common <= n + m - 2 * -(-percent * (n + m) // (100 + percent)) else []
         pairs = self._sided(pairs, nodes)
+        if pairs.isEmpty():
+            return pairs.select(F.col("hub").alias("a"), F.col("leaf").alias("b"))
         links = self._meet(pairs, samples[0], enough, [])
         for sample in samples[1:]:
             links = self._meet(pairs.join(links, ["hub", "leaf"], "left_semi"), sample, enough, [])
@@ -511,7 +513,7 @@ class Join:
             """Check the pairs that are not connected yet; True if any links."""
             nonlocal links, component
             more = self._links(pairs.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left").where(
-                F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"), nodes)
+                F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"), nodes, (SAMPLE, 1))
             if more.isEmpty():
                 return False
             links = links.unionByName(more)

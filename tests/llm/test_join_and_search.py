@@ -83,6 +83,42 @@ def test_similar_sets_share_a_signature(seed, n, percent, often):
     assert len(np.intersect1d(a, b)) >= max(1, min(need, default=1))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 10**6), st.integers(4, 150), st.sampled_from([80, 85, 95]), st.floats(0, 1))
+def test_similar_sets_reach_each_other_by_a_difference(seed, n, percent, often):
+    """Two sets that link are both linked to the center or have a difference from it in common, each within
+    the other's reach, whatever tokens come last."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**63, n, dtype=np.uint64)
+    change = lambda s, most: np.unique(np.concatenate([
+        np.delete(s, rng.integers(0, len(s), rng.integers(0, most + 1))),
+        rng.integers(0, 2**63, rng.integers(0, most + 1), dtype=np.uint64)]))
+    center, x = change(base, n // 4), change(base, n // 4)
+    y = change(x, n // 10)
+
+    def similar(a, b):
+        both = len(np.intersect1d(a, b))
+        return 100 * both >= percent * (len(a) + len(b) - both)
+    if not (len(center) and len(x) and len(y)) or not similar(x, y) or similar(x, center) and similar(y, center):
+        return
+    every = np.union1d(np.union1d(x, y), center)
+    late = rng.permutation(every[rng.random(len(every)) < often])
+    a, b = ({t: (e, r) for t, e, r in jac.differences(center, s, late, percent)} for s in (x, y))
+    assert any(a[t][0] <= b[t][1] and b[t][0] <= a[t][1] and a[t][0] + b[t][0] > 0 for t in a.keys() & b.keys())
+
+
+def test_documents_of_one_template_make_no_pairs(spark, monkeypatch):
+    """A loose group without a link: nothing is left to check, however large the group."""
+    rows = [(i, " ".join([f"t{j}" for j in range(120)] + [f"o{i}_{j}" for j in range(15)])) for i in range(300)]
+    met = []
+    apart = jac.Join._apart
+    monkeypatch.setattr(jac.Join, "_apart", lambda self, r: met.append(apart(self, r)) or met[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jac.jaccard_components(df, 4, 85).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in got) and len(got) == 300
+    assert met[0].count() == 0
+
+
 def test_signatures_stay_linear():
     t = np.unique(np.random.default_rng(1).integers(0, 2**63, 20_000, dtype=np.uint64))
     assert len(jac.signatures(t, t, 85)[0]) < 2 * len(t)
