@@ -57,6 +57,7 @@ def corpus(seed):
 def test_components_match_brute_force(spark, monkeypatch, k, percent, frequent):
     monkeypatch.setattr(jac, "MIN_FREQUENT", frequent)
     monkeypatch.setattr(jac, "LOCAL", 1)
+    monkeypatch.setattr(jac, "FEW", 2)
     rows = corpus(k)
     df = spark.createDataFrame([(d, t, "x", 1, 2) for d, t in rows],
                                "doc_id long, text string, node string, n int, component int").repartition(5)
