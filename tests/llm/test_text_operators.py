@@ -101,6 +101,44 @@ def test_language_model_is_interpolated_kneser_ney(spark):
         assert models.entropies([probe])[0, 1] == pytest.approx(expect, abs=1e-5)
 
 
+def test_language_models_keep_a_share_per_language(spark):
+    """200 languages over one alphabet, told apart by their syllables: a bounded model loses next to nothing."""
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def texts(lexicon, n, words):
+        return [" ".join(rng.choice(lexicon) for _ in range(words)) for _ in range(n)]
+    train, test = [], []
+    for i in range(200):
+        syllables = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 3))) for _ in range(25)]
+        lexicon = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(300)]
+        train += [(f"l{i:03d}", t) for t in texts(lexicon, 3, 200)]
+        test += [(f"l{i:03d}", t) for t in texts(lexicon, 3, 12)]
+    counts = lid.gram_counts(spark.createDataFrame(train, "lang string, text string")).cache()
+    right = {}
+    for keep in (300, 1 << 30):
+        models = lid.build(counts, keep)
+        e = models.entropies([t for _, t in test])
+        right[keep] = np.mean([models.langs[b] == lang for b, (lang, _) in zip(e.argmin(1), test, strict=True)])
+    counts.unpersist()
+    assert counts.where("lang = 'l000'").count() > 600  # the bound leaves out more than half
+    assert right[1 << 30] > 0.9 and right[300] >= right[1 << 30] - 0.01
+
+
+def test_left_out_mass_goes_to_the_back_off(spark):
+    texts = ["The cat sat on the mat", "a cat, a hat & the bat sat", "the rat ate that"]
+    models = lid.train(spark.createDataFrame([("en", t) for t in texts], "lang string, text string"), keep=6)
+    unit = np.unique(np.concatenate([lid.units(t) for t in texts]))
+    assert len(models.p[4].keys) <= 6 and len(models.p[1].keys) == len(unit)
+    for context in ("the", " ca", "xyz", "at "):
+        head = np.uint64(0)
+        for c in context:
+            head = (head << np.uint64(16)) | np.uint64(ord(c))
+        total = np.exp(models.score((head << np.uint64(16)) | unit)).sum()
+        unknown = np.exp(models.score(np.array([(head << np.uint64(16)) | np.uint64(0x416)])))[0, 0]
+        assert total + unknown == pytest.approx(1, abs=1e-4)  # all units and the one slot for any other
+
+
 def test_language_id_held_out_and_odd_rows(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang", "source")
     odd = [(10**6, None, "en"), (10**6 + 1, "", "en"), (10**6 + 2, "12 34 !?", "en"), (10**6 + 3, "🙂", None),
