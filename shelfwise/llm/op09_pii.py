@@ -1,22 +1,29 @@
 """Format-preserving pseudonyms for personal data (DataFrame functions only).
 
-Card numbers (Luhn), IPv4 addresses, phone and social-security numbers,
-calendar dates, e-mail addresses and access secrets are found by one pattern,
-validated, and replaced by a keyed permutation of their own format: a Feistel
-network over the value's symbols, whose round function is SHA-256 of key,
+Card numbers (Luhn), IPv4 and IPv6 addresses, phone numbers (international, North
+American, national with a leading zero), social-security numbers, calendar
+dates, e-mail addresses and access secrets are found by one pattern, validated,
+and replaced by a keyed permutation of their own format: a Feistel network over the value's symbols, whose round function is SHA-256 of key,
 format, round and the other half. A permutation is one-to-one, so equal values
 get equal pseudonyms in every document without any lookup table or shuffle,
 and unequal ones never meet.
 
 Symbols: a digit moves among digits, a letter among letters of its case, an
-IPv4 octet among 0-255, a date among the days of its 400-year calendar cycle;
-punctuation stays. A card's last digit is recomputed, so it stays Luhn-valid.
+IPv4 octet among 0-255, an IPv6 group among its 65536 values (the pseudonym is
+spelled uncompressed, so one address links however it is written), a date among
+the days of its 400-year calendar cycle; punctuation stays. A card's last digit is recomputed, so it stays Luhn-valid.
 
 A run of digit groups that is no card as a whole may hold one beside other
 numbers: every part of 13 to 19 digits at group borders is tried. Parts grouped
 as cards are printed go before others; valid parts that overlap all the same are
 replaced as one.
 
+A secret is what follows a key's name and ``=`` or ``:``, from 8 characters up to
+white space, a quote, comma, semicolon or angle bracket. After ``secret:`` and
+``token:`` it must hold a digit or a symbol that prose words lack.
+Characters beyond ASCII letters and digits stay. A short IPv6 address counts from
+three colons or a first group of three digits (``1::2`` is a slice).
+
 Defined cases: a null text stays null, an empty one empty; matches that fail
 their validation stay as they are; repeated rows give repeated results; all
 columns of the input come back, ``text`` replaced; helper columns take names
@@ -37,24 +44,31 @@ DAYS = (27, 5411)  # 27 * 5411 days = 400 calendar years
 KEY = "shelfwise-demo-key"  # a deployment passes its own
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_VALUE = r"[^\s\"'<>,;]"
+_NAMED = r"(?<![a-z])(?:password|passwd|api_?key)[\"']? ?[=:] ?[\"']?"
 SECRET = (r"(?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
-          r"|(?i:(?<![a-z])(?:password|passwd|secret|token|api_?key)) ?[=:] ?[\"']?"
-          r"(?=[A-Za-z_+/-]*+[0-9])[0-9A-Za-z_+/-]{8,}+[\"']?")
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
+          rf"|(?i:{_NAMED}|(?<![a-z])(?:secret|token)[\"']? ?(?:=|:(?= ?[\"']?[a-z.!?:()/-]*+(?![\s\"'<>,;]|$))) ?[\"']?)"
+          rf"{_VALUE}{{8,}}+[\"']?")
+EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,126}[A-Za-z]{2,63}"  # a host name's own limits
+         r"(?![A-Za-z0-9])")
 DATE = (r"(?<![0-9A-Za-z.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z])"
         r"|(?<![0-9A-Za-z./])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z])")
 IP = rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+IP6 = (rf"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{{0,4}}:)(?:(?:{_HEX}:){{7}}{_HEX}|(?=[0-9A-Fa-f]{{3,4}}:|(?:{_HEX}:|:){{3}})"
+       rf"(?=[A-Fa-f:]*+[0-9])(?:(?:{_HEX}:){{1,6}}|:)(?::{_HEX}){{1,6}})(?![0-9A-Za-z]|:|\.[0-9])")
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 PHONE = (r"(?<![0-9A-Za-z])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])"
          r"|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9A-Za-z])"
          r"|(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9A-Za-z-])")
+NATIONAL = r"(?<![0-9A-Za-z.,/-])0[1-9][0-9]{0,3}(?:[ /-][0-9]{2,8}){1,4}(?![0-9A-Za-z]|[.,/-][0-9])"
 # a whole run of digit groups, up to where another kind of value begins
 CARD = (r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])"
         rf"(?:(?:-| (?!{DATE}|{IP}|{SSN}|{PHONE}))[0-9]++(?![A-Za-z]))*+")
 PRINTED = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
 REACH = 18  # groups that a card can have after its first
-PATTERN = "|".join((SECRET, EMAIL, DATE, IP, SSN, CARD, PHONE))
-KINDS = ("secret", "email", "date", "ip", "ssn", "card", "phone")
+PATTERN = "|".join((SECRET, EMAIL, DATE, IP6, IP, SSN, CARD, PHONE, NATIONAL))
+KINDS = ("secret", "email", "date", "ip6", "ip", "ssn", "card", "phone")
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
@@ -134,11 +148,21 @@ def kind_of(value: Column) -> Column:
     return (F.when(value.rlike(_whole(SECRET)), "secret")
             .when(value.contains("@"), "email")
             .when(value.rlike(_whole(DATE)), F.when(as_date.isNotNull(), "date"))
+            .when(value.rlike(_whole(IP6)), F.when(F.size(_groups(value)) == 8, "ip6"))
             .when(value.rlike(_whole(IP)), "ip")
             .when(value.rlike(_whole(SSN)),
                   F.when(~value.rlike("^(?:000|666|9)") & ~value.rlike("-00-") & ~value.rlike("-0000$"), "ssn"))
             .when(value.rlike(_whole(CARD)) & is_card(digits), "card")
-            .when(value.rlike(_whole(PHONE)) & F.length(digits).between(7, 15), "phone"))
+            .when(value.rlike(_whole(PHONE)) & F.length(digits).between(7, 15), "phone")
+            .when(value.rlike(_whole(NATIONAL)) & F.length(digits).between(9, 12), "phone"))
+
+
+def _groups(value: Column) -> Column:
+    """The groups of an IPv6 address, zeros put in for ``::`` (eight, if it is one)."""
+    some = lambda text: F.filter(F.split(text, ":"), lambda g: g != "")
+    head, rest = some(F.substring_index(value, "::", 1)), some(F.regexp_extract(value, "::(.*)$", 1))
+    missing = F.when(value.contains("::"), F.greatest(F.lit(1), 8 - F.size(head) - F.size(rest))).otherwise(0)
+    return F.concat(head, F.array_repeat(F.lit("0"), missing), rest)
 
 
 def _day(value: Column) -> Column:
@@ -229,6 +253,12 @@ def _ip(value: Column, key: str) -> Column:
     return F.array_join(F.transform(moved, lambda x: x.cast("string")), ".")
 
 
+def _ip6(value: Column, key: str) -> Column:
+    groups = F.transform(_groups(value), lambda x: F.conv(x, 16, 10).cast("long"))
+    moved = feistel(groups, F.array_repeat(F.lit(1 << 16).cast("long"), 8), F.lit("ip6"), key)
+    return F.array_join(F.transform(moved, lambda x: F.lower(F.hex(x))), ":")
+
+
 def _date(value: Column, key: str) -> Column:
     """The cycle of 400 years a date lies in stays, the day within it is permuted."""
     days = F.datediff(_day(value), F.lit("2000-01-01").cast("date")).cast("long")
@@ -249,14 +279,15 @@ def _keep_head(value: Column, head: str, permute) -> Column:
 
 
 def pseudonym(value: Column, kind: Column, key: str) -> Column:
-    return (F.when(kind == "secret", _keep_head(value, r"(?i)^(?:AKIA|[a-z_]+ ?[=:] ?[\"']?)",
+    return (F.when(kind == "secret", _keep_head(value, r"(?i)^(?:AKIA|[a-z_]+[\"']? ?[=:] ?[\"']?)",
                                                 lambda v: _chars(v, key, "secret")))
             .when(kind == "email", F.concat(_chars(F.regexp_extract(value, r"^(.*)\.", 1), key, "email"),
                                             F.regexp_extract(value, r"\.[A-Za-z]+$", 0)))
             .when(kind == "date", _date(value, key))
+            .when(kind == "ip6", _ip6(value, key))
             .when(kind == "ip", _ip(value, key))
             .when(kind == "card", _digits(value, key, "card", check=True))
-            .when(kind == "phone", _keep_head(value, r"^(?:\+[0-9]{1,3}(?=[ .(-]))?",
+            .when(kind == "phone", _keep_head(value, r"^(?:\+[0-9]{1,3}(?=[ .(-])|0)?",
                                               lambda v: _digits(v, key, "phone")))
             .when(kind == "ssn", _digits(value, key, "ssn")).otherwise(value))
 

@@ -179,6 +179,36 @@ def test_long_secrets_leave_nothing(spark):
     assert re.fullmatch(r'token="[A-Za-z0-9]{400}" end', got[0]["text"])
 
 
+def test_more_spellings_are_found(spark):
+    import ipaddress
+    cases = [("secret", "x" * 70 + "1", "password={}"), ("secret", "correcthorsebattery", "password={}"),
+             ("secret", "ab$cd1234efgh", "secret={}"), ("secret", "ab$cd1234efgh", 'the "token": "{}", and'),
+             ("email", "q" * 90 + "@example.org", "mail {} now"), ("phone", "020 7946 0958", "call {}."),
+             ("phone", "0171-2345678", "call {}, or"), ("ip6", "2001:db8:0:0:8:800:200c:417a", "from {} on"),
+             ("ip6", "fe80::1ff:fe23:4567:890a", "[{}]:80")]
+    for (kind, value, around), r in zip(cases, apply(spark, [t.format(v) for _, v, t in cases]), strict=True):
+        assert (r[f"n_{kind}"], r["n_pii"]) == (1, 1) and value not in r["text"], (kind, value, r)
+        head, end = around.split("{}")
+        new = r["text"][len(head): len(r["text"]) - len(end)]
+        assert r["text"].startswith(head) and r["text"].endswith(end)
+        if kind == "ip6":
+            assert ipaddress.ip_address(new) != ipaddress.ip_address(value)
+        else:
+            assert [c.isdigit() for c in new] == [c.isdigit() for c in value] and len(new) == len(value)
+
+
+def test_one_address_links_however_it_is_written(spark):
+    same = ["2001:db8::1:0:0:1", "2001:0DB8:0:0:1:0:0:1", "2001:db8:0:0:1::1"]
+    texts = [r["text"] for r in apply(spark, [*same, "2001:db8::1:0:0:2"])]
+    assert len(set(texts[:3])) == 1 and texts[3] != texts[0]
+
+
+def test_prose_and_code_are_no_secrets_or_addresses(spark):
+    clean = ["the secret: well-known facts (all of them).", "token: understanding!", "a[1::2] and std::vector<int> x",
+             "at 12:34:56 we met", "rows 0.123 4567 89", "in 05 06", "password: short", "1::2"]
+    assert [r["text"] for r in apply(spark, clean)] == clean
+
+
 def test_one_card_links_however_it_is_spaced(spark):
     a, b, c = (r["text"] for r in apply(spark, ["4041894974608795", "4041-8949-7460-8795", "4041 8949 7460 8795"]))
     assert b == "-".join(a[i:i + 4] for i in (0, 4, 8, 12)) and c == b.replace("-", " ")
