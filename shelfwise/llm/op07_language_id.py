@@ -8,18 +8,20 @@ uniform floor. The n-grams of all languages are kept in sorted arrays of
 hashes, each with its (language, probability) entries, and looked up by binary
 search. A text goes to the language with the lowest cross-entropy per character.
 
-Size: a language keeps its KEEP most frequent n-grams of every order above the
-first (order 1 is kept whole), so the model, which is sent to every task, has a
-bounded size per language, whatever the other languages are. Discounts, totals
-and continuation counts always come from all n-grams; the mass of those left
-out goes to the back-off of their context, so probabilities still sum to one.
-
-Calibration: a sample of whole training texts (about CALIBRATION_ROWS, at most a
-fifth, by a hash of their ids) is subtracted from the counts, models are built
-from what is left, and on these unseen texts a temperature for ``score`` (the
-softmax of negative entropies) is fitted, and the entropy that all but
-REJECT_SHARE of right answers stay under; texts above it are flagged
-``rejected``. Predictions use the models of all training texts.
+Size: the model, which is sent to every task, holds every n-gram of the training
+texts. It grows with a language's different n-grams (its alphabet and spelling),
+not with its rows. ``keep`` cuts a language to its most frequent n-grams of every
+order above the first where a caller must bound it: discounts, totals and
+continuation counts still come from all n-grams, and the mass of those left out
+goes to the back-off of their context, so probabilities still sum to one.
+
+Calibration: training texts are dealt into two halves by a hash of their ids, and
+every text is scored by models of the other half's counts. On these unseen texts,
+all of them, a temperature for ``score`` (the softmax of negative entropies) is
+fitted, and the entropy that all but REJECT_SHARE of right answers stay under;
+texts above it are flagged ``rejected``. Tasks hand on sums of the losses and the
+counts of entropies in steps of LIMIT_STEP. Predictions use the models of all
+training texts.
 
 Characters: letters in lower case, any run of others one space. An n-gram is
 four UTF-16 units, 64 bits, hashed by an odd multiplier (one-to-one).
@@ -41,15 +43,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import held_out, materialize, python_tasks, table
 
 ORDER = 4
-KEEP = 1 << 15  # n-grams of an order that a language keeps
 CELLS = 1 << 22  # (n-gram, language) cells computed at once, and of the ready scores
-CALIBRATION_ROWS = 2000
+TEMPERATURES = 2.0 ** np.arange(0, 9)
+LIMIT_STEP = 1e-3  # nats a character
 REJECT_SHARE = 0.001
 PIECE = 1 << 19
 FLUSH = 2_000_000
@@ -242,8 +244,8 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return materialize(count_grams(rows.where(F.col("lang").isNotNull())), "lid-counts")
 
 
-def probabilities(counts: DataFrame, keep: int = KEEP) -> DataFrame:
-    """lang, o, gram, p: discounted probabilities of the kept n-grams of every order, from all counts."""
+def probabilities(counts: DataFrame, keep: int | None = None) -> DataFrame:
+    """lang, o, gram, p: discounted probabilities of the n-grams of every order (of the ``keep`` most frequent), from all counts."""
     level = counts.select("lang", F.lit(ORDER).alias("o"), "gram", "n")
     every = level
     for o in range(ORDER - 1, 0, -1):  # continuation counts: distinct left neighbours
@@ -254,20 +256,23 @@ def probabilities(counts: DataFrame, keep: int = KEEP) -> DataFrame:
     n1, n2 = (F.sum(F.when(F.col("n") == k, 1).otherwise(0)) for k in (1, 2))
     discount = every.groupBy("lang", "o").agg(
         F.when((n1 > 0) & (n2 > 0), n1 / (n1 + 2 * n2)).otherwise(F.lit(0.5)).alias("d"))
-    # the least count kept, per language and order, from a histogram (exact below 4096, then 64 steps an octave)
+    context = Window.partitionBy("lang", "o", F.shiftrightunsigned("gram", 16))
+    told = every.withColumn("total", F.sum("n").over(context)).join(F.broadcast(discount), ["lang", "o"])  # ORDER rows a language
+    if keep is not None:
+        told = told.join(F.broadcast(least_kept(every, keep)), ["lang", "o"]).where(F.col("n") >= F.col("cut"))
+    return told.select("lang", "o", "gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("p"))
+
+
+def least_kept(every: DataFrame, keep: int) -> DataFrame:
+    """lang, o, cut: the least count kept, from a histogram (exact below 4096, then 64 steps an octave)."""
     n = F.col("n")
     step = F.when(n < 4096, n).otherwise(4096 + F.floor(F.log2(n.cast("double")) * 64)).cast("long")
     held = (every.groupBy("lang", "o", step.alias("step")).agg(F.count("*").alias("rows"), F.min("n").alias("least"))
             .withColumn("held", F.sum("rows").over(Window.partitionBy("lang", "o").orderBy(F.desc("step")))))
-    cut = (held.where((F.col("held") <= keep) | (F.col("o") == 1)).groupBy("lang", "o").agg(F.min("least").alias("cut")))
-    of_language = discount.join(cut, ["lang", "o"])  # at most ORDER rows a language
-    context = Window.partitionBy("lang", "o", F.shiftrightunsigned("gram", 16))
-    return (every.withColumn("total", F.sum("n").over(context))
-            .join(F.broadcast(of_language), ["lang", "o"]).where(n >= F.col("cut"))
-            .select("lang", "o", "gram", ((n - F.col("d")) / F.col("total")).alias("p")))
+    return held.where((F.col("held") <= keep) | (F.col("o") == 1)).groupBy("lang", "o").agg(F.min("least").alias("cut"))
 
 
-def build(counts: DataFrame, keep: int = KEEP) -> Models:
+def build(counts: DataFrame, keep: int | None = None) -> Models:
     """Models from (lang, gram, n) counts."""
     kept = probabilities(counts, keep).toArrow()
     unit = F.col("gram").bitwiseAND(F.lit(0xFFFF))
@@ -277,47 +282,66 @@ def build(counts: DataFrame, keep: int = KEEP) -> Models:
                   kept["gram"].to_numpy().view(np.uint64), kept["p"].to_numpy())
 
 
-def train(rows: DataFrame, keep: int = KEEP) -> Models:
+def train(rows: DataFrame, keep: int | None = None) -> Models:
     """Models from (lang, text) rows."""
     return build(gram_counts(rows), keep)
 
 
-def calibration_rows(rows: DataFrame) -> DataFrame:
-    """About CALIBRATION_ROWS rows, at most a fifth, chosen by a hash of their id."""
-    share = min(0.2, CALIBRATION_ROWS / max(1, rows.count()))
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(1 << 30)) < F.lit(int((1 << 30) * share)))
+def half(doc_id: Column) -> Column:
+    """0 or 1 by a hash of the id: all rows of an id fall into one half."""
+    return F.pmod(F.xxhash64(doc_id, F.lit("calibration")), F.lit(2)).cast("int")
 
 
-def sample_entropies(sample: DataFrame, models: Models) -> tuple[np.ndarray, list[str]]:
-    """Entropies [text, language] and languages of the sample's whole texts. One id with very many
-    rows could pass the share by far, so the first 2 * CALIBRATION_ROWS in the order of a hash are taken."""
-    sent = sample.sparkSession.sparkContext.broadcast(models)
+def losses(rows: DataFrame, halves: list[Models]) -> DataFrame:
+    """(kind, at, n, s) of labelled rows (lang, text, half), each text scored by the models of the other half:
+    kind 0: texts and sum of log losses at temperature number ``at``; kind 1: texts identified rightly
+    with an entropy in step ``at``."""
+    sent = rows.sparkSession.sparkContext.broadcast(halves)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, loss, steps = 0, np.zeros(len(TEMPERATURES)), np.zeros(0, np.int64)
         for batch in batches:
-            e = sent.value.entropies(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(e), pa.list_(pa.float64()))],
-                                             names=["lang", "e"])
-    part = sample.select("lang", "text").orderBy(F.xxhash64("doc_id", "lang", "text")).limit(2 * CALIBRATION_ROWS)
-    got = part.mapInArrow(run, "lang string, e array<double>").collect()
-    return np.array([r["e"] for r in got]).reshape(len(got), len(models.langs)), [r["lang"] for r in got]
+            langs, texts, own = (batch.column(i).to_pylist() for i in range(3))
+            for k, m in enumerate(sent.value):
+                number = {lang: i for i, lang in enumerate(m.langs)}
+                mine = [r for r, h in enumerate(own) if h != k and langs[r] in number]
+                if not mine:
+                    continue
+                e = m.entropies([texts[r] for r in mine])
+                ok = ~np.isnan(e[:, 0])
+                e, y = e[ok], np.array([number[langs[r]] for r in mine])[ok]
+                for i, t in enumerate(TEMPERATURES):
+                    z = -t * (e - e.min(1, keepdims=True))
+                    loss[i] += (np.log(np.exp(z).sum(1)) - z[np.arange(len(y)), y]).sum()
+                n += len(y)
+                step = np.maximum(np.ceil(e.min(1)[e.argmin(1) == y] / LIMIT_STEP), 0).astype(np.int64)
+                found = np.bincount(step, minlength=len(steps))
+                found[: len(steps)] += steps
+                steps = found
+        at = np.flatnonzero(steps)
+        kinds = len(TEMPERATURES)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat([0, 1], [kinds, len(at)]).astype(np.int32)), pa.array(np.concatenate([np.arange(kinds), at])),
+             pa.array(np.concatenate([np.full(kinds, n), steps[at]])), pa.array(np.concatenate([loss, np.zeros(len(at))]))],
+            names=["kind", "at", "n", "s"])
+    python_tasks(rows.sparkSession, 1000)
+    return (rows.select("lang", "text", "half").mapInArrow(run, "kind int, at long, n long, s double")
+            .groupBy("kind", "at").agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
 
 
-def calibrate(models: Models, e: np.ndarray, langs: list[str]) -> tuple[float, float]:
+def calibrate(told: DataFrame) -> tuple[float, float]:
     """Temperature with the least log loss on labelled texts, and the entropy above which a text is rejected."""
-    number = {lang: i for i, lang in enumerate(models.langs)}
-    y = np.array([number.get(lang, -1) for lang in langs], int)
-    ok = ~np.isnan(e[:, 0]) & (y >= 0) if e.size else np.zeros(0, bool)
-    if not ok.any():
+    rows = told.collect()  # a row per temperature and per step of entropy
+    loss = {float(TEMPERATURES[r["at"]]): r["s"] / r["n"] for r in rows if r["kind"] == 0 and r["n"]}
+    if not loss:
         return 10.0, np.inf
-    e, y = e[ok], y[ok]
-    loss = {}
-    for t in 2.0 ** np.arange(0, 9):
-        z = -t * e
-        z -= z.max(1, keepdims=True)
-        loss[t] = -(z[np.arange(len(y)), y] - np.log(np.exp(z).sum(1))).mean()
-    right = e.argmin(1) == y
-    limit = np.quantile(e.min(1)[right], 1 - REJECT_SHARE) if right.any() else np.inf
+    right = sorted((r["at"], r["n"]) for r in rows if r["kind"] == 1)
+    limit, wanted = np.inf, (1 - REJECT_SHARE) * sum(n for _, n in right)
+    for at, n in right:
+        wanted -= n
+        if wanted <= 0:
+            limit = at * LIMIT_STEP
+            break
     return min(loss, key=lambda t: (loss[t] + 1e-3 * np.log(t), t)), float(limit)
 
 
@@ -325,7 +349,7 @@ def predict(docs: DataFrame, models: Models, temperature: float, limit: float, t
             keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, lang_pred, score, entropy, rejected."""
     python_tasks(docs.sparkSession, 1000)
-    sent = docs.sparkSession.sparkContext.broadcast(models)  # some KEEP n-grams an order and language
+    sent = docs.sparkSession.sparkContext.broadcast(models)  # the n-grams of all languages
     names = ["lang_pred", "score", "entropy", "rejected"]
     schema = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
@@ -352,13 +376,11 @@ def predict(docs: DataFrame, models: Models, temperature: float, limit: float, t
 def identify(docs: DataFrame, training: DataFrame) -> DataFrame:
     """Train on ``training`` (doc_id, text, lang) and predict every row of ``docs``."""
     training = training.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = gram_counts(training)
-    sample = calibration_rows(training)
-    seen = count_grams(sample).withColumnRenamed("n", "seen")
-    rest = (counts.join(seen, ["lang", "gram"], "left").withColumn("n", F.col("n") - F.coalesce("seen", F.lit(0)))
-            .where("n > 0").select("lang", "gram", "n"))
-    unseeing = build(materialize(rest, "lid-rest"))
-    temperature, limit = calibrate(unseeing, *sample_entropies(sample, unseeing))
+    training = training.withColumn("half", half(F.col("doc_id")))
+    parts = [gram_counts(training.where(F.col("half") == k)) for k in (0, 1)]
+    temperature, limit = calibrate(losses(training, [build(part) for part in parts]))
+    counts = parts[0].unionAll(parts[1]).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = materialize(counts, "lid-counts")
     models = build(counts)
     return predict(docs, models, temperature, limit, keep=("doc_id",))
 

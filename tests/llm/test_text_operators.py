@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import op01_token_counts as counts
 from shelfwise.llm import op02_quality_mil as mil
@@ -161,6 +162,22 @@ def test_language_id_without_training(spark):
     assert [r["lang_pred"] for r in lid.identify(docs, docs).collect()] == ["und"]
 
 
+def test_language_model_and_calibration_take_all_texts(spark):
+    rows = [(i, "ab" if i % 2 else "cd", ("abba baab " if i % 2 else "cddc dccd ") * 3 + "e" * (i % 5 + 1)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").withColumn("half", lid.half(F.col("doc_id")))
+    parts = [lid.gram_counts(docs.where(F.col("half") == k)) for k in (0, 1)]
+    told = lid.losses(docs, [lid.build(p) for p in parts])
+    got = told.collect()
+    assert all(r["n"] == 60 for r in got if r["kind"] == 0) and sum(r["n"] for r in got if r["kind"] == 1) == 60
+    temperature, limit = lid.calibrate(told)
+    assert temperature in lid.TEMPERATURES and limit == max(r["at"] for r in got if r["kind"] == 1) * lid.LIMIT_STEP
+    # more n-grams than the model once kept
+    text = " ".join(chr(0x4E00 + i // 200) + chr(0x4E00 + i % 200) for i in range(34000))
+    many = lid.gram_counts(spark.createDataFrame([("x", text)], "lang string, text string"))
+    assert lid.probabilities(many).where("o = 4").count() == many.count() > 1 << 15
+
+
+
 # -- LM scoring ----------------------------------------------------------------------
 def test_lm_scores(spark, monkeypatch):
     monkeypatch.setattr(lm, "LEXICON", 1500)  # so that some words are joined
