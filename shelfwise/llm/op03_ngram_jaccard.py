@@ -32,14 +32,16 @@ is checked, connected or too far apart, without all pairs of a copy group.
 
 Each set also has a bitmap of BITS bits, one set per token hash: two bitmaps
 differ in at most as many bits as their sets differ in tokens, so pairs whose
-bitmaps differ in more than partners may are left out unchecked.
+bitmaps differ in more than partners may are left out unchecked. The bitmap of a
+large set is full and tells nothing, so sets of SKETCHED tokens or more also have
+a sketch that grows with them: their tokens' number in each of some buckets, one
+for 8 to 16 tokens. Two sketches, the longer one folded, likewise differ in at
+most as many counts as their sets differ in tokens.
 
-To check pairs, first the tokens whose hash is divisible by SAMPLE, then, of
-the pairs left, whole sets go to the partition of one of the two (the hub), dealt
-over SALTS parts so that a hub with many partners is spread, and are read there
-as a sorted stream. Texts are found for them by a join on the document, whose
-small side is broadcast only if its goals are counted to be at most BROADCAST_GOALS. A pair
-whose sampled tokens alone differ in more places than partners may is left out.
+To check the pairs left, whole sets go to the partition of one of the two (the
+hub), dealt over SALTS parts so that a hub with many partners is spread, and are
+read there as a sorted stream. Texts are found for them by a join on the document,
+whose small side is broadcast only if its goals are counted to be at most BROADCAST_GOALS.
 
 Which tokens are frequent steers the cost alone, never the result: tasks count
 tokens lossily in bounded tables, and at most FREQUENT of those that reach
@@ -69,13 +71,13 @@ FREQUENT = 1 << 18
 MIN_FREQUENT = 512
 LOCAL = 3  # counts a task reports
 SALTS = 32
-SAMPLE = 8
 LATE = 4
 PROBES = 16
 FEW = 64
 FIRST = 8
 WORDS64 = 16
 BITS = 64 * WORDS64
+SKETCHED = 1024  # tokens from which a bitmap of BITS bits is too full
 BROADCAST_GOALS = 1_000_000
 HELD, SEEN = 1_000_000, 300_000  # tokens counted and set names remembered in a task
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
@@ -116,6 +118,35 @@ def bitmap(tokens: np.ndarray) -> list[int]:
     return np.packbits(on).view(np.int64).tolist()
 
 
+def sketch(tokens: np.ndarray) -> bytes | None:
+    """Tokens a bucket modulo 256, of a set of SKETCHED or more."""
+    n = len(tokens)
+    if n < SKETCHED:
+        return None
+    buckets = 1 << (n.bit_length() - 4)
+    at = (tokens >> np.uint64(8)) & np.uint64(buckets - 1)
+    return np.bincount(at.astype(np.int64), minlength=buckets).astype(np.uint8).tobytes()
+
+
+def least_apart(x: bytes, y: bytes) -> int:
+    """The sets of these sketches differ in that many tokens or more."""
+    a, b = (np.frombuffer(s, np.uint8) for s in (x, y))
+    width = min(len(a), len(b))
+    d = np.subtract(*(s.reshape(-1, width).sum(axis=0, dtype=np.uint8) for s in (a, b)))
+    return int(np.minimum(d, np.negative(d)).sum(dtype=np.int64))
+
+
+def sketches_may_link(percent: int) -> Callable:
+    """The same as ``may_link`` by n_hub, n_leaf, sketch_hub, sketch_leaf; a set without a sketch may link."""
+    def room(n: pa.Array, m: pa.Array, x: pa.Array, y: pa.Array) -> pa.Array:
+        size = np.asarray(n, np.int64) + np.asarray(m, np.int64)
+        most = size - 2 * -(-percent * size // (100 + percent))
+        return pa.array([not (a.is_valid and b.is_valid) or least_apart(a.as_buffer(), b.as_buffer()) <= d
+                         for a, b, d in zip(x, y, most.tolist(), strict=True)], pa.bool_())
+    room.__annotations__ = {"n": pa.Array, "m": pa.Array, "x": pa.Array, "y": pa.Array, "return": pa.Array}
+    return F.arrow_udf(room, "boolean")
+
+
 def may_link(percent: int, x: str, y: str) -> Column:
     """Sizes n_<x>, n_<y> and bitmaps b_<x>, b_<y> (a column per word) leave room for a link."""
     n = F.col(f"n_{x}") + F.col(f"n_{y}")
@@ -219,21 +250,22 @@ class Join:
 
     # -- passes over the texts ------------------------------------------------
     def _names(self) -> DataFrame:
-        """Two kinds of rows. Documents: doc_id, th, n, node, again, bits (every row's set by name).
+        """Two kinds of rows. Documents: doc_id, th, n, node, again, bits, sketch (every row's set by name).
         Tokens: no th, a task's lossy count n of token ``node``."""
         k, salt = self.k, self.salt
-        names, bits_type = ["doc_id", "th", "n", "node", "again", "bits"], pa.list_(pa.int64())
+        names, bits_type = ["doc_id", "th", "n", "node", "again", "bits", "sketch"], pa.list_(pa.int64())
         kind = self.docs.schema["doc_id"].dataType
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tally, seen, ids = _Tally(), set(), None
             for batch in batches:
-                n, named, bits = [], [], []
+                n, named, bits, sketches = [], [], [], []
                 for value in batch.column(2):
                     s = token_set(value.as_py(), k, salt)
                     n.append(len(s))
                     named.append(node_of(s))
                     bits.append(bitmap(s))
+                    sketches.append(sketch(s))
                     if named[-1][0] not in seen:
                         seen.add(named[-1][0])
                         tally.add(s)
@@ -241,7 +273,8 @@ class Join:
                     seen.clear()
                 ids = batch.column(0).type
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), *(
-                    pa.array([x[i] for x in named], pa.int64()) for i in (0, 1)), pa.array(bits, bits_type)], names=names)
+                    pa.array([x[i] for x in named], pa.int64()) for i in (0, 1)), pa.array(bits, bits_type),
+                    pa.array(sketches, pa.binary())], names=names)
             tally.merge()
             keep = tally.counts >= LOCAL
             tokens, counts = tally.keys[keep].view(np.int64), tally.counts[keep]
@@ -249,10 +282,11 @@ class Join:
                 t, c = tokens[a: a + 100_000], counts[a: a + 100_000]
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(t), ids), pa.nulls(len(t), pa.int64()), pa.array(c),
                                                   pa.array(t), pa.nulls(len(t), pa.int64()),
-                                                  pa.nulls(len(t), bits_type)], names=names)
+                                                  pa.nulls(len(t), bits_type), pa.nulls(len(t), pa.binary())], names=names)
         # as many tallies as a few rounds of the cluster's cores: each sees a fair part of the corpus
         part = self.docs.select("doc_id", "th", "text").coalesce(4 * self.spark.sparkContext.defaultParallelism)
-        return part.mapInArrow(run, f"doc_id {kind.simpleString()}, th long, n long, node long, again long, bits array<long>")
+        return part.mapInArrow(run, f"doc_id {kind.simpleString()}, th long, n long, node long, again long, bits array<long>, "
+                                    "sketch binary")
 
     def _frequent(self, named: DataFrame) -> np.ndarray:
         found = (named.where(F.col("th").isNull()).groupBy("node").agg(F.sum("n").alias("n"))
@@ -317,18 +351,19 @@ class Join:
 
     def _sided(self, pairs: DataFrame, nodes: DataFrame, near: bool = True) -> DataFrame:
         """``pairs`` (hub, leaf) with the document that holds each set and the part of the hub;
-        ``near``: without those whose sizes or bitmaps rule out a link."""
+        ``near``: without those whose sizes, bitmaps or sketches rule out a link."""
         of = lambda s: nodes.select(F.col("node").alias(f"at_{s}"), F.col("n").alias(f"n_{s}"),
-                                    F.struct("doc_id", "th").alias(f"d_{s}"), *(_bits(s) if near else []))
+                                    F.struct("doc_id", "th").alias(f"d_{s}"), *([*_bits(s), F.col("sketch").alias(f"sketch_{s}")] if near else []))
         met = F.col("leaf") == F.col("at_leaf")
         pairs = (pairs.join(of("hub"), F.col("hub") == F.col("at_hub"))
-                 .join(of("leaf"), met & may_link(self.percent, "hub", "leaf") if near else met)
-                 .select("hub", "leaf", "d_hub", "d_leaf", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int").alias("salt")))
+                 .join(of("leaf"), met & may_link(self.percent, "hub", "leaf") if near else met))
+        if near:
+            pairs = pairs.where(sketches_may_link(self.percent)("n_hub", "n_leaf", "sketch_hub", "sketch_leaf"))
+        pairs = pairs.select("hub", "leaf", "d_hub", "d_leaf", F.pmod(F.xxhash64("leaf"), F.lit(SALTS)).cast("int").alias("salt"))
         return materialize(pairs, "jaccard-pairs")
 
-    def _links(self, pairs: DataFrame, nodes: DataFrame, samples: tuple[int, ...] = (1,)) -> DataFrame:
-        """The pairs (a, b) whose sets are similar enough; ``pairs``: (hub, leaf), each once.
-        ``samples``: checked one after the other, the last is 1 (whole sets)."""
+    def _links(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets are similar enough; ``pairs``: (hub, leaf), each once."""
         percent = self.percent
 
         def enough(y: np.ndarray, m: int, x: np.ndarray, n: int, late: np.ndarray) -> list[tuple]:
@@ -338,14 +373,11 @@ class Join:
         pairs = self._sided(pairs, nodes)
         if pairs.isEmpty():
             return pairs.select(F.col("hub").alias("a"), F.col("leaf").alias("b"))
-        links = self._meet(pairs, samples[0], enough, [])
-        for sample in samples[1:]:
-            links = self._meet(pairs.join(links, ["hub", "leaf"], "left_semi"), sample, enough, [])
-        return links.select(F.col("hub").alias("a"), F.col("leaf").alias("b"))
-
-    def _meet(self, pairs: DataFrame, sample: int, visit: Callable, more: list[str], late: DataFrame | None = None) -> DataFrame:
-        """The rows (hub, leaf, *``more``) that ``visit`` makes of the sets of each pair: their tokens of every
-        ``sample``-th hash, their sizes and the hub's array in ``late`` (hub, late)."""
+        return self._meet(pairs, enough, []).select(F.col("hub").alias("a"), F.col("leaf").alias("b"))
+
+    def _meet(self, pairs: DataFrame, visit: Callable, more: list[str], late: DataFrame | None = None) -> DataFrame:
+        """The rows (hub, leaf, *``more``) that ``visit`` makes of the sets of each pair: their tokens, their
+        sizes and the hub's array in ``late`` (hub, late)."""
         k, salt = self.k, self.salt
         goal = lambda role: F.struct("hub", "salt", F.lit(role).alias("role"))
         wanted = (pairs.select("d_hub.*", goal(0).alias("goal")).distinct()
@@ -362,7 +394,7 @@ class Join:
             for batch in batches:
                 for value, goals in zip(batch.column(0), batch.column(1), strict=True):
                     s = token_set(value.as_py(), k, salt)
-                    node, n, blob, goals = node_of(s)[0], len(s), s[s % np.uint64(sample) == 0].tobytes(), goals.as_py()
+                    node, n, blob, goals = node_of(s)[0], len(s), s.tobytes(), goals.as_py()
                     step = max(1, (1 << 24) // max(1, len(blob)))
                     for a in range(0, len(goals), step):
                         part = goals[a: a + step]
@@ -414,7 +446,7 @@ class Join:
         mixed = (every.groupBy("sig", "band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("size"))
                  .where(F.col("a") != F.col("b")).select("sig", "band", "size"))
         every = materialize(every.join(mixed, ["sig", "band"]), "jaccard-mixed")
-        few = every.where(F.col("size") <= FEW).join(nodes.drop("n", "doc_id", "th", "smallest"), "node")
+        few = every.where(F.col("size") <= FEW).join(nodes.drop("n", "doc_id", "th", "smallest", "sketch"), "node")
         side = lambda s: [*(F.col(c).alias(f"{c}_{s}") for c in ("sig", "band", "node", "n", "component")), *_bits(s)]
         met = few.select(*side("x")).join(few.select(*side("y")), (
             F.col("sig_x") == F.col("sig_y")) & (F.col("band_x") == F.col("band_y")) & (F.col("node_x") < F.col("node_y"))
@@ -441,10 +473,10 @@ class Join:
         probes = pairs.where(some).select("hub", "leaf")
         pairs = self._sided(pairs, nodes, near=False)
         part = pairs.join(probes, ["hub", "leaf"], "left_semi").withColumn("salt", F.lit(0))  # one stream a hub
-        late = (self._meet(part, 1, often, ["token"]).groupBy("hub", "token").agg(F.count("*").alias("c"))
+        late = (self._meet(part, often, ["token"]).groupBy("hub", "token").agg(F.count("*").alias("c"))
                 .groupBy("hub").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("late"))
                 .select("hub", F.col("late.token").alias("late")))
-        return self._meet(pairs, 1, indexed, ["token", "excess", "reach"], materialize(late, "jaccard-late"))
+        return self._meet(pairs, indexed, ["token", "excess", "reach"], materialize(late, "jaccard-late"))
 
     def _within_reach(self, index: DataFrame, component: DataFrame) -> DataFrame:
         """The rows of ``index`` that may have a partner in another component, with their component, the
@@ -492,16 +524,15 @@ class Join:
             nodes = materialize(found.where(F.col("n") > 0).groupBy("node").agg(
                 F.min("n").alias("n"), F.min("again").alias("lo"), F.max("again").alias("hi"),
                 F.min(F.struct("doc_id", "th")).alias("rep"), F.min("doc_id").alias("smallest"),
-                F.first("bits").alias("bits")), "jaccard-nodes")
+                F.first("bits").alias("bits"), F.first("sketch").alias("sketch")), "jaccard-nodes")
             if nodes.where(F.col("lo") != F.col("hi")).isEmpty():
                 break
             self.salt += 1  # two sets share a name: name all anew
-        nodes = nodes.select("node", "n", "rep.doc_id", "rep.th", "smallest",
+        nodes = nodes.select("node", "n", "rep.doc_id", "rep.th", "smallest", "sketch",
                              *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(WORDS64)])
         frequent = self.spark.sparkContext.broadcast(self._frequent(named))  # at most FREQUENT hashes
         stars = materialize(self._stars(self._index(frequent)), "jaccard-stars")
-        links = self._links(stars.select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct(), nodes,
-                            (SAMPLE, 1))
+        links = self._links(stars.select(F.col("center").alias("hub"), F.col("node").alias("leaf")).distinct(), nodes)
         component = components(links)
         root = lambda s: component.select(F.col("node").alias(s), F.col("component").alias(f"root_{s}"))
         members, narrow = self._mixed(stars, component, nodes)
@@ -513,7 +544,7 @@ class Join:
             """Check the pairs that are not connected yet; True if any links."""
             nonlocal links, component
             more = self._links(pairs.join(root("hub"), "hub", "left").join(root("leaf"), "leaf", "left").where(
-                F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"), nodes, (SAMPLE, 1))
+                F.coalesce("root_hub", "hub") != F.coalesce("root_leaf", "leaf")).select("hub", "leaf"), nodes)
             if more.isEmpty():
                 return False
             links = links.unionByName(more)

@@ -120,6 +120,31 @@ def test_documents_of_one_template_make_no_pairs(spark, monkeypatch):
     assert met[0].count() == 0
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 10**6), st.integers(1024, 9000), st.floats(0, 1))
+def test_sketches_never_differ_in_more_than_their_sets(seed, n, share):
+    rng = np.random.default_rng(seed)
+    x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    y = np.unique(np.concatenate([x[rng.random(len(x)) < share], rng.integers(0, 2**63, rng.integers(0, 9000), dtype=np.uint64)]))
+    if min(len(x), len(y)) >= jac.SKETCHED:
+        assert jac.least_apart(jac.sketch(x), jac.sketch(y)) <= len(np.setxor1d(x, y))
+    assert jac.sketch(x[:jac.SKETCHED - 1]) is None
+
+
+def test_large_documents_of_one_passage_are_not_checked(spark, monkeypatch):
+    """Their bitmaps are full and tell nothing: the sketches leave no pair of them; the two near copies link."""
+    rng = random.Random(7)
+    passage = [f"p{i}" for i in range(200)]
+    texts = [[f"o{i}_{j}" for j in range(4000)] + passage for i in range(6)]
+    texts.append([w if rng.random() > .005 else "new" for w in texts[0]])
+    met, meet = [], jac.Join._meet
+    monkeypatch.setattr(jac.Join, "_meet", lambda self, pairs, *rest: met.append(pairs.count()) or meet(self, pairs, *rest))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in jac.jaccard_components(df, 4, 85).collect()}
+    assert got == {i: i for i in range(6)} | {6: 0}
+    assert sum(met) == 1
+
+
 def test_signatures_stay_linear():
     t = np.unique(np.random.default_rng(1).integers(0, 2**63, 20_000, dtype=np.uint64))
     assert len(jac.signatures(t, t, 85)[0]) < 2 * len(t)
