@@ -28,7 +28,9 @@ columns are ignored by ``matches`` and kept by ``decontaminate``.
 Scale: documents are read twice, shingled without a shuffle, and joined to the
 benchmark's shingles, which are broadcast only if counted to be at most
 BROADCAST_SHINGLES. Windows are merged by content before fingerprints are
-made, so a passage that many documents share is worked on once.
+made, so a passage that many documents share is worked on once. Each step is a
+written table, so no plan is large: the driver plans what is left of one anew
+after each of its stages, and holds all its broadcasts at once.
 """
 
 from __future__ import annotations
@@ -115,7 +117,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "len", F.xxhash64("len", "w").alias("wkey"), shingles(F.col("w")).alias("sh"))
     found = materialize(found, "decon-found")
 
-    texts = found.groupBy("wkey").agg(F.first("len").alias("len"), F.first("sh").alias("sh"))
+    texts = materialize(found.groupBy("wkey").agg(F.first("len").alias("len"), F.first("sh").alias("sh")), "decon-texts")
 
     def bags(df: DataFrame, key: str) -> DataFrame:
         """(key, h, u, w): weight of a shingle, and that times its count in the text."""
@@ -124,13 +126,13 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return tf.join(weights, "h", "left").select(key, "h", u.alias("u"), (F.col("tf") * u).alias("w"))
     wbag, ibag = materialize(bags(texts, "wkey"), "decon-wbag"), materialize(bags(items, "ikey"), "decon-ibag")
 
-    wfp = _fingerprint(wbag, "wkey").join(texts.select("wkey", "len"), "wkey")
-    ifp = _fingerprint(ibag, "ikey").join(items.select("ikey", "len"), "ikey")
+    wfp = materialize(_fingerprint(wbag, "wkey").join(texts.select("wkey", "len"), "wkey"), "decon-wfp")
+    ifp = materialize(_fingerprint(ibag, "ikey").join(items.select("ikey", "len"), "ikey"), "decon-ifp")
     near = (_blocks(wfp).join(_blocks(ifp).withColumnRenamed("fp", "ifp"), ["len", "blk"])
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("ifp"))) <= RADIUS).select("wkey", "ikey"))
     sharing = (_prefix(wbag, "wkey").join(texts.select("wkey", "len"), "wkey")
                .join(_prefix(ibag, "ikey").join(items.select("ikey", "len"), "ikey"), ["len", "h"]).select("wkey", "ikey"))
-    near = near.union(sharing).distinct()
+    near = materialize(near.union(sharing).distinct(), "decon-near")
 
     wbag, ibag = wbag.drop("u"), ibag.drop("u")
     both = (near.join(wbag, "wkey").join(ibag.withColumnRenamed("w", "iw"), ["ikey", "h"])
@@ -139,6 +141,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     sim = F.col("shared") / (F.col("wt") + F.col("it") - F.col("shared"))
     alike = (both.join(total(wbag, "wkey", "wt"), "wkey").join(total(ibag, "ikey", "it"), "ikey")
              .select("wkey", "ikey", sim.alias("similarity")).where(F.col("similarity") >= SIMILARITY - 1e-9))
+    alike = materialize(alike, "decon-alike")
     return (alike.join(items.select("ikey", "item_id"), "ikey").join(found.select("doc_id", "wkey").distinct(), "wkey")
             .groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity")))
 

@@ -119,6 +119,23 @@ def test_decontamination_of_empty_tables(spark):
     assert dec.decontaminate(docs.limit(0), none).count() == 0
 
 
+def test_no_step_of_decontamination_has_a_large_plan(spark, monkeypatch):
+    """The driver plans what is left of a query after each stage: no written step, nor the result, joins often."""
+    plans, real = [], dec.materialize
+
+    def write(df, name):
+        plans.append((name, df))
+        return real(df, name)
+    monkeypatch.setattr(dec, "materialize", write)
+    docs = spark.createDataFrame([(1, "a b c d e f g h"), (2, "p q r s t u v w")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "a b c d e f g h")], "item_id long, text string")
+    kept = dec.decontaminate(docs, items)
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+    for name, df in [*plans, ("result", kept)]:
+        joins = df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+        assert joins <= 6 and no_python(df), (name, joins)
+
+
 # -- pseudonyms ----------------------------------------------------------------------
 def luhn(s):
     d = [int(c) for c in s if c.isdigit()][::-1]
