@@ -39,3 +39,21 @@ def test_binding_sizes_the_tasks(plain, tmp_path):
         plain.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert tpch.retail_raw(plain, str(tmp_path)).count() == 0
     assert plain.conf.get(BYTES) == SE.TASK_BYTES
+
+
+def test_package_is_shipped_once_from_several_threads():
+    """Tuning fits in parallel; Spark refuses a second file of the same name."""
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    from shelfwise.session import ship_package
+    sent = []
+
+    def add(path):
+        time.sleep(0.2)
+        sent.append(path)
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app-threads", addPyFile=add))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(ship_package, [fake] * 4))
+    assert len(sent) == 1
