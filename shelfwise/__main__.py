@@ -36,9 +36,10 @@ def main(argv=None) -> None:
 
     spark = SparkSession.builder.appName("shelfwise").getOrCreate()
     ensure_checkpoint_dir(spark)
+    sources = None
     if a.tpch:
-        from shelfwise.sources.tpch import retail_raw
-        raw = retail_raw(spark, a.tpch)
+        from shelfwise.sources.tpch import retail_raw, retail_sources
+        raw, sources = retail_raw(spark, a.tpch), retail_sources(spark, a.tpch)
     elif a.format == "zip":
         from shelfwise.sources.files import read_sales_zips
         raw = read_sales_zips(spark, a.sales)
@@ -53,7 +54,7 @@ def main(argv=None) -> None:
     models = tuple(m for m in a.models.split(",") if m)
     cv = tuple(m for m in a.cv.split(",") if m)
     out = run(raw, cfg, stock_file=stock, models=models, cv_models=cv, out_dir=a.out,
-              checkpoint=a.checkpoint, resume=a.resume)
+              checkpoint=a.checkpoint, resume=a.resume, sources=sources)
     out["executive_summary"].show(truncate=False)
     out["urgency_summary"].show(truncate=False)
 
